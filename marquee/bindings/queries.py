@@ -29,7 +29,10 @@ from marquee.operators import (
     usage,
 )
 from marquee.plans.candidates import build_candidates
+from marquee.session import work_path
 from marquee.sources import extract, feeds_html
+from marquee.sources.week_files import replace_weeks
+from marquee.streaming import jobs, sink
 
 Query = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -509,11 +512,10 @@ def extract_text_blocks(t: Tables) -> DataFrame:
 
 _BOLD = feeds_html.Layout(
     listing=r"<(p)><b>",
-    date=lambda block, group: F.col("context_date"),
-    fields=lambda block, group: {
-        "title": F.regexp_extract(block, r"(?s)<b>(.*)", 1), "venue": F.lit(""), "time": F.lit(""),
-        "cost": F.lit(""), "url": F.lit(""), "description": F.lit(""),
-    },
+    when=lambda block, group: {},
+    texts=lambda block, group: {"title": F.regexp_extract(block, r"(?s)<b>(.*)", 1)},
+    date=lambda t: F.col("context_date"),
+    fields=lambda t: {"title": t["title"], **{c: F.lit("") for c in ("venue", "time", "cost", "url", "description")}},
 )
 
 
@@ -571,7 +573,7 @@ def truncate_bodies(t: Tables) -> DataFrame:
     SELECT DISTINCT week, week + 7 AS next_monday,
            CASE WHEN month(week) = month(week + 6) THEN strftime(week, '%B %-d') || '–' || strftime(week + 6, '%-d, %Y')
                 ELSE strftime(week, '%B %-d') || ' – ' || strftime(week + 6, '%B %-d, %Y') END AS label,
-           array_to_string([CAST(CAST(week + i AS DATE) AS VARCHAR) FOR i IN range(0, 7)], ',') AS days
+           array_to_string([CAST(week + CAST(i AS INT) AS VARCHAR) FOR i IN range(0, 7)], ',') AS days
     FROM (SELECT CAST(date_trunc('week', ts) AS DATE) AS week FROM events)""",
 )
 def week_calendar(t: Tables) -> DataFrame:
@@ -822,7 +824,7 @@ _PROVENANCE = (
     + " UNION ALL "
     + _issue_sql(
         "provenance", "fail", "source", "'collected_at ' || collected_at || ' is outside the run'",
-        "stamps WHERE at NOT BETWEEN CAST(week + INTERVAL 1 MONTH AS TIMESTAMP) AND CAST(year(week) || '-11-30 12:00:00' AS TIMESTAMP)",
+        "stamps WHERE stamped_at NOT BETWEEN CAST(week + INTERVAL 1 MONTH AS TIMESTAMP) AND CAST(year(week) || '-11-30 12:00:00' AS TIMESTAMP)",
     )
 )
 
@@ -966,7 +968,7 @@ def check_same_series(t: Tables) -> DataFrame:
     "near_title_dupes",
     _issue_sql(
         "near_titles", "warn", "venue", "n || ' titles differ only by a prefix: ' || bare",
-        """(SELECT p_size AS week, p_type AS venue, p_name AS bare, count(DISTINCT CASE WHEN p_retailprice < 1000 THEN p_name ELSE p_brand || ': ' || p_name END) AS n
+        """(SELECT 'all' AS week, p_brand AS venue, p_name AS bare, count(DISTINCT CASE WHEN p_retailprice < 1000 THEN p_name ELSE p_brand || ': ' || p_name END) AS n
             FROM part GROUP BY ALL) WHERE n > 1""",
     ),
 )
@@ -974,7 +976,7 @@ def near_title_dupes(t: Tables) -> DataFrame:
     """Parts as listings; the dearer ones carry their brand as a prefix."""
     name = F.when(F.col("p_retailprice") < 1_000, F.col("p_name")).otherwise(F.concat("p_brand", F.lit(": "), "p_name"))
     return quality.near_titles(
-        t.table("part").select(F.col("p_size").alias("week"), F.col("p_type").alias("venue"), name.alias("title"))
+        t.table("part").select(F.lit("all").alias("week"), F.col("p_brand").alias("venue"), name.alias("title"))
     )
 
 
@@ -1404,3 +1406,71 @@ def week_delta(t: Tables) -> DataFrame:
 )
 def pick_histograms(t: Tables) -> DataFrame:
     return analytics.pick_histograms(_merged_picks(t))
+
+
+# Sinks and streams -------------------------------------------------------------------------------
+
+
+@query(
+    "overwrite_week",
+    """
+    SELECT week, id, title, 'old' AS state FROM occurrence WHERE week <> DATE '2024-01-15'
+    UNION ALL SELECT week, id, title, 'new' FROM occurrence WHERE week = DATE '2024-01-15' AND event_type <> 'error'""",
+    ["occurrence"],
+)
+def overwrite_week(t: Tables) -> DataFrame:
+    """All weeks written, then one week replaced by its rows without errors."""
+    path = work_path(t.spark, "overwrite-week")
+    rows = t.occurrence().select("week", "id", "title")
+    replace_weeks(rows.withColumn("state", F.lit("old")), path)
+    target = rows.where((F.col("week") == "2024-01-15") & (F.col("title") != "error"))
+    replace_weeks(target.withColumn("state", F.lit("new")), path)
+    return t.spark.read.parquet(path).select("week", "id", "title", "state")
+
+
+def _stream(t: Tables, name: str) -> DataFrame:
+    """A driver table as a stream of files."""
+    schema = t.table(name).schema
+    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+
+
+@query("usage_stream", "SELECT * FROM reading", ["reading"])
+def usage_stream(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "usage-stream")
+    lines = t.usage_lines(_stream(t, "lineitem"))
+    jobs.usage_stream(lines, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return jobs.usage_readings(sink.read(t.spark, f"{path}/table"))
+
+
+@query(
+    "log_stream",
+    """
+    WITH log AS (SELECT CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS VARCHAR) AS week_of, CAST(o_custkey AS VARCHAR) AS title,
+                        o_orderkey AS venue, o_orderpriority AS rank FROM orders)
+    SELECT * FROM log WHERE rank = '1-URGENT'
+    UNION ALL SELECT * FROM log WHERE (week_of, title) NOT IN (SELECT (week_of, title) FROM log WHERE rank = '1-URGENT')""",
+)
+def log_stream(t: Tables) -> DataFrame:
+    """Orders streamed into a log that already holds the urgent ones."""
+    def rows(orders: DataFrame) -> DataFrame:
+        week = clock.week_of(F.to_date("o_orderdate")).cast("string")
+        return orders.select(
+            week.alias("week_of"), F.col("o_custkey").cast("string").alias("title"),
+            F.col("o_orderkey").alias("venue"), F.col("o_orderpriority").alias("rank"),
+        )
+
+    path = work_path(t.spark, "log-stream")
+    sink.create(t.spark, f"{path}/table", rows(t.table("orders")).where(F.col("rank") == "1-URGENT"))
+    jobs.log_stream(rows(_stream(t, "orders")), f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return sink.read(t.spark, f"{path}/table").drop("batch")
+
+
+@query("payload_stream", ORACLES["extract_calendar_json"])
+def payload_stream(t: Tables) -> DataFrame:
+    """Calendar payloads written as files, then parsed as a stream."""
+    path = work_path(t.spark, "payload-stream")
+    payloads = t.calendar_payloads()
+    payloads.write.parquet(f"{path}/payloads")
+    stream = t.spark.readStream.schema(payloads.schema).parquet(f"{path}/payloads")
+    jobs.payload_stream(stream, "calendar_json", f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return sink.read(t.spark, f"{path}/table").select(*LISTED_COLUMNS)

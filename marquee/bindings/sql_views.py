@@ -135,7 +135,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         """
         SELECT week, day, CAST(place AS INT) AS rank, id, category,
                CASE WHEN k >= 10 THEN 'Why ' || pos END AS why, k % 9 = 0 AS is_music, sold_out,
-               CASE WHEN user_id < 75 THEN 'Addr ' || user_id ELSE '' END AS address,
+               CASE WHEN user_id < 75 THEN 'Addr ' || (user_id // 25) ELSE '' END AS address,
                CASE WHEN event_type = 'click' AND k < 50 THEN '8:00 PM' END AS time
         FROM top_six WHERE place <= 3""",
     ),
@@ -246,7 +246,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS week, CAST(o_orderkey AS VARCHAR) AS source, o_orderdate,
                o_orderstatus, strftime(o_orderdate, '%Y-%m-%dT10:00:00') ||
                CASE o_orderstatus WHEN 'O' THEN '+00:00' WHEN 'F' THEN 'Z' ELSE '-05:00' END AS collected_at,
-               o_orderdate + CASE WHEN o_orderstatus = 'P' THEN INTERVAL 15 HOUR ELSE INTERVAL 10 HOUR END AS at
+               o_orderdate + CASE WHEN o_orderstatus = 'P' THEN INTERVAL 15 HOUR ELSE INTERVAL 10 HOUR END AS stamped_at
         FROM orders""",
     ),
     "usage_line": (

@@ -132,7 +132,7 @@ class Tables:
             F.when(F.col("k") >= 10, F.concat(F.lit("Why "), F.col("pos"))).alias("why"),
             (F.col("k") % 9 == 0).alias("is_music"),
             "sold_out",
-            F.when(F.col("user_id") < 75, F.concat(F.lit("Addr "), F.col("user_id"))).otherwise("").alias("address"),
+            F.when(F.col("user_id") < 75, F.concat(F.lit("Addr "), F.floor(F.col("user_id") / 25))).otherwise("").alias("address"),
             F.when((F.col("event_type") == "click") & (F.col("k") < 50), "8:00 PM").alias("time"),
         )
 
@@ -220,8 +220,9 @@ class Tables:
             F.col("l_quantity").cast("long").alias("n_events"),
         )
 
-    def usage_lines(self) -> DataFrame:
+    def usage_lines(self, lineitem: DataFrame | None = None) -> DataFrame:
         """Line items as usage readings: message per order, several readings per message."""
+        lineitem = self.table("lineitem") if lineitem is None else lineitem
         flag = F.concat("l_returnflag", "l_linestatus")
         line = (
             F.col("l_linenumber").cast("long") * 100_000_000_000_000_000
@@ -231,7 +232,7 @@ class Tables:
             + F.round(F.col("l_discount") * 100).cast("long") * 10
             + (F.col("l_tax") == 0).cast("long")
         )
-        return self.table("lineitem").select(
+        return lineitem.select(
             F.date_format("l_shipdate", "yyyy").alias("session"),
             F.when(flag == "NO", "").otherwise(flag).alias("agent"),
             F.col("l_orderkey").alias("message_id"),
@@ -416,7 +417,7 @@ class Tables:
             start,
             F.lit("\r\n"),
             place,
-            F.concat(F.lit("SUMMARY;LANGUAGE=en:"), F.col("event_type"), F.lit("\; no "), F.col("k"), F.lit("\r\n")),
+            F.concat(F.lit("SUMMARY;LANGUAGE=en:"), F.col("event_type"), F.lit("\\; no "), F.col("k"), F.lit("\r\n")),
             F.concat(F.lit("DESCRIPTION:first\\nthen: "), F.col("k"), F.lit("\r\n")),
             F.concat(F.lit("URL;VALUE=URI:"), F.col("url"), F.lit("\r\nEND:VEVENT\r\n")),
         )

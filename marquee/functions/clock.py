@@ -66,11 +66,18 @@ def calendar_date(year: Column, month: Column, day: Column) -> Column:
 
 def nearest_date(month: Column, day: Column, week_start: Column) -> Column:
     """The (month, day) closest to `week_start` among its year and both neighbours; ties go to the earlier."""
-    options = [calendar_date(F.year(week_start) + shift, month, day) for shift in (-1, 0, 1)]
-    ranked = F.array(*[
-        F.struct(F.abs(F.datediff(d, week_start)).alias("away"), d.alias("day")) for d in options
-    ])
-    return F.array_min(F.filter(ranked, lambda o: o["day"].isNotNull()))["day"]
+
+    def closest(day_of_year: Column) -> Column:
+        options = F.transform(
+            F.array(*[F.lit(shift) for shift in (-1, 0, 1)]),
+            lambda shift: calendar_date(F.year(week_start) + shift, day_of_year["month"], day_of_year["day"]),
+        )
+        known = F.filter(options, lambda d: d.isNotNull())
+        return F.array_min(
+            F.transform(known, lambda d: F.struct(F.abs(F.datediff(d, week_start)).alias("away"), d.alias("day")))
+        )["day"]
+
+    return text.once(F.struct(month.alias("month"), day.alias("day")), closest)
 
 
 def range_label(monday: Column, sunday: Column) -> Column:

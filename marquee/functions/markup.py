@@ -14,7 +14,13 @@ from marquee.functions import text
 _NAMED = html.entities.html5
 # References that browsers accept without a semicolon, longest first so the longest name wins.
 _BARE = sorted((k for k in _NAMED if not k.endswith(";")), key=len, reverse=True)
-_COMMON = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\xa0"}
+_COMMON = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\xa0", "Tab;": "\t", "NewLine;": "\n"}
+# Names of the older, small set: looked up in a map. All others sit in one text, a name and its
+# characters per line, which is slower to search but far lighter in a query plan.
+_FREQUENT = {f"{name};": chr(code) for name, code in html.entities.name2codepoint.items()}
+_TABLE = "\n" + "".join(f"{name}\t{chars}\n" for name, chars in _NAMED.items() if name not in _COMMON)
+# Code points 128 to 159 are read as the Windows character of that byte.
+_WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)]
 
 
 def tag(name: str = r"[a-zA-Z][\w-]*", cls: str | None = None, attr: str | None = None) -> str:
@@ -22,12 +28,12 @@ def tag(name: str = r"[a-zA-Z][\w-]*", cls: str | None = None, attr: str | None
 
     Group 1 is the tag name, so a closing tag can refer back to it.
     """
-    out = ""
-    if attr:
-        out += rf"(?=[^>]*\s{attr})"
-    for token in (cls or "").split():
-        out += rf'(?=[^>]*\sclass="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?")'
-    return rf"<({name})\b{out}[^>]*>"
+    tests = [rf"\s{attr}"] if attr else []
+    tests += [rf'\sclass="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?"' for token in (cls or "").split()]
+    if len(tests) == 1:
+        # A single test needs no look-ahead: each tag is then scanned once.
+        return rf"<({name})\b[^>]*?{tests[0]}[^>]*>"
+    return rf"<({name})\b" + "".join(f"(?=[^>]*{t})" for t in tests) + "[^>]*>"
 
 
 def blocks(body: Column, opening: str) -> Column:
@@ -42,9 +48,8 @@ def inner(block: Column, opening: str) -> Column:
 
 
 def attribute(block: Column, opening: str, name: str) -> Column:
-    """Value of an attribute of the first matching tag; '' if absent."""
-    found = F.regexp_extract(block, f"({opening})", 1)
-    return unescape(F.regexp_extract(found, rf'\s{name}="([^"]*)"', 1))
+    """Raw value of an attribute of the first matching tag; '' if absent."""
+    return F.regexp_extract(F.regexp_extract(block, f"({opening})", 1), rf'\s{name}="([^"]*)"', 1)
 
 
 def plain(markup: Column) -> Column:
@@ -53,46 +58,55 @@ def plain(markup: Column) -> Column:
     return unescape(text.strip(F.regexp_replace(markup, f"{blank}<[^>]*>{blank}", "")))
 
 
-def field(block: Column, opening: str) -> Column:
-    return plain(inner(block, opening))
-
-
 def _code_point(digits: Column, base: int) -> Column:
     number = F.conv(digits, base, 10).try_cast("long")
     valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
     raw = F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0"))
-    return F.coalesce(F.decode(raw, "UTF-32"), F.lit("�"))
+    windows = F.get(F.array(*[F.lit(c) for c in _WINDOWS]), (number - 128).cast("int"))
+    return F.when(number.between(128, 159), windows).otherwise(F.coalesce(F.decode(raw, "UTF-32"), F.lit("�")))
+
+
+def _named(name: Column) -> Column:
+    """Characters of a reference name, NULL if there is no such name."""
+    line = F.concat(F.lit("\n"), name, F.lit("\t"))
+    at = F.instr(F.lit(_TABLE), line)
+    rest = F.substr(F.lit(_TABLE), at + F.char_length(line))
+    return F.when((name != "") & (at > 0), F.substring_index(rest, "\n", 1))
 
 
 def _decode_piece(piece: Column) -> Column:
     """A piece that followed an ampersand, its leading character reference decoded."""
     numeric = r"\A#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?"
-    named = F.regexp_extract(piece, r"\A([A-Za-z][A-Za-z0-9]*;)", 1)
-    bare = F.regexp_extract(piece, r"\A(" + "|".join(_BARE) + ")", 1)
-    table = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
     decimal = F.regexp_extract(piece, numeric, 1)
     hexadecimal = F.regexp_extract(piece, numeric, 2)
-    rest_numeric = F.regexp_replace(piece, numeric, "")
-    out = F.when(decimal != "", F.concat(_code_point(decimal, 10), rest_numeric))
-    out = out.when(hexadecimal != "", F.concat(_code_point(hexadecimal, 16), rest_numeric))
+    rest = F.regexp_replace(piece, numeric, "")
+    whole_name = F.regexp_extract(piece, r"\A([A-Za-z][A-Za-z0-9]*;)", 1)
+    bare_name = F.regexp_extract(piece, r"\A(" + "|".join(_BARE) + ")", 1)
+    out = F.when(~F.rlike(piece, F.lit(r"\A[#A-Za-z]")), F.concat(F.lit("&"), piece))
     for name, char in _COMMON.items():
         out = out.when(piece.startswith(name), F.concat(F.lit(char), F.substr(piece, F.lit(len(name) + 1))))
-    full = F.try_element_at(table, named)
-    out = out.when(
-        (named != "") & full.isNotNull(), F.concat(full, F.substr(piece, F.char_length(named) + 1))
+    out = out.when(decimal != "", F.concat(_code_point(decimal, 10), rest))
+    out = out.when(hexadecimal != "", F.concat(_code_point(hexadecimal, 16), rest))
+    frequent = F.from_json(F.lit(json.dumps(_FREQUENT)), "map<string,string>")
+    decoded = F.coalesce(
+        F.concat(F.try_element_at(frequent, whole_name), F.substr(piece, F.char_length(whole_name) + 1)),
+        F.concat(_named(whole_name), F.substr(piece, F.char_length(whole_name) + 1)),
+        F.concat(_named(bare_name), F.substr(piece, F.char_length(bare_name) + 1)),
+        F.concat(F.lit("&"), piece),
     )
-    out = out.when(
-        bare != "", F.concat(F.try_element_at(table, bare), F.substr(piece, F.char_length(bare) + 1))
-    )
-    return out.otherwise(F.concat(F.lit("&"), piece))
+    return out.otherwise(decoded)
 
 
 def unescape(c: Column) -> Column:
     """Character references decoded once, as a browser would."""
-    pieces = F.split(c, "&")
-    decoded = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
-    whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(decoded, ""))
-    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
+
+    def decode(t: Column) -> Column:
+        pieces = F.split(t, "&")
+        decoded = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
+        whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(decoded, ""))
+        return F.when(F.contains(t, F.lit("&")), whole).otherwise(t)
+
+    return text.once(c, decode)
 
 
 def escape(c: Column) -> Column:

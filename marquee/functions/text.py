@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ WHITESPACE = (
 )
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(c)` with `c` evaluated a single time, however often `use` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 

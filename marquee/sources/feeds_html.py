@@ -15,20 +15,34 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import clock, markup, text
-from marquee.functions.markup import attribute, field, inner, tag
+from marquee.functions.markup import attribute, inner, tag
 from marquee.sources.feeds_json import parsed
 
 # Listings per group a position has room for; a page body is far smaller.
 GROUP_STEP = 1_000_000
 
+# Stands between texts that are decoded together; a private-use character no page text needs.
+SEPARATOR = "\ue000"
+
+Texts = dict[str, Column]
+
 
 @dataclass(frozen=True)
 class Layout:
-    """`date(block, group)` and `fields(block, group)` build columns; `group` is NULL without groups."""
+    """How a page becomes listings.
+
+    `when`, `texts` and `links` cut raw markup and raw attribute values out of a listing, given the
+    listing and its group; `date` and `fields` make the event from them once they are plain text. A
+    date needs `when` only, so the week filter runs before the other texts are cut. The group is the
+    whole page where the layout has no groups.
+    """
 
     listing: str
-    date: Callable[[Column, Column], Column]
-    fields: Callable[[Column, Column], dict[str, Column]]
+    when: Callable[[Column, Column], Texts]
+    texts: Callable[[Column, Column], Texts]
+    date: Callable[[Texts], Column]
+    fields: Callable[[Texts], Texts]
+    links: Callable[[Column, Column], Texts] = lambda block, group: {}
     group: str | None = None
     # Groups that count: others are cut away before listings are looked for.
     group_counts: Callable[[Column], Column] | None = None
@@ -44,21 +58,26 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
         groups = markup.blocks(body, layout.group)
         if layout.group_counts is not None:
             groups = F.filter(groups, layout.group_counts)
-    rows = payloads.withColumn("_groups", groups).select(
-        "source", "week_start", "page", "context_date", "_groups", F.posexplode_outer("_groups").alias("_g", "group")
+    rows = payloads.withColumn("_groups", groups).withColumn("_n", F.size("_groups")).select(
+        "source", "week_start", "page", "context_date", "_n", F.posexplode_outer("_groups").alias("_g", "group")
     )
     rows = rows.withColumn("_listings", markup.blocks(F.col("group"), layout.listing))
-    if layout.quiet_without_listings:
-        broken = F.size("_groups") == 0
-    else:
-        broken = F.size("_listings") == 0
+    # Counted before the explode, so that the array itself is not carried along with every listing.
+    rows = rows.withColumn("broken", (F.col("_n") if layout.quiet_without_listings else F.size("_listings")) == 0)
     rows = rows.select(
-        "source", "week_start", "page", "context_date", "group", broken.alias("broken"), "_g",
+        "source", "week_start", "page", "context_date", "group", "broken", "_g",
         F.posexplode_outer("_listings").alias("_l", "item"),
-    ).withColumn("pos", F.col("_g") * GROUP_STEP + F.col("_l"))
-    fields = layout.fields(F.col("item"), F.col("group"))
-    keep = fields["title"].isNotNull()
-    return parsed(rows, layout.date(F.col("item"), F.col("group")), keep, fields)
+    )
+    # Texts are decoded together, so that the plan holds the decoding once per kind.
+    kinds = {"_when": (layout.when, markup.plain), "_texts": (layout.texts, markup.plain), "_links": (layout.links, markup.unescape)}
+    cut = rows.withColumn("pos", F.col("_g") * GROUP_STEP + F.col("_l"))
+    named = {}
+    for kind, (select, decode) in kinds.items():
+        raw = select(F.col("item"), F.col("group"))
+        cut = cut.withColumn(kind, F.transform(F.array(*raw.values(), F.lit("")), decode))
+        named |= {name: F.get(kind, F.lit(i)) for i, name in enumerate(raw)}
+    fields = layout.fields(named)
+    return parsed(cut, layout.date(named), fields["title"].isNotNull(), fields)
 
 
 def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, Column]:
@@ -68,26 +87,37 @@ def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, C
 
 
 # One dated link per event, several clock times.
-def _dated_fields(block: Column, group: Column) -> dict[str, Column]:
-    opening = tag("a", "event")
+def _dated_texts(block: Column, group: Column) -> Texts:
     times = F.regexp_extract_all(
         block, F.lit(rf"(?s){tag('li', 'event__detail--time')}.*?<time\b[^>]*>(.*?)</time>"), F.lit(2)
     )
-    shown = F.filter(F.transform(times, markup.plain), lambda t: t != "")
     tickets = F.regexp_extract(block, rf"(?s){tag(cls='event__detail--tickets')}(.*?)</li>", 2)
     return {
-        "title": field(block, tag(cls="event__title")),
+        "title": inner(block, tag(cls="event__title")),
+        "times": F.array_join(times, SEPARATOR),
+        "cost": inner(tickets, tag(cls="event__detail-value")),
+        "description": inner(block, tag(cls="event__description")),
+    }
+
+
+def _dated_fields(t: Texts) -> Texts:
+    times = F.transform(F.split(t["times"], SEPARATOR), text.strip)
+    return {
+        "title": t["title"],
         "venue": F.lit(fixed.VENUE_OF_FORMAT["html_dated"]),
-        "time": F.array_join(shown, ", "),
-        "cost": field(tickets, tag(cls="event__detail-value")),
-        "url": text.first_filled(attribute(block, opening, "href"), F.lit(fixed.LINKS["html_dated"])),
-        "description": field(block, tag(cls="event__description")),
+        "time": F.array_join(F.filter(times, lambda x: x != ""), ", "),
+        "cost": t["cost"],
+        "url": text.first_filled(t["href"], F.lit(fixed.LINKS["html_dated"])),
+        "description": t["description"],
     }
 
 
 DATED = Layout(
     listing=tag("a", "event"),
-    date=lambda b, g: F.try_to_date(attribute(b, tag(cls="event__date"), "datetime"), "yyyy-MM-dd"),
+    texts=_dated_texts,
+    when=lambda block, group: {"day": attribute(block, tag(cls="event__date"), "datetime")},
+    links=lambda block, group: {"href": attribute(block, tag("a", "event"), "href")},
+    date=lambda t: F.try_to_date(t["day"], "yyyy-MM-dd"),
     fields=_dated_fields,
 )
 
@@ -95,59 +125,79 @@ DATED = Layout(
 _LOOSE = r"(?i)([a-z]+)\s+(\d{1,2}),\s*(\d{4})\s*@\s*(\d{1,2}):(\d{2})\s*(am|pm)"
 
 
-def _blocks_text(block: Column) -> Column:
-    return field(block, tag("p", "wp-block-paragraph"))
+def _blocks_texts(block: Column, group: Column) -> Texts:
+    heading = inner(block, tag(cls="wp-block-post-title"))
+    map_link = tag("a", attr=r'href="[^"]*(?:maps\.app\.goo\.gl|google\.com/maps)')
+    return {
+        "title": inner(heading, tag("a")),
+        "venue": inner(block, map_link),
+        "term": inner(inner(block, tag(cls="wp-block-post-terms")), tag("a")),
+    }
 
 
-def _blocks_date(block: Column, group: Column) -> Column:
-    found = _blocks_text(block)
-    month, day = _month_day(found, _LOOSE, 1)
-    return clock.calendar_date(F.regexp_extract(found, _LOOSE, 3).try_cast("int"), month, day)
+def _blocks_date(t: Texts) -> Column:
+    month, day = _month_day(t["when"], _LOOSE, 1)
+    return clock.calendar_date(F.regexp_extract(t["when"], _LOOSE, 3).try_cast("int"), month, day)
 
 
-def _blocks_fields(block: Column, group: Column) -> dict[str, Column]:
-    found = _blocks_text(block)
-    hour, minute, half = (F.regexp_extract(found, _LOOSE, i) for i in (4, 5, 6))
-    minutes = hour.try_cast("int") % 12 * 60 + minute.try_cast("int") + F.when(F.lower(half) == "pm", 720).otherwise(0)
-    heading = inner(block, tag(cls="wp-block-post-title"))
-    map_link = tag("a", attr=r'href="[^"]*(?:maps\.app\.goo\.gl|google\.com/maps)')
-    terms = inner(block, tag(cls="wp-block-post-terms"))
+def _blocks_fields(t: Texts) -> Texts:
+    hour, minute, half = (F.regexp_extract(t["when"], _LOOSE, i) for i in (4, 5, 6))
+    late = F.when(F.lower(half) == "pm", 720).otherwise(0)
+    minutes = hour.try_cast("int") % 12 * 60 + minute.try_cast("int") + late
     return {
-        "title": field(heading, tag("a")),
-        "venue": field(block, map_link),
-        "time": clock.minutes_clock(minutes),
+        "title": t["title"],
+        "venue": t["venue"],
+        "time": text.once(minutes, clock.minutes_clock),
         "cost": F.lit(""),
-        "url": text.first_filled(attribute(heading, tag("a"), "href"), F.lit(fixed.LINKS["html_blocks"])),
-        "description": field(terms, tag("a")),
+        "url": text.first_filled(t["href"], F.lit(fixed.LINKS["html_blocks"])),
+        "description": t["term"],
     }
 
 
-BLOCKS = Layout(listing=tag("li", "wp-block-post event"), date=_blocks_date, fields=_blocks_fields)
+BLOCKS = Layout(
+    listing=tag("li", "wp-block-post event"),
+    when=lambda block, group: {"when": inner(block, tag("p", "wp-block-paragraph"))},
+    texts=_blocks_texts,
+    links=lambda block, group: {
+        "href": attribute(inner(block, tag(cls="wp-block-post-title")), tag("a"), "href")
+    },
+    date=_blocks_date,
+    fields=_blocks_fields,
+)
 
 # A date element without a year stands before the listing it dates.
 _WEEKDAY_DATE = r"\w{3},?\s+(\w{3})\s+(\d{1,2})"
 _EVENT_DATE = tag(attr='id="eventDate"')
 
 
-def _tagline_date(block: Column, group: Column) -> Column:
-    month, day = _month_day(field(group, _EVENT_DATE), _WEEKDAY_DATE, 1)
+_VENUE_LINK = tag(cls="venueLink")
+
+
+def _tagline_texts(block: Column, group: Column) -> Texts:
+    return {
+        "title": inner(block, tag(cls="rhp-event__title--list")),
+        "tagline": inner(block, tag(cls="eventTagLine")),
+        "venue_text": inner(block, _VENUE_LINK),
+        "time": inner(block, tag(cls="rhp-event__time-text--list")),
+        "cost": inner(block, tag(cls="rhp-event__cost-text--list")),
+    }
+
+
+def _tagline_date(t: Texts) -> Column:
+    month, day = _month_day(t["when"], _WEEKDAY_DATE, 1)
     return clock.nearest_date(month, day, F.col("week_start"))
 
 
-def _tagline_fields(block: Column, group: Column) -> dict[str, Column]:
-    title = field(block, tag(cls="rhp-event__title--list"))
-    tagline = field(block, tag(cls="eventTagLine"))
+def _tagline_fields(t: Texts) -> Texts:
+    title, tagline = t["title"], t["tagline"]
     both = (title != "") & (tagline != "")
-    venue = tag(cls="venueLink")
-    link = attribute(block, tag(attr='id="eventTitle"'), "href")
+    either = F.nullif(text.first_filled(title, tagline), F.lit(""))
     return {
-        "title": F.when(both, F.concat(tagline, F.lit(" | "), title)).otherwise(
-            F.nullif(text.first_filled(title, tagline), F.lit(""))
-        ),
-        "venue": text.first_filled(attribute(block, venue, "title"), field(block, venue)),
-        "time": field(block, tag(cls="rhp-event__time-text--list")),
-        "cost": field(block, tag(cls="rhp-event__cost-text--list")),
-        "url": text.first_filled(link, F.lit(fixed.LINKS["html_tagline"])),
+        "title": F.when(both, F.concat(tagline, F.lit(" | "), title)).otherwise(either),
+        "venue": text.first_filled(t["venue"], t["venue_text"]),
+        "time": t["time"],
+        "cost": t["cost"],
+        "url": text.first_filled(t["href"], F.lit(fixed.LINKS["html_tagline"])),
         "description": tagline,
     }
 
@@ -155,6 +205,12 @@ def _tagline_fields(block: Column, group: Column) -> dict[str, Column]:
 TAGLINE = Layout(
     group=_EVENT_DATE,
     listing=tag("div", "rhp-event__info--list"),
+    when=lambda block, group: {"when": inner(group, _EVENT_DATE)},
+    texts=_tagline_texts,
+    links=lambda block, group: {
+        "href": attribute(block, tag(attr='id="eventTitle"'), "href"),
+        "venue": attribute(block, _VENUE_LINK, "title"),
+    },
     date=_tagline_date,
     fields=_tagline_fields,
 )
@@ -163,59 +219,69 @@ TAGLINE = Layout(
 _LONG_DATE = r"(\w+)\s+(\d{1,2}),?\s*(\d{4})?"
 
 
-def _long_date(block: Column, group: Column) -> Column:
-    found = field(block, tag(cls="em-event-date"))
-    month, day = _month_day(found, _LONG_DATE, 1)
-    year = F.nullif(F.regexp_extract(found, _LONG_DATE, 3), F.lit("")).try_cast("int")
+def _long_texts(block: Column, group: Column) -> Texts:
+    heading = inner(block, tag(cls="em-item-title"))
+    return {
+        "title": inner(heading, tag("a")),
+        "venue": inner(inner(block, tag(cls="em-event-location")), tag("a")),
+        "actions": inner(block, tag(cls="em-item-actions")),
+    }
+
+
+def _long_date(t: Texts) -> Column:
+    month, day = _month_day(t["when"], _LONG_DATE, 1)
+    year = F.nullif(F.regexp_extract(t["when"], _LONG_DATE, 3), F.lit("")).try_cast("int")
     nearest = clock.nearest_date(month, day, F.col("week_start"))
     return F.when(year.isNotNull(), clock.calendar_date(year, month, day)).otherwise(nearest)
 
 
-def _long_fields(block: Column, group: Column) -> dict[str, Column]:
-    heading = inner(block, tag(cls="em-item-title"))
-    return {
-        "title": field(heading, tag("a")),
-        "venue": field(inner(block, tag(cls="em-event-location")), tag("a")),
+LONG_DATE = Layout(
+    listing=tag("div", "em-event em-item"),
+    when=lambda block, group: {"when": inner(block, tag(cls="em-event-date"))},
+    texts=_long_texts,
+    links=lambda block, group: {"href": attribute(inner(block, tag(cls="em-item-title")), tag("a"), "href")},
+    date=_long_date,
+    fields=lambda t: {
+        "title": t["title"],
+        "venue": t["venue"],
         "time": F.lit(""),
         "cost": F.lit(""),
-        "url": attribute(heading, tag("a"), "href"),
-        "description": field(block, tag(cls="em-item-actions")),
-    }
-
-
-LONG_DATE = Layout(listing=tag("div", "em-event em-item"), date=_long_date, fields=_long_fields)
+        "url": t["href"],
+        "description": t["actions"],
+    },
+)
 
 # Two unnamed fields in a row: date with time, then venue.
 _FULL_DATE = r"(\w+)\s+(\d{1,2}),?\s+(\d{4})"
 
 
-def _two_texts(block: Column) -> Column:
+def _two_when(block: Column, group: Column) -> Texts:
     found = F.regexp_extract_all(block, F.lit(rf"(?s){tag('p', 'showdatevenue')}(.*?)</p>"), F.lit(2))
-    return F.transform(found, markup.plain)
+    return {"pair": F.array_join(found, SEPARATOR)}
 
 
-def _two_date(block: Column, group: Column) -> Column:
-    texts = _two_texts(block)
-    when = F.get(texts, F.lit(0))
+def _two_date(t: Texts) -> Column:
+    when = F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(1))
     month, day = _month_day(when, _FULL_DATE, 1)
     year = F.regexp_extract(when, _FULL_DATE, 3).try_cast("int")
-    return F.when(F.size(texts) >= 2, clock.calendar_date(year, month, day))
-
-
-def _two_fields(block: Column, group: Column) -> dict[str, Column]:
-    texts = _two_texts(block)
-    title = field(block, tag("h3"))
-    return {
-        "title": title,
-        "venue": F.get(texts, F.lit(1)),
-        "time": F.regexp_extract(F.get(texts, F.lit(0)), r"\d{1,2}:\d{2}\s*[AP]M", 0),
-        "cost": field(block, tag(cls="showprice")),
-        "url": text.first_filled(attribute(block, tag("a", "btn"), "href"), F.lit(fixed.LINKS["html_two_fields"])),
-        "description": title,
-    }
-
-
-TWO_FIELDS = Layout(listing=tag("div", "showblock"), date=_two_date, fields=_two_fields)
+    return F.when(F.contains(t["pair"], F.lit(SEPARATOR)), clock.calendar_date(year, month, day))
+
+
+TWO_FIELDS = Layout(
+    listing=tag("div", "showblock"),
+    when=_two_when,
+    texts=lambda block, group: {"title": inner(block, tag("h3")), "cost": inner(block, tag(cls="showprice"))},
+    links=lambda block, group: {"href": attribute(block, tag("a", "btn"), "href")},
+    date=_two_date,
+    fields=lambda t: {
+        "title": t["title"],
+        "venue": F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(2)),
+        "time": F.regexp_extract(F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(1)), r"\d{1,2}:\d{2}\s*[AP]M", 0),
+        "cost": t["cost"],
+        "url": text.first_filled(t["href"], F.lit(fixed.LINKS["html_two_fields"])),
+        "description": t["title"],
+    },
+)
 
 # Month grid: a day number per cell, the month from the request; cells of other months are left out.
 _DAY = tag(cls="day")
@@ -223,27 +289,30 @@ _DAY = tag(cls="day")
 
 def _in_month_day(cell: Column) -> Column:
     other = F.rlike(cell, F.lit(r"\A" + tag("td", "notmonth")))
-    return ~other & F.rlike(field(cell, _DAY), F.lit(r"\A\d+\z"))
+    return ~other & F.rlike(inner(cell, _DAY), F.lit(r"\A\s*\d+\s*\z"))
 
 
-def _grid_date(block: Column, group: Column) -> Column:
+def _grid_texts(block: Column, group: Column) -> Texts:
+    return {
+        "title": inner(block, tag("a")),
+        "whole": F.split_part(block, F.lit("</li>"), F.lit(1)),
+    }
+
+
+def _grid_date(t: Texts) -> Column:
     context = F.col("context_date")
-    return clock.calendar_date(F.year(context), F.month(context), field(group, _DAY).try_cast("int"))
+    return clock.calendar_date(F.year(context), F.month(context), t["day"].try_cast("int"))
 
 
-def _grid_fields(block: Column, group: Column) -> dict[str, Column]:
-    link = tag("a")
-    name = field(block, link)
-    href = attribute(block, link, "href")
-    whole = F.regexp_replace(F.split_part(block, F.lit("</li>"), F.lit(1)), r"<[^>]*>", "")
-    linked = F.rlike(block, F.lit(link))
+def _grid_fields(t: Texts) -> Texts:
+    linked = F.concat(F.lit(fixed.LINKS["html_month_grid"]), t["href"])
     return {
-        "title": name,
+        "title": t["title"],
         "venue": F.lit(fixed.VENUE_OF_FORMAT["html_month_grid"]),
-        "time": F.regexp_extract(whole, r"\A\s*([\d:]+\s*[AP]M)", 1),
+        "time": F.regexp_extract(t["whole"], r"\A\s*([\d:]+\s*[AP]M)", 1),
         "cost": F.lit(""),
-        "url": F.when(linked, F.concat(F.lit(fixed.LINKS["html_month_grid"]), href)).otherwise(""),
-        "description": name,
+        "url": F.when(t["link"] != "", linked).otherwise(""),
+        "description": t["title"],
     }
 
 
@@ -251,6 +320,12 @@ MONTH_GRID = Layout(
     group=r"<td\b[^>]*>",
     group_counts=_in_month_day,
     listing=tag("li", "anEvent"),
+    when=lambda block, group: {"day": inner(group, _DAY)},
+    texts=_grid_texts,
+    links=lambda block, group: {
+        "href": attribute(block, tag("a"), "href"),
+        "link": F.regexp_extract(block, tag("a"), 1),
+    },
     date=_grid_date,
     fields=_grid_fields,
     quiet_without_listings=True,
@@ -273,8 +348,8 @@ def links(pages: DataFrame, opening: str) -> DataFrame:
     return pages.select("page_id", found).select(
         "page_id",
         "pos",
-        attribute(F.col("block"), link, "href").alias("href"),
-        field(F.col("block"), link).alias("label"),
+        markup.unescape(attribute(F.col("block"), link, "href")).alias("href"),
+        markup.plain(inner(F.col("block"), link)).alias("label"),
     )
 
 
@@ -294,29 +369,29 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     `details` holds url and body, one row per fetched page. The first embedded block that describes
     an event counts. Its texts are escaped twice, hence the extra decoding.
     """
-    cards = payloads.withColumn("_cards", markup.blocks(F.col("body"), _CARD)).select(
-        "source", "week_start", "page", (F.size("_cards") == 0).alias("broken"),
-        F.posexplode_outer("_cards").alias("pos", "card"),
+    cards = payloads.withColumn("_cards", markup.blocks(F.col("body"), _CARD))
+    cards = cards.withColumn("broken", F.size("_cards") == 0).select(
+        "source", "week_start", "page", "broken", F.posexplode_outer("_cards").alias("pos", "card")
     )
-    cards = cards.withColumn("href", attribute(F.col("card"), _CARD_TITLE, "href"))
-    cards = cards.withColumn("label", field(F.col("card"), _CARD_TITLE))
+    cards = cards.withColumn("href", markup.unescape(attribute(F.col("card"), _CARD_TITLE, "href")))
+    cards = cards.withColumn("label", markup.plain(inner(F.col("card"), _CARD_TITLE)))
     found = F.transform(F.regexp_extract_all("body", F.lit(_SCRIPT), F.lit(1)), lambda s: F.from_json(s, _EVENT))
-    described = details.select(
-        F.col("url").alias("href"), F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0)).alias("e")
-    )
-    rows = cards.join(described, ["href"], "left")
+    event = F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0))
+    described = details.select(F.col("url").alias("href"), event.alias("e"))
+    raw = F.array("e.name", "e.location.name", "e.description")
+    rows = cards.join(described, ["href"], "left").withColumn("_plain", F.transform(raw, markup.unescape))
     start = clock.local_part(F.col("e.startDate"))
-    name = markup.unescape(F.col("e.location.name"))
+    name, place, description = (F.get("_plain", F.lit(i)) for i in range(3))
     return parsed(
         rows,
         start.cast("date"),
         F.col("href") != "",
         {
-            "title": markup.unescape(text.first_filled(F.col("e.name"), F.col("label"))),
-            "venue": F.concat_ws(", ", F.nullif(name, F.lit("")), F.nullif(F.col("e.location.address"), F.lit(""))),
+            "title": text.first_filled(name, F.col("label")),
+            "venue": F.concat_ws(", ", F.nullif(place, F.lit("")), F.nullif(F.col("e.location.address"), F.lit(""))),
             "time": clock.display_clock(start),
             "cost": F.lit(""),
             "url": F.col("href"),
-            "description": markup.unescape(F.col("e.description")),
+            "description": description,
         },
     )

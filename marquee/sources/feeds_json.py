@@ -133,17 +133,20 @@ def date_only_json(payloads: DataFrame) -> DataFrame:
     )
     rows = items(payloads, F.from_json("body", schema))
     acf = F.col("item.acf")
+    raw = F.array("item.title.rendered", "item.acf.venue", "item.acf.external_artist")
+    rows = rows.withColumn("_plain", F.transform(raw, markup.unescape))
+    title, venue, artist = (F.get("_plain", F.lit(i)) for i in range(3))
     return parsed(
         rows,
         F.try_to_date(F.substring(acf["date"], 1, 10), "yyyy-MM-dd"),
         F.lit(True),
         {
-            "title": markup.unescape(F.col("item.title.rendered")),
-            "venue": markup.unescape(acf["venue"]),
+            "title": title,
+            "venue": venue,
             "time": F.lit(""),
             "cost": acf["price"],
             "url": text.first_filled(F.col("item.link"), acf["external_link"]),
-            "description": markup.unescape(acf["external_artist"]),
+            "description": artist,
         },
     )
 
