@@ -968,13 +968,13 @@ def check_same_series(t: Tables) -> DataFrame:
     "near_title_dupes",
     _issue_sql(
         "near_titles", "warn", "venue", "n || ' titles differ only by a prefix: ' || bare",
-        """(SELECT 'all' AS week, p_brand AS venue, p_name AS bare, count(DISTINCT CASE WHEN p_retailprice < 1000 THEN p_name ELSE p_brand || ': ' || p_name END) AS n
+        """(SELECT 'all' AS week, p_brand AS venue, p_name AS bare, count(DISTINCT CASE WHEN p_retailprice < 950 THEN p_name ELSE p_brand || ': ' || p_name END) AS n
             FROM part GROUP BY ALL) WHERE n > 1""",
     ),
 )
 def near_title_dupes(t: Tables) -> DataFrame:
     """Parts as listings; the dearer ones carry their brand as a prefix."""
-    name = F.when(F.col("p_retailprice") < 1_000, F.col("p_name")).otherwise(F.concat("p_brand", F.lit(": "), "p_name"))
+    name = F.when(F.col("p_retailprice") < 950, F.col("p_name")).otherwise(F.concat("p_brand", F.lit(": "), "p_name"))
     return quality.near_titles(
         t.table("part").select(F.lit("all").alias("week"), F.col("p_brand").alias("venue"), name.alias("title"))
     )
