@@ -29,7 +29,7 @@ from marquee.operators import (
     usage,
 )
 from marquee.plans.candidates import build_candidates
-from marquee.session import work_path
+from marquee.session import through_table, work_path
 from marquee.sources import extract, feeds_html
 from marquee.sources.week_files import replace_weeks
 from marquee.streaming import jobs, sink
@@ -248,7 +248,7 @@ def out_of_window(t: Tables) -> DataFrame:
 )
 def append_new_picks(t: Tables) -> DataFrame:
     """All log rows against a log that was written up to the middle of the month."""
-    rows = _log_rows(t)
+    rows = through_table(_log_rows(t), "log")
     return picks_log.new_rows(rows, rows.where(F.col("date") < "2024-01-15"))
 
 
@@ -1080,7 +1080,7 @@ def pick_cards(t: Tables) -> DataFrame:
     ["carded"],
 )
 def display_cap(t: Tables) -> DataFrame:
-    return report.category_cards(_flagged(t))
+    return report.category_cards(_listing(t), _merged_picks(t), _merged_mentions(t))
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import category, clock
 from marquee.operators.ranking import tokens
+from marquee.session import through_table
 
 LISTING_PRIORITY = ["src7", "src1", "src2", "src13"]
 OCCURRENCE_PRIORITY = ["s07", "s01", "s20"]
@@ -22,9 +23,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
+        self._judged: DataFrame | None = None
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Listings --------------------------------------------------------------------------------
 
@@ -54,6 +59,11 @@ class Tables:
 
     def occurrence(self) -> DataFrame:
         """Events as listings of many venues over five weeks."""
+        if "occurrence" not in self._tables:
+            self._tables["occurrence"] = self._occurrence()
+        return self._tables["occurrence"]
+
+    def _occurrence(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")
         shown = clock.display_clock(F.col("ts"))
         value = F.col("value")
@@ -104,6 +114,11 @@ class Tables:
 
     def annotation(self) -> DataFrame:
         """Every occurrence but the cheapest views annotated; the dearest clicks twice."""
+        if "annotation" not in self._tables:
+            self._tables["annotation"] = self._annotation()
+        return self._tables["annotation"]
+
+    def _annotation(self) -> DataFrame:
         rows = self._placed(self.occurrence()).where(~((F.col("event_type") == "view") & (F.col("value") < 0.5)))
         note = F.when(F.col("event_type") == "click", "Multiple showtimes").when(
             F.col("event_type") == "view", ""
@@ -117,6 +132,12 @@ class Tables:
         )
 
     def _top_six(self) -> DataFrame:
+        """The six dearest occurrences of each day, kept as a table: judgement comes as stored documents."""
+        if self._judged is None:
+            self._judged = through_table(self._ranked_six(), "judged")
+        return self._judged
+
+    def _ranked_six(self) -> DataFrame:
         best = Window.partitionBy("date").orderBy(F.col("value").desc(), "pos")
         ranked = self.occurrence().withColumn("place", F.row_number().over(best)).where(F.col("place") <= 6)
         return self._placed(ranked)
@@ -314,7 +335,10 @@ class Tables:
             (F.col(c) if c in have else F.lit(None)).cast(t).alias(c)
             for c, t in (("context_date", "date"), ("venue", "string"), ("fallback_url", "string"))
         ]
-        return pages.select("source", "page", "week_start", *extra, body.alias("body"))
+        # Parsing a body costs far more than its bytes say: spread the pages over all reducers.
+        reducers = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = pages.select("source", "page", "week_start", *extra, body.alias("body"))
+        return rows.repartition(reducers, "week_start", "page")
 
     def object_payloads(self) -> DataFrame:
         """Pages of a JSON object feed; every view is listed again on the page after its own."""

@@ -87,14 +87,14 @@ def fold_series(collapsed: DataFrame) -> DataFrame:
     The row gains `occurrences` and `recurrence_count`; rows of shorter runs pass through. Input must
     be collapsed: then a series has one row per date, so its window holds at most a week of rows.
     """
-    series = Window.partitionBy(*SERIES)
-    by_date = series.orderBy("date", "stem", "pos")
-    first = F.min(F.struct("stem", "pos")).over(series)
-    rows = (
-        collapsed.withColumn("_dates", F.sort_array(F.collect_set("date").over(series)))
-        .withColumn("_first", first)
-        .withColumn("_nth", F.row_number().over(by_date))
-    )
+    by_date = Window.partitionBy(*SERIES).orderBy("date", "stem", "pos")
+    # The same order for all three, so that one sort serves them.
+    whole = by_date.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = collapsed.withColumns({
+        "_dates": F.sort_array(F.collect_set("date").over(whole)),
+        "_first": F.min(F.struct("stem", "pos")).over(whole),
+        "_nth": F.row_number().over(by_date),
+    })
     recurring = F.size("_dates") >= fixed.RECURRING_DATES
     return (
         rows.where(~recurring | (F.col("_nth") == 1))

@@ -28,11 +28,17 @@ def latest_annotations(annotations: DataFrame) -> DataFrame:
 
 
 def resolve(refs: DataFrame, candidates: DataFrame, annotations: DataFrame) -> DataFrame:
-    """Judgement rows with their candidate `c` and annotation `a`, both NULL when there is none."""
-    found = candidates.select(
+    """Judgement rows with their candidate `c` and annotation `a`, both NULL when there is none.
+
+    Judgement rows are few. Candidates and annotations are cut down to the ids they name first: a
+    semi join against a small side is a broadcast, so the large tables are scanned but not shuffled.
+    """
+    named = candidates.join(refs.select("week", "id").distinct(), ["week", "id"], "left_semi")
+    found = named.select(
         "week", "id", F.struct(*[F.col(c) for c in CANDIDATE if c not in ("week", "id")]).alias("c")
     )
-    noted = latest_annotations(annotations).select(
+    judged = annotations.join(refs.select("week", "day", "id").distinct(), ["week", "day", "id"], "left_semi")
+    noted = latest_annotations(judged).select(
         "week", "day", "id", F.struct("category", "sold_out", "note").alias("a")
     )
     return refs.join(found, ["week", "id"], "left").join(noted, ["week", "day", "id"], "left")

@@ -39,8 +39,13 @@ def log_rows(picks: DataFrame, mentions: DataFrame, lookup: DataFrame, city: str
 
 
 def new_rows(rows: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows whose (week_of, title) the log does not hold yet; log keys are made distinct first."""
-    return rows.join(log.select(*LOG_KEY).distinct(), LOG_KEY, "left_anti")
+    """Rows whose (week_of, title) the log does not hold yet.
+
+    The log is cut down to the keys at hand before its keys are made distinct: few new rows are
+    broadcast to the log's scan, and the log is not shuffled.
+    """
+    held = log.select(*LOG_KEY).join(rows.select(*LOG_KEY).distinct(), LOG_KEY, "left_semi").distinct()
+    return rows.join(held, LOG_KEY, "left_anti")
 
 
 def update_attendance(log: DataFrame, titles: DataFrame, week_of: str, city: str = fixed.CITY) -> DataFrame:

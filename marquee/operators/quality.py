@@ -211,9 +211,10 @@ def same_series(picks: DataFrame) -> DataFrame:
 
 def star_resolves(picks: DataFrame, listing: DataFrame) -> DataFrame:
     """Picks whose title is not in their day's listing word for word."""
-    titles = listing.select("week", "day", "title").distinct()
+    key = ["week", "day", "title"]
+    titles = listing.select(*key).join(picks.select(*key).distinct(), key, "left_semi").distinct()
     return issues(
-        picks.join(titles, ["week", "day", "title"], "left_anti"),
+        picks.join(titles, key, "left_anti"),
         "star_resolves",
         "warn",
         F.col("title"),

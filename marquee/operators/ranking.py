@@ -39,13 +39,12 @@ def interest_tags(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> D
 def category_vote(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> DataFrame:
     """The category with the most word hits in a text; the earlier category wins a tie."""
     words = docs.select(key, F.explode(tokens(F.col(body))).alias("term"))
-    counted = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
     terms = lexicon.groupBy("term").agg(F.collect_set("category").alias("categories"))
     votes = (
-        salted_lookup(counted, terms, ["term"], [key], "inner")
-        .select(key, "n", F.explode("categories").alias("category"))
+        salted_lookup(words, terms, ["term"], [key], "inner")
+        .select(key, F.explode("categories").alias("category"))
         .groupBy(key, "category")
-        .agg(F.sum("n").alias("votes"))
+        .agg(F.count(F.lit(1)).alias("votes"))
     )
     best = F.max(F.struct("votes", (-category.display_order(F.col("category"))).alias("_o"), "category"))
     return votes.groupBy(key).agg(best.alias("b")).select(key, "b.category", "b.votes")
@@ -111,14 +110,17 @@ def _card_order() -> Window:
     )
 
 
-def display_cap(flagged: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY) -> DataFrame:
+def display_cap(
+    listing: DataFrame, picks: DataFrame, mentions: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY
+) -> DataFrame:
     """First `cap` rows per day and category with the true row count beside them.
 
-    The count is its own aggregate: a second window function would stop the early top-k cut.
+    The count is its own aggregate on the plain listing: a second window function would stop the
+    early top-k cut, and the flags are not needed to count.
     """
-    counts = flagged.groupBy("week", "day", "category").agg(F.count(F.lit(1)).alias("true_count"))
-    shown = flagged.withColumn("card", F.row_number().over(_card_order())).where(F.col("card") <= cap)
-    return shown.join(counts, ["week", "day", "category"])
+    counts = listing.groupBy("week", "day", "category").agg(F.count(F.lit(1)).alias("true_count"))
+    ranked = flag_chosen(listing, picks, mentions).withColumn("card", F.row_number().over(_card_order()))
+    return ranked.where(F.col("card") <= cap).join(counts, ["week", "day", "category"])
 
 
 def annotation_cap(flagged: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY) -> DataFrame:

@@ -71,9 +71,11 @@ def pick_cards(picks: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
-def category_cards(flagged: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY) -> DataFrame:
+def category_cards(
+    listing: DataFrame, picks: DataFrame, mentions: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY
+) -> DataFrame:
     """Displayed cards per day and category with the category's true count."""
-    return display_cap(flagged, cap).select(
+    return display_cap(listing, picks, mentions, cap).select(
         "week",
         "day",
         "category",

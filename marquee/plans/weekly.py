@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import fixed
-from marquee.operators import collection, merge, picks_log, quality, ranking, report
+from marquee.operators import collection, merge, picks_log, quality, report
+from marquee.session import through_table
 from marquee.sources import extract
 from marquee.sources.week_files import reject, replace_weeks
 
@@ -53,23 +54,25 @@ def stop_on_failures(issues: DataFrame) -> None:
 def merge_selection(
     candidates: DataFrame, annotations: DataFrame, picks: DataFrame, mentions: DataFrame
 ) -> Selection:
-    """Merge judgement onto candidates; any row that does not resolve stops the run before a write."""
+    """Merge judgement onto candidates; any row that does not resolve stops the run before a write.
+
+    The merged tables are written once to the shared folder: every report table starts from them.
+    """
     stop_on_failures(merge.violations(candidates, annotations, picks, mentions))
     return Selection(
-        merge.merge_picks(picks, candidates, annotations),
-        merge.merge_mentions(mentions, candidates, annotations),
-        merge.merge_events(candidates, annotations),
+        through_table(merge.merge_picks(picks, candidates, annotations), "picks"),
+        through_table(merge.merge_mentions(mentions, candidates, annotations), "mentions"),
+        through_table(merge.merge_events(candidates, annotations), "listing"),
     )
 
 
 def write_report(selection: Selection, lookup: DataFrame, path: str) -> None:
     """Report tables by week; re-running a week replaces it."""
-    flagged = ranking.flag_chosen(selection.listing, selection.picks, selection.mentions)
     tables = {
         "pages": report.day_pages(selection.picks, selection.mentions, selection.listing),
         "mention_lines": report.mention_line(selection.mentions),
         "pick_cards": report.pick_cards(selection.picks, lookup),
-        "category_cards": report.category_cards(flagged),
+        "category_cards": report.category_cards(selection.listing, selection.picks, selection.mentions),
         "calendar": report.calendar_rows(selection.picks),
     }
     for name, df in tables.items():

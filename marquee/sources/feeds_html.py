@@ -74,7 +74,9 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
     named = {}
     for kind, (select, decode) in kinds.items():
         raw = select(F.col("item"), F.col("group"))
-        cut = cut.withColumn(kind, F.transform(F.array(*raw.values(), F.lit("")), decode))
+        texts = F.transform(F.array(*raw.values(), F.lit("")), decode)
+        # Filters do not move below a generator: the date's texts are cut once, not once per use.
+        cut = cut.select("*", F.explode_outer(F.array(texts)).alias(kind)) if kind == "_when" else cut.withColumn(kind, texts)
         named |= {name: F.get(kind, F.lit(i)) for i, name in enumerate(raw)}
     fields = layout.fields(named)
     return parsed(cut, layout.date(named), fields["title"].isNotNull(), fields)

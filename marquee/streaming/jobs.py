@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import usage
-from marquee.operators.picks_log import LOG_KEY
+from marquee.operators.picks_log import new_rows
 from marquee.sources import extract
 from marquee.streaming import sink
 
@@ -43,8 +43,7 @@ def log_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Log rows appended unless an earlier batch holds their key; a repeated batch gives the same rows."""
 
     def new(batch: DataFrame, batch_id: int) -> DataFrame:
-        held = sink.read(batch.sparkSession, path, before=batch_id).select(*LOG_KEY).distinct()
-        return batch.join(held, LOG_KEY, "left_anti")
+        return new_rows(batch, sink.read(batch.sparkSession, path, before=batch_id))
 
     return sink.run(rows, path, checkpoint, new)
 

@@ -127,20 +127,20 @@ def test_numbering_against_brute_force(spark):
         assert {(r.b, r.o): r.n for r in got if r.g == group} == {k: i for i, k in enumerate(ordered)}
 
 
-def flagged(tables, n=14, pick_id=13, mention_id=12, sold_out=False):
+def merged(tables, n=14, pick_id=13, mention_id=12, sold_out=False):
     c, a, p, m = tables(
         [candidate(i, time=f"{1 + i % 11}:00 PM" if i else "") for i in range(n)],
         [note(i, sold_out=sold_out) for i in range(n)],
         [pick(pick_id)],
         [(WEEK, DAY, 1, f"c{mention_id:04d}")],
     )
-    return ranking.flag_chosen(merge.listing_rows(c, a), merge.merge_picks(p, c, a), merge.merge_mentions(m, c, a))
+    return merge.listing_rows(c, a), merge.merge_picks(p, c, a), merge.merge_mentions(m, c, a)
 
 
 @pytest.mark.parametrize("sold_out", [False, True])
 def test_display_cap_keeps_chosen_rows_first(tables, sold_out):
     """A mention is found by id, so its sold-out suffix does not cost it its place."""
-    shown = ranking.display_cap(flagged(tables, sold_out=sold_out)).orderBy("card").collect()
+    shown = ranking.display_cap(*merged(tables, sold_out=sold_out)).orderBy("card").collect()
     assert len(shown) == 10
     assert [r.id for r in shown[:2]] == ["c0013", "c0012"]
     assert {r.true_count for r in shown} == {14}
@@ -151,12 +151,12 @@ def test_annotation_cap_never_drops_a_chosen_row(tables):
     c, a, p, m = tables([candidate(i, "Same") for i in range(15)], [note(i) for i in range(15)], [pick(14)], [])
     rows = ranking.flag_chosen(merge.listing_rows(c, a), merge.merge_picks(p, c, a), merge.merge_mentions(m, c, a))
     assert ranking.annotation_cap(rows).count() == 15
-    other = flagged(tables)
+    other = ranking.flag_chosen(*merged(tables))
     assert ranking.annotation_cap(other).count() == 10
 
 
 def test_caps_cut_before_the_shuffle(tables):
-    plan = ranking.display_cap(flagged(tables))._jdf.queryExecution().executedPlan().toString()
+    plan = ranking.display_cap(*merged(tables))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert "CartesianProduct" not in plan
 
