@@ -81,7 +81,7 @@ _FOLDED = """
                      min((stem, pos)) AS first_row, min(date) AS first_date
               FROM collapsed GROUP BY week, title, venue),
     folded AS (
-      SELECT c.*, CASE WHEN n_dates >= 3 THEN dates END AS occurrences, CASE WHEN n_dates >= 3 THEN n_dates END AS recurrence_count,
+      SELECT c.*, CASE WHEN n_dates >= 3 THEN dates END AS occurrences, CASE WHEN n_dates >= 3 THEN CAST(n_dates AS INT) END AS recurrence_count,
              first_row[1] AS series_stem, first_row[2] AS series_pos
       FROM collapsed c JOIN spans s USING (week, title, venue) WHERE n_dates < 3 OR c.date = first_date)"""
 
@@ -546,7 +546,7 @@ def extract_status(t: Tables) -> DataFrame:
     "flag_challenge_pages",
     """
     SELECT page_id, regexp_matches(lower(html), 'checking your browser|just a moment|please wait while we verify|performing security verification') AS challenged,
-           length(html) AS chars FROM pages""",
+           CAST(length(html) AS INT) AS chars FROM pages""",
 )
 def flag_challenge_pages(t: Tables) -> DataFrame:
     return t.table("pages").select(
@@ -1073,7 +1073,7 @@ def pick_cards(t: Tables) -> DataFrame:
 @query(
     "display_cap",
     f"""
-    SELECT week, day, category, card, id, title, is_pick AS starred, note, venue, {_shown_time('time', 'note')} AS time_display,
+    SELECT week, day, category, CAST(card AS INT) AS card, id, title, is_pick AS starred, note, venue, {_shown_time('time', 'note')} AS time_display,
            CASE WHEN sold_out THEN 'sold-out' WHEN lower({S.unwrap('cost')}) IN ('free', 'no cover') THEN 'price-free' ELSE 'price-paid' END AS price_class,
            CASE WHEN sold_out THEN 'SOLD OUT' ELSE {S.unwrap('cost')} END AS price_text, true_count
     FROM carded WHERE card <= 10""",
@@ -1261,18 +1261,64 @@ def _scored(t: Tables) -> DataFrame:
     WITH s AS ({_SCORED}),
     v AS (SELECT *, row_number() OVER (PARTITION BY week, venue_key ORDER BY {_PRECEDENCE}) AS nth FROM s),
     d AS (SELECT *, row_number() OVER (PARTITION BY week, day ORDER BY {_PRECEDENCE}) AS place FROM v WHERE nth <= 2)
-    SELECT week, day, place, CASE WHEN place <= 3 THEN 'pick' ELSE 'mention' END AS kind, id, venue_key FROM d WHERE place <= 6""",
+    SELECT week, day, CAST(place AS INT) AS place, CASE WHEN place <= 3 THEN 'pick' ELSE 'mention' END AS kind, id, venue_key FROM d WHERE place <= 6""",
     ["occurrence"],
 )
 def top3_per_day(t: Tables) -> DataFrame:
     return ranking.daily_picks(_scored(t)).select("week", "day", "place", "kind", "id", "venue_key")
 
 
+def _listed_documents(t: Tables) -> DataFrame:
+    """Listings as candidates, one in three languages at an elevated venue."""
+    venue = F.when(F.col("venue") == "fr", "Iffy Books, back room").otherwise(F.concat("venue", F.lit(" hall, main room")))
+    return t.listing().select(
+        "week", "date", F.concat(F.lit("d"), "pos").alias("id"), F.col("pos").alias("ord"), "title", "description", venue.alias("venue"),
+        F.when(F.col("source") == "src6", "No cover").otherwise(F.col("cost")).alias("cost"), "url", "source",
+        F.when(F.col("source") == "src8", fixed.CATEGORIES[3][0]).otherwise(fixed.CATEGORIES[0][0]).alias("category"),
+        F.when(F.col("source") == "src11", 3).alias("recurrence_count"),
+    )
+
+
+_SCORED_DOCUMENTS = """
+    WITH hits AS (SELECT DISTINCT l.pos, b.item_id % 14 AS i
+                  FROM (SELECT pos, unnest(regexp_extract_all(lower(title || ' ' || description), '[\\pL\\pN]+')) AS term FROM listing) l
+                  JOIN bench_words b USING (term)),
+    t AS (SELECT pos, min(i % 3 + 1) AS tier, count(*) AS overlap FROM hits GROUP BY pos),
+    scored AS (
+      SELECT week, date AS day, 'd' || l.pos AS id, l.pos AS ord, CASE WHEN venue = 'fr' THEN 'iffy books' ELSE venue || ' hall' END AS venue_key,
+             CAST(coalesce(tier, 4) AS INT) AS tier, source <> 'src0' AS easy_to_miss, source = 'src8' AS community,
+             CAST(coalesce(overlap, 0) AS INT) AS overlap, source = 'src6' AS free, source = 'src11' AS recurring, venue = 'fr' AS elevated,
+             CASE WHEN url = '' THEN '*(confirm details)*' END AS unconfirmed
+      FROM listing l LEFT JOIN t ON t.pos = l.pos)"""
+
+
+def _scored_documents(t: Tables) -> DataFrame:
+    return ranking.score_candidates(_listed_documents(t), t.interest_lexicon(), ["src0"])
+
+
+@query("scored_candidates", _SCORED_DOCUMENTS + " SELECT * FROM scored", ["listing", "bench_words"])
+def scored_candidates(t: Tables) -> DataFrame:
+    return _scored_documents(t)
+
+
+@query(
+    "picks_from_scores",
+    _SCORED_DOCUMENTS
+    + f""",
+    v AS (SELECT *, row_number() OVER (PARTITION BY week, venue_key ORDER BY {_PRECEDENCE}) AS nth FROM scored),
+    d AS (SELECT *, row_number() OVER (PARTITION BY week, day ORDER BY {_PRECEDENCE}) AS place FROM v WHERE nth <= 2)
+    SELECT week, day, CAST(place AS INT) AS place, id, venue_key, unconfirmed FROM d WHERE place <= 6""",
+    ["listing", "bench_words"],
+)
+def picks_from_scores(t: Tables) -> DataFrame:
+    return ranking.daily_picks(_scored_documents(t)).select("week", "day", "place", "id", "venue_key", "unconfirmed")
+
+
 @query(
     "interest_tags",
     """
     SELECT doc_id, string_agg(DISTINCT printf('i%02d', item_id % 14), ',' ORDER BY printf('i%02d', item_id % 14)) AS interests,
-           count(DISTINCT item_id % 14) AS overlap
+           CAST(count(DISTINCT item_id % 14) AS INT) AS overlap
     FROM words JOIN bench_words USING (term) GROUP BY doc_id""",
     ["words", "bench_words"],
 )

@@ -281,6 +281,7 @@ class Tables:
         return self.table("benchmark").select(
             F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"),
             F.format_string("i%02d", F.col("item_id") % 14).alias("interest"),
+            (F.col("item_id") % 14 % 3 + 1).cast("int").alias("tier"),
         ).distinct()
 
     def category_lexicon(self) -> DataFrame:

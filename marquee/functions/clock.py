@@ -18,7 +18,7 @@ def target_monday(day: Column) -> Column:
 
 def week_of(day: Column) -> Column:
     """The Monday on or before a date."""
-    return F.to_date(F.date_trunc("week", day))
+    return F.next_day(F.date_sub(day, 7), "MO")
 
 
 def week_days(monday: Column) -> Column:

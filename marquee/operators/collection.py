@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import clock
 
 
+def registry(spark: SparkSession) -> DataFrame:
+    """Every collected source with its display name and payload format."""
+    return spark.createDataFrame(fixed.SOURCES, "source STRING, name STRING, format STRING")
+
+
+def yield_floors(spark: SparkSession) -> DataFrame:
+    """The known smallest weekly yields."""
+    return spark.createDataFrame(list(fixed.YIELD_FLOORS.items()), "source STRING, min_expected BIGINT")
+
+
 def fetch_rollup(fetches: DataFrame, cap: int = fixed.FETCH_PAGES) -> DataFrame:
     """One result per (week, source) from its page requests.
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import fixed
+
 SALTS = 16
 
 
@@ -24,3 +26,8 @@ def salted_lookup(
 def venue_address(rows: DataFrame, addresses: DataFrame, spread: list[str]) -> DataFrame:
     """Rows with the street address of their venue, NULL where it is not known."""
     return salted_lookup(rows, addresses.select("venue", "address"), ["venue"], spread)
+
+
+def known_addresses(spark: SparkSession) -> DataFrame:
+    """Street addresses of venues without a feed of their own."""
+    return spark.createDataFrame(list(fixed.VENUE_ADDRESSES.items()), "venue STRING, address STRING")

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee import fixed
-from marquee.functions import category, text
+from marquee.functions import category, money, text
 from marquee.operators.lookup import salted_lookup
 
 
+# Tier of a candidate that touches no interest, and the mark of one without a link.
+UNTOUCHED_TIER = 4
+UNCONFIRMED = "*(confirm details)*"
+
+
 def interest_lexicon(spark: SparkSession) -> DataFrame:
     rows = [(term, name, tier) for name, tier, terms in fixed.INTERESTS for term in terms]
     return spark.createDataFrame(rows, "term STRING, interest STRING, tier INT")
@@ -54,6 +59,43 @@ def is_elevated(venue: Column) -> Column:
     return F.split_part(text.text_or_empty(venue), F.lit(","), F.lit(1)).isin(fixed.ELEVATED_VENUES)
 
 
+def interest_tiers(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> DataFrame:
+    """Best interest tier of a text and how many interests it touches."""
+    words = docs.select(key, F.explode(F.array_distinct(tokens(F.col(body)))).alias("term"))
+    terms = lexicon.groupBy("term").agg(F.min("tier").alias("tier"), F.collect_set("interest").alias("interests"))
+    hits = salted_lookup(words, terms, ["term"], [key], "inner")
+    return hits.groupBy(key).agg(
+        F.min("tier").alias("tier"), F.size(F.array_distinct(F.flatten(F.collect_set("interests")))).alias("overlap")
+    )
+
+
+def score_candidates(candidates: DataFrame, lexicon: DataFrame, aggregators: list[str]) -> DataFrame:
+    """Candidates with the sort keys of `daily_picks`, one column per rule.
+
+    Easy to miss is what no aggregator carries. A listing without a link stays and is marked as
+    unconfirmed. Nothing is summed: the rules only order.
+    """
+    community = fixed.CATEGORIES[3][0]
+    body = F.concat_ws(" ", "title", "description")
+    rows = candidates.withColumn("_text", body).withColumn("_key", F.concat_ws("/", F.col("week").cast("string"), "id"))
+    tiers = interest_tiers(rows, lexicon, "_key", "_text")
+    return rows.join(tiers, ["_key"], "left").select(
+        "week",
+        F.col("date").alias("day"),
+        "id",
+        "ord",
+        text.venue_key(F.lit(""), F.col("venue")).alias("venue_key"),
+        F.coalesce("tier", F.lit(UNTOUCHED_TIER)).alias("tier"),
+        (~F.col("source").isin(aggregators)).alias("easy_to_miss"),
+        F.coalesce(F.col("category") == community, F.lit(False)).alias("community"),
+        F.coalesce("overlap", F.lit(0)).alias("overlap"),
+        money.is_free(F.col("cost")).alias("free"),
+        F.col("recurrence_count").isNotNull().alias("recurring"),
+        is_elevated(F.col("venue")).alias("elevated"),
+        F.when(~text.filled(F.col("url")), UNCONFIRMED).alias("unconfirmed"),
+    )
+
+
 def precedence() -> list[Column]:
     """Interest tier, then easy to miss, community, overlap, free, one-off, elevated venue, arrival."""
     return [

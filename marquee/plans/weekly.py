@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import fixed
@@ -87,3 +87,14 @@ def log_selection(selection: Selection, lookup: DataFrame, log: DataFrame, city:
 def fetch_plan(registry: DataFrame, results: DataFrame) -> DataFrame:
     """What a repeated run still has to fetch."""
     return collection.resume_plan(registry, results)
+
+
+def record_attendance(spark: SparkSession, log_path: str, titles: DataFrame, week_of: str, city: str = fixed.CITY) -> None:
+    """Set `attended` in one week of a log table partitioned by week_of; other weeks are not touched.
+
+    The updated week is written aside first, because a table cannot be read and replaced at once.
+    """
+    week = spark.read.parquet(log_path).where(F.col("week_of").cast("string") == week_of)
+    week = week.withColumn("week_of", F.col("week_of").cast("string"))
+    updated = through_table(picks_log.update_attendance(week, titles, week_of, city), "attendance")
+    updated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week_of").parquet(log_path)

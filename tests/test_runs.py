@@ -237,6 +237,23 @@ def test_attendance_changes_one_city_and_week(spark):
     }
 
 
+def test_attendance_rewrites_one_week_of_the_log_table(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [("Philadelphia", w, "Monday", w, t, "v", "music", "s", "1", "low", "", "", "") for w in (DAY, "2026-07-13") for t in ("A", "B")]
+    spark.createDataFrame(rows, schemas.PICKS_LOG).write.partitionBy("week_of").parquet(path)
+    weekly.record_attendance(spark, path, spark.createDataFrame([("A",)], "title STRING"), DAY)
+    got = sorted((str(r.week_of), r.title, r.attended) for r in spark.read.parquet(path).collect())
+    assert got == [("2026-07-13", "A", ""), ("2026-07-13", "B", ""), (DAY, "A", "true"), (DAY, "B", "false")]
+
+
+def test_fixed_tables(spark):
+    assert collection.registry(spark).count() == 23
+    assert collection.yield_floors(spark).where("source = 'wxpn'").first().min_expected == 15
+    rows = spark.createDataFrame([("Ruba Club",), ("Nowhere",)], "venue STRING")
+    got = {r.venue: r.address for r in lookup.venue_address(rows, lookup.known_addresses(spark), ["venue"]).collect()}
+    assert got == {"Ruba Club": "416 Green St, Philadelphia, PA 19123", "Nowhere": None}
+
+
 def test_log_normalisation(spark):
     log = spark.createDataFrame([("hm", "TRUE "), ("HM", "punk"), ("1", "")], "rank STRING, attended STRING")
     assert sorted(tuple(r) for r in picks_log.normalise(log).collect()) == [("1", ""), ("HM", ""), ("HM", "true")]
