@@ -44,12 +44,24 @@ FETCH_PAGES = 6
 BODY_CHARS = 200_000
 TRUNCATION_MARK = "\n\n[... truncated at {n} chars ...]"
 SERIES_SEPARATORS = [":", " - ", "—"]
-SINGLE_CLOCK = r"^\d{1,2}:\d{2} [AP]M$"
 VARIOUS_TIMES = "Various"
 MULTIPLE_SHOWTIMES = "multiple showtimes"
 ONLINE_ANY = "(online)"
 ONLINE_SEE_DESCRIPTION = "(online / see description)"
 
+# Patterns of dates, times, prices and name separators.
+SINGLE_CLOCK = r"^\d{1,2}:\d{2} [AP]M$"
+DOLLARS = r"\$(\d+(?:\.\d+)?)"
+ACT_SEPARATORS = r"(?i)\s*(?:,| & | and | w/ | with | — | – | - )\s*"
+DATE_AT_TIME = r"(?i)([a-z]+)\s+(\d{1,2}),\s*(\d{4})\s*@\s*(\d{1,2}):(\d{2})\s*(am|pm)"
+WEEKDAY_DATE = r"\w{3},?\s+(\w{3})\s+(\d{1,2})"
+LONG_DATE = r"(\w+)\s+(\d{1,2}),?\s*(\d{4})?"
+FULL_DATE = r"(\w+)\s+(\d{1,2}),?\s+(\d{4})"
+TIME_IN_TEXT = r"\d{1,2}:\d{2}\s*[AP]M"
+TIME_AT_START = r"\A\s*([\d:]+\s*[AP]M)"
+SHOW_TIME = r"\b(\d{1,2}):(\d{2})([ap])\b"
+NEARBY_LINE = "\nNEARBY THEATERS"
+
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 # Text shown while a page is still behind a bot check.

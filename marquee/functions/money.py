@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from marquee import fixed
 from marquee.functions import text
 
-DOLLARS = r"\$(\d+(?:\.\d+)?)"
-
 
 def is_free(cost: Column) -> Column:
     return F.lower(text.unwrap_placeholder(cost)).isin(fixed.FREE_WORDS)
@@ -17,7 +15,7 @@ def is_free(cost: Column) -> Column:
 
 def dollars(cost: Column) -> Column:
     """The first $ amount in a cost text. A thousands comma ends the number, so $1,000 reads as 1."""
-    return F.nullif(F.regexp_extract(text.text_or_empty(cost), DOLLARS, 1), F.lit("")).try_cast("double")
+    return F.nullif(F.regexp_extract(text.text_or_empty(cost), fixed.DOLLARS, 1), F.lit("")).try_cast("double")
 
 
 def price_tier(cost: Column, sold_out: Column) -> Column:

@@ -98,13 +98,12 @@ def series_prefix(title: Column) -> Column:
 
 def headliner_names(title: Column) -> Column:
     """Names to look up for a title, most specific first: the title, then the head of each side of a colon."""
-    acts = r"(?i)\s*(?:,| & | and | w/ | with | — | – | - )\s*"
     t = strip(title)
     colon = F.instr(t, ":")
     before = strip(F.substr(t, F.lit(1), colon - 1))
     after = strip(F.substr(t, colon + 1))
     sides = F.when(colon > 0, F.array(before, after)).otherwise(F.array(t))
-    heads = F.transform(sides, lambda s: strip(F.get(F.split(s, acts, 2), F.lit(0))))
+    heads = F.transform(sides, lambda s: strip(F.get(F.split(s, fixed.ACT_SEPARATORS, 2), F.lit(0))))
     return F.array_distinct(F.concat(F.array(t), F.filter(heads, lambda h: h != "")))
 
 

@@ -2,7 +2,7 @@
 
 A layout names the opening tag of one listing and, where a date covers several listings, the opening
 tag of that group. Fields are regular expressions on the listing's markup, so the whole parse stays
-in JVM string functions.
+in JVM string functions. Tag, class and attribute names are fixed values of the pages.
 """
 
 from __future__ import annotations
@@ -124,7 +124,6 @@ DATED = Layout(
 )
 
 # Month name, day, year and a loosely spaced 12-hour time in one paragraph.
-_LOOSE = r"(?i)([a-z]+)\s+(\d{1,2}),\s*(\d{4})\s*@\s*(\d{1,2}):(\d{2})\s*(am|pm)"
 
 
 def _blocks_texts(block: Column, group: Column) -> Texts:
@@ -138,12 +137,12 @@ def _blocks_texts(block: Column, group: Column) -> Texts:
 
 
 def _blocks_date(t: Texts) -> Column:
-    month, day = _month_day(t["when"], _LOOSE, 1)
-    return clock.calendar_date(F.regexp_extract(t["when"], _LOOSE, 3).try_cast("int"), month, day)
+    month, day = _month_day(t["when"], fixed.DATE_AT_TIME, 1)
+    return clock.calendar_date(F.regexp_extract(t["when"], fixed.DATE_AT_TIME, 3).try_cast("int"), month, day)
 
 
 def _blocks_fields(t: Texts) -> Texts:
-    hour, minute, half = (F.regexp_extract(t["when"], _LOOSE, i) for i in (4, 5, 6))
+    hour, minute, half = (F.regexp_extract(t["when"], fixed.DATE_AT_TIME, i) for i in (4, 5, 6))
     late = F.when(F.lower(half) == "pm", 720).otherwise(0)
     minutes = hour.try_cast("int") % 12 * 60 + minute.try_cast("int") + late
     return {
@@ -168,7 +167,6 @@ BLOCKS = Layout(
 )
 
 # A date element without a year stands before the listing it dates.
-_WEEKDAY_DATE = r"\w{3},?\s+(\w{3})\s+(\d{1,2})"
 _EVENT_DATE = tag(attr='id="eventDate"')
 
 
@@ -186,7 +184,7 @@ def _tagline_texts(block: Column, group: Column) -> Texts:
 
 
 def _tagline_date(t: Texts) -> Column:
-    month, day = _month_day(t["when"], _WEEKDAY_DATE, 1)
+    month, day = _month_day(t["when"], fixed.WEEKDAY_DATE, 1)
     return clock.nearest_date(month, day, F.col("week_start"))
 
 
@@ -218,7 +216,6 @@ TAGLINE = Layout(
 )
 
 # Long dates whose year may be missing.
-_LONG_DATE = r"(\w+)\s+(\d{1,2}),?\s*(\d{4})?"
 
 
 def _long_texts(block: Column, group: Column) -> Texts:
@@ -231,8 +228,8 @@ def _long_texts(block: Column, group: Column) -> Texts:
 
 
 def _long_date(t: Texts) -> Column:
-    month, day = _month_day(t["when"], _LONG_DATE, 1)
-    year = F.nullif(F.regexp_extract(t["when"], _LONG_DATE, 3), F.lit("")).try_cast("int")
+    month, day = _month_day(t["when"], fixed.LONG_DATE, 1)
+    year = F.nullif(F.regexp_extract(t["when"], fixed.LONG_DATE, 3), F.lit("")).try_cast("int")
     nearest = clock.nearest_date(month, day, F.col("week_start"))
     return F.when(year.isNotNull(), clock.calendar_date(year, month, day)).otherwise(nearest)
 
@@ -254,7 +251,6 @@ LONG_DATE = Layout(
 )
 
 # Two unnamed fields in a row: date with time, then venue.
-_FULL_DATE = r"(\w+)\s+(\d{1,2}),?\s+(\d{4})"
 
 
 def _two_when(block: Column, group: Column) -> Texts:
@@ -264,8 +260,8 @@ def _two_when(block: Column, group: Column) -> Texts:
 
 def _two_date(t: Texts) -> Column:
     when = F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(1))
-    month, day = _month_day(when, _FULL_DATE, 1)
-    year = F.regexp_extract(when, _FULL_DATE, 3).try_cast("int")
+    month, day = _month_day(when, fixed.FULL_DATE, 1)
+    year = F.regexp_extract(when, fixed.FULL_DATE, 3).try_cast("int")
     return F.when(F.contains(t["pair"], F.lit(SEPARATOR)), clock.calendar_date(year, month, day))
 
 
@@ -278,7 +274,7 @@ TWO_FIELDS = Layout(
     fields=lambda t: {
         "title": t["title"],
         "venue": F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(2)),
-        "time": F.regexp_extract(F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(1)), r"\d{1,2}:\d{2}\s*[AP]M", 0),
+        "time": F.regexp_extract(F.split_part(t["pair"], F.lit(SEPARATOR), F.lit(1)), fixed.TIME_IN_TEXT, 0),
         "cost": t["cost"],
         "url": text.first_filled(t["href"], F.lit(fixed.LINKS["html_two_fields"])),
         "description": t["title"],
@@ -311,7 +307,7 @@ def _grid_fields(t: Texts) -> Texts:
     return {
         "title": t["title"],
         "venue": F.lit(fixed.VENUE_OF_FORMAT["html_month_grid"]),
-        "time": F.regexp_extract(t["whole"], r"\A\s*([\d:]+\s*[AP]M)", 1),
+        "time": F.regexp_extract(t["whole"], fixed.TIME_AT_START, 1),
         "cost": F.lit(""),
         "url": F.when(t["link"] != "", linked).otherwise(""),
         "description": t["title"],

@@ -5,27 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee import fixed
 from marquee.functions import clock
 from marquee.sources.feeds_json import items, parsed
 
 _HEAD = r"([^\n]+)\n\nRated:\n"
 _FILM = rf"\A{_HEAD}([^\n]*)\nRuntime:\n([^\n]+)\n\n"
-_CLOCK = r"\b(\d{1,2}):(\d{2})([ap])\b"
-_END = "\nNEARBY THEATERS"
 
 
 def films(body: Column) -> Column:
     """Text blocks that each start at a film's title line."""
     pieces = F.split(F.concat(F.lit("\n"), body), rf"\n(?={_HEAD})")
     return F.transform(
-        F.slice(pieces, 2, F.size(pieces)), lambda p: F.substring_index(p, _END, 1)
+        F.slice(pieces, 2, F.size(pieces)), lambda p: F.substring_index(p, fixed.NEARBY_LINE, 1)
     )
 
 
 def show_time(found: Column) -> Column:
-    hour = F.regexp_extract(found, _CLOCK, 1).try_cast("int")
-    minute = F.regexp_extract(found, _CLOCK, 2).try_cast("int")
-    late = F.when(F.regexp_extract(found, _CLOCK, 3) == "p", 720).otherwise(0)
+    hour = F.regexp_extract(found, fixed.SHOW_TIME, 1).try_cast("int")
+    minute = F.regexp_extract(found, fixed.SHOW_TIME, 2).try_cast("int")
+    late = F.when(F.regexp_extract(found, fixed.SHOW_TIME, 3) == "p", 720).otherwise(0)
     return clock.minutes_clock(hour % 12 * 60 + minute + late)
 
 
@@ -38,7 +37,7 @@ def showtime_text(payloads: DataFrame) -> DataFrame:
     rows = rows.withColumn("broken", F.lit(False))
     film = F.col("item")
     rest = F.regexp_replace(film, _FILM, "")
-    times = F.array_distinct(F.transform(F.regexp_extract_all(rest, F.lit(_CLOCK), F.lit(0)), show_time))
+    times = F.array_distinct(F.transform(F.regexp_extract_all(rest, F.lit(fixed.SHOW_TIME), F.lit(0)), show_time))
     rating = F.btrim(F.regexp_extract(film, _FILM, 2))
     return parsed(
         rows,
