@@ -62,7 +62,7 @@ def provenance(files: DataFrame, runs: DataFrame) -> DataFrame:
     )
     started, completed = clock.instant(F.col("run_started")), clock.instant(F.col("run_completed"))
     at = clock.instant(F.col("collected_at"))
-    outside = files.join(runs, ["week"]).where(~at.between(started, completed))
+    outside = salted_lookup(files, runs, ["week"], ["source"], "inner").where(~at.between(started, completed))
     return twin.unionByName(
         issues(
             outside,

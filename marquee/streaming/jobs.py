@@ -14,7 +14,7 @@ from marquee.streaming import sink
 MESSAGE = ["session", "agent", "message_id"]
 
 
-def usage_stream(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def usage_stream(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Usage readings into a table that keeps the last reading per message and batch.
 
     Later batches may hold later readings of a message; `usage_readings` settles them by line number.
@@ -26,7 +26,7 @@ def usage_stream(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery
             *[F.max_by(f, "line_no").alias(f) for f in usage.FIELDS], F.max("line_no").alias("line_no")
         )
 
-    return sink.run(lines, path, checkpoint, last)
+    return sink.run(lines, path, checkpoint, last, every)
 
 
 def usage_readings(table: DataFrame) -> DataFrame:
@@ -39,15 +39,18 @@ def drop_copies(lines: DataFrame, event_time: str, delay: str) -> DataFrame:
     return lines.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(MESSAGE)
 
 
-def log_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def log_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Log rows appended unless an earlier batch holds their key; a repeated batch gives the same rows."""
 
     def new(batch: DataFrame, batch_id: int) -> DataFrame:
         return new_rows(batch, sink.read(batch.sparkSession, path, before=batch_id))
 
-    return sink.run(rows, path, checkpoint, new)
+    return sink.run(rows, path, checkpoint, new, every)
 
 
-def payload_stream(payloads: DataFrame, layout: str, path: str, checkpoint: str) -> StreamingQuery:
+def payload_stream(payloads: DataFrame, layout: str, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """New payload files parsed once each; the checkpoint remembers which files are done."""
-    return sink.run(payloads, path, checkpoint, lambda batch, _: extract.listings(extract.parse(batch, layout)))
+    def listed(batch: DataFrame, batch_id: int) -> DataFrame:
+        return extract.listings(extract.parse(batch, layout))
+
+    return sink.run(payloads, path, checkpoint, listed, every)

@@ -26,16 +26,16 @@ def read(spark: SparkSession, path: str, before: int | None = None) -> DataFrame
 
 
 def run(
-    stream: DataFrame, path: str, checkpoint: str, batch_rows: Callable[[DataFrame, int], DataFrame]
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    batch_rows: Callable[[DataFrame, int], DataFrame],
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Process everything available, one folder per micro-batch."""
+    """One folder per micro-batch: everything available and then stop, or one batch per interval."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch_rows(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    pace = {"processingTime": every} if every else {"availableNow": True}
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**pace).start()
