@@ -22,7 +22,7 @@ def interest_lexicon(spark: SparkSession) -> DataFrame:
 
 def tokens(body: Column) -> Column:
     """Lower-cased words of a text: runs of letters and digits."""
-    return F.filter(F.split(F.lower(text.text_or_empty(body)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(text.text_or_empty(body)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def interest_tags(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> DataFrame:
