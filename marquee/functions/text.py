@@ -11,9 +11,9 @@ from marquee import fixed
 
 # Every character that str.strip() removes, so results do not depend on the engine's idea of a blank.
 WHITESPACE = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 "
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
     + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "    　"
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
