@@ -1 +1,11 @@
-"""Operators for training-data corpora: extraction, filters, deduplication, decontamination and mixing."""
+"""Operators for training-data corpora: extraction, filters, deduplication, decontamination and mixing.
+
+Functions of this package that run inside tasks travel to the executors by value, so the package need not be installed
+there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

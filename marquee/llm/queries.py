@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import mixing, quality, rows, secret_scan, url_filter
+from marquee.llm import mixing, quality, rows, secret_scan, substring_dedup, url_filter
 
 # The rules of the query: (host, path, verdict).
 URL_RULES = [
@@ -25,6 +25,11 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.remove(_documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(_documents(spark, folder).select("doc_id", "text"), keep=["doc_id"])
     return judged.select(
@@ -156,6 +161,7 @@ FROM split LEFT JOIN targets ON split.host = targets.host AND split.path = targe
 """
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
