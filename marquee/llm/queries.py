@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import mixing, quality, rows, secret_scan, substring_dedup, url_filter
+from marquee.llm import maximal_repeats, mixing, quality, rows, secret_scan, substring_dedup, url_filter
 
 # The rules of the query: (host, path, verdict).
 URL_RULES = [
@@ -68,6 +68,13 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = maximal_repeats.remove(_documents(spark, folder))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 _SPACE_CLASS = r"[^\x20\x09-\x0D]+"
 
 _OP4 = rf"""
@@ -166,6 +173,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
     "op8_url_filters": op8_url_filters,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES = {
