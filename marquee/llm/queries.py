@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import maximal_repeats, mixing, quality, rows, secret_scan, substring_dedup, url_filter
+from marquee.llm import (
+    decontamination,
+    html_text,
+    maximal_repeats,
+    mixing,
+    quality,
+    rows,
+    secret_scan,
+    substring_dedup,
+    url_filter,
+)
 
 # The rules of the query: (host, path, verdict).
 URL_RULES = [
@@ -25,6 +35,11 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = rows.table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup.remove(_documents(spark, folder))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
@@ -62,6 +77,19 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.search(_documents(spark, folder), rows.table(spark, folder, "benchmark"), keep=["doc_id"])
+    items = decontamination.items_of(F.col("matches"))
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        decontamination.n_hit(F.col("matches")).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        _sha256(F.array_join(items, ",")).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = rows.table(spark, folder, "pages").select("page_id", "url")
@@ -167,17 +195,102 @@ SELECT page_id, split.host, split.path, rule, coalesce(action, 'allow') AS verdi
 FROM split LEFT JOIN targets ON split.host = targets.host AND split.path = targets.path
 """
 
+_OP2 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE_CLASS}') AS w FROM documents
+), windows AS (
+    SELECT rid, doc_id, i, array_to_string(w[i:i + 49], ' ') AS held
+    FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs)
+), lost AS (
+    SELECT rid, i FROM windows JOIN (SELECT held, min(doc_id) AS least FROM windows GROUP BY held) USING (held)
+    WHERE doc_id > least
+), gone AS (
+    SELECT DISTINCT rid, i + unnest(range(0, 50)) AS i FROM lost
+), words AS (
+    SELECT rid, w[i] AS word, i FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM docs)
+), kept AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+    FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+_OP6 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS held
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+), doc_windows AS (
+    SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS held
+    FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM item_windows))
+), found AS (
+    SELECT rid, i, n, item_id FROM doc_windows JOIN item_windows USING (n, held)
+), hits AS (
+    SELECT rid, count(*) AS n_hit
+    FROM (SELECT DISTINCT rid, i + unnest(range(0, n)) AS i FROM (SELECT DISTINCT rid, i, n FROM found)) GROUP BY rid
+), named AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM found) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (rid) LEFT JOIN named USING (rid)
+"""
+
+# Bytes as pairs of hexadecimal digits.
+_OP10 = """
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), windows AS (
+    SELECT rid, doc_id, i, substr(x, 2 * i + 1, 100) AS held
+    FROM (SELECT rid, doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM docs)
+), lost AS (
+    SELECT rid, i FROM windows JOIN (SELECT held, min(doc_id) AS least FROM windows GROUP BY held) USING (held)
+    WHERE doc_id > least
+), runs AS (
+    SELECT rid, first, max(i) + 50 AS past
+    FROM (SELECT rid, i, max(begins) OVER (PARTITION BY rid ORDER BY i) AS first
+          FROM (SELECT rid, i, CASE WHEN i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i), -100) + 50 THEN i END AS begins
+                FROM lost))
+    GROUP BY rid, first
+), pieces AS (
+    SELECT rid, first, past - first AS n, coalesce(lag(past) OVER (PARTITION BY rid ORDER BY first), 0) AS since,
+           max(past) OVER (PARTITION BY rid) AS ends
+    FROM runs
+), cut AS (
+    SELECT rid, count(*) AS n_spans, sum(n)::BIGINT AS n_removed, max(ends) AS ends,
+           string_agg(substr(x, 2 * since + 1, 2 * (first - since)), '' ORDER BY first) AS head
+    FROM pieces JOIN docs USING (rid) GROUP BY rid
+)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(ends, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (rid)
+"""
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_url_filters": op8_url_filters,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES = {
+    "op2_substring_dedup": _OP2,
     "op4_mix_sources": _OP4,
     "op5_secret_scan": _op5_sql(),
+    "op6_benchmark_decontamination": _OP6,
     "op8_url_filters": _OP8,
+    "op10_suffix_array_dedup": _OP10,
 }
