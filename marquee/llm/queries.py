@@ -10,6 +10,7 @@ from marquee.llm import (
     html_text,
     maximal_repeats,
     mixing,
+    near_dup,
     quality,
     rows,
     secret_scan,
@@ -96,6 +97,11 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dup.classes(_documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = maximal_repeats.remove(_documents(spark, folder))
     return found.select(
@@ -283,6 +289,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_url_filters": op8_url_filters,
+    "op9_minhash_near_dup": op9_minhash_near_dup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
