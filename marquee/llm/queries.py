@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquee.llm import (
     decontamination,
     html_text,
+    line_dedup,
     maximal_repeats,
     mixing,
     near_dup,
@@ -91,6 +92,11 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.remove(_documents(spark, folder), keep=["doc_id"])
+    return found.select("row.doc_id", "n_lines", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = rows.table(spark, folder, "pages").select("page_id", "url")
@@ -288,6 +294,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_secret_scan": op5_secret_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_minhash_near_dup": op9_minhash_near_dup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
