@@ -6,11 +6,11 @@ is the level's width, so that two bags share a point exactly where both weights
 REGISTERS registers, which keeps the earliest; a process stops when it is later than every register of its text. Two
 registers agree with the probability of the weighted Jaccard similarity of the bags.
 
-Registers in bands make buckets. Texts of a bucket are compared with its least text, and the bags of both verify the
-link. Where a bucket still holds several classes, the least text of each further class is compared with all texts of the
-other classes, class by class, until no bucket has a comparison left. So the comparisons grow with the rows of a bucket
-times its classes, not with its square, and copies of one text count once. Texts are compared within buckets: with
-SIMILARITY 0.8, 32 bands of 4 registers miss a pair with a probability of 5e-8.
+Registers in bands make buckets. Texts of a bucket are compared with its first text, and the overlap of both bags verifies
+the link. Texts of a bucket that are then of different classes are compared too, unless their bags rule a link out: what
+a text shares with others is at most the weight of its shingles that another open text has, which with both sizes bounds
+the similarity from above. So no link between texts of a bucket is lost, though a bucket with many unlinked texts doesn't
+meet them all with all. With SIMILARITY 0.8, 32 bands of 4 registers miss a pair with a probability of 5e-8.
 
 Nulls are empty texts. Equal texts, empty ones too, are one class. A text of one to four words is one shingle. A null id
 comes after every id. Repeated rows are of one class. An empty table gives an empty result.
@@ -32,6 +32,8 @@ SIMILARITY = 0.8
 BANDS, PER_BAND = 32, 4
 REGISTERS = BANDS * PER_BAND
 SLICE_BYTES = 4 << 20
+SIZE_STEP = 1.1
+COUNTERS = 128
 
 
 def _salt(k: int) -> np.uint64:
@@ -105,7 +107,31 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = bands_of(sketch(text, names, counts, len(texts))).view(np.int64)
             filled = np.isin(np.arange(len(texts)), text)
             lists = pa.array([b if f else [] for b, f in zip(bands, filled, strict=True)], kind)
-            yield pa.RecordBatch.from_arrays([part["node"], lists], names=["node", "bands"])
+            yield pa.RecordBatch.from_arrays([*(part[k] for k in KEY), lists], names=[*KEY, "bands"])
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in flat.parts(batch, "text", SLICE_BYTES):
+            text, names, counts = bags(flat.Texts(part["text"]))
+            yield pa.RecordBatch.from_arrays(
+                [part["node"].take(pa.array(text)), pa.array(names.view(np.int64)), pa.array(counts.astype(np.int64))],
+                names=["node", "name", "weight"],
+            )
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weight of the shingles that fall to each of COUNTERS; no counters for a text that overflows them."""
+    for batch in batches:
+        for part in flat.parts(batch, "text", SLICE_BYTES):
+            text, names, counts = bags(flat.Texts(part["text"]))
+            place = text * COUNTERS + (flat.mix(names) % np.uint64(COUNTERS)).astype(np.int64)
+            sums = np.bincount(place, counts, part.num_rows * COUNTERS).reshape(-1, COUNTERS)
+            lists = [[] if x.max() > 32767 else x for x in sums.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [part["node"], pa.array([np.asarray(x, np.int16) for x in lists], pa.list_(pa.int16()))],
+                names=["node", "counters"],
+            )
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +149,10 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["u", "v"]).filter(pa.array((total > 0) & (common >= SIMILARITY * total - 1e-9)))
 
 
-NODE = "struct<id:bigint,a:bigint,b:bigint>"
+KEY = ["id", "a", "b"]
 
 
-def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _keyed(docs: DataFrame, text: str, doc_id: str, *more: Column) -> DataFrame:
     """id, the text and its two digests."""
     held = rows.whole(text)
     return docs.select(
@@ -134,81 +160,123 @@ def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         F.xxhash64(held).alias("a"),
         F.xxhash64(F.lit(1), held).alias("b"),
         held.alias("text"),
+        *more,
     )
 
 
-def _node(prefix: str = "") -> Column:
-    return F.struct(*(F.col(f"{prefix}{c}").alias(c) for c in ("id", "a", "b")))
-
-
 def _verified(asked: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) that overlap enough. A text that very many pairs name is joined to them by a join that Spark
     splits."""
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     named = asked.join(right, "v").join(left, "u")
-    return named.select("u", "v", "text_u", "text_v").mapInArrow(_overlaps, f"u {NODE}, v {NODE}")
+    return named.select("u", "v", "text_u", "text_v").mapInArrow(_overlaps, "u bigint, v bigint")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, a, b, class_id, class_size): one row per document, with the digests of its text and the least id of its
     class."""
     keyed = _keyed(docs, text, doc_id)
-    members = rows.cut(keyed.select("id", "a", "b"))
-    # Equal texts count once, by the least id.
+    members = rows.cut(keyed.mapInArrow(_sketched, "id bigint, a bigint, b bigint, bands array<bigint>"))
+    # Equal texts count once, by the least id. The numbers are written before they are used, so they stay.
     least = members.groupBy("a", "b").agg(F.min("id").alias("id"))
-    # A row with the id and text of another gives the same sketch; the buckets take it once.
-    sketched = keyed.join(least.select("id", "a", "b"), ["id", "a", "b"], "left_semi").select(_node().alias("node"), "text")
-    buckets = sketched.mapInArrow(_sketched, f"node {NODE}, bands array<bigint>").select(F.explode("bands").alias("bucket"), "node")
-    buckets = rows.cut(buckets)
+    nodes = rows.cut(least.select(*KEY, F.monotonically_increasing_id().alias("node")))
+    buckets = members.join(nodes, KEY).select(F.explode("bands").alias("bucket"), "node")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
     held = rows.cut(buckets.join(shared.select("bucket", "first"), "bucket").select("bucket", "node", "first"))
-    wanted = held.select("node").distinct().select("node.*")
-    texts = rows.cut(
-        keyed.join(wanted, ["id", "a", "b"], "left_semi").select(_node().alias("node"), "text").dropDuplicates(["node"])
-    )
-    asked = rows.cut(held.where("node != first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct())
+    wanted = nodes.join(held.select("node").distinct(), "node").select(*KEY, "node")
+    texts = rows.cut(keyed.join(wanted, KEY).select("node", "text").dropDuplicates(["node"]))
+    asked = held.where("node != first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
     links = rows.cut(_verified(asked, texts))
-    held = held.select("bucket", "node")
-    while True:
-        labels = rows.cut(components.label(links))
-        more = rows.cut(_open(held, labels).join(asked, ["u", "v"], "left_anti"))
-        if more.isEmpty():
-            break
-        asked = rows.cut(asked.union(more))
-        found = rows.cut(_verified(more, texts))
-        if not found.isEmpty():
-            links = links.union(found)
-    return _labelled(members, least, labels)
+    held = _bounded(held.select("bucket", "node").distinct(), texts, components.label(links))
+    for pairs in (_central, _open):
+        found = rows.cut(_verified(pairs(_named(held, components.label(links))), texts))
+        links = rows.cut(links.union(found))
+    return _labelled(members.select(*KEY), nodes, components.label(links))
 
 
-def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (class leader in a bucket, text of another class in the bucket), the smaller first."""
-    known = held.join(labels.withColumnRenamed("least", "label"), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+def _named(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of buckets with several classes, with their class."""
+    label = F.coalesce("label", "node").alias("label")
+    known = held.join(labels.select("node", F.col("least").alias("label")), "node", "left").select(*held.columns, label)
     several = known.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
-    known = known.join(several, "bucket", "left_semi")
-    leaders = known.groupBy("bucket", F.col("label").alias("other")).agg(F.min("node").alias("leader"))
-    pairs = known.join(leaders, "bucket").where("label != other")
-    return pairs.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
+    return rows.cut(known.join(several, "bucket"))
+
+
+def _bounded(held: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, size, both, counters, buckets) of the buckets with several classes.
+
+    `both` bounds the size of a text and one that it may be linked to: two texts overlap enough only if what they share
+    reaches SIMILARITY / (1 + SIMILARITY) of both sizes together, and a text shares at most the weight of its shingles
+    that another open text has. `counters` bound what two texts share more closely, and `buckets` are all that a text has.
+    """
+    known = _named(held, labels)
+    opened = rows.cut(texts.join(known.select("node").distinct(), "node"))
+    shingles = opened.mapInArrow(_shingled, "node bigint, name bigint, weight bigint")
+    alone = (
+        shingles.groupBy("name")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight"))
+        .where("n = 1")
+        .groupBy("node")
+        .agg(F.sum("weight").alias("alone"))
+    )
+    words = F.regexp_count("text", F.lit(rows.WORD))
+    sized = opened.select("node", F.greatest(words - (SHINGLE - 1), F.lit(1)).cast("long").alias("size"))
+    most = F.col("size") - F.coalesce("alone", F.lit(0))
+    both = ((1 + SIMILARITY) / SIMILARITY * most + 1e-6).alias("both")
+    counted = opened.mapInArrow(_counted, "node bigint, counters array<smallint>")
+    listed = known.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # at most one of each band
+    profile = sized.join(alone, "node", "left").select("node", "size", both).join(counted, "node").join(listed, "node")
+    return rows.cut(known.select("bucket", "node").join(rows.cut(profile), "node"))
+
+
+def _central(known: DataFrame) -> DataFrame:
+    """Pairs of a bucket's text that shares the largest part of itself and the texts of other classes."""
+    rank = F.struct((F.col("both") / F.col("size")).alias("share"), "node", "label", "size", "both")
+    first = known.groupBy("bucket").agg(F.max(rank).alias("first"))
+    met = known.join(first, "bucket").where(
+        "first.label != label and size + first.size <= both and size + first.size <= first.both"
+    )
+    return met.select(F.least("first.node", "node").alias("u"), F.greatest("first.node", "node").alias("v")).distinct()
+
+
+def _open(known: DataFrame) -> DataFrame:
+    """All pairs of a bucket's texts that are of different classes and may be linked: the smaller text looks for larger
+    ones in the steps of size that its bound leaves. A pair comes from the least bucket that both texts have, and only if
+    the lesser of their counters adds up to enough."""
+    step = lambda size: F.floor(F.log(size) / F.log(F.lit(SIZE_STEP)))
+    widest = F.least(F.col("both") - F.col("size"), F.col("size") / SIMILARITY + 1e-6)
+    small = (
+        known.select(
+            "bucket", F.col("node").alias("s"), F.col("label").alias("label_s"), F.col("size").alias("size_s"),
+            widest.alias("widest"), F.col("counters").alias("counters_s"), F.col("buckets").alias("buckets_s"),
+        )
+        .where("widest >= size_s")
+        .withColumn("step", F.explode(F.sequence(step(F.col("size_s")), step(F.col("widest")))))
+    )
+    large = known.select("bucket", "node", "label", "size", "both", "counters", "buckets", step(F.col("size")).alias("step"))
+    shared = "aggregate(zip_with(counters_s, counters, (x, y) -> int(least(x, y))), 0, (n, x) -> n + x)"
+    met = small.join(large, ["bucket", "step"]).where(
+        f"""s != node and label_s != label and size between size_s and widest and size_s + size <= both
+        and array_min(array_intersect(buckets_s, buckets)) = bucket
+        and (size(counters_s) = 0 or size(counters) = 0
+             or {(1 + SIMILARITY) / SIMILARITY} * {shared} + 1e-6 >= size_s + size)""".replace("size(", "cardinality(")
+    )
+    return met.select(F.least("s", "node").alias("u"), F.greatest("s", "node").alias("v")).distinct()
 
 
-def _labelled(members: DataFrame, least: DataFrame, labels: DataFrame) -> DataFrame:
-    """A class's least id is that of its least node, for a node has the least id of its text."""
-    nodes = least.select(_node().alias("node"), "a", "b").join(labels.withColumnRenamed("least", "label"), "node", "left")
-    named = members.join(nodes.select("a", "b", F.coalesce("label", "node").alias("label")), ["a", "b"])
-    sizes = named.groupBy("label").agg(F.count("*").alias("class_size"))
-    return named.join(sizes, "label").select("id", "a", "b", F.col("label.id").alias("class_id"), "class_size", "label")
+def _labelled(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The least id of a class is the least of its texts' ids."""
+    named = nodes.join(labels.select("node", F.col("least").alias("label")), "node", "left").select(*KEY, F.coalesce("label", "node").alias("label"))
+    found = named.groupBy("label").agg(F.min(F.struct(*KEY)).alias("first"))
+    joined = members.join(named.select("a", "b", "label"), ["a", "b"])
+    sizes = joined.groupBy("label").agg(F.count("*").alias("class_size"))
+    return joined.join(sizes.join(found, "label"), "label").select(*KEY, F.col("first.id").alias("class_id"), "class_size", "first")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each class, the one with the least id, with its columns."""
     found = classes(docs, text, doc_id)
-    kept = found.where("id = label.id and a = label.a and b = label.b").select("id", "a", "b").distinct()
-    held = rows.whole(text)
-    keyed = docs.select(
-        F.struct("*").alias("row"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(flat.NO_ID)).alias("id"),
-        F.xxhash64(held).alias("a"),
-        F.xxhash64(F.lit(1), held).alias("b"),
-    )
-    return keyed.join(kept, ["id", "a", "b"], "left_semi").dropDuplicates(["id", "a", "b"]).select("row.*")
+    kept = found.where("id = first.id and a = first.a and b = first.b").select(*KEY).distinct()
+    keyed = _keyed(docs, text, doc_id, F.struct("*").alias("row")).select("row", *KEY)
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select("row.*")
