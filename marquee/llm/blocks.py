@@ -59,7 +59,9 @@ def short_names(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarra
 
 def bucket_rows(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers, starts and ends of the runs of equal buckets in an ordered array."""
-    starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, np.int64)
+    if not len(buckets):
+        return buckets, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
     return buckets[starts], starts, np.r_[starts[1:], len(buckets)].astype(np.int64)
 
 
