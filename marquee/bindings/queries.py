@@ -265,7 +265,7 @@ def picks_log_rows(t: Tables) -> DataFrame:
     "fetch_rollup",
     """
     WITH asked AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS week, CAST(l_suppkey AS VARCHAR) AS source,
-                          l_returnflag <> 'R' AS ok, CAST(l_quantity AS BIGINT) AS n FROM lineitem WHERE l_linenumber <= 6),
+                          l_returnflag <> 'R' AS ok, CAST(l_quantity AS BIGINT) AS n FROM lineitem),
     rolled AS (SELECT week, source, CAST(sum(CASE WHEN ok THEN n ELSE 0 END) AS BIGINT) AS events, count(*) FILTER (ok) AS n_ok,
                       count(*) FILTER (NOT ok) AS n_failed FROM asked GROUP BY week, source)
     SELECT week, source, CASE WHEN n_ok = 0 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN n_ok > 0 THEN events END AS events,
@@ -904,7 +904,8 @@ def snapshot_regression(t: Tables) -> DataFrame:
     return quality.snapshot_regression(counted(rows.where(F.col("event_type") == "purchase")), counted(rows))
 
 
-_VENUE_KEY = f"CASE WHEN coalesce(address, '') <> '' THEN lower({S.strip('address')}) ELSE lower({S.strip(chr(115) + 'plit_part(venue, ' + chr(39) + ',' + chr(39) + ', 1)')}) END"
+_VENUE_HEAD = S.strip("split_part(venue, ',', 1)")
+_VENUE_KEY = f"CASE WHEN coalesce(address, '') <> '' THEN lower({S.strip('address')}) ELSE lower({_VENUE_HEAD}) END"
 
 CHECK_SQL = {
     "check_venue_cap": _issue_sql(

@@ -40,7 +40,6 @@ MENTIONS_PER_DAY = 3
 CARDS_PER_CATEGORY = 10
 NIGHT_HOURS = (0, 6)
 FUZZY_RATIO = 0.6
-FETCH_PAGES = 6
 BODY_CHARS = 200_000
 TRUNCATION_MARK = "\n\n[... truncated at {n} chars ...]"
 SERIES_SEPARATORS = [":", " - ", "—"]

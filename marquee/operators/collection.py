@@ -19,14 +19,12 @@ def yield_floors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(fixed.YIELD_FLOORS.items()), "source STRING, min_expected BIGINT")
 
 
-def fetch_rollup(fetches: DataFrame, cap: int = fixed.FETCH_PAGES) -> DataFrame:
-    """One result per (week, source) from its page requests.
+def fetch_rollup(fetches: DataFrame) -> DataFrame:
+    """One result per (week, source) from its logged page requests, whatever their number.
 
-    Pages count up to the announced total or the cap. All failed: the source failed. Some failed: it
-    is ok with a note.
+    All failed: the source failed. Some failed: it is ok with a note.
     """
-    asked = fetches.where(F.col("page") <= F.least(F.col("total_pages"), F.lit(cap)))
-    rolled = asked.groupBy("week", "source").agg(
+    rolled = fetches.groupBy("week", "source").agg(
         F.sum(F.when(F.col("ok"), F.col("n_events")).otherwise(0)).alias("events"),
         F.count_if("ok").alias("n_ok"),
         F.count_if(~F.col("ok")).alias("n_failed"),

@@ -119,9 +119,12 @@ def daily_picks(
     """Top rows per day after each venue was held to its weekly cap.
 
     Both windows keep only `row_number <= k`, so every map task drops all but k rows per group
-    before the shuffle. A day whose venues are used up may get fewer rows.
+    before the shuffle. A day whose venues are used up may get fewer rows. Rows without a venue share
+    none: each is a group of its own.
     """
-    by_venue = Window.partitionBy("week", "venue_key").orderBy(*precedence())
+    blank = F.coalesce(F.trim("venue_key"), F.lit("")) == ""
+    alone = [F.when(blank, F.col(c)) for c in ("day", "ord")]
+    by_venue = Window.partitionBy("week", "venue_key", *alone).orderBy(*precedence())
     by_day = Window.partitionBy("week", "day").orderBy(*precedence())
     capped = (
         scored.withColumn("_nth", F.row_number().over(by_venue)).where(F.col("_nth") <= venue_cap).drop("_nth")

@@ -364,8 +364,8 @@ _EVENT = (
 def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """Cards of the index joined to their detail page; cards without a usable detail are left out.
 
-    `details` holds url and body, one row per fetched page. The first embedded block that describes
-    an event counts. Its texts are escaped twice, hence the extra decoding.
+    `details` holds url and body; of several bodies of one url the greatest counts, so a page fetched
+    again adds no listing. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
     """
     cards = payloads.withColumn("_cards", markup.blocks(F.col("body"), _CARD))
     cards = cards.withColumn("broken", F.size("_cards") == 0).select(
@@ -375,7 +375,8 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     cards = cards.withColumn("label", markup.plain(inner(F.col("card"), _CARD_TITLE)))
     found = F.transform(F.regexp_extract_all("body", F.lit(_SCRIPT), F.lit(1)), lambda s: F.from_json(s, _EVENT))
     event = F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0))
-    described = details.select(F.col("url").alias("href"), event.alias("e"))
+    fetched = details.groupBy(F.col("url").alias("href")).agg(F.max("body").alias("body"))
+    described = fetched.select("href", event.alias("e"))
     raw = F.array("e.name", "e.location.name", "e.description")
     rows = cards.join(described, ["href"], "left").withColumn("_plain", F.transform(raw, markup.unescape))
     start = clock.local_part(F.col("e.startDate"))

@@ -86,11 +86,11 @@ def test_snapshot_regression(spark):
 
 def test_fetch_rollup(spark):
     rows = [("all", 1, 3, False, 0), ("all", 2, 3, False, 0), ("some", 1, 2, True, 5), ("some", 2, 2, False, 0), ("some", 3, 2, True, 9),
-            ("capped", 6, 20, True, 1), ("capped", 7, 20, True, 100), ("quiet", 1, 1, True, 0)]
+            ("many", 6, 20, True, 1), ("many", 7, 20, True, 100), ("quiet", 1, 1, True, 0)]
     fetches = spark.createDataFrame([(WEEK, *r) for r in rows], "week DATE, source STRING, page INT, total_pages INT, ok BOOLEAN, n_events BIGINT")
     got = {r.source: (r.status, r.events, r.note) for r in collection.fetch_rollup(fetches).collect()}
     assert got == {
-        "all": ("failed", None, None), "some": ("ok", 5, "partial -- 1 request(s) failed"), "capped": ("ok", 1, None), "quiet": ("ok", 0, None)
+        "all": ("failed", None, None), "some": ("ok", 14, "partial -- 1 request(s) failed"), "many": ("ok", 101, None), "quiet": ("ok", 0, None)
     }
 
 

@@ -188,6 +188,12 @@ def test_venue_cap_comes_before_the_daily_rank(spark):
     assert [(r.day, r.place) for r in got] == [(days[0], 1), (days[0], 2)]
 
 
+def test_rows_without_a_venue_share_no_cap(spark):
+    days = [f"2026-07-2{i}" for i in range(3)]
+    rows = [(d, f"{d}-{i}", i, ("", None, " ")[i % 3], 1, False, False, 0, False, False, False) for d in days for i in range(4)]
+    assert ranking.daily_picks(scored(spark, rows)).count() == 12
+
+
 def test_interest_tags_and_category_vote(spark):
     docs = spark.createDataFrame([(1, "Punk film, film noir!"), (2, "nothing here"), (3, "Jazz & COFFEE"), (4, None)], "id INT, body STRING")
     tags = ranking.interest_tags(docs, ranking.interest_lexicon(spark), "id", "body")
