@@ -71,7 +71,8 @@ def _collapsed_sql(view: str, priority: list[str], note_len: int = len(fixed.SOL
       FROM {view}),
     collapsed AS (
       SELECT week, title, venue, date, first_seen[1] AS stem, first_seen[2] AS pos, source, time, cost, url,
-             CASE WHEN any_sold = 1 AND NOT sold THEN {S.cap(S.rtrim(noted))} ELSE {S.cap('description')} END AS description,
+             CASE WHEN any_sold = 1 AND NOT sold THEN {S.rtrim(noted)} ELSE description END AS description,
+             date AS listed_date,
              (any_sold = 1 AND NOT sold) AS sold_out_noted
       FROM ranked WHERE rn = 1)"""
 
@@ -95,7 +96,7 @@ def _chain(view: str, priority: list[str], steps: list[str], select: str) -> str
     return head.rstrip() + ",\n" + ",".join([_collapsed_sql(view, priority), *steps]) + "\n" + select
 
 
-COLLAPSED = "week, title, venue, date, stem, pos, source, time, cost, url, description, sold_out_noted"
+COLLAPSED = "week, title, venue, date, stem, pos, source, time, cost, url, description, listed_date, sold_out_noted"
 
 
 @query("collapse_duplicates")
@@ -126,7 +127,7 @@ ORACLES["group_recurring"] = _chain(
 
 @query("assign_ids")
 def assign_ids(t: Tables) -> DataFrame:
-    return collapse.assign_ids(_folded(t)).select("week", "id", "ord", "title", "venue", "date", "source")
+    return collapse.assign_ids(through_table(_folded(t), "folded")).select("week", "id", "ord", "title", "venue", "date", "source")
 
 
 ORACLES["assign_ids"] = _chain(
@@ -142,8 +143,8 @@ def candidates(t: Tables) -> DataFrame:
 
 ORACLES["build_candidates"] = _chain(
     "listing", LISTING_PRIORITY, [_FOLDED, _NUMBERED],
-    "SELECT week, printf('c%04d', ord) AS id, ord, title, venue, date, time, cost, url, description, source, occurrences, "
-    "recurrence_count FROM numbered",
+    "SELECT week, printf('c%04d', ord) AS id, ord, title, venue, date, time, cost, url, "
+    + S.cap("description") + " AS description, source, occurrences, recurrence_count, listed_date FROM numbered",
 )
 
 # Scans, sinks, collection ------------------------------------------------------------------------
@@ -557,11 +558,12 @@ def flag_challenge_pages(t: Tables) -> DataFrame:
 @query(
     "truncate_bodies",
     """
-    SELECT page_id, CASE WHEN length(html) > 5000 THEN substring(html, 1, 5000) || chr(10) || chr(10) || '[... truncated at 5000 chars ...]'
-           ELSE html END AS body FROM pages""",
+    SELECT page_id, html AS body, length(html) > 5000 AS truncated,
+           CASE WHEN length(html) > 5000 THEN substring(html, 1, 5000) || chr(10) || chr(10) || '[... truncated at 5000 chars ...]'
+           ELSE html END AS shown_body FROM pages""",
 )
 def truncate_bodies(t: Tables) -> DataFrame:
-    return t.table("pages").select("page_id", text.truncate_body(F.col("html"), 5_000).alias("body"))
+    return extract.with_shown_body(t.table("pages").select("page_id", F.col("html").alias("body")), 5_000)
 
 
 # Column expressions ------------------------------------------------------------------------------
@@ -1275,7 +1277,7 @@ def _listed_documents(t: Tables) -> DataFrame:
     return t.listing().select(
         "week", "date", F.concat(F.lit("d"), "pos").alias("id"), F.col("pos").alias("ord"), "title", "description", venue.alias("venue"),
         F.when(F.col("source") == "src6", "No cover").otherwise(F.col("cost")).alias("cost"), "url", "source",
-        F.when(F.col("source") == "src8", fixed.CATEGORIES[3][0]).otherwise(fixed.CATEGORIES[0][0]).alias("category"),
+        F.when(F.col("source") == "src8", fixed.COMMUNITY).otherwise(fixed.CATEGORIES[0][0]).alias("category"),
         F.when(F.col("source") == "src11", 3).alias("recurrence_count"),
     )
 

@@ -20,6 +20,7 @@ CATEGORIES = [
     ("🎪 Festivals & Major Events", "festival", 360),
 ]
 DEFAULT_EVENT_MINUTES = 120
+COMMUNITY = "🤝 Community & Politics"
 
 # Sources that win an exact-duplicate collapse, best first; all others share the last rank.
 SOURCE_PRIORITY = ["R5 Productions", "PhilaMOCA", "Philly Ask A Punk", "Do215"]

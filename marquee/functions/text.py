@@ -55,7 +55,7 @@ def cap(c: Column, limit: int = fixed.DESCRIPTION_CHARS) -> Column:
 
 
 def truncate_body(c: Column, limit: int = fixed.BODY_CHARS) -> Column:
-    """Fetched bodies over `limit` characters are cut and say so."""
+    """What is shown of a fetched body: over `limit` characters it is cut and says so."""
     mark = F.lit(fixed.TRUNCATION_MARK.format(n=limit))
     return F.when(F.char_length(c) > limit, F.concat(F.substring(c, 1, limit), mark)).otherwise(c)
 

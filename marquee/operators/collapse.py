@@ -27,16 +27,22 @@ def completeness(*cols: Column) -> Column:
     return total
 
 
+def listed_day(rows: DataFrame) -> Column:
+    """The day a row is listed under: `listed_date` where the rows have it, else `date`."""
+    date = F.col("date").cast("string")
+    return F.coalesce(F.col("listed_date").cast("string"), date) if "listed_date" in rows.columns else date
+
+
 def collapse_duplicates(listings: DataFrame, priority: list[str] | None = None) -> DataFrame:
     """One row per (week, title, venue, date).
 
     Kept is the best source, then the fullest row, then the first arrival (stem, pos). When only
     discarded copies say "sold out", the kept description gets a note. The row takes the arrival
-    position of the first copy. Descriptions leave capped.
+    position of the first copy and the latest `listed_date` of the copies (without that column: its
+    date). Descriptions leave whole.
 
     It is one grouped `min` over structs, so copies shrink before the shuffle: a group that holds a
-    third of all rows reaches the reducers as one row per map task. Descriptions are read whole for
-    the sold-out test and the emptiness test, and travel cut to the length the cap can still show.
+    third of all rows reaches the reducers as one row per map task.
     """
     priority = fixed.SOURCE_PRIORITY if priority is None else priority
     body = text.text_or_empty(F.col("description"))
@@ -48,35 +54,27 @@ def collapse_duplicates(listings: DataFrame, priority: list[str] | None = None)
             "stem",
             "pos",
             *CARRIED,
-            F.substring(body, 1, fixed.DESCRIPTION_CHARS).alias("head"),
-            F.char_length(body).alias("chars"),
-            F.char_length(text.rstrip(body)).alias("text_chars"),
+            body.alias("body"),
             text.mentions(F.col("description"), fixed.SOLD_OUT_PHRASE).alias("sold_out"),
         ).alias("row"),
+        listed_day(listings).alias("listed_date"),
     )
     best = rows.groupBy(*KEY).agg(
         F.min("row").alias("best"),
         F.max(F.col("row.sold_out")).alias("any_sold_out"),
         F.min(F.struct("row.stem", "row.pos")).alias("first"),
+        F.max("listed_date").alias("listed_date"),
     )
     kept = F.col("best")
     noted = F.col("any_sold_out") & ~kept["sold_out"]
-    note = fixed.SOLD_OUT_NOTE
-    plain = F.when(
-        kept["chars"] > fixed.DESCRIPTION_CHARS,
-        F.concat(text.rstrip(kept["head"]), F.lit(fixed.ELLIPSIS)),
-    ).otherwise(kept["head"])
-    noted_head = F.concat(F.lit(note), F.substr(kept["head"], F.lit(1), kept["text_chars"]))
-    noted_text = F.when(
-        kept["text_chars"] + len(note) > fixed.DESCRIPTION_CHARS,
-        F.concat(text.rstrip(F.substring(noted_head, 1, fixed.DESCRIPTION_CHARS)), F.lit(fixed.ELLIPSIS)),
-    ).otherwise(text.rstrip(noted_head))
+    noted_text = text.rstrip(F.concat(F.lit(fixed.SOLD_OUT_NOTE), kept["body"]))
     return best.select(
         *KEY,
         F.col("first.stem").alias("stem"),
         F.col("first.pos").alias("pos"),
         *[kept[c].alias(c) for c in CARRIED],
-        F.when(noted, noted_text).otherwise(plain).alias("description"),
+        F.when(noted, noted_text).otherwise(kept["body"]).alias("description"),
+        "listed_date",
         noted.alias("sold_out_noted"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import clock
+from marquee.operators.collapse import listed_day
 
 
 def registry(spark: SparkSession) -> DataFrame:
@@ -102,15 +103,15 @@ def calendar(weeks: DataFrame) -> DataFrame:
 
 
 def out_of_window(candidates: DataFrame) -> DataFrame:
-    """Candidates whose date is not one of their week's seven days; writing must stop on any."""
-    day = F.try_to_date(F.col("date").cast("string"), "yyyy-MM-dd")
+    """Candidates not listed under one of their week's seven days; writing must stop on any."""
+    day = F.try_to_date(listed_day(candidates), "yyyy-MM-dd")
     inside = F.coalesce(day.between(F.col("week"), F.date_add("week", 6)), F.lit(False))
     return candidates.where(~inside)
 
 
 def day_split(candidates: DataFrame) -> DataFrame:
     """Candidates per day, all seven days of each week present."""
-    per_day = candidates.groupBy("week", F.try_to_date(F.col("date").cast("string"), "yyyy-MM-dd").alias("date")).agg(
+    per_day = candidates.groupBy("week", F.try_to_date(listed_day(candidates), "yyyy-MM-dd").alias("date")).agg(
         F.count(F.lit(1)).alias("n_candidates")
     )
     return calendar(candidates).join(per_day, ["week", "date"], "left").na.fill(0, ["n_candidates"])

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import category, clock, money, text
+from marquee.operators.collapse import listed_day
 from marquee.operators.numbering import number_rows, position_bucket
 
-CANDIDATE = ["week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "source"]
+CANDIDATE = ["week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "source", "listed_date"]
 
 
 def latest_annotations(annotations: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def resolve(refs: DataFrame, candidates: DataFrame, annotations: DataFrame) -> D
     Judgement rows are few. Candidates and annotations are cut down to the ids they name first: a
     semi join against a small side is a broadcast, so the large tables are scanned but not shuffled.
     """
-    named = candidates.join(refs.select("week", "id").distinct(), ["week", "id"], "left_semi")
+    named = candidates.withColumn("listed_date", listed_day(candidates)).join(refs.select("week", "id").distinct(), ["week", "id"], "left_semi")
     found = named.select(
         "week", "id", F.struct(*[F.col(c) for c in CANDIDATE if c not in ("week", "id")]).alias("c")
     )
@@ -48,7 +49,7 @@ def reference_problem() -> Column:
     """First reason a resolved pick or mention cannot be placed, NULL when it can."""
     return (
         F.when(F.col("c").isNull(), "id matches no candidate")
-        .when(~F.col("c.date").eqNullSafe(F.col("day")), "belongs to another day")
+        .when(~F.col("c.listed_date").eqNullSafe(F.col("day")), "belongs to another day")
         .when(F.col("a").isNull(), "not in the day's annotations")
     )
 
@@ -102,13 +103,13 @@ def merge_mentions(mentions: DataFrame, candidates: DataFrame, annotations: Data
 
 def annotated(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """Candidates with the annotation of the day they were listed under."""
-    return candidates.select(*CANDIDATE).join(latest_annotations(annotations), ["week", "id"])
+    return candidates.withColumn("listed_date", listed_day(candidates)).select(*CANDIDATE).join(latest_annotations(annotations), ["week", "id"])
 
 
 def listing_rows(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """Annotated candidates of each day with their sort keys, not yet numbered."""
     rows = annotated(candidates, annotations)
-    placed = (F.col("date") == F.col("day")) & category.is_canonical(F.col("category"))
+    placed = (F.col("listed_date") == F.col("day")) & category.is_canonical(F.col("category"))
     minute = clock.clock_minutes(F.col("time"))
     return rows.where(placed).select(
         "week",
@@ -165,7 +166,7 @@ def violations(
     """
     fail = F.lit("fail")
     latest = latest_annotations(annotations).join(
-        candidates.select("week", "id", F.col("date").alias("c_date")), ["week", "id"], "left"
+        candidates.select("week", "id", listed_day(candidates).alias("c_date")), ["week", "id"], "left"
     )
     note_problem = (
         F.when(F.col("category").isNull(), "missing required field category")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import category, money, text
+from marquee.operators.collapse import listed_day
 from marquee.operators.lookup import salted_lookup
 
 
@@ -75,19 +76,18 @@ def score_candidates(candidates: DataFrame, lexicon: DataFrame, aggregators: lis
     Easy to miss is what no aggregator carries. A listing without a link stays and is marked as
     unconfirmed. Nothing is summed: the rules only order.
     """
-    community = fixed.CATEGORIES[3][0]
     body = F.concat_ws(" ", "title", "description")
     rows = candidates.withColumn("_text", body).withColumn("_key", F.concat_ws("/", F.col("week").cast("string"), "id"))
     tiers = interest_tiers(rows, lexicon, "_key", "_text")
     return rows.join(tiers, ["_key"], "left").select(
         "week",
-        F.col("date").alias("day"),
+        listed_day(candidates).alias("day"),
         "id",
         "ord",
         text.venue_key(F.lit(""), F.col("venue")).alias("venue_key"),
         F.coalesce("tier", F.lit(UNTOUCHED_TIER)).alias("tier"),
         (~F.col("source").isin(aggregators)).alias("easy_to_miss"),
-        F.coalesce(F.col("category") == community, F.lit(False)).alias("community"),
+        F.coalesce(F.col("category") == fixed.COMMUNITY, F.lit(False)).alias("community"),
         F.coalesce("overlap", F.lit(0)).alias("overlap"),
         money.is_free(F.col("cost")).alias("free"),
         F.col("recurrence_count").isNotNull().alias("recurring"),

@@ -3,23 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from marquee import fixed
+from marquee.functions import text
 from marquee.operators.collapse import assign_ids, collapse_duplicates, fold_series
 from marquee.operators.collection import ok_events
+from marquee.session import through_table
 
 CANDIDATE_COLUMNS = [
     "week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "description", "source",
-    "occurrences", "recurrence_count",
+    "occurrences", "recurrence_count", "listed_date",
 ]
 
 
-def build_candidates(listings: DataFrame, priority: list[str] | None = None) -> DataFrame:
-    """Listings of any number of weeks as numbered candidates.
+def whole_candidates(listings: DataFrame, priority: list[str] | None = None) -> DataFrame:
+    """Listings of any number of weeks as numbered candidates, descriptions whole.
 
-    Order matters: collapse comes first, so a sold-out note can ride on a series' earliest row, and
-    descriptions leave the collapse capped, so the later shuffles carry short rows.
+    Collapse comes first, so a sold-out note can ride on a series' earliest row. The folded rows are
+    written once: numbering reads them twice, and the listings would else be collapsed twice.
     """
-    return assign_ids(fold_series(collapse_duplicates(listings, priority))).select(*CANDIDATE_COLUMNS)
+    folded = through_table(fold_series(collapse_duplicates(listings, priority)), "folded")
+    return assign_ids(folded).select(*CANDIDATE_COLUMNS)
+
+
+def shown(candidates: DataFrame, limit: int = fixed.DESCRIPTION_CHARS) -> DataFrame:
+    """Candidates as a selection reads them, descriptions capped. Scores come before this."""
+    return candidates.withColumn("description", text.cap(F.col("description"), limit))
+
+
+def build_candidates(listings: DataFrame, priority: list[str] | None = None) -> DataFrame:
+    """Numbered candidates with capped descriptions; the cap is the last step."""
+    return shown(whole_candidates(listings, priority))
 
 
 def candidates_of_run(manifest: DataFrame, events: DataFrame, priority: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee import fixed
+from marquee.functions import text
 from marquee.schemas import EVENT_FIELDS
 from marquee.sources import feeds_html, feeds_ical, feeds_json, feeds_text
 
@@ -26,6 +28,13 @@ def parse(payloads: DataFrame, layout: str) -> DataFrame:
     return FORMATS[layout](payloads)
 
 
+def with_shown_body(payloads: DataFrame, limit: int = fixed.BODY_CHARS) -> DataFrame:
+    """Payloads with `shown_body`, the body as a reader is shown it, and `truncated`. Parsers read the whole body."""
+    return payloads.withColumn("shown_body", text.truncate_body(F.col("body"), limit)).withColumn(
+        "truncated", F.char_length("body") > limit
+    )
+
+
 def listings(parsed: DataFrame) -> DataFrame:
     """Events of the target week.
 

@@ -18,8 +18,8 @@ from marquee.functions import clock, markup, text
 from marquee.functions.markup import attribute, inner, tag
 from marquee.sources.feeds_json import parsed
 
-# Listings per group a position has room for; a page body is far smaller.
-GROUP_STEP = 1_000_000
+# Positions of a group's listings: no array holds as many, so no two listings share a position.
+GROUP_STEP = 2**31
 
 # Stands between texts that are decoded together; a private-use character no page text needs.
 SEPARATOR = "\ue000"
@@ -48,6 +48,8 @@ class Layout:
     group_counts: Callable[[Column], Column] | None = None
     # A page with groups but without listings is a quiet page, not a broken one.
     quiet_without_listings: bool = False
+    # A page whose days mean nothing without its `context_date`: lacking that, the request was broken.
+    needs_context: bool = False
 
 
 def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
@@ -63,14 +65,17 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
     )
     rows = rows.withColumn("_listings", markup.blocks(F.col("group"), layout.listing))
     # Counted before the explode, so that the array itself is not carried along with every listing.
-    rows = rows.withColumn("broken", (F.col("_n") if layout.quiet_without_listings else F.size("_listings")) == 0)
+    broken = (F.col("_n") if layout.quiet_without_listings else F.size("_listings")) == 0
+    if layout.needs_context:
+        broken = broken | F.col("context_date").isNull()
+    rows = rows.withColumn("broken", broken)
     rows = rows.select(
         "source", "week_start", "page", "context_date", "group", "broken", "_g",
         F.posexplode_outer("_listings").alias("_l", "item"),
     )
     # Texts are decoded together, so that the plan holds the decoding once per kind.
     kinds = {"_when": (layout.when, markup.plain), "_texts": (layout.texts, markup.plain), "_links": (layout.links, markup.unescape)}
-    cut = rows.withColumn("pos", F.col("_g") * GROUP_STEP + F.col("_l"))
+    cut = rows.withColumn("pos", F.col("_g") * F.lit(GROUP_STEP) + F.col("_l"))
     named = {}
     for kind, (select, decode) in kinds.items():
         raw = select(F.col("item"), F.col("group"))
@@ -327,6 +332,7 @@ MONTH_GRID = Layout(
     date=_grid_date,
     fields=_grid_fields,
     quiet_without_listings=True,
+    needs_context=True,
 )
 
 LAYOUTS = {

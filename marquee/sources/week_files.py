@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from marquee import fixed, schemas
 from marquee.functions import text
+from marquee.operators.collapse import listed_day
 from marquee.operators.collection import day_split, out_of_window
+from marquee.session import work_path
 
 DERIVED = [name.lstrip("_") for name in fixed.DERIVED_FILES]
 
@@ -142,10 +144,13 @@ def read_music_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reject(rows: DataFrame, what: str) -> None:
-    """Stop when there is any row; only the first few are looked at."""
-    first = rows.limit(5).collect()
-    if first:
-        raise RowsRejected(f"{what}: " + "; ".join(str(r.asDict()) for r in first))
+    """Stop when there is any row; all go to a table that the message names beside the first five."""
+    if rows.isEmpty():
+        return
+    path = work_path(rows.sparkSession, "refused")
+    rows.write.parquet(path)
+    first = rows.sparkSession.read.parquet(path).limit(5).collect()
+    raise RowsRejected(f"{what}: " + "; ".join(str(r.asDict()) for r in first) + f"; all of them in {path}")
 
 
 def write_day_split(candidates: DataFrame, path: str) -> None:
@@ -154,7 +159,7 @@ def write_day_split(candidates: DataFrame, path: str) -> None:
     A candidate outside its week would be lost to every reader of a day, so it stops the write.
     """
     reject(out_of_window(candidates).select("week", "id", "title", "date"), "candidates outside their week")
-    replace_weeks(candidates, f"{path}/candidates", "date")
+    replace_weeks(candidates.withColumn("day", listed_day(candidates)), f"{path}/candidates", "day")
     replace_weeks(day_split(candidates), f"{path}/days")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee import fixed
 from marquee.operators import numbering
 from marquee.operators.collapse import assign_ids, collapse_duplicates, fold_series
-from marquee.plans.candidates import build_candidates
+from marquee.plans.candidates import build_candidates, shown
 
 SCHEMA = (
     "week DATE, stem STRING, pos BIGINT, source STRING, title STRING, venue STRING, date STRING, "
@@ -75,12 +75,30 @@ def test_cap_comes_after_the_note(spark):
     for i, body in enumerate(bodies):
         rows += [row("a", i, f"plain {i}", description=body)]
         rows += [row("a", 100 + i, f"noted {i}", source="Do215", description=body), row("b", i, f"noted {i}", description="sold out")]
-    got = {r.title: r.description for r in collapse_duplicates(frame(spark, rows)).collect()}
+    whole = collapse_duplicates(frame(spark, rows))
+    got = {r.title: r.description for r in shown(whole).collect()}
     for i, body in enumerate(bodies):
         assert got[f"plain {i}"] == expected_description(body, False), i
         assert got[f"noted {i}"] == expected_description(body, True), i
 
 
+def test_descriptions_stay_whole_until_the_cap(spark):
+    long = "word " * 1000
+    rows = [row("a", 0, "A", description=long), row("a", 1, "B", source="Do215", description=long), row("b", 1, "B", description="sold out")]
+    whole = collapse_duplicates(frame(spark, rows))
+    assert {r.title: r.description for r in whole.collect()} == {"A": long, "B": fixed.SOLD_OUT_NOTE + long.rstrip()}
+    assert {r.title: len(r.description) for r in build_candidates(frame(spark, rows)).collect()} == {"A": 600, "B": 600}
+
+
+def test_the_listed_day_of_an_early_start_is_kept(spark):
+    rows = frame(spark, [row("a", 0, "Early", day="2026-07-18"), row("b", 0, "Early", day="2026-07-18"), row("a", 1, "Plain")])
+    early = F.when((F.col("title") == "Early") & (F.col("stem") == "b"), "2026-07-20")
+    got = build_candidates(rows.withColumn("listed_date", early)).collect()
+    assert sorted((r.title, r.date, r.listed_date) for r in got) == [
+        ("Early", "2026-07-18", "2026-07-20"), ("Plain", "2026-07-20", "2026-07-20")
+    ]
+
+
 def test_two_dates_pass_three_dates_fold(spark):
     days = ["2026-07-22", "2026-07-20", "2026-07-24"]
     rows = [row("a", i, "Three", day=d) for i, d in enumerate(days)]
