@@ -776,7 +776,23 @@ def merge_violations(t: Tables) -> DataFrame:
 # Matching ----------------------------------------------------------------------------------------
 
 
-@query("fuzzy_match")
+_COMPARABLE = r"lower(rtrim(regexp_replace({}, '\(SOLD OUT\)\s*$', '')))"
+
+
+@query(
+    "fuzzy_match",
+    f"""
+    WITH top AS (SELECT p_brand AS brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS nth FROM part),
+    m AS (SELECT brand, CAST(nth AS INT) AS nth, p_name || CASE WHEN nth > 1 THEN ' (SOLD OUT)' ELSE '' END AS title FROM top WHERE nth <= 3),
+    t AS (SELECT p_brand AS brand, p_name AS listed, min(p_partkey) AS pos FROM part GROUP BY ALL),
+    pairs AS (
+      SELECT m.*, listed, pos, listed = title AS same,
+             CASE WHEN listed = title THEN 1 ELSE 1 - levenshtein({_COMPARABLE.format('title')}, {_COMPARABLE.format('listed')})::DOUBLE
+               / greatest(length({_COMPARABLE.format('title')}), length({_COMPARABLE.format('listed')}), 1)::DOUBLE END AS score
+      FROM m JOIN t USING (brand)),
+    best AS (SELECT * FROM pairs WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY brand, nth ORDER BY same DESC, score DESC, pos) = 1)
+    SELECT m.brand, m.nth, m.title, b.listed AS hit_matched, b.score FROM m LEFT JOIN best b USING (brand, nth)""",
+)
 def fuzzy_match(t: Tables) -> DataFrame:
     """The three dearest parts of each brand, marked sold out, matched back to the brand's other names."""
     from pyspark.sql import Window

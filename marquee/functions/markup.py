@@ -28,12 +28,12 @@ def tag(name: str = r"[a-zA-Z][\w-]*", cls: str | None = None, attr: str | None
 
     Group 1 is the tag name, so a closing tag can refer back to it.
     """
-    tests = [rf"\s{attr}"] if attr else []
-    tests += [rf'\sclass="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?"' for token in (cls or "").split()]
+    tests = [rf"\s(?i:{attr})"] if attr else []
+    tests += [rf'\s(?i:class)="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?"' for token in (cls or "").split()]
     if len(tests) == 1:
         # A single test needs no look-ahead: each tag is then scanned once.
-        return rf"<({name})\b[^>]*?{tests[0]}[^>]*>"
-    return rf"<({name})\b" + "".join(f"(?=[^>]*{t})" for t in tests) + "[^>]*>"
+        return rf"<((?i:{name}))\b[^>]*?{tests[0]}[^>]*>"
+    return rf"<((?i:{name}))\b" + "".join(f"(?=[^>]*{t})" for t in tests) + "[^>]*>"
 
 
 def blocks(body: Column, opening: str) -> Column:
@@ -43,13 +43,49 @@ def blocks(body: Column, opening: str) -> Column:
 
 
 def inner(block: Column, opening: str) -> Column:
-    """Raw markup of the first matching element, up to its next closing tag; '' if absent."""
-    return F.regexp_extract(block, rf"(?s){opening}(.*?)</\1>", 2)
+    """Raw markup of the first matching element, up to the closing tag that is its own; '' if absent.
+
+    Most elements hold none of their own name and end at the next closing tag. Else the tags of that
+    name are counted up and down from the opening one.
+    """
+    near = F.regexp_extract(block, rf"(?s){opening}(.*?)</(?i:\1)\s*>", 2)
+    name = F.lower(F.regexp_extract(block, opening, 1))
+    rest = F.regexp_extract(block, rf"(?s){opening}(.*)", 2)
+
+    def step(state: Column, piece: Column) -> Column:
+        opens = F.rlike(piece, F.concat(F.lit("(?is)\\A<"), name, F.lit("\\b")))
+        closes = F.rlike(piece, F.concat(F.lit("(?is)\\A</"), name, F.lit("\\b")))
+        depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        open_still = (state["depth"] > 0) & (depth > 0)
+        return F.struct(
+            F.when(state["depth"] > 0, depth).otherwise(0).alias("depth"),
+            F.when(open_still, F.concat(state["held"], piece)).otherwise(state["held"]).alias("held"),
+        )
+
+    pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), name, F.lit("\\b)")))
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("held"))
+    counted = F.aggregate(pieces, start, step, lambda s: F.when(s["depth"] == 0, s["held"]).otherwise(""))
+    holds_own = F.rlike(near, F.concat(F.lit("(?i)<"), name, F.lit("\\b")))
+    return F.when((near != "") & holds_own, counted).otherwise(near)
+
+
+_IN_TAG = r"""(?=(?:[^<>"]*"[^<>"]*")*[^<>"]*>)"""
+
+
+def normalised(body: Column) -> Column:
+    """A page without comments, its attribute values in double quotes, as the tag patterns read them."""
+    bare = F.regexp_replace(text.text_or_empty(body), r"(?s)<!--.*?-->", "")
+    single = rf"""(\s[\w:.-]+)\s*=\s*'([^'"<>]*)'{_IN_TAG}"""
+    unquoted = rf"""(\s[\w:.-]+)\s*=\s*([^\s"'=<>`]+)(?=[\s>]){_IN_TAG}"""
+    spaced = rf"""(\s[\w:.-]+)(?:\s+=\s*|=\s+)"([^"<>]*)"{_IN_TAG}"""
+    for pattern in (single, unquoted, spaced):
+        bare = F.regexp_replace(bare, pattern, '$1="$2"')
+    return bare
 
 
 def attribute(block: Column, opening: str, name: str) -> Column:
     """Raw value of an attribute of the first matching tag; '' if absent."""
-    return F.regexp_extract(F.regexp_extract(block, f"({opening})", 1), rf'\s{name}="([^"]*)"', 1)
+    return F.regexp_extract(F.regexp_extract(block, f"({opening})", 1), rf'\s(?i:{name})="([^"]*)"', 1)
 
 
 def plain(markup: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import difflib
+import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +13,7 @@ from pyspark.sql.types import DoubleType
 
 from marquee import fixed
 from marquee.functions import text
-from marquee.operators.lookup import salted_lookup
+from marquee.operators.lookup import SALTS, salted_lookup
 
 
 @F.pandas_udf(DoubleType())
@@ -25,28 +27,47 @@ def title_ratio(wanted: pd.Series, listed: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def edit_ratio(a: Column, b: Column) -> Column:
+    """One minus the edits between two titles as a share of the longer one."""
+    return 1.0 - F.levenshtein(a, b) / F.greatest(F.char_length(a), F.char_length(b), F.lit(1)).cast("double")
+
+
+def _comparable(title: Column) -> Column:
+    """A title in lower case without the sold-out suffix that a mention may carry."""
+    return F.lower(text.rstrip(F.regexp_replace(title, re.escape(fixed.SOLD_OUT_SUFFIX) + r"\s*\z", "")))
+
+
 def _long_enough(a: Column, b: Column) -> Column:
-    """Titles whose lengths alone allow the required ratio."""
+    """Titles whose lengths alone allow the required ratio by either measure."""
     shorter = F.least(F.char_length(a), F.char_length(b))
     return 2.0 * shorter >= fixed.FUZZY_RATIO * (F.char_length(a) + F.char_length(b))
 
 
-def match_mentions(mentions: DataFrame, listing: DataFrame, day: list[str], carry: list[str]) -> DataFrame:
+def match_mentions(
+    mentions: DataFrame,
+    listing: DataFrame,
+    day: list[str],
+    carry: list[str],
+    similarity: Callable[[Column, Column], Column] = edit_ratio,
+    comparable: Callable[[Column], Column] = _comparable,
+    salts: int = SALTS,
+) -> DataFrame:
     """Each mention with the listing row of its day: same title first, else the most similar title.
 
     Equal titles score equally and the first one listed wins, so a day's listing shrinks to its
     distinct titles before any comparison. Only mentions without an exact hit are compared, and a day
-    has a few mentions, so the work grows with the listing, not with its square.
+    has a few mentions, so the work grows with the listing, not with its square; a day's titles are
+    spread over `salts` tasks. `title_ratio` is the other measure: it weighs common runs, in Python.
     """
     first = F.min(F.struct("pos", *carry)).alias("hit")
     titles = listing.groupBy(*day, "title").agg(first)
     exact = mentions.join(titles, [*day, "title"], "left")
     open_rows = exact.where(F.col("hit").isNull()).drop("hit")
-    wanted, listed = F.lower("title"), F.lower("listed_title")
+    wanted, listed = comparable(F.col("title")), comparable(F.col("listed_title"))
     pairs = (
-        open_rows.join(titles.withColumnRenamed("title", "listed_title"), day)
+        salted_lookup(titles.withColumnRenamed("title", "listed_title"), open_rows, day, ["listed_title"], "inner", salts)
         .where(_long_enough(wanted, listed))
-        .withColumn("score", title_ratio(wanted, listed))
+        .withColumn("score", similarity(wanted, listed))
         .where(F.col("score") >= fixed.FUZZY_RATIO)
     )
     keys = [c for c in mentions.columns]

@@ -53,6 +53,7 @@ class Layout:
 
 
 def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
+    payloads = payloads.withColumn("body", markup.normalised(F.col("body")))
     body = F.col("body")
     if layout.group is None:
         groups = F.array(body)
@@ -96,9 +97,9 @@ def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, C
 # One dated link per event, several clock times.
 def _dated_texts(block: Column, group: Column) -> Texts:
     times = F.regexp_extract_all(
-        block, F.lit(rf"(?s){tag('li', 'event__detail--time')}.*?<time\b[^>]*>(.*?)</time>"), F.lit(2)
+        block, F.lit(rf"(?s){tag('li', 'event__detail--time')}.*?<(?i:time)\b[^>]*>(.*?)</(?i:time)\s*>"), F.lit(2)
     )
-    tickets = F.regexp_extract(block, rf"(?s){tag(cls='event__detail--tickets')}(.*?)</li>", 2)
+    tickets = F.regexp_extract(block, rf"(?s){tag(cls='event__detail--tickets')}(.*?)</(?i:li)\s*>", 2)
     return {
         "title": inner(block, tag(cls="event__title")),
         "times": F.array_join(times, SEPARATOR),
@@ -259,7 +260,7 @@ LONG_DATE = Layout(
 
 
 def _two_when(block: Column, group: Column) -> Texts:
-    found = F.regexp_extract_all(block, F.lit(rf"(?s){tag('p', 'showdatevenue')}(.*?)</p>"), F.lit(2))
+    found = F.regexp_extract_all(block, F.lit(rf"(?s){tag('p', 'showdatevenue')}(.*?)</(?i:p)\s*>"), F.lit(2))
     return {"pair": F.array_join(found, SEPARATOR)}
 
 
@@ -298,7 +299,7 @@ def _in_month_day(cell: Column) -> Column:
 def _grid_texts(block: Column, group: Column) -> Texts:
     return {
         "title": inner(block, tag("a")),
-        "whole": F.split_part(block, F.lit("</li>"), F.lit(1)),
+        "whole": F.get(F.split(block, r"(?i)</li\s*>"), F.lit(0)),
     }
 
 
@@ -320,7 +321,7 @@ def _grid_fields(t: Texts) -> Texts:
 
 
 MONTH_GRID = Layout(
-    group=r"<td\b[^>]*>",
+    group=r"(?i)<td\b[^>]*>",
     group_counts=_in_month_day,
     listing=tag("li", "anEvent"),
     when=lambda block, group: {"day": inner(group, _DAY)},
@@ -347,7 +348,7 @@ LAYOUTS = {
 
 def links(pages: DataFrame, opening: str) -> DataFrame:
     """Every listing link of a page: position, href and text."""
-    found = F.posexplode(markup.blocks(F.col("html"), opening)).alias("pos", "block")
+    found = F.posexplode(markup.blocks(markup.normalised(F.col("html")), opening)).alias("pos", "block")
     link = tag("a")
     return pages.select("page_id", found).select(
         "page_id",
@@ -360,7 +361,7 @@ def links(pages: DataFrame, opening: str) -> DataFrame:
 # An index page of cards and one detail page per card with an embedded event description.
 _CARD = tag(attr='data-hook="events-card"')
 _CARD_TITLE = tag(attr='data-hook="title"')
-_SCRIPT = r'(?s)<script\b[^>]*\btype="application/ld\+json"[^>]*>(.*?)</script>'
+_SCRIPT = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?application/ld\+json\b[^>]*>(.*?)</script\s*>"""
 _EVENT = (
     "`@type` STRING, name STRING, description STRING, startDate STRING, "
     "location STRUCT<name: STRING, address: STRING>"
@@ -373,7 +374,7 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     `details` holds url and body; of several bodies of one url the greatest counts, so a page fetched
     again adds no listing. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
     """
-    cards = payloads.withColumn("_cards", markup.blocks(F.col("body"), _CARD))
+    cards = payloads.withColumn("_cards", markup.blocks(markup.normalised(F.col("body")), _CARD))
     cards = cards.withColumn("broken", F.size("_cards") == 0).select(
         "source", "week_start", "page", "broken", F.posexplode_outer("_cards").alias("pos", "card")
     )

@@ -302,3 +302,32 @@ def test_embedded_descriptions(spark):
     ]
     empty = feeds_html.json_ld(payloads.selectExpr("* except(body)", "'<p>' AS body"), spark.createDataFrame(details, "url STRING, body STRING"))
     assert extract.status(empty).first().status == "failed"
+
+
+def test_markup_of_any_spelling(value):
+    from pyspark.sql import functions as F
+
+    from marquee.functions import markup
+
+    opening = markup.tag("span", "t")
+    read = markup.plain(markup.inner(markup.normalised(F.col("t")), opening))
+    assert value(read, [
+        '<span class="t">A <span>in</span> tail</span> after',
+        "<SPAN id=x class = 't u'>A</SPAN >",
+        "<span class=t>A</span>",
+        '<!-- <span class="t">no</span> --><span data-a="b c=d" class="t">A</span>',
+        '<span class="t"><span><span>deep</span></span><spanner>kept</spanner></span></span>',
+        '<span class="other">no</span>',
+        '<span class="t"><span>never closed</span>',
+        None,
+    ]) == ["Aintail", "A", "A", "A", "deepkept", "", "", ""]
+    href = markup.attribute(markup.normalised(F.col("t")), markup.tag("a"), "href")
+    assert value(href, ["<a HREF='/x?a=b'>t</a>", "<A title='q' href=/y>t</A>", '<a href="/z?k=v w=1">t</a>', "<a>x href='n'</a>"]) == [
+        "/x?a=b", "/y", "/z?k=v w=1", ""
+    ]
+    assert value(markup.normalised(F.col("t")), ["a = 'b' < 3 and c='d'"]) == ["a = 'b' < 3 and c='d'"]
+
+
+def test_a_grid_without_its_month_is_broken(run):
+    rows, status = run("html_month_grid", '<td><span class="day">20</span><ul><li class="anEvent">7:00 PM<a href="/e">x</a></li></ul></td>')
+    assert rows == [] and status.status == "failed"

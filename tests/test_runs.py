@@ -270,20 +270,38 @@ def test_salted_lookup_keeps_every_row_of_a_hot_key(spark):
 # Matching ------------------------------------------------------------------------------------
 
 
-def brute_match(title, listed):
+def plain_ratio(a, b):
+    return difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()
+
+
+def edit_share(a, b):
+    a, b = (x.lower().removesuffix("(sold out)").rstrip() for x in (a, b))
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+    return 1.0 - row[-1] / max(len(a), len(b), 1)
+
+
+def brute_match(title, listed, measure):
     """First equal title, else the first of the best ratios from 0.6 up."""
     for pos, t in listed:
         if t == title:
             return pos
     best, score = None, 0.0
     for pos, t in listed:
-        ratio = difflib.SequenceMatcher(None, title.lower(), t.lower()).ratio()
+        ratio = measure(title, t)
         if ratio > score:
             best, score = pos, ratio
     return best if score >= 0.6 else None
 
 
-def test_fuzzy_match_against_brute_force(spark):
+@pytest.mark.parametrize(
+    ("ratio", "options"),
+    [(edit_share, []), (edit_share, [matching.edit_ratio, matching._comparable, 1]), (plain_ratio, [matching.title_ratio, F.lower])],
+)
+def test_fuzzy_match_against_brute_force(spark, ratio, options):
     rng = random.Random(11)
     words = ["night", "jazz", "open", "house", "film", "punk", "show", "(SOLD OUT)", "SEASIDE,", "NJ"]
     listing = [(d, pos, " ".join(rng.choices(words, k=rng.randrange(1, 5)))) for d in ("d1", "d2") for pos in range(60)]
@@ -291,11 +309,11 @@ def test_fuzzy_match_against_brute_force(spark):
     got = matching.match_mentions(
         spark.createDataFrame(mentions, "day STRING, nth INT, title STRING"),
         spark.createDataFrame(listing, "day STRING, pos INT, title STRING").withColumn("where", F.col("pos")),
-        ["day"], ["where"],
+        ["day"], ["where"], *options,
     ).collect()
     assert len(got) == len(mentions)
     for r in got:
-        assert r.hit_where == brute_match(r.title, [(p, t) for d, p, t in listing if d == r.day]), r
+        assert r.hit_where == brute_match(r.title, [(p, t) for d, p, t in listing if d == r.day], ratio), r
 
 
 def test_names_are_tried_in_order(spark):
