@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import category, clock, markup, money, text
+from marquee.operators.collection import failure_list
 from marquee.operators.lookup import salted_lookup
 from marquee.operators.ranking import display_cap
 
@@ -155,6 +156,20 @@ def day_pages(picks: DataFrame, mentions: DataFrame, listing: DataFrame) -> Data
     )
 
 
+def week_heads(manifest: DataFrame, events: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Heads of the week documents: events before and after the collapse, and the sources that failed.
+
+    A week has few sources, so its failures are an array in name order.
+    """
+    failed = failure_list(manifest).groupBy("week").agg(F.sort_array(F.collect_list("failure")).alias("collection_failures"))
+    raw = events.groupBy("week").agg(F.count(F.lit(1)).alias("raw_event_count"))
+    kept = candidates.groupBy("week").agg(F.count(F.lit(1)).alias("total_events_after_dedup"))
+    heads = manifest.select("week").distinct().join(raw, ["week"], "left").join(kept, ["week"], "left").join(failed, ["week"], "left")
+    return heads.na.fill(0, ["raw_event_count", "total_events_after_dedup"]).withColumn(
+        "collection_failures", F.coalesce("collection_failures", F.array().cast("array<string>"))
+    )
+
+
 def week_index(listing: DataFrame) -> DataFrame:
     """Weeks with their label; the report index lists them newest first."""
     monday = F.col("week")

@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import fixed
-from marquee.operators import collection, merge, picks_log, quality, report
+from marquee.functions import text
+from marquee.operators import collection, merge, picks_log, quality, ranking, report
+from marquee.operators.collapse import listed_day
+from marquee.operators.numbering import number_rows, position_bucket
+from marquee.plans.candidates import shown, whole_candidates
 from marquee.session import through_table
-from marquee.sources import extract
+from marquee.sources import extract, week_files
 from marquee.sources.week_files import reject, replace_weeks
 
+# Category of a listing whose words vote for none.
+UNVOTED = fixed.COMMUNITY
+
 
 @dataclass(frozen=True)
 class Selection:
@@ -24,13 +31,110 @@ class Selection:
     listing: DataFrame
 
 
-def collect(payloads: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Listings and per-source status of payloads keyed by their format."""
-    parsed = [extract.parse(df, layout) for layout, df in payloads.items()]
+@dataclass(frozen=True)
+class Judgement:
+    """What was decided about the candidates of one or many weeks."""
+
+    days: DataFrame
+    annotations: DataFrame
+    picks: DataFrame
+    mentions: DataFrame
+
+
+@dataclass(frozen=True)
+class Run:
+    """Tables of a weekly run."""
+
+    manifest: DataFrame
+    candidates: DataFrame
+    judgement: Judgement
+    selection: Selection
+    heads: DataFrame
+
+
+def collect(payloads: dict[str, DataFrame], details: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Listings and per-source status of payloads keyed by their format, each written once."""
+    parsed = [through_table(extract.parse(df, layout, details), "parsed") for layout, df in payloads.items()]
     listings = reduce(DataFrame.unionByName, [extract.listings(p) for p in parsed])
     return listings, reduce(DataFrame.unionByName, [extract.status(p) for p in parsed])
 
 
+def manifest_of(status: DataFrame, collected_at: str, notes: DataFrame | None = None) -> DataFrame:
+    """Manifest of extraction results; `notes` (week, source, note) come from the fetch log."""
+    results = status.withColumnRenamed("week_start", "week").withColumn("collected_at", F.lit(collected_at))
+    built = collection.build_manifest(results)
+    if notes is None:
+        return built.withColumn("note", F.lit(None).cast("string"))
+    told = notes.groupBy("week", "source").agg(F.max("note").alias("note"))
+    return built.join(told, ["week", "source"], "left")
+
+
+def arrivals(listings: DataFrame, registry: DataFrame) -> DataFrame:
+    """Extracted listings as candidates are built from them: the stem is the source's key, the source its
+    display name, and `pos` numbers a source's week by page and place."""
+    rows = listings.withColumnsRenamed({"week_start": "week", "source": "stem", "pos": "place"})
+    rows = rows.withColumn("page", F.coalesce("page", F.lit(0))).withColumn("_bucket", position_bucket(F.col("place")))
+    order = ["place", "title", "venue", "time", "url"]
+    numbered = number_rows(rows, ["week", "stem"], ["page", "_bucket"], order, "pos").drop("_bucket", "place", "page")
+    names = registry.select(F.col("source").alias("stem"), F.col("name").alias("source"))
+    return numbered.join(names, ["stem"], "left")
+
+
+def judge(
+    candidates: DataFrame, categories: DataFrame, interests: DataFrame, aggregators: list[str], unvoted: str = UNVOTED
+) -> Judgement:
+    """Category, score, picks and mentions of candidates with whole descriptions.
+
+    `categories` holds term and category, `interests` term, interest and tier. Every candidate gets an
+    annotation; `why` names the rule that placed a pick.
+    """
+    rows = candidates.withColumn("_text", F.concat_ws(" ", "title", "description")).withColumn(
+        "_key", F.concat_ws("/", F.col("week").cast("string"), "id")
+    )
+    votes = ranking.category_vote(rows, categories, "_key", "_text").select("_key", "category")
+    judged = through_table(
+        rows.join(votes, ["_key"], "left")
+        .withColumn("category", F.coalesce("category", F.lit(unvoted)))
+        .withColumn("sold_out", text.mentions(F.col("description"), fixed.SOLD_OUT_PHRASE))
+        .withColumn("day", listed_day(candidates))
+        .drop("_key", "_text"),
+        "judged",
+    )
+    scored = through_table(ranking.score_candidates(judged, interests, aggregators), "scored")
+    placed = ranking.daily_picks(scored).select("week", "id", "place", "kind", "tier", "overlap")
+    chosen = through_table(judged.select("week", "day", "id", "category", "sold_out").join(placed, ["week", "id"]), "chosen")
+    picks = chosen.where("kind = 'pick'").select(
+        "week", "day", F.col("place").alias("rank"), "id", "category", "sold_out",
+        F.format_string("interest tier %d, %d interests", "tier", "overlap").alias("why"),
+        (F.col("category") == fixed.CATEGORIES[0][0]).alias("is_music"),
+        F.lit(None).cast("string").alias("address"), F.lit(None).cast("string").alias("time"),
+    )
+    mentions = chosen.where("kind = 'mention'").select("week", "day", F.col("place").alias("pos"), "id")
+    annotations = judged.select(
+        "week", "day", "id", F.lit(0).alias("pos"), "category", "sold_out", F.lit(None).cast("string").alias("note")
+    )
+    days = collection.calendar(judged).select(
+        "week", F.col("date").cast("string").alias("date"), F.date_format("date", "EEEE").alias("day_name")
+    )
+    return Judgement(days, annotations, picks, mentions)
+
+
+def run(
+    payloads: dict[str, DataFrame], registry: DataFrame, categories: DataFrame, interests: DataFrame, collected_at: str,
+    aggregators: list[str] | None = None, details: DataFrame | None = None, notes: DataFrame | None = None,
+    priority: list[str] | None = None,
+) -> Run:
+    """From raw payloads to the merged selection of their weeks."""
+    listings, status = collect(payloads, details)
+    manifest = through_table(manifest_of(status, collected_at, notes), "manifest")
+    events = collection.ok_events(manifest, through_table(arrivals(listings, registry), "arrivals"))
+    whole = through_table(whole_candidates(events, priority), "candidates")
+    judgement = judge(whole, categories, interests, aggregators or [])
+    candidates = shown(whole)
+    selection = merge_selection(candidates, judgement.annotations, judgement.picks, judgement.mentions, judgement.days)
+    return Run(manifest, candidates, judgement, selection, report.week_heads(manifest, events, whole))
+
+
 def collection_issues(
     manifest: DataFrame, files: DataFrame, floors: DataFrame, total_floor: int = fixed.TOTAL_YIELD_FLOOR,
     prior: DataFrame | None = None,
@@ -52,13 +156,16 @@ def stop_on_failures(issues: DataFrame) -> None:
 
 
 def merge_selection(
-    candidates: DataFrame, annotations: DataFrame, picks: DataFrame, mentions: DataFrame
+    candidates: DataFrame, annotations: DataFrame, picks: DataFrame, mentions: DataFrame, days: DataFrame | None = None
 ) -> Selection:
     """Merge judgement onto candidates; any row that does not resolve stops the run before a write.
 
     The merged tables are written once to the shared folder: every report table starts from them.
     """
-    stop_on_failures(merge.violations(candidates, annotations, picks, mentions))
+    found = merge.violations(candidates, annotations, picks, mentions)
+    if days is not None:
+        found = found.unionByName(merge.day_violations(days))
+    stop_on_failures(found)
     return Selection(
         through_table(merge.merge_picks(picks, candidates, annotations), "picks"),
         through_table(merge.merge_mentions(mentions, candidates, annotations), "mentions"),
@@ -84,9 +191,13 @@ def log_selection(selection: Selection, lookup: DataFrame, log: DataFrame, city:
     return picks_log.new_rows(picks_log.log_rows(selection.picks, selection.mentions, lookup, city), log)
 
 
-def fetch_plan(registry: DataFrame, results: DataFrame) -> DataFrame:
-    """What a repeated run still has to fetch."""
-    return collection.resume_plan(registry, results)
+def append_log(spark: SparkSession, selection: Selection, lookup: DataFrame, log_path: str, city: str = fixed.CITY) -> tuple[int, int]:
+    """Append the selection's new rows to the log table; how many were written and how many it already held."""
+    rows = through_table(picks_log.log_rows(selection.picks, selection.mentions, lookup, city), "log_rows")
+    new = through_table(picks_log.new_rows(rows, week_files.read_picks_log(spark, log_path)), "log_new")
+    written = new.count()
+    week_files.append_picks_log(new, log_path)
+    return written, rows.count() - written
 
 
 def record_attendance(spark: SparkSession, log_path: str, titles: DataFrame, week_of: str, city: str = fixed.CITY) -> None:

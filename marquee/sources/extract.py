@@ -24,7 +24,12 @@ FORMATS = {
 }
 
 
-def parse(payloads: DataFrame, layout: str) -> DataFrame:
+def parse(payloads: DataFrame, layout: str, details: DataFrame | None = None) -> DataFrame:
+    """Payloads of one format. Only `json_ld` reads `details`, the pages that its cards lead to (url, body)."""
+    if layout == "json_ld":
+        if details is None:
+            details = payloads.select(F.col("fallback_url").alias("url"), "body").limit(0)
+        return feeds_html.json_ld(payloads, details)
     return FORMATS[layout](payloads)
 
 

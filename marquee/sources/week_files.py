@@ -108,8 +108,9 @@ def write_source_results(status: DataFrame, listings: DataFrame, path: str) -> N
 
 
 def manifest_documents(manifest: DataFrame) -> DataFrame:
-    """One manifest document per week, sources in name order. A week has as many entries as sources."""
-    entry = F.struct("source", F.struct("status", "events", "reason").alias("entry"))
+    """One manifest document per week, sources in name order, with their notes. A week has as many entries as sources."""
+    note = F.col("note") if "note" in manifest.columns else F.lit(None).cast("string")
+    entry = F.struct("source", F.struct("status", "events", "reason", note.alias("note")).alias("entry"))
     return manifest.groupBy("week").agg(
         F.min("first_collected").alias("run_started"),
         F.max("last_collected").alias("run_completed"),
@@ -172,11 +173,26 @@ def replace_weeks(df: DataFrame, path: str, *deeper: str) -> None:
 
 
 def read_picks_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PICKS_LOG).options(header=True, escape='"').csv(path)
+    """The log table, partitioned by `week_of`; a log that does not exist yet is empty."""
+    try:
+        return spark.read.schema(schemas.PICKS_LOG).parquet(path).select(*fixed.PICKS_LOG_COLUMNS)
+    except AnalysisException as exc:
+        if _absent(exc):
+            return spark.createDataFrame([], schemas.PICKS_LOG)
+        raise
 
 
 def append_picks_log(rows: DataFrame, path: str) -> None:
-    rows.select(*fixed.PICKS_LOG_COLUMNS).write.mode("append").options(header=True, escape='"', emptyValue="").csv(path)
+    rows.select(*fixed.PICKS_LOG_COLUMNS).write.mode("append").partitionBy("week_of").parquet(path)
+
+
+def import_picks_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log kept as CSV."""
+    return spark.read.schema(schemas.PICKS_LOG).options(header=True, escape='"').csv(path)
+
+
+def export_picks_log(log: DataFrame, path: str) -> None:
+    log.select(*fixed.PICKS_LOG_COLUMNS).write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
 
 
 def usage_lines(lines: DataFrame) -> DataFrame:

@@ -214,8 +214,11 @@ def test_append_is_idempotent(spark, tmp_path):
     rows = spark.createDataFrame([("Philadelphia", DAY, "Monday", DAY, t, "Hall, \"up\"", "music", "s", "1", "low", "", "", "") for t in ("A", "B, C", 'D "E"')], schemas.PICKS_LOG)
     path = str(tmp_path / "log")
     empty = spark.createDataFrame([], schemas.PICKS_LOG)
+    assert week_files.read_picks_log(spark, path).count() == 0
     week_files.append_picks_log(picks_log.new_rows(rows, empty), path)
     log = week_files.read_picks_log(spark, path)
+    week_files.export_picks_log(log, f"{path}-csv")
+    assert sorted(week_files.import_picks_log(spark, f"{path}-csv").collect()) == sorted(log.collect())
     assert sorted(r.title for r in log.collect()) == ["A", "B, C", 'D "E"']
     assert picks_log.new_rows(rows, log).count() == 0
     other = rows.withColumn("week_of", F.lit("2026-07-27"))
