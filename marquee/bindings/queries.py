@@ -731,6 +731,13 @@ def _listing(t: Tables) -> DataFrame:
     return merge.listing_rows(t.occurrence(), t.annotation())
 
 
+def _tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The merged listing, picks and mentions, each written once, as the weekly plan does."""
+    return (
+        through_table(_listing(t), "listing"), through_table(_merged_picks(t), "picks"), through_table(_merged_mentions(t), "mentions")
+    )
+
+
 def _flagged(t: Tables) -> DataFrame:
     return ranking.flag_chosen(_listing(t), _merged_picks(t), _merged_mentions(t))
 
@@ -983,6 +990,34 @@ def check_same_series(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "venue_cap_members",
+    f"""
+    SELECT week, {_VENUE_KEY} AS venue_key, day, rank, title, n
+    FROM (SELECT *, count(*) OVER (PARTITION BY week, {_VENUE_KEY}) AS n FROM merged_pick) WHERE n > 2""",
+    ["merged_pick"],
+)
+def venue_cap_members(t: Tables) -> DataFrame:
+    return quality.venue_cap_members(through_table(_merged_picks(t), "picks"))
+
+
+@query(
+    "near_title_members",
+    """
+    WITH b AS (SELECT DISTINCT o_orderpriority AS venue, lower(o_orderstatus || ' ' || o_custkey) AS bare,
+                      CASE WHEN o_orderkey % 2 = 0 THEN 'Club: ' ELSE '' END || o_orderstatus || ' ' || o_custkey AS title, DATE '2024-01-01' AS week FROM orders)
+    SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY week, venue, bare) AS n FROM b) WHERE n > 1""",
+)
+def near_title_members(t: Tables) -> DataFrame:
+    """Orders as shows of a customer, every other one announced by a club."""
+    name = F.concat("o_orderstatus", F.lit(" "), "o_custkey")
+    rows = t.table("orders").select(
+        F.lit("2024-01-01").cast("date").alias("week"), F.col("o_orderpriority").alias("venue"),
+        F.concat(F.when(F.col("o_orderkey") % 2 == 0, "Club: ").otherwise(""), name).alias("title"),
+    )
+    return quality.near_title_members(rows)
+
+
 @query(
     "near_title_dupes",
     _issue_sql(
@@ -1046,7 +1081,8 @@ def check_star_resolves(t: Tables) -> DataFrame:
     ["merged_pick", "resolved_pick", "resolved_mention", "latest", "occurrence", "manifest", "floors"],
 )
 def issue_report(t: Tables) -> DataFrame:
-    found = quality.selection_issues(_merged_picks(t), _listing(t)).unionByName(
+    listing, picks, _ = _tables(t)
+    found = quality.selection_issues(picks, listing).unionByName(
         quality.yield_floor(t.manifest(), t.floors(), TOTAL_FLOOR)
     )
     broken = merge_violations(t).select(
@@ -1092,14 +1128,14 @@ def pick_cards(t: Tables) -> DataFrame:
 @query(
     "display_cap",
     f"""
-    SELECT week, day, category, CAST(card AS INT) AS card, id, title, is_pick AS starred, note, venue, {_shown_time('time', 'note')} AS time_display,
+    SELECT week, day, category, category_ord, CAST(card AS INT) AS card, id, title, url AS link_url, is_pick AS starred, note, venue, {_shown_time('time', 'note')} AS time_display,
            CASE WHEN sold_out THEN 'sold-out' WHEN lower({S.unwrap('cost')}) IN ('free', 'no cover') THEN 'price-free' ELSE 'price-paid' END AS price_class,
            CASE WHEN sold_out THEN 'SOLD OUT' ELSE {S.unwrap('cost')} END AS price_text, true_count
     FROM carded WHERE card <= 10""",
     ["carded"],
 )
 def display_cap(t: Tables) -> DataFrame:
-    return report.category_cards(_listing(t), _merged_picks(t), _merged_mentions(t))
+    return report.category_cards(*_tables(t))
 
 
 @query(
@@ -1108,7 +1144,7 @@ def display_cap(t: Tables) -> DataFrame:
     ["carded"],
 )
 def annotation_cap(t: Tables) -> DataFrame:
-    return ranking.annotation_cap(_flagged(t)).select("week", "day", "category", "id", "is_pick", "is_mention")
+    return ranking.annotation_cap(through_table(_flagged(t), "flagged")).select("week", "day", "category", "id", "is_pick", "is_mention")
 
 
 _END = "CASE category " + " ".join(f"WHEN '{n}' THEN {m}" for n, _, m in fixed.CATEGORIES) + " ELSE 120 END"

@@ -192,12 +192,12 @@ ELEVATED_VENUES = [
 INTERESTS = [
     ("leftist politics", 1, ["labor", "union", "indigenous", "solidarity", "anarchist", "justice"]),
     ("film", 1, ["film", "screening", "cinema", "noir", "shorts"]),
-    ("punk and hardcore", 1, ["punk", "hardcore", "ebm", "industrial", "noise", "emo"]),
+    ("punk and hardcore", 1, ["punk", "hardcore", "ebm", "industrial", "noise", "emo", "post punk", "post hardcore"]),
     ("horror and occult", 1, ["horror", "paranormal", "gothic", "occult", "esoteric"]),
-    ("literature", 1, ["author", "reading", "poetry", "bookstore", "novel"]),
+    ("literature", 1, ["author", "reading", "poetry", "bookstore", "novel", "book club"]),
     ("diy electronics", 2, ["maker", "hackerspace", "electronics", "soldering", "hardware"]),
-    ("soul and jazz", 2, ["soul", "jazz", "gospel", "tribute", "reissue"]),
-    ("software", 2, ["scala", "rust", "swift", "ios", "ai", "agentic"]),
+    ("soul and jazz", 2, ["soul", "jazz", "gospel", "tribute", "reissue", "r b"]),
+    ("software", 2, ["scala", "rust", "swift", "ios", "ai", "agentic", "functional programming", "embedded systems"]),
     ("coffee", 3, ["coffee", "espresso"]),
     ("local cuisine", 3, ["restaurant", "food", "popup", "trucks"]),
     ("fruits and pastries", 3, ["farmers", "bakery", "pastry", "fruit"]),
@@ -206,6 +206,22 @@ INTERESTS = [
     ("independent art", 3, ["gallery", "zine", "printmaking"]),
 ]
 
+# Words in the longest phrase of the interests.
+PHRASE_WORDS = 2
+
+# Words that vote for a category.
+CATEGORY_TERMS = [
+    ("🎵 Music & Concerts", ["band", "concert", "dj", "jazz", "orchestra", "punk", "singer", "songs"]),
+    ("🎬 Film & Cinema", ["cinema", "documentary", "film", "movie", "screening", "shorts"]),
+    ("📚 Literary", ["author", "book", "novel", "poetry", "reading", "zine"]),
+    ("🤝 Community & Politics", ["community", "labor", "meeting", "organizing", "solidarity", "union"]),
+    ("🎨 Arts & Workshops", ["art", "class", "drawing", "exhibition", "gallery", "workshop"]),
+    ("💻 Tech & Maker", ["coding", "electronics", "hackerspace", "maker", "programming", "software"]),
+    ("🌿 Markets & Outdoors", ["farmers", "garden", "hike", "market", "outdoor", "park"]),
+    ("👻 Horror & Occult", ["ghost", "gothic", "horror", "occult", "paranormal", "tarot"]),
+    ("🎪 Festivals & Major Events", ["carnival", "fair", "festival", "parade"]),
+]
+
 # Holiday word and the month it belongs to.
 HOLIDAY_MONTHS = [
     ("valentine", 2),

@@ -14,6 +14,7 @@ from marquee import fixed
 from marquee.functions import category, clock, money, text
 from marquee.operators.collapse import listed_day
 from marquee.operators.numbering import number_rows, position_bucket
+from marquee.session import through_table
 
 CANDIDATE = ["week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "source", "listed_date"]
 
@@ -134,9 +135,10 @@ def listing_rows(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
 def merge_events(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """The day listing: category order, timed before untimed, by clock, then candidate order.
 
-    `listing_pos` numbers each day from 0 without sorting a whole day in one task.
+    `listing_pos` numbers each day from 0 without sorting a whole day in one task. The rows are
+    written before: the count pass would else repeat the join.
     """
-    rows = listing_rows(candidates, annotations).withColumn("_bucket", position_bucket(F.col("ord")))
+    rows = through_table(listing_rows(candidates, annotations), "listing_rows").withColumn("_bucket", position_bucket(F.col("ord")))
     return number_rows(
         rows,
         group=["week", "day"],

@@ -144,13 +144,23 @@ def snapshot_regression(current: DataFrame, prior: DataFrame) -> DataFrame:
 # Selection -----------------------------------------------------------------------------------
 
 
+def _by_venue(picks: DataFrame) -> DataFrame:
+    return picks.withColumn("venue_key", text.venue_key(F.col("address"), F.col("venue")))
+
+
+def _over_cap(picks: DataFrame, cap: int) -> DataFrame:
+    return _by_venue(picks).groupBy("week", "venue_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap)
+
+
+def venue_cap_members(picks: DataFrame, cap: int = fixed.VENUE_PICKS_PER_WEEK) -> DataFrame:
+    """The picks of the venues that `venue_cap` names."""
+    members = _by_venue(picks).join(_over_cap(picks, cap), ["week", "venue_key"])
+    return members.select("week", "venue_key", "day", "rank", "title", "n")
+
+
 def venue_cap(picks: DataFrame, cap: int = fixed.VENUE_PICKS_PER_WEEK) -> DataFrame:
-    keyed = picks.withColumn("venue_key", text.venue_key(F.col("address"), F.col("venue")))
-    over = (
-        keyed.groupBy("week", "venue_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap)
-    )
     return issues(
-        over,
+        _over_cap(picks, cap),
         "venue_cap",
         "warn",
         F.col("venue_key"),
@@ -192,16 +202,24 @@ def implausible_time(picks: DataFrame) -> DataFrame:
     )
 
 
+def _by_series(picks: DataFrame) -> DataFrame:
+    return _by_venue(picks).withColumn("prefix", text.series_prefix(F.col("title"))).where(F.col("prefix").isNotNull())
+
+
+def _series_groups(picks: DataFrame) -> DataFrame:
+    return _by_series(picks).groupBy("week", "venue_key", "prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def same_series_members(picks: DataFrame) -> DataFrame:
+    """The picks of the series that `same_series` names."""
+    members = _by_series(picks).join(_series_groups(picks), ["week", "venue_key", "prefix"])
+    return members.select("week", "venue_key", "prefix", "day", "rank", "title", "n")
+
+
 def same_series(picks: DataFrame) -> DataFrame:
     """More than one pick with the same venue and title prefix in a week."""
-    keyed = picks.select(
-        "week",
-        text.venue_key(F.col("address"), F.col("venue")).alias("venue_key"),
-        text.series_prefix(F.col("title")).alias("prefix"),
-    ).where(F.col("prefix").isNotNull())
-    twice = keyed.groupBy("week", "venue_key", "prefix").agg(F.count(F.lit(1)).alias("n"))
     return issues(
-        twice.where(F.col("n") > 1),
+        _series_groups(picks),
         "same_series",
         "warn",
         F.col("venue_key"),
@@ -223,15 +241,26 @@ def star_resolves(picks: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def near_titles(rows: DataFrame) -> DataFrame:
-    """Titles of a venue that differ only by a leading 'prefix: ', as one row per shared remainder."""
+def _bare_titles(rows: DataFrame) -> DataFrame:
     title = text.strip(F.col("title"))
     at = F.instr(title, ": ")
     bare = F.lower(F.when(at > 0, text.strip(F.substr(title, at + 2))).otherwise(title))
-    titles = rows.select("week", "venue", bare.alias("bare"), title.alias("title")).distinct()
-    shared = titles.groupBy("week", "venue", "bare").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("week", "venue", bare.alias("bare"), title.alias("title")).distinct()
+
+
+def _shared_titles(rows: DataFrame) -> DataFrame:
+    return _bare_titles(rows).groupBy("week", "venue", "bare").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def near_title_members(rows: DataFrame) -> DataFrame:
+    """The titles that `near_titles` counts."""
+    return _bare_titles(rows).join(_shared_titles(rows), ["week", "venue", "bare"])
+
+
+def near_titles(rows: DataFrame) -> DataFrame:
+    """Titles of a venue that differ only by a leading 'prefix: ', as one row per shared remainder."""
     return issues(
-        shared.where(F.col("n") > 1),
+        _shared_titles(rows),
         "near_titles",
         "warn",
         F.col("venue"),

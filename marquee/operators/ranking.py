@@ -26,12 +26,28 @@ def tokens(body: Column) -> Column:
     return F.regexp_extract_all(F.lower(text.text_or_empty(body)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def interest_tags(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> DataFrame:
+def terms_of(body: Column, longest: int = 1) -> Column:
+    """Distinct phrases of up to `longest` neighbouring words of a text, joined by one space."""
+
+    def phrases(words: Column) -> Column:
+        out = words
+        run = words
+        for n in range(1, longest):
+            later = F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))
+            run = F.zip_with(F.slice(run, 1, F.size(later)), later, lambda a, b: F.concat_ws(" ", a, b))
+            out = F.concat(out, run)
+        return F.array_distinct(out)
+
+    return text.once(tokens(body), phrases)
+
+
+def interest_tags(docs: DataFrame, lexicon: DataFrame, key: str, body: str, longest: int = 1) -> DataFrame:
     """Interests whose words occur in a text, and how many of them; texts without any are left out.
 
-    Words are made distinct per text before the join, and common words are salted.
+    Words, and phrases of up to `longest` words, are made distinct per text before the join, and
+    common ones are salted.
     """
-    words = docs.select(key, F.explode(F.array_distinct(tokens(F.col(body)))).alias("term"))
+    words = docs.select(key, F.explode(terms_of(F.col(body), longest)).alias("term"))
     hits = salted_lookup(words, lexicon.groupBy("term").agg(F.collect_set("interest").alias("interests")),
                          ["term"], [key], "inner")
     return (
@@ -60,9 +76,9 @@ def is_elevated(venue: Column) -> Column:
     return F.split_part(text.text_or_empty(venue), F.lit(","), F.lit(1)).isin(fixed.ELEVATED_VENUES)
 
 
-def interest_tiers(docs: DataFrame, lexicon: DataFrame, key: str, body: str) -> DataFrame:
+def interest_tiers(docs: DataFrame, lexicon: DataFrame, key: str, body: str, longest: int = 1) -> DataFrame:
     """Best interest tier of a text and how many interests it touches."""
-    words = docs.select(key, F.explode(F.array_distinct(tokens(F.col(body)))).alias("term"))
+    words = docs.select(key, F.explode(terms_of(F.col(body), longest)).alias("term"))
     terms = lexicon.groupBy("term").agg(F.min("tier").alias("tier"), F.collect_set("interest").alias("interests"))
     hits = salted_lookup(words, terms, ["term"], [key], "inner")
     return hits.groupBy(key).agg(
@@ -70,7 +86,12 @@ def interest_tiers(docs: DataFrame, lexicon: DataFrame, key: str, body: str) ->
     )
 
 
-def score_candidates(candidates: DataFrame, lexicon: DataFrame, aggregators: list[str]) -> DataFrame:
+def category_lexicon(spark: SparkSession) -> DataFrame:
+    rows = [(term, name) for name, terms in fixed.CATEGORY_TERMS for term in terms]
+    return spark.createDataFrame(rows, "term STRING, category STRING")
+
+
+def score_candidates(candidates: DataFrame, lexicon: DataFrame, aggregators: list[str], longest: int = 1) -> DataFrame:
     """Candidates with the sort keys of `daily_picks`, one column per rule.
 
     Easy to miss is what no aggregator carries. A listing without a link stays and is marked as
@@ -78,7 +99,7 @@ def score_candidates(candidates: DataFrame, lexicon: DataFrame, aggregators: lis
     """
     body = F.concat_ws(" ", "title", "description")
     rows = candidates.withColumn("_text", body).withColumn("_key", F.concat_ws("/", F.col("week").cast("string"), "id"))
-    tiers = interest_tiers(rows, lexicon, "_key", "_text")
+    tiers = interest_tiers(rows, lexicon, "_key", "_text", longest)
     return rows.join(tiers, ["_key"], "left").select(
         "week",
         listed_day(candidates).alias("day"),

@@ -75,14 +75,19 @@ def pick_cards(picks: DataFrame, lookup: DataFrame) -> DataFrame:
 def category_cards(
     listing: DataFrame, picks: DataFrame, mentions: DataFrame, cap: int = fixed.CARDS_PER_CATEGORY
 ) -> DataFrame:
-    """Displayed cards per day and category with the category's true count."""
+    """Displayed cards per day and category with link, the category's place and its true count.
+
+    All three inputs are read more than once: hand over tables.
+    """
     return display_cap(listing, picks, mentions, cap).select(
         "week",
         "day",
         "category",
+        "category_ord",
         "card",
         "id",
-        "title",
+        markup.escape(F.col("title")).alias("title"),
+        F.col("url").alias("link_url"),
         F.col("is_pick").alias("starred"),
         "note",
         "venue",

@@ -100,7 +100,7 @@ def judge(
         .drop("_key", "_text"),
         "judged",
     )
-    scored = through_table(ranking.score_candidates(judged, interests, aggregators), "scored")
+    scored = through_table(ranking.score_candidates(judged, interests, aggregators, fixed.PHRASE_WORDS), "scored")
     placed = ranking.daily_picks(scored).select("week", "id", "place", "kind", "tier", "overlap")
     chosen = through_table(judged.select("week", "day", "id", "category", "sold_out").join(placed, ["week", "id"]), "chosen")
     picks = chosen.where("kind = 'pick'").select(

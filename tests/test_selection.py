@@ -194,6 +194,16 @@ def test_rows_without_a_venue_share_no_cap(spark):
     assert ranking.daily_picks(scored(spark, rows)).count() == 12
 
 
+def test_phrases_of_the_interests(spark):
+    docs = spark.createDataFrame([(1, "A Post-Punk R&B night"), (2, "functional programming"), (3, "one"), (4, ""), (5, None)], "id INT, body STRING")
+    got = docs.select("id", ranking.terms_of(F.col("body"), 3).alias("t")).orderBy("id").collect()
+    assert sorted(got[0].t)[:4] == ["a", "a post", "a post punk", "b"] and "r b night" in got[0].t
+    assert [list(r.t) for r in got[1:]] == [["functional", "programming", "functional programming"], ["one"], [], []]
+    tags = ranking.interest_tags(docs, ranking.interest_lexicon(spark), "id", "body", fixed.PHRASE_WORDS)
+    assert {r.id: list(r.interests) for r in tags.collect()} == {1: ["punk and hardcore", "soul and jazz"], 2: ["software"]}
+    assert ranking.category_lexicon(spark).select("category").distinct().count() == 9
+
+
 def test_interest_tags_and_category_vote(spark):
     docs = spark.createDataFrame([(1, "Punk film, film noir!"), (2, "nothing here"), (3, "Jazz & COFFEE"), (4, None)], "id INT, body STRING")
     tags = ranking.interest_tags(docs, ranking.interest_lexicon(spark), "id", "body")
