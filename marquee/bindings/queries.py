@@ -30,7 +30,8 @@ from marquee.operators import (
 )
 from marquee.plans.candidates import build_candidates
 from marquee.session import through_table, work_path
-from marquee.sources import extract, feeds_html
+from marquee.plans import weekly
+from marquee.sources import extract, feeds_html, week_files
 from marquee.sources.week_files import replace_weeks
 from marquee.streaming import jobs, sink
 
@@ -1512,6 +1513,132 @@ def pick_histograms(t: Tables) -> DataFrame:
 # Sinks and streams -------------------------------------------------------------------------------
 
 
+@query(
+    "scan_manifest",
+    """
+    SELECT week, source, status, events, CASE WHEN status = 'failed' THEN 'gone' END AS reason, CASE WHEN events > 500 THEN 'partial' END AS note
+    FROM manifest""",
+    ["manifest"],
+)
+def scan_manifest(t: Tables) -> DataFrame:
+    """Manifest documents written as JSON, one per week, and read back."""
+    rows = t.manifest().select(
+        "week", "source", "status", "events", F.when(F.col("status") == "failed", "gone").alias("reason"),
+        F.when(F.col("events") > 500, "partial").alias("note"),
+        F.col("started").cast("string").alias("first_collected"), F.col("completed").cast("string").alias("last_collected"),
+    )
+    path = work_path(t.spark, "manifests")
+    documents = week_files.manifest_documents(rows).withColumn("folder", F.col("week"))
+    documents.repartition("folder").write.partitionBy("folder").json(path)
+    return week_files.read_manifest(t.spark, f"{path}/folder=*/*.json").select("week", "source", "status", "events", "reason", "note")
+
+
+@query("scan_picks_log", "SELECT * FROM log_row", ["log_row"])
+def scan_picks_log(t: Tables) -> DataFrame:
+    """The log written as CSV, quotes and commas included, and read back."""
+    path = work_path(t.spark, "log-csv")
+    week_files.export_picks_log(_log_rows(t), path)
+    return week_files.import_picks_log(t.spark, path)
+
+
+@query("append_log_table", "SELECT DISTINCT * FROM log_row", ["log_row"])
+def append_log_table(t: Tables) -> DataFrame:
+    """The log appended twice to a table by week: the second time finds every key."""
+    path = work_path(t.spark, "log-table")
+    rows = through_table(_log_rows(t).distinct(), "log")
+    for _ in range(2):
+        log = week_files.read_picks_log(t.spark, path)
+        week_files.append_picks_log(through_table(picks_log.new_rows(rows, log), "new"), path)
+    return week_files.read_picks_log(t.spark, path)
+
+
+@query(
+    "scan_usage_log",
+    """
+    SELECT l_orderkey AS message_id, l_linenumber AS line_no, CAST(l_quantity AS BIGINT) AS input_tokens, l_partkey AS output_tokens
+    FROM lineitem WHERE l_returnflag <> 'R'""",
+)
+def scan_usage_log(t: Tables) -> DataFrame:
+    """Line items as JSON lines among blank, broken and foreign ones."""
+    usage_of = F.struct(F.col("l_quantity").cast("long").alias("input_tokens"), F.col("l_partkey").alias("output_tokens"))
+    message = F.struct(F.col("l_orderkey").cast("string").alias("id"), usage_of.alias("usage"))
+    good = F.to_json(F.struct(F.lit("assistant").alias("type"), message.alias("message"), F.col("l_linenumber").alias("nth")))
+    other = F.when(F.col("l_linenumber") % 3 == 0, "").when(F.col("l_linenumber") % 3 == 1, F.substring(good, 1, 40)).otherwise(
+        F.to_json(F.struct(F.lit("user").alias("type"), message.alias("message")))
+    )
+    line = F.when(F.col("l_returnflag") != "R", good).otherwise(other)
+    path = work_path(t.spark, "usage-lines")
+    t.table("lineitem").select(line.alias("value")).write.text(path)
+    nth = F.get_json_object("value", "$.nth").cast("long")
+    lines = t.spark.read.text(path).select(F.lit("s").alias("session"), F.lit("").alias("agent"), nth.alias("line_no"), "value")
+    return week_files.usage_lines(lines).select(F.col("message_id").cast("long").alias("message_id"), "line_no", "input_tokens", "output_tokens")
+
+
+@query("scan_annotations", "SELECT week, day, rank, id, why, category FROM pick", ["pick"])
+def scan_annotations(t: Tables) -> DataFrame:
+    """Judgement documents written as JSON, one per week, and their picks read back."""
+    pick = F.struct("id", "rank", "address", "category", "is_music", "sold_out", "why", "time")
+    days = t.pick().groupBy("week", "day").agg(F.collect_list(pick).alias("top3"))  # three a day
+    day = F.struct(F.col("day").alias("date"), F.date_format(F.to_date("day"), "EEEE").alias("day_name"), "top3")
+    path = work_path(t.spark, "judgement")
+    documents = days.groupBy("week").agg(F.collect_list(day).alias("days")).withColumn("folder", F.col("week"))  # seven a week
+    documents.repartition("folder").write.partitionBy("folder").json(path)
+    _, _, picks, _ = week_files.read_annotations(t.spark, f"{path}/folder=*/*.json")
+    return picks.select("week", "day", "rank", "id", "why", "category")
+
+
+@query("write_source_results", ORACLES["extract_calendar_json"])
+def write_source_results(t: Tables) -> DataFrame:
+    """Status and listings of a feed written by week and read back."""
+    path = work_path(t.spark, "results")
+    listings, status = weekly.collect({"calendar_json": t.calendar_payloads()})
+    week_files.write_source_results(status, listings, path)
+    return t.spark.read.parquet(f"{path}/listings").withColumnRenamed("week", "week_start").select(*LISTED_COLUMNS)
+
+
+_WEEKLY = ",\n".join([
+    S.with_views(["occurrence", "bench_words"], "").rstrip(),
+    """
+    feed AS (SELECT week, 'feed' AS stem, pos, 'feed' AS source, event_type AS title, CASE WHEN user_id >= 50 THEN venue ELSE 'Default Hall' END AS venue,
+                    date, CASE WHEN event_type <> 'signup' THEN strftime(ts, '%-I:%M %p') ELSE '' END AS time, '' AS cost,
+                    CASE WHEN event_type <> 'click' THEN url ELSE 'https://example.org/' END AS url, description
+             FROM occurrence WHERE event_type <> 'error')""",
+    _collapsed_sql("feed", fixed.SOURCE_PRIORITY),
+    _FOLDED,
+    _NUMBERED,
+    f"""
+    word AS (SELECT week, ord, unnest(regexp_extract_all(lower(title || ' ' || description), '[\\pL\\pN]+')) AS term FROM numbered),
+    vote AS (SELECT week, ord, c FROM (
+               SELECT week, ord, c, count(*) AS n FROM word JOIN (SELECT DISTINCT term, item_id % 9 AS c FROM bench_words) USING (term) GROUP BY ALL)
+             QUALIFY row_number() OVER (PARTITION BY week, ord ORDER BY n DESC, c) = 1),
+    hit AS (SELECT week, ord, min(i % 3 + 1) AS tier, count(*) AS overlap
+            FROM (SELECT DISTINCT week, ord, item_id % 14 AS i FROM word JOIN bench_words USING (term)) GROUP BY ALL),
+    judged AS (
+      SELECT n.week, n.ord, n.date AS day, n.title, lower({S.strip("split_part(n.venue, ',', 1)")}) AS venue_key, coalesce({S.label_at('c')}, '{weekly.UNVOTED}') AS category,
+             CAST(coalesce(tier, 4) AS INT) AS tier, CAST(coalesce(overlap, 0) AS INT) AS overlap, true AS easy_to_miss,
+             coalesce({S.label_at('c')}, '{weekly.UNVOTED}') = '{fixed.COMMUNITY}' AS community, false AS free,
+             recurrence_count IS NOT NULL AS recurring, false AS elevated
+      FROM numbered n LEFT JOIN vote USING (week, ord) LEFT JOIN hit USING (week, ord)),
+    capped AS (SELECT *, CASE WHEN venue_key = '' THEN ord END AS alone FROM judged
+               QUALIFY row_number() OVER (PARTITION BY week, venue_key, alone ORDER BY {_PRECEDENCE}) <= 2),
+    placed_pick AS (SELECT *, CAST(row_number() OVER (PARTITION BY week, day ORDER BY {_PRECEDENCE}) AS INT) AS rank FROM capped)""",
+])
+
+
+@query(
+    "weekly_run",
+    _WEEKLY
+    + """
+    SELECT week, day, rank, printf('c%04d', ord) AS id, title, category, printf('interest tier %d, %d interests', tier, overlap) AS why
+    FROM placed_pick WHERE rank <= 3""",
+)
+def weekly_run(t: Tables) -> DataFrame:
+    """A calendar feed from raw payloads to the merged picks."""
+    registry = t.spark.createDataFrame([("feed", "feed", "calendar_json")], "source STRING, name STRING, format STRING")
+    made = weekly.run({"calendar_json": t.calendar_payloads()}, registry, t.category_lexicon(), t.interest_lexicon(), "2024-01-01T00:00:00Z")
+    return made.selection.picks.select("week", "day", "rank", "id", "title", "category", "why")
+
+
 @query(
     "overwrite_week",
     """

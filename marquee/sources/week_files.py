@@ -187,8 +187,8 @@ def append_picks_log(rows: DataFrame, path: str) -> None:
 
 
 def import_picks_log(spark: SparkSession, path: str) -> DataFrame:
-    """A log kept as CSV."""
-    return spark.read.schema(schemas.PICKS_LOG).options(header=True, escape='"').csv(path)
+    """A log kept as CSV; an empty cell is an empty text."""
+    return spark.read.schema(schemas.PICKS_LOG).options(header=True, escape='"').csv(path).na.fill("")
 
 
 def export_picks_log(log: DataFrame, path: str) -> None:
