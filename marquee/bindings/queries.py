@@ -1533,9 +1533,9 @@ def scan_manifest(t: Tables) -> DataFrame:
     return week_files.read_manifest(t.spark, f"{path}/folder=*/*.json").select("week", "source", "status", "events", "reason", "note")
 
 
-@query("scan_picks_log", "SELECT * FROM log_row", ["log_row"])
+@query("scan_picks_log", "SELECT * REPLACE (coalesce(category, '') AS category) FROM log_row", ["log_row"])
 def scan_picks_log(t: Tables) -> DataFrame:
-    """The log written as CSV, quotes and commas included, and read back."""
+    """The log written as CSV, quotes and commas included, and read back. CSV has no nulls: a missing category is empty."""
     path = work_path(t.spark, "log-csv")
     week_files.export_picks_log(_log_rows(t), path)
     return week_files.import_picks_log(t.spark, path)
