@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 
 from marquee import fixed
 from marquee.functions import text
-from marquee.operators.lookup import SALTS, salted_lookup
+from marquee.operators.lookup import salted_lookup
 
 
 @F.pandas_udf(DoubleType())
@@ -50,7 +50,7 @@ def match_mentions(
     carry: list[str],
     similarity: Callable[[Column, Column], Column] = edit_ratio,
     comparable: Callable[[Column], Column] = _comparable,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Each mention with the listing row of its day: same title first, else the most similar title.
 

@@ -40,10 +40,16 @@ def drop_copies(lines: DataFrame, event_time: str, delay: str) -> DataFrame:
 
 
 def log_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Log rows appended unless an earlier batch holds their key; a repeated batch gives the same rows."""
+    """Log rows appended unless an earlier batch holds their key; a repeated batch gives the same rows.
+
+    The log is read only between the batch's first and last week, which Parquet's statistics prune:
+    earlier batches hold earlier weeks.
+    """
 
     def new(batch: DataFrame, batch_id: int) -> DataFrame:
-        return new_rows(batch, sink.read(batch.sparkSession, path, before=batch_id))
+        span = batch.agg(F.min("week_of").alias("first"), F.max("week_of").alias("last")).head()
+        held = sink.read(batch.sparkSession, path, before=batch_id)
+        return new_rows(batch, held.where(F.col("week_of").between(span["first"], span["last"])))
 
     return sink.run(rows, path, checkpoint, new, every)
 

@@ -333,3 +333,18 @@ def test_report_weeks_are_replaced_not_appended(tables, tmp_path, spark):
         weekly.write_report(chosen, lookup, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/category_cards").count() == 3
     assert spark.read.parquet(f"{tmp_path}/pages").count() == 1
+
+
+def test_salts_do_not_change_a_lookup_with_a_hot_key(spark):
+    from marquee.operators.lookup import SALTS_SETTING, salted_lookup, salts_for
+
+    left = spark.range(2000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("key"), "id")
+    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("k4", 3), ("none", 4)], "key STRING, value INT")
+    one, many = (sorted(salted_lookup(left, right, ["key"], ["id"], salts=n).collect(), key=str) for n in (1, 64))
+    assert one == many and len(one) == 2000
+    assert (salts_for(left, ["key"]), salts_for(left, ["key"], 100), salts_for(left.limit(0), ["key"])) == (1, 18, 1)
+    spark.conf.set(SALTS_SETTING, "3")
+    try:
+        assert sorted(salted_lookup(left, right, ["key"], ["id"]).collect(), key=str) == one
+    finally:
+        spark.conf.unset(SALTS_SETTING)
