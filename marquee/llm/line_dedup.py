@@ -1,10 +1,15 @@
-"""Line deduplication by pairwise alignment.
+"""Line deduplication by shared runs of lines and pairwise alignment.
 
-Every line of a document asks for the earliest document that holds it. A document is paired with such an earlier one if
-they share a rare line (one that at most RARE documents hold) or SHARED lines, so the pairs grow with the lines and not
-with the square of a line's documents. The lines of a pair are aligned by patience diff, and blocks of neighbouring lines
-that align and have at least BLOCK_WORDS words are deleted from the later document. Equal texts count once as holders;
-all but the one with the least id lose their lines.
+A run is neighbouring lines with at least BLOCK_WORDS words, of which no line at one of its ends could be left out. Every
+run asks for the earliest document that holds it, and its lines are deleted from all later ones, however many hold it and
+wherever its lines were first seen. Any longer block is covered by its runs. The k-th occurrence of a run in a document
+meets the k-th of an earlier one, so further copies inside a document stay.
+
+Besides, every line asks for the earliest document that holds it. A document is paired with such an earlier one if they
+share a rare line (one that at most RARE documents hold) or SHARED lines, so the pairs grow with the lines and not with
+the square of a line's documents. The lines of a pair are aligned by patience diff, and blocks of neighbouring lines that
+align and have at least BLOCK_WORDS words are deleted from the later document too: the place of a copy follows its
+neighbours there. Equal texts count once as holders; all but the one with the least id lose their lines.
 
 A line is what stands between line feeds, without white space around it; lines without a word hold nothing, align with
 nothing and stay. Null texts are empty. A null id comes after every id. Repeated rows (same id and text) stay alike. An
@@ -17,6 +22,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +85,35 @@ def align(left: list[int], right: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of each text: a name of content and occurrence, and the numbers of the first and the last line."""
+    for batch in batches:
+        at = np.r_[0, np.cumsum(batch["sizes"].value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+        sizes, numbers, names = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "numbers", "names"))
+        text = np.repeat(np.arange(batch.num_rows), np.diff(at))
+        words = np.r_[0, np.cumsum(sizes.astype(np.int64))]
+        line = np.arange(len(sizes))
+        # The shortest run from each line on, and the shortest one up to each line.
+        after = np.searchsorted(words, words[:-1] + BLOCK_WORDS)
+        before = np.searchsorted(words, words[1:] - BLOCK_WORDS, side="right") - 1
+        on, up = after <= at[1:][text], before >= at[:-1][text]
+        spans = np.unique(np.c_[np.r_[line[on], before[up]], np.r_[after[on], line[up] + 1]], axis=0)
+        start, end = spans[:, 0], spans[:, 1]
+        digests = flat.Sums(names.astype(np.int64).view(np.uint64)).span(start, end)
+        order = np.lexsort((start, digests, text[start]))
+        first = np.ones(len(order), bool)
+        first[1:] = (digests[order][1:] != digests[order][:-1]) | (text[start][order][1:] != text[start][order][:-1])
+        place = np.arange(len(order))
+        times = np.zeros(len(order), np.uint64)
+        times[order] = place - np.maximum.accumulate(np.where(first, place, 0))
+        keys = flat.mix(digests + times * np.uint64(flat.BASE)).view(np.int64)
+        picked = batch.select(KEY).take(pa.array(text[start]))
+        yield pa.RecordBatch.from_arrays(
+            [*picked.columns, pa.array(keys), pa.array(numbers[start], pa.int32()), pa.array(numbers[end - 1], pa.int32())],
+            names=[*KEY, "key", "begin", "end"],
+        )
+
+
 def _lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Numbers of the lines that the later text of each pair loses."""
     for batch in batches:
@@ -112,7 +147,7 @@ def _keyed(docs: DataFrame, text: str, doc_id: str, keep: list[str] | None) -> D
 
 def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, a, b, whole, lost): the documents that lose lines, with the digests of their text: all (a copy), or the
-    numbers of the lines from 0."""
+    numbers of the lines from 0, with those of lines without a word between them, which stay."""
     keyed = _keyed(docs, text, doc_id, [doc_id])
     line = F.transform(
         F.split("text", "\n"),
@@ -148,6 +183,12 @@ def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         .where((F.col("rarest") <= RARE) | (F.col("shared") >= SHARED))
         .select("first", "node")
     )
+    node = F.struct(*KEY)
+    runs = chosen.select("node.*", "names", "sizes", "numbers").mapInArrow(
+        _runs, "id bigint, a bigint, b bigint, key bigint, begin int, end int"
+    )
+    origins = runs.groupBy("key").agg(F.min(node).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = runs.join(origins, "key").where(node != F.col("first"))
     left = chosen.select(F.col("node").alias("first"), F.col("names").alias("names_u"))
     right = chosen.select("node", "names", "sizes", "numbers")
     lost = (
@@ -155,6 +196,7 @@ def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         .join(left, "first")
         .select("node.*", "names_u", "names", "sizes", "numbers")
         .mapInArrow(_lost, "id bigint, a bigint, b bigint, number int")
+        .union(repeated.select(*KEY, F.explode(F.sequence("begin", "end"))))
         .groupBy(*KEY)
         .agg(F.collect_set("number").alias("lost"))
     )
@@ -177,8 +219,9 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: li
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for held, whole, gone in zip(*(batch[c].to_pylist() for c in ("text", "whole", "lost")), strict=True):
-                lines, removed = held.split("\n"), set(gone or ())
+                lines = held.split("\n")
                 filled = [bool(x.strip(rows.SPACE)) for x in lines]
+                removed = {k for k in gone or () if filled[k]}
                 kept = [x for k, x in enumerate(lines) if k not in removed]
                 out[0].append("" if whole else "\n".join(kept))
                 out[1].append(sum(filled))

@@ -209,6 +209,14 @@ def test_line_dedup(docs, rows, empty):
     assert result(line_dedup.remove(empty)) == []
 
 
+def test_a_line_of_many_texts_goes_from_all_later_ones(spark):
+    line = " ".join(f"licence{k}" for k in range(20))
+    frame = spark.createDataFrame([(k, f"own start {k}\n{line}\n\nown end {k}") for k in range(line_dedup.RARE + 10)], "doc_id long, text string")
+    found = {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame.repartition(5)).select("row.doc_id", "kept").collect()}
+    assert found.pop(0) == f"own start 0\n{line}\n\nown end 0"
+    assert found == {k: f"own start {k}\n\nown end {k}" for k in range(1, line_dedup.RARE + 10)}
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 2, 6], [7, 2, 8, 1, 9]) in ([(2, 1)], [(1, 3)])
