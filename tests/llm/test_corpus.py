@@ -217,6 +217,15 @@ def test_a_line_of_many_texts_goes_from_all_later_ones(spark):
     assert found == {k: f"own start {k}\n\nown end {k}" for k in range(1, line_dedup.RARE + 10)}
 
 
+def test_blocks_whose_lines_were_first_seen_in_other_company(spark):
+    one, two = (" ".join(f"{x}{k}" for k in range(6)) for x in "pq")
+    poem = "\n".join(f"verse{k}" for k in range(30))
+    texts = [f"a\n{one}\nb", f"c\n{two}\nd", f"e\n{one}\n{two}\nf", f"g\n{one}\n{two}\nh", f"i i\n{poem}", f"{poem}\nj j"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame).select("row.doc_id", "kept").collect()}
+    assert found == dict(enumerate(texts)) | {3: "g\nh", 5: "j j"}
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 2, 6], [7, 2, 8, 1, 9]) in ([(2, 1)], [(1, 3)])
