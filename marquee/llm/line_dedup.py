@@ -58,9 +58,20 @@ def _increasing(places: list[int]) -> list[int]:
     return found[::-1]
 
 
+def _numbered(lines: list[int]) -> list[tuple[int, int]]:
+    """Each line with how often it came before."""
+    seen: Counter[int] = Counter()
+    found = []
+    for x in lines:
+        found.append((x, seen[x]))
+        seen[x] += 1
+    return found
+
+
 def align(left: list[int], right: list[int]) -> list[tuple[int, int]]:
     """Aligned places of two sequences: common beginnings and ends, then lines that are unique in both, in a common
-    order, and the same again between them."""
+    order, and the same again between them. Where no line is unique in both, the first occurrence meets the first, the
+    second the second."""
     found: list[tuple[int, int]] = []
     waiting = [(0, len(left), 0, len(right))]
     while waiting:
@@ -76,6 +87,9 @@ def align(left: list[int], right: list[int]) -> list[tuple[int, int]]:
         in_left, in_right = Counter(left[a:b]), Counter(right[c:d])
         place = {x: k for k, x in enumerate(right[c:d], c) if in_right[x] == 1 and in_left.get(x) == 1}
         anchors = [(k, place[x]) for k, x in enumerate(left[a:b], a) if x in place]
+        if not anchors:
+            again = {x: k for k, x in enumerate(_numbered(right[c:d]), c)}
+            anchors = [(k, again[x]) for k, x in enumerate(_numbered(left[a:b]), a) if x in again]
         if not anchors:
             continue
         chain = [anchors[k] for k in _increasing([y for _, y in anchors])]

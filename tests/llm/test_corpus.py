@@ -226,6 +226,19 @@ def test_blocks_whose_lines_were_first_seen_in_other_company(spark):
     assert found == dict(enumerate(texts)) | {3: "g\nh", 5: "j j"}
 
 
+def test_a_passage_held_twice_goes_once(spark):
+    one, two = (" ".join(f"{x}{k}" for k in range(12)) for x in "pq")
+    texts = [f"u\n{one}\n{two}\nv", f"w\n{one}\n{two}\nz\n{one}\n{two}\nq"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame).select("row.doc_id", "kept").collect()}
+    assert found == {0: texts[0], 1: f"w\nz\n{one}\n{two}\nq"}
+
+
+def test_alignment_without_unique_lines():
+    assert line_dedup.align([1, 2, 3, 4], [5, 2, 3, 6, 2, 3, 7]) == [(1, 1), (2, 2)]
+    assert line_dedup.align([8, 2, 2, 9], [7, 2, 2, 2, 6]) == [(1, 1), (2, 2)]
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 2, 6], [7, 2, 8, 1, 9]) in ([(2, 1)], [(1, 3)])
