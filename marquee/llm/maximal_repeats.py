@@ -3,7 +3,8 @@
 Suffixes with the same first WINDOW bytes must meet in one enhanced suffix array. A window goes to the array of its
 least seed (a string of SEED bytes, least by digest, the first of equal ones), so that windows with equal content meet,
 and the windows in a row that share a seed travel together as one context. Blocks first ask which seeds another
-document has; contexts of other seeds stay where they are.
+document has; contexts of other seeds stay where they are. Of equal contexts a block sends the one with the least id;
+the block itself removes those of later ids and carries over what the sent one loses to those of the same id.
 
 Each array sorts the suffixes of its contexts by content, takes the common prefixes of neighbours and scans them with a
 stack, which walks the intervals of the common-prefix tree. An interval whose occurrences are preceded by different
@@ -74,6 +75,19 @@ def _of_several_ids(names: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return found
 
 
+def _alike(block: blocks.Block, starts: np.ndarray, counts: np.ndarray, text_of: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each context of a block, the equal one with the least id (the first of them), and whether its own id is later."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    digests = flat.Sums(flat.BYTE_VALUE[block.texts.data]).span(starts, starts + counts + window - 1)
+    ids = block.ids[text_of]
+    order = np.lexsort((starts, ids, digests))
+    first = np.flatnonzero(np.r_[True, digests[order][1:] != digests[order][:-1]])
+    stands = np.empty(len(starts), np.int64)
+    stands[order] = np.repeat(order[first], np.diff(np.r_[first, len(order)]))
+    return stands, ids > ids[stands]
+
+
 class SuffixArray:
     """Enhanced suffix array of the windows of contexts that several ids have and that can't be extended to the left."""
 
@@ -210,7 +224,8 @@ def _contexts(docs: DataFrame, doc_id: str, text: str, window: int, seed: int) -
         found, which = blocks.short_names(keys, n_buckets)
         shared = blocks.shared_bits(found, replies)[which] | _of_several_ids(which, block.ids[text_of])
         bucket = (found >> np.uint64(32))[which].astype(np.int64)
-        chosen = np.flatnonzero(shared)
+        stands, _ = _alike(block, starts, counts, text_of, window)
+        chosen = np.flatnonzero(shared & (stands == np.arange(len(stands))))
         chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
         numbers, firsts, ends = blocks.bucket_rows(bucket[chosen])
         out: dict[str, list] = {f.name: [] for f in _CONTEXTS}
@@ -278,6 +293,18 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
         starts, lengths = (
             np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in replies[c].to_pylist())]) for c in ("starts", "lengths")
         )
+        # What the block did not send: contexts of later ids go, others lose what the equal one that was sent loses.
+        begins, counts, _, text_of = seeds_of(block.texts, window, seed)
+        stands, later = _alike(block, begins, counts, text_of, window)
+        equal = np.flatnonzero((stands != np.arange(len(stands))) & ~later)
+        equal = equal[np.argsort(stands[equal], kind="stable")]
+        context = np.searchsorted(begins, starts, side="right") - 1
+        bounds = [np.searchsorted(stands[equal], context, side=x) for x in ("left", "right")]
+        times = bounds[1] - bounds[0]
+        member = equal[np.arange(times.sum()) + np.repeat(bounds[0] - (np.cumsum(times) - times), times)]
+        offset = np.repeat(starts - begins[context], times) if len(starts) else starts
+        starts = np.r_[starts, begins[member] + offset, begins[later]]
+        lengths = np.r_[lengths, np.repeat(lengths, times), counts[later] + window - 1]
         gone = flat.covered(len(data), starts, lengths)
         totals = np.r_[0, np.cumsum(gone)]
         begins, _ = flat.runs_of(gone, at)

@@ -121,6 +121,21 @@ def test_maximal_repeats_have_all_occurrences(spark):
     assert all(v == {0, 1, 2, 3} for v in ids.values()) and ids
 
 
+def test_equal_contexts_leave_a_block_once(spark, block_sizes):
+    passage, run = " ".join(f"w{k}" for k in range(40)), "x" * 3000
+    texts = [(k // 2, f"{k} {passage} {run if k in (4, 9) else k} {passage}") for k in range(40)] + [(None, passage), (None, passage), (3, f"{passage}{passage}")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    same(maximal_repeats.remove(frame), [(i, n, g, s, bytearray(k)) for i, n, g, s, k in brute.without_bytes(texts)])
+    _, contexts = maximal_repeats._contexts(frame, "doc_id", "text", 50, 16)
+    sent = []
+    for r in contexts.collect():
+        at = 0
+        for count in r["counts"]:
+            sent.append((r["block"], bytes(r["content"][at : at + count + 49])))
+            at += count + 49
+    assert sent and len(sent) == len(set(sent))
+
+
 def test_quality(docs, rows, empty):
     judged = quality.judge(docs)
     expected = [(i, *brute.counts(t), k) for (i, t, _), k in zip(rows, brute.verdicts([r[:2] for r in rows]), strict=True)]
