@@ -1,9 +1,10 @@
 """Documents in blocks of bounded size, and questions that all blocks answer together.
 
-A block is the documents whose ids hash to the same number, about BLOCK_BYTES of text. A block asks about its distinct
-keys: they go out as one sorted array per (block, bucket), where the bucket is a part of the key space, and the answer
-comes back to the block. A key that a third of all documents hold reaches its bucket once per block, and there are never
-more rows than keys. The number of blocks and buckets follows from the size of the input.
+A block is the documents whose id and text hash to the same number, about BLOCK_BYTES of text whatever ids are null or
+repeated. A block asks about its distinct keys: they go out as one sorted array per (block, bucket), where the bucket is
+a part of the key space, and the answer comes back to the block. A key that a third of all documents hold reaches its
+bucket once per block, and there are never more rows than keys. The number of blocks and buckets follows from the size
+of the input.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def split(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
     """(block, id, text) and the number of buckets. Null ids come after every id; null texts are empty."""
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).head()[0] or 0
     n_blocks, n_buckets = size // BLOCK_BYTES + 1, size // BUCKET_BYTES + 1
-    key = F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(n_blocks))
+    key = F.pmod(F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string")), F.lit(n_blocks))
     return docs.select(
         key.alias("block"), F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")
     ), n_buckets

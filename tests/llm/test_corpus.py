@@ -84,6 +84,17 @@ def block_sizes(request, monkeypatch):
     monkeypatch.setattr(blocks, "BUCKET_BYTES", request.param[1])
 
 
+def test_rows_without_an_id_are_dealt_over_the_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", 3000)
+    texts = [(doc_id, prose(random.Random(k % 30), 60)) for doc_id in (None, 7) for k in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    sizes = [r["count"] for r in blocks.split(frame, "doc_id", "text")[0].groupBy("block").count().collect()]
+    assert max(sizes) < len(texts) // 4
+    same(substring_dedup.remove(frame), brute.without_windows(texts))
+    same(maximal_repeats.remove(frame), [(i, n, g, s, bytearray(k)) for i, n, g, s, k in brute.without_bytes(texts)])
+
+
 def test_substring_dedup(docs, rows, empty, block_sizes):
     same(substring_dedup.remove(docs), brute.without_windows([r[:2] for r in rows]))
     assert result(substring_dedup.remove(empty)) == []
