@@ -133,6 +133,46 @@ def without_lines(rows):
     return out
 
 
+def common_lines(left, right):
+    """Pairs of places of a longest common subsequence, by the plain table."""
+    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for a in reversed(range(len(left))):
+        for b in reversed(range(len(right))):
+            best[a][b] = 1 + best[a + 1][b + 1] if left[a] == right[b] else max(best[a + 1][b], best[a][b + 1])
+    found, a, b = [], 0, 0
+    while a < len(left) and b < len(right):
+        if left[a] == right[b]:
+            found.append((a, b))
+            a, b = a + 1, b + 1
+        elif best[a + 1][b] >= best[a][b + 1]:
+            a += 1
+        else:
+            b += 1
+    return found
+
+
+def without_lines_of_all_pairs(rows, least_words=10):
+    """The kept text of (id, text) rows with distinct ids and texts, every text aligned with every earlier one."""
+    out = []
+    split = [(i, t.split("\n")) for i, t in rows]
+    profiles = {i: [(k, x.strip(SPACE)) for k, x in enumerate(lines) if WORD.search(x)] for i, lines in split}
+    for i, lines in split:
+        gone = set()
+        for earlier in (j for j in profiles if j < i):
+            places = common_lines([x for _, x in profiles[earlier]], [x for _, x in profiles[i]])
+            block, before = [], None
+            for place in [*places, None]:
+                if block and (place is None or place != (before[0] + 1, before[1] + 1)):
+                    if sum(len(WORD.findall(profiles[i][b][1])) for b in block) >= least_words:
+                        gone.update(profiles[i][b][0] for b in block)
+                    block = []
+                if place:
+                    block.append(place[1])
+                before = place
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    return out
+
+
 def item_words(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)

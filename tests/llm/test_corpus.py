@@ -252,6 +252,21 @@ def test_blocks_whose_lines_were_first_seen_in_other_company(spark):
     assert found == dict(enumerate(texts)) | {3: "g\nh", 5: "j j"}
 
 
+def test_line_dedup_against_all_pairs(spark):
+    rng = random.Random(23)
+    licence = " ".join(f"licence{k}" for k in range(20))
+    short = [" ".join(f"s{k}x{j}" for j in range(1 + k % 6)) for k in range(24)]
+    texts = [f"only{k} {short[k]}\n{short[k]}\nthen {k}" for k in range(24)]
+    for k in range(36):
+        at, size = rng.randrange(18), rng.randint(2, 6)
+        texts.append("\n".join([f"head {k}", *short[at : at + size], "", f"middle {k}", licence, f"tail {k}"]))
+    texts += [f"{licence}\nnumber {k}" for k in range(20)]
+    expected = brute.without_lines_of_all_pairs(list(enumerate(texts)))
+    assert sum(licence in t for t in texts) > line_dedup.RARE and sum(licence in t for _, t in expected) == 1
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    same(line_dedup.remove(frame).select("row.doc_id", "kept"), expected)
+
+
 def test_a_passage_held_twice_goes_once(spark):
     one, two = (" ".join(f"{x}{k}" for k in range(12)) for x in "pq")
     texts = [f"u\n{one}\n{two}\nv", f"w\n{one}\n{two}\nz\n{one}\n{two}\nq"]
