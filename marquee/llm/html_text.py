@@ -55,15 +55,18 @@ COMMA = re.compile("[,،、，]")
 LENGTH_STEP, MOST_LENGTH_POINTS = 100, 3
 SIBLING_SHARE = 0.2
 LEAST_SIBLING_TEXT, MOST_LINKS = 80, 0.25
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SENTENCE_END = re.compile(r"[.!?:;…。！？؟।][\"'”’»)\]]*\s*$")
 
 
 class Node:
-    """A container: its parts in page order are blocks (text, characters in links) and containers."""
+    """A container: its parts in page order are blocks (text, characters in links) and containers; headings has the
+    places of the blocks that are headings."""
 
-    __slots__ = ("name", "parent", "parts", "points", "chars", "linked")
+    __slots__ = ("name", "parent", "parts", "headings", "points", "chars", "linked")
 
     def __init__(self, name: str, parent: Node | None):
-        self.name, self.parent, self.parts = name, parent, []
+        self.name, self.parent, self.parts, self.headings = name, parent, [], set()
         self.points, self.chars, self.linked = 0.0, 0, 0
 
     def score(self) -> float:
@@ -103,12 +106,14 @@ def parse(page: str) -> Node:
     dropped, links = 0, 0
     pieces: list[tuple[str, bool]] = []
 
-    def flush() -> None:
+    def flush(heading: bool = False) -> None:
         nonlocal pieces
         if pieces:
             text = SPACES.sub(" ", html.unescape("".join(p for p, _ in pieces))).strip()
             if text:
                 linked = len(SPACES.sub(" ", html.unescape("".join(p for p, in_link in pieces if in_link))).strip())
+                if heading:
+                    node.headings.add(len(node.parts))
                 node.parts.append((text, min(linked, len(text))))
             pieces = []
 
@@ -117,7 +122,7 @@ def parse(page: str) -> Node:
         for _ in range(count):
             name, around, was_dropped = opened.pop()
             if name in BLOCKS and not dropped:
-                flush()
+                flush(name in HEADINGS)
             dropped -= was_dropped
             links -= name == "a"
             node = around
@@ -200,6 +205,31 @@ def _score(root: Node) -> list[Node]:
     return nodes
 
 
+def _with_neighbours(around: Node, chosen: list[bool]) -> list[bool]:
+    """The chosen parts, with parts without links next to them that end a sentence, and headings before any of them."""
+
+    def plain(part: Node | tuple[str, int]) -> bool:
+        if isinstance(part, Node):
+            return not part.linked and any(SENTENCE_END.search(b) for b in part.blocks())
+        return not part[1] and bool(SENTENCE_END.search(part[0]))
+
+    def heading(k: int) -> bool:
+        part = around.parts[k]
+        if isinstance(part, Node):
+            return not part.linked and bool(part.headings)
+        return not part[1] and k in around.headings
+
+    found = list(chosen)
+    for k in range(1, len(found)):
+        found[k] = found[k] or found[k - 1] and plain(around.parts[k])
+    follows = False
+    for k in reversed(range(len(found))):
+        beside = k + 1 < len(found) and found[k + 1]
+        found[k] = found[k] or follows and heading(k) or beside and plain(around.parts[k])
+        follows = follows or found[k]
+    return found
+
+
 def main_text(page: str | None) -> str:
     root = parse(page or "")
     nodes = _score(root)
@@ -210,16 +240,18 @@ def main_text(page: str | None) -> str:
     kept = [best]
     if best.parent:
         least = max(10.0, SIBLING_SHARE * best.score())
-        kept = []
+        chosen = []
         for part in best.parent.parts:
             if part is best:
-                kept.append(best)
+                chosen.append(True)
             elif isinstance(part, Node):
                 alike = part.name == best.name if best.name == "article" else True
-                if alike and part.score() >= least and part.linked <= MOST_LINKS * part.chars:
-                    kept.append(part)
-            elif best.name != "article" and len(part[0]) >= LEAST_SIBLING_TEXT and part[1] <= MOST_LINKS * len(part[0]):
-                kept.append(part)
+                chosen.append(alike and part.score() >= least and part.linked <= MOST_LINKS * part.chars)
+            else:
+                chosen.append(best.name != "article" and len(part[0]) >= LEAST_SIBLING_TEXT and part[1] <= MOST_LINKS * len(part[0]))
+        if not articles:
+            chosen = _with_neighbours(best.parent, chosen)
+        kept = [part for part, held in zip(best.parent.parts, chosen, strict=True) if held]
     blocks = [b for k in kept for b in (k.blocks() if isinstance(k, Node) else [k[0]])]
     return "\n".join(blocks)
 

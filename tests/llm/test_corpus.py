@@ -348,6 +348,13 @@ def test_html_pages(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+def test_short_siblings_of_the_text_stay():
+    body = "".join(f"<p>Paragraph {k}, with commas, and enough words to be the main text of this page, as it is.</p>" for k in range(8))
+    page = f"<body><p><a href=/>Home</a></p><h1>Title</h1><p>By someone</p><div>{body}</div><p>A short end.</p><div><p>And so on.</p></div><p><a href=/n>Next.</a></p><h2>More</h2></body>"
+    found = html_text.main_text(page).split("\n")
+    assert found[0] == "Title" and found[-2:] == ["A short end.", "And so on."] and len(found) == 11
+
+
 URLS = ["http://a.example.org/es/1", "https://EXAMPLE.org/en/12?x=/es/", "http://b.com/fr/#top", "http://b.com/de", "http://b.com/de/",
         "no scheme", None, "", "http://org/", "http://example.org", "ftp://x.net/a", "http://notexample.org/es/", "http://u:p@c.com:80/de/"]
 
