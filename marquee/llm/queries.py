@@ -10,6 +10,7 @@ from marquee.llm import (
     html_text,
     line_dedup,
     maximal_repeats,
+    merkle,
     mixing,
     near_dup,
     quality,
@@ -115,6 +116,19 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = rows.table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    # Decimal, so that the greatest count can grow too.
+    n_chars = F.col("n_chars").cast("decimal(20,0)") + F.when(tampered, 1).otherwise(0)
+    shown = merkle.leaf(*(n_chars if c == "n_chars" else F.col(c) for c in merkle.COLUMNS))
+    proven = merkle.manifest(docs.select(*merkle.COLUMNS), carry={"presented": shown})
+    return merkle.verify(proven, "presented").select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        _sha256(F.array_join(F.col("proof.digest"), "")).alias("proof_sha256"), "folded_root", "verified",
+    )
+
+
 _SPACE_CLASS = r"[^\x20\x09-\x0D]+"
 
 _OP4 = rf"""
@@ -298,6 +312,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_minhash_near_dup": op9_minhash_near_dup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
