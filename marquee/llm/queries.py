@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import (
     decontamination,
+    divergence,
     html_text,
     line_dedup,
     maximal_repeats,
@@ -116,6 +117,10 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_documents(spark, folder, "lang", "source"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = rows.table(spark, folder, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -301,6 +306,112 @@ SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM docs LEFT JOIN cut USING (rid)
 """
 
+_OP12 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), words AS (
+    SELECT rid, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT rid) >= 10
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), members AS (
+    SELECT lang, source, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), dense AS (
+    SELECT m.lang, m.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (m.total + 2 * v)::HUGEINT AS p,
+           1 + (1000000000::HUGEINT * (k.n + 2)) // (langs.total + 2 * v)::HUGEINT AS q
+    FROM members m JOIN kept k USING (lang) JOIN langs USING (lang)
+    LEFT JOIN counts c ON c.lang = m.lang AND c.source = m.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM members a JOIN members b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+# crc32 byte by byte and bit by bit; a proof is folded as a list of digests that begin with the side of the sibling.
+_OP13 = """
+WITH RECURSIVE named AS (
+    SELECT doc_id, lang, n_chars,
+           list_reduce([4294967295]::BIGINT[]
+                   || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+               lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))) AS crc,
+           coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+           coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail
+    FROM documents
+), leaves AS (
+    SELECT doc_id, lang, sha256(head || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+           sha256(head || coalesce(length(shown::VARCHAR) || ':' || shown, '-') || tail) AS presented
+    FROM (SELECT *, n_chars::HUGEINT + CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS shown FROM named)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY lang) AS size
+    FROM leaves
+), nodes AS (
+    SELECT lang, 0 AS level, place, leaf AS digest, size FROM placed
+    UNION ALL
+    SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (size + 1) // 2
+    FROM nodes WHERE size > 1 GROUP BY lang, level, place // 2, size
+), subroots AS (
+    SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS size
+    FROM nodes WHERE size = 1
+), upper AS (
+    SELECT 0 AS level, place, subroot AS digest, size FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (size + 1) // 2
+    FROM upper WHERE size > 1 GROUP BY level, place // 2, size
+), heights AS (
+    SELECT lang, max(level) AS height FROM nodes GROUP BY lang
+), steps AS (
+    SELECT placed.lang, placed.place, l.level,
+           CASE WHEN (placed.place >> l.level) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(o.digest, '') AS step
+    FROM placed JOIN heights ON heights.lang IS NOT DISTINCT FROM placed.lang
+    JOIN (SELECT unnest(range(0, 40)) AS level) l ON l.level < height
+    LEFT JOIN nodes o ON o.lang IS NOT DISTINCT FROM placed.lang AND o.level = l.level
+         AND o.place = xor(placed.place >> l.level, 1)
+), lower_paths AS (
+    SELECT lang, place, list(step ORDER BY level) AS path FROM steps GROUP BY lang, place
+), upper_steps AS (
+    SELECT subroots.lang, l.level,
+           CASE WHEN (subroots.place >> l.level) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(o.digest, '') AS step
+    FROM subroots JOIN (SELECT unnest(range(0, 40)) AS level) l ON l.level < (SELECT max(level) FROM upper)
+    LEFT JOIN upper o ON o.level = l.level AND o.place = xor(subroots.place >> l.level, 1)
+), upper_paths AS (
+    SELECT lang, list(step ORDER BY level) AS path FROM upper_steps GROUP BY lang
+), proven AS (
+    SELECT doc_id, leaf, presented, subroot, (SELECT digest FROM upper WHERE size = 1) AS root,
+           coalesce(low.path, []::VARCHAR[]) || coalesce(high.path, []::VARCHAR[]) AS path
+    FROM placed JOIN subroots ON subroots.lang IS NOT DISTINCT FROM placed.lang
+    LEFT JOIN lower_paths low ON low.lang IS NOT DISTINCT FROM placed.lang AND low.place = placed.place
+    LEFT JOIN upper_paths high ON high.lang IS NOT DISTINCT FROM placed.lang
+), folded AS (
+    SELECT *, list_reduce([presented] || path, lambda node, s: CASE WHEN s[1] = 'L' THEN sha256(substr(s, 2) || node)
+                                                                   ELSE sha256(node || substr(s, 2)) END) AS folded_root
+    FROM proven
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: substr(s, 2)), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_substring_dedup": op2_substring_dedup,
@@ -312,6 +423,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_minhash_near_dup": op9_minhash_near_dup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op12_source_divergence": op12_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -322,4 +434,6 @@ ORACLES = {
     "op6_benchmark_decontamination": _OP6,
     "op8_url_filters": _OP8,
     "op10_suffix_array_dedup": _OP10,
+    "op12_source_divergence": _OP12,
+    "op13_merkle_manifest": _OP13,
 }
