@@ -14,6 +14,7 @@ from marquee.llm import (
     merkle,
     mixing,
     near_dup,
+    packing,
     quality,
     rows,
     secret_scan,
@@ -117,6 +118,15 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(_documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_documents(spark, folder, "lang", "source"))
 
@@ -423,6 +433,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_minhash_near_dup": op9_minhash_near_dup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_lexical_packing": op11_lexical_packing,
     "op12_source_divergence": op12_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
