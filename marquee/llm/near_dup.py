@@ -149,7 +149,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["u", "v"]).filter(pa.array((total > 0) & (common >= SIMILARITY * total - 1e-9)))
 
 
-KEY = ["id", "a", "b"]
+# missing is 1 for a null id, whose place in the order is behind every other.
+KEY = ["id", "missing", "a", "b"]
 
 
 def _keyed(docs: DataFrame, text: str, doc_id: str, *more: Column) -> DataFrame:
@@ -157,6 +158,7 @@ def _keyed(docs: DataFrame, text: str, doc_id: str, *more: Column) -> DataFrame:
     held = rows.whole(text)
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(flat.NO_ID)).alias("id"),
+        F.col(doc_id).isNull().cast("int").alias("missing"),
         F.xxhash64(held).alias("a"),
         F.xxhash64(F.lit(1), held).alias("b"),
         held.alias("text"),
@@ -175,12 +177,21 @@ def _verified(asked: DataFrame, texts: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(id, a, b, class_id, class_size): one row per document, with the digests of its text and the least id of its
-    class."""
+    class, null where no document of the class has an id."""
+    found = _classes(docs, text, doc_id)
+    given = F.when(F.col("missing") == 0, F.col("id"))
+    return found.select(
+        given.alias("id"), "a", "b", F.when(F.col("first.missing") == 0, F.col("first.id")).alias("class_id"), "class_size"
+    )
+
+
+def _classes(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The key of every document, with the least key and the size of its class."""
     keyed = _keyed(docs, text, doc_id)
-    members = rows.cut(keyed.mapInArrow(_sketched, "id bigint, a bigint, b bigint, bands array<bigint>"))
+    members = rows.cut(keyed.mapInArrow(_sketched, "id bigint, missing int, a bigint, b bigint, bands array<bigint>"))
     # Equal texts count once, by the least id. The numbers are written before they are used, so they stay.
-    least = members.groupBy("a", "b").agg(F.min("id").alias("id"))
-    nodes = rows.cut(least.select(*KEY, F.monotonically_increasing_id().alias("node")))
+    least = members.groupBy("a", "b").agg(F.min(F.struct("id", "missing")).alias("least"))
+    nodes = rows.cut(least.select("least.*", "a", "b").select(*KEY, F.monotonically_increasing_id().alias("node")))
     buckets = members.join(nodes, KEY).select(F.explode("bands").alias("bucket"), "node")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
     held = rows.cut(buckets.join(shared.select("bucket", "first"), "bucket").select("bucket", "node", "first"))
@@ -271,12 +282,12 @@ def _labelled(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
     found = named.groupBy("label").agg(F.min(F.struct(*KEY)).alias("first"))
     joined = members.join(named.select("a", "b", "label"), ["a", "b"])
     sizes = joined.groupBy("label").agg(F.count("*").alias("class_size"))
-    return joined.join(sizes.join(found, "label"), "label").select(*KEY, F.col("first.id").alias("class_id"), "class_size", "first")
+    return joined.join(sizes.join(found, "label"), "label").select(*KEY, "class_size", "first")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each class, the one with the least id, with its columns."""
-    found = classes(docs, text, doc_id)
-    kept = found.where("id = first.id and a = first.a and b = first.b").select(*KEY).distinct()
+    found = _classes(docs, text, doc_id)
+    kept = found.where(" and ".join(f"{c} = first.{c}" for c in KEY)).select(*KEY).distinct()
     keyed = _keyed(docs, text, doc_id, F.struct("*").alias("row")).select("row", *KEY)
     return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select("row.*")
