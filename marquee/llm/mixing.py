@@ -1,11 +1,13 @@
 """Mixing sources to target weights.
 
 Words are counted per source, the weights give each source a target, and target over size is its repetition rate: a
-document is taken floor(rate) times, and once more if a hash of its id and the seed falls below the rate's fraction.
+document is taken floor(rate) times, and once more if a hash of the seed, its id and its text falls below the rate's
+fraction.
 
 Null texts have size 0. A null source is a source of its own, the last. An empty table gives an empty result; a table
-without words gives targets 0. Rows with the same id get the same number of copies. The hash depends on id and seed
-alone, so reruns and retried tasks agree.
+without words gives targets 0. Rows without id draw by their text. Rows that agree in id, text and source are numbered, and
+each draws with its number, so a group of copies is taken as often as its rate says. Nothing but the rows enters the
+hash, so reruns and retried tasks agree. A column of the input that is called `copy` gives way to the number of the copy.
 """
 
 from __future__ import annotations
@@ -57,12 +59,34 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     )
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on id and seed alone."""
-    key = F.concat_ws(":", F.lit(seed), doc_id.cast("string"))
+def draw(doc_id: Column, digest: Column, number: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on the seed, the id, the text's digest and the number among equal rows."""
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), digest, F.lit(":"), number.cast("string"))
     return F.conv(F.substring(F.sha2(key.cast("binary"), 256), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs (id, digest, source, ...) with the number of each row among those that agree in the three, from 0.
+
+    Only groups of several rows are numbered, each input partition's part of a group alone, from the count of the parts
+    before it; which of the equal rows gets which number makes no difference.
+    """
+    key = F.struct(F.col("id"), F.col("digest"), F.col("source"))
+    keyed = docs.withColumn("key", F.sha2(F.to_json(key).cast("binary"), 256))
+    several = rows.cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    if several.isEmpty():
+        return docs.withColumn("number", F.lit(0).cast("long"))
+    single = keyed.join(several, "key", "left_anti").withColumn("number", F.lit(0).cast("long"))
+    equal = rows.cut(keyed.withColumn("part", F.spark_partition_id()).join(several, "key", "left_semi"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = equal.groupBy("key", "part").agg(F.count(F.lit(1)).alias("held"))
+    starts = starts.select("key", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("key", "part").orderBy("digest")
+    counted = equal.withColumn("nth", F.row_number().over(within)).join(starts, ["key", "part"])
+    counted = counted.withColumn("number", F.col("start") + F.col("nth") - 1)
+    return single.select(*docs.columns, "number").union(counted.select(*docs.columns, "number"))
+
+
 def plan(
     docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", seed: str = SEED,
     weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEATS,
@@ -75,10 +99,14 @@ def plan(
     size = rows.n_words(rows.whole(text))
     sources = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
     listed = targets(sources, weights, most).withColumnRenamed("source", "listed")
-    sized = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), F.col(doc_id).alias("id"), size.alias("size"))
+    held = rows.whole(text)
+    sized = docs.select(
+        F.struct("*").alias("row"), F.col(source).alias("source"), F.col(doc_id).alias("id"), size.alias("size"),
+        F.sha2(held.cast("binary"), 256).alias("digest"),
+    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    extra = (draw(F.col("id"), seed) < rate - F.floor(rate)).cast("long")
-    return sized.join(listed, F.col("source").eqNullSafe(F.col("listed")), "left").select(
+    extra = (draw(F.col("id"), F.col("digest"), F.col("number"), seed) < rate - F.floor(rate)).cast("long")
+    return _numbered(sized).join(listed, F.col("source").eqNullSafe(F.col("listed")), "left").select(
         "row", "size", "source_size", "target", (F.floor(rate) + extra).alias("copies")
     )
 

@@ -148,7 +148,9 @@ _SPACE_CLASS = r"[^\x20\x09-\x0D]+"
 
 _OP4 = rf"""
 WITH sized AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACE_CLASS}')) AS size FROM documents
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACE_CLASS}')) AS size,
+           sha256(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) - 1 AS number
+    FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
            [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::BIGINT AS weight
@@ -169,7 +171,7 @@ WITH sized AS (
 ), rated AS (
     SELECT doc_id, size, source_size, target,
            CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-           ('0x' || substr(sha256('mix-1' || coalesce(':' || doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+           ('0x' || substr(sha256('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || number), 1, 13))::BIGINT::DOUBLE
                / 4503599627370496 AS draw
     FROM sized JOIN shared ON sized.source IS NOT DISTINCT FROM shared.source
 )
