@@ -1,19 +1,21 @@
-"""Line deduplication by shared runs of lines and pairwise alignment.
+"""Line deduplication by pairwise alignment.
 
-A run is neighbouring lines with at least BLOCK_WORDS words, of which no line at one of its ends could be left out. Every
-run asks for the earliest document that holds it, and its lines are deleted from all later ones, however many hold it and
-wherever its lines were first seen. Any longer block is covered by its runs. The k-th occurrence of a run in a document
-meets the k-th of an earlier one, so further copies inside a document stay.
+Overlapping documents are found through the hashes of shared runs: a run is neighbouring lines with at least BLOCK_WORDS
+words, of which no line at one of its ends could be left out, named by its content and by how often it came before in its
+document. Every run asks for the earliest document that holds it, and a document is paired with each document that comes
+first in one of its runs. Any block that could be deleted holds such a run, so no line needs to be rare and none is too
+common; pairs grow with the runs and not with the square of a run's holders.
 
-Besides, every line asks for the earliest document that holds it. A document is paired with such an earlier one if they
-share a rare line (one that at most RARE documents hold) or SHARED lines, so the pairs grow with the lines and not with
-the square of a line's documents. The lines of a pair are aligned by patience diff, and blocks of neighbouring lines that
-align and have at least BLOCK_WORDS words are deleted from the later document too: the place of a copy follows its
-neighbours there. Equal texts count once as holders; all but the one with the least id lose their lines.
+The lines of a pair are aligned by patience diff. Blocks of neighbouring lines that align and have at least BLOCK_WORDS words
+are deleted from the later document; of what is left, blocks that stand in another order are aligned too, each with the first
+place in the earlier document that nothing is aligned with. So a document loses a passage as often as one earlier document
+holds it, and further copies inside it stay. Equal texts count once as holders; all but the one with the least id lose
+their lines.
 
 A line is what stands between line feeds, without white space around it; lines without a word hold nothing, align with
 nothing and stay. Null texts are empty. A null id comes after every id. Repeated rows (same id and text) stay alike. An
-empty table gives an empty result. Columns of the documents stay inside `row`, so they can have any name.
+empty table gives an empty result. Columns of the documents stay inside `row`, so they can have any name. A text's lines
+are read whole in one task, at some 30 bytes a line.
 """
 
 from __future__ import annotations
@@ -30,9 +32,6 @@ from pyspark.sql import types as T
 
 from marquee.llm import flat, rows
 
-RARE = 50
-SHARED = 2
-LINE_WORDS = 3
 BLOCK_WORDS = 10
 KEY = ["id", "a", "b"]
 
@@ -99,11 +98,62 @@ def align(left: list[int], right: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _moved(left: list[int], right: list[int], sizes: list[int], used: set[int], gone: set[int]) -> list[int]:
+    """Places of `right` outside `gone` in blocks that `left` holds outside `used`, in whatever order."""
+
+    def run(lines: list[int], at: int, closed: set[int]) -> tuple[int, ...] | None:
+        """The shortest run from a place on; the names say how many words its lines have."""
+        words, end = 0, at
+        while words < BLOCK_WORDS:
+            if end == len(lines) or end in closed:
+                return None
+            words += size_of.get(lines[end], BLOCK_WORDS)
+            end += 1
+        return tuple(lines[at:end])
+
+    size_of = dict(zip(right, sizes, strict=True))
+    places: dict[tuple[int, ...], list[int]] = {}
+    for x in reversed(range(len(left))):
+        if left[x] in size_of and (key := run(left, x, used)):
+            places.setdefault(key, []).append(x)
+    found: list[int] = []
+    y = 0
+    while y < len(right):
+        key = run(right, y, gone)
+        listed = places.get(key, []) if key else []
+        while listed and any(x in used for x in range(listed[-1], listed[-1] + len(key))):
+            listed.pop()
+        if not listed:
+            y += 1
+            continue
+        x = listed[-1]
+        while x < len(left) and y < len(right) and left[x] == right[y] and x not in used and y not in gone:
+            used.add(x)
+            found.append(y)
+            x, y = x + 1, y + 1
+    return found
+
+
+def lost_places(left: list[int], right: list[int], sizes: list[int]) -> list[int]:
+    """Places of the later text `right` that an earlier one makes it lose."""
+    used: set[int] = set()
+    gone: list[int] = []
+    block: list[tuple[int, int]] = []
+    for pair in [*align(left, right), (-9, -9)]:
+        if block and pair != (block[-1][0] + 1, block[-1][1] + 1):
+            if sum(sizes[y] for _, y in block) >= BLOCK_WORDS:
+                used.update(x for x, _ in block)
+                gone += [y for _, y in block]
+            block = []
+        block.append(pair)
+    return gone + _moved(left, right, sizes, used, set(gone))
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of each text: a name of content and occurrence, and the numbers of the first and the last line."""
+    """The names, by content and occurrence, of the runs of each text."""
     for batch in batches:
         at = np.r_[0, np.cumsum(batch["sizes"].value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
-        sizes, numbers, names = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "numbers", "names"))
+        sizes, names = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "names"))
         text = np.repeat(np.arange(batch.num_rows), np.diff(at))
         words = np.r_[0, np.cumsum(sizes.astype(np.int64))]
         line = np.arange(len(sizes))
@@ -121,11 +171,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.zeros(len(order), np.uint64)
         times[order] = place - np.maximum.accumulate(np.where(first, place, 0))
         keys = flat.mix(digests + times * np.uint64(flat.BASE)).view(np.int64)
-        picked = batch.select(KEY).take(pa.array(text[start]))
-        yield pa.RecordBatch.from_arrays(
-            [*picked.columns, pa.array(keys), pa.array(numbers[start], pa.int32()), pa.array(numbers[end - 1], pa.int32())],
-            names=[*KEY, "key", "begin", "end"],
-        )
+        yield pa.RecordBatch.from_arrays([batch["node"].take(pa.array(text[start])), pa.array(keys)], names=["node", "key"])
 
 
 def _lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,17 +181,11 @@ def _lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (left, right, lines, sizes) in enumerate(
             zip(*(batch[c].to_pylist() for c in ("names_u", "names", "numbers", "sizes")), strict=True)
         ):
-            block: list[int] = []
-            pairs = [*align(left, right), (-9, -9)]
-            for (x, y), (u, v) in zip([(-9, -9), *pairs[:-1]], pairs, strict=True):
-                if (u, v) != (x + 1, y + 1):
-                    if sum(sizes[j] for j in block) >= BLOCK_WORDS:
-                        nodes += [k] * len(block)
-                        numbers += [lines[j] for j in block]
-                    block = []
-                block.append(v)
-        picked = batch.select(["id", "a", "b"]).take(pa.array(nodes, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(numbers, pa.int32())], names=["id", "a", "b", "number"])
+            found = lost_places(left, right, sizes)
+            nodes += [k] * len(found)
+            numbers += [lines[y] for y in found]
+        picked = batch.select(KEY).take(pa.array(nodes, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(numbers, pa.int32())], names=[*KEY, "number"])
 
 
 def _keyed(docs: DataFrame, text: str, doc_id: str, keep: list[str] | None) -> DataFrame:
@@ -166,7 +206,6 @@ def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     line = F.transform(
         F.split("text", "\n"),
         lambda x, i: F.struct(
-            F.xxhash64(F.trim(x, F.lit(rows.SPACE))).alias("key"),
             F.xxhash64(F.lit(1), F.trim(x, F.lit(rows.SPACE))).alias("name"),
             F.regexp_count(x, F.lit(rows.WORD)).alias("size"),
             i.alias("number"),
@@ -178,39 +217,24 @@ def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     chosen = profiles.join(least.select(*KEY), KEY, "left_semi").dropDuplicates(KEY)
     chosen = rows.cut(
         chosen.select(
-            F.struct(*KEY).alias("node"), F.col("lines.key").alias("keys"), F.col("lines.name").alias("names"),
-            F.col("lines.size").alias("sizes"), F.col("lines.number").alias("numbers"),
+            F.struct(*KEY).alias("node"), F.col("lines.name").alias("names"), F.col("lines.size").alias("sizes"),
+            F.col("lines.number").alias("numbers"),
         )
     )
-    evidence = F.array_distinct(
-        F.transform(
-            F.filter(F.arrays_zip("keys", "sizes"), lambda x: x["sizes"] >= LINE_WORDS), lambda x: x["keys"]
-        )
-    )
-    held = rows.cut(chosen.select("node", F.explode(evidence).alias("key")))
-    holders = held.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    pairs = (
-        held.join(holders, "key")
-        .where("node != first")
-        .groupBy("first", "node")
-        .agg(F.count("*").alias("shared"), F.min("n").alias("rarest"))
-        .where((F.col("rarest") <= RARE) | (F.col("shared") >= SHARED))
-        .select("first", "node")
+    runs = chosen.select("node", "names", "sizes").mapInArrow(
+        _runs, "node struct<id: bigint, a: bigint, b: bigint>, key bigint"
     )
-    node = F.struct(*KEY)
-    runs = chosen.select("node.*", "names", "sizes", "numbers").mapInArrow(
-        _runs, "id bigint, a bigint, b bigint, key bigint, begin int, end int"
+    # Written, so that Spark can split the join's side of a run that very many documents hold.
+    origins = rows.cut(
+        runs.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last").drop("last")
     )
-    origins = runs.groupBy("key").agg(F.min(node).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    repeated = runs.join(origins, "key").where(node != F.col("first"))
+    pairs = runs.join(origins, "key").where("node != first").select("first", "node").distinct()
     left = chosen.select(F.col("node").alias("first"), F.col("names").alias("names_u"))
-    right = chosen.select("node", "names", "sizes", "numbers")
     lost = (
-        pairs.join(right, "node")
+        pairs.join(chosen, "node")
         .join(left, "first")
         .select("node.*", "names_u", "names", "sizes", "numbers")
         .mapInArrow(_lost, "id bigint, a bigint, b bigint, number int")
-        .union(repeated.select(*KEY, F.explode(F.sequence("begin", "end"))))
         .groupBy(*KEY)
         .agg(F.collect_set("number").alias("lost"))
     )

@@ -4,7 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
-from marquee.llm import line_dedup, mixing, quality
+from marquee.llm import mixing, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = " \t\n\x0b\f\r"
@@ -88,51 +88,6 @@ def near_classes(rows):
     return [least[find(k)] for k in range(len(rows))]
 
 
-def without_lines(rows):
-    """(kept text, lines with a word, lines removed) of each (id, text) row."""
-    rows = [(rank(i), t or "") for i, t in rows]
-    least = {}
-    for i, t in rows:
-        least[t] = min(least.get(t, LAST), i)
-    profiles = {}
-    for t, i in least.items():
-        lines = [(k, x.strip(SPACE)) for k, x in enumerate(t.split("\n")) if WORD.search(x)]
-        profiles[t] = (i, lines)
-    holders = defaultdict(set)
-    for t, (i, lines) in profiles.items():
-        for _, x in lines:
-            if len(WORD.findall(x)) >= line_dedup.LINE_WORDS:
-                holders[x].add((i, t))
-    evidence = defaultdict(list)
-    for held in holders.values():
-        first = min(held)
-        for h in held - {first}:
-            evidence[first[1], h[1]].append(len(held))
-    lost = defaultdict(set)
-    for (u, v), n in evidence.items():
-        if min(n) > line_dedup.RARE and len(n) < line_dedup.SHARED:
-            continue
-        left, right = profiles[u][1], profiles[v][1]
-        block = []
-        pairs = [*line_dedup.align([x for _, x in left], [x for _, x in right]), (-9, -9)]
-        before = (-9, -9)
-        for pair in pairs:
-            if pair != (before[0] + 1, before[1] + 1):
-                if sum(len(WORD.findall(right[j][1])) for j in block) >= line_dedup.BLOCK_WORDS:
-                    lost[v].update(right[j][0] for j in block)
-                block = []
-            block.append(pair[1])
-            before = pair
-    out = []
-    for i, t in rows:
-        n = len(profiles[t][1])
-        if i != least[t]:
-            out.append(("", n, n))
-        else:
-            out.append(("\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost[t]), n, len(lost[t])))
-    return out
-
-
 def common_lines(left, right):
     """Pairs of places of a longest common subsequence, by the plain table."""
     best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
@@ -151,25 +106,50 @@ def common_lines(left, right):
     return found
 
 
-def without_lines_of_all_pairs(rows, least_words=10):
-    """The kept text of (id, text) rows with distinct ids and texts, every text aligned with every earlier one."""
+def lost_in_pair(left, right, least_words):
+    """Places of the lines `right` that it loses to `left`: blocks of a longest common subsequence, then what is left in any order."""
+    used, gone, block = set(), set(), []
+    for pair in [*common_lines(left, right), (None, None)]:
+        if block and pair != (block[-1][0] + 1, block[-1][1] + 1):
+            if sum(len(WORD.findall(right[b])) for _, b in block) >= least_words:
+                used |= {a for a, _ in block}
+                gone |= {b for _, b in block}
+            block = []
+        block.append(pair)
+    for b in range(len(right)):
+        for a in range(len(left)):
+            n = 0
+            while (
+                a + n < len(left) and b + n < len(right) and left[a + n] == right[b + n]
+                and a + n not in used and b + n not in gone
+            ):
+                n += 1
+            if sum(len(WORD.findall(x)) for x in right[b : b + n]) >= least_words:
+                used |= set(range(a, a + n))
+                gone |= set(range(b, b + n))
+    return gone
+
+
+def without_lines(rows, least_words=10):
+    """(kept text, lines with a word, lines removed) of each (id, text) row, every text held against every earlier one."""
+    rows = [(rank(i), t or "") for i, t in rows]
+    least = {}
+    for i, t in rows:
+        least[t] = min(least.get(t, LAST), i)
+    filled = {t: [(k, x.strip(SPACE)) for k, x in enumerate(t.split("\n")) if WORD.search(x)] for t in least}
+    lost = defaultdict(set)
+    order = sorted((i, t) for t, i in least.items())
+    for n, (_, later) in enumerate(order):
+        for _, earlier in order[:n]:
+            found = lost_in_pair([x for _, x in filled[earlier]], [x for _, x in filled[later]], least_words)
+            lost[later] |= {filled[later][b][0] for b in found}
     out = []
-    split = [(i, t.split("\n")) for i, t in rows]
-    profiles = {i: [(k, x.strip(SPACE)) for k, x in enumerate(lines) if WORD.search(x)] for i, lines in split}
-    for i, lines in split:
-        gone = set()
-        for earlier in (j for j in profiles if j < i):
-            places = common_lines([x for _, x in profiles[earlier]], [x for _, x in profiles[i]])
-            block, before = [], None
-            for place in [*places, None]:
-                if block and (place is None or place != (before[0] + 1, before[1] + 1)):
-                    if sum(len(WORD.findall(profiles[i][b][1])) for b in block) >= least_words:
-                        gone.update(profiles[i][b][0] for b in block)
-                    block = []
-                if place:
-                    block.append(place[1])
-                before = place
-        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    for i, t in rows:
+        n = len(filled[t])
+        if i != least[t]:
+            out.append(("", n, n))
+        else:
+            out.append(("\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost[t]), n, len(lost[t])))
     return out
 
 
@@ -240,10 +220,12 @@ def copies(rows):
         if not over:
             break
         capped |= over
-    out = []
-    for i, _, s in rows:
+    out, seen = [], Counter()
+    for i, t, s in rows:
         rate = target[s] / sizes[s] if sizes[s] else 0.0
-        key = mixing.SEED + ("" if i is None else f":{i}")
+        number = seen[i, t or "", s]
+        seen[i, t or "", s] += 1
+        key = f"{mixing.SEED}:{'' if i is None else i}:{hashlib.sha256((t or '').encode()).hexdigest()}:{number}"
         draw = int(hashlib.sha256(key.encode()).hexdigest()[:13], 16) / 2**52
         out.append(int(rate) + (draw < rate - int(rate)))
     return out

@@ -171,6 +171,16 @@ def test_mixing(docs, rows, empty):
     assert result(mixing.emit(mixing.plan(empty))) == []
 
 
+def test_mixing_without_ids_and_with_equal_rows(spark):
+    texts = [(None, f"w{k} " * 10, "a") for k in range(900)] + [(None, "same " * 10, "b")] * 600 + [(k, "x " * 10, "c") for k in range(900)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(7)
+    planned = mixing.plan(frame)
+    same(planned.select("row.doc_id", "copies"), [(r[0], c) for r, c in zip(texts, brute.copies(texts), strict=True)])
+    taken = planned.groupBy("row.source").agg({"target": "max"}).collect()
+    words = {r["source"]: r["taken"] for r in planned.selectExpr("row.source", "size * copies AS taken").groupBy("source").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "taken").collect()}
+    assert all(abs(words[r["source"]] - r["max(target)"]) < 0.05 * r["max(target)"] for r in taken)
+
+
 def test_mixing_targets_reach_the_caps(spark):
     frame = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 5), (None, 0)], "source string, source_size long")
     found = {r["source"]: r["target"] for r in mixing.targets(frame).collect()}
@@ -237,10 +247,10 @@ def test_line_dedup(docs, rows, empty):
 
 def test_a_line_of_many_texts_goes_from_all_later_ones(spark):
     line = " ".join(f"licence{k}" for k in range(20))
-    frame = spark.createDataFrame([(k, f"own start {k}\n{line}\n\nown end {k}") for k in range(line_dedup.RARE + 10)], "doc_id long, text string")
+    frame = spark.createDataFrame([(k, f"own start {k}\n{line}\n\nown end {k}") for k in range(60)], "doc_id long, text string")
     found = {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame.repartition(5)).select("row.doc_id", "kept").collect()}
     assert found.pop(0) == f"own start 0\n{line}\n\nown end 0"
-    assert found == {k: f"own start {k}\n\nown end {k}" for k in range(1, line_dedup.RARE + 10)}
+    assert found == {k: f"own start {k}\n\nown end {k}" for k in range(1, 60)}
 
 
 def test_blocks_whose_lines_were_first_seen_in_other_company(spark):
@@ -252,6 +262,11 @@ def test_blocks_whose_lines_were_first_seen_in_other_company(spark):
     assert found == dict(enumerate(texts)) | {3: "g\nh", 5: "j j"}
 
 
+def kept_of(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    return {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame).select("row.doc_id", "kept").collect()}
+
+
 def test_line_dedup_against_all_pairs(spark):
     rng = random.Random(23)
     licence = " ".join(f"licence{k}" for k in range(20))
@@ -261,18 +276,33 @@ def test_line_dedup_against_all_pairs(spark):
         at, size = rng.randrange(18), rng.randint(2, 6)
         texts.append("\n".join([f"head {k}", *short[at : at + size], "", f"middle {k}", licence, f"tail {k}"]))
     texts += [f"{licence}\nnumber {k}" for k in range(20)]
-    expected = brute.without_lines_of_all_pairs(list(enumerate(texts)))
-    assert sum(licence in t for t in texts) > line_dedup.RARE and sum(licence in t for _, t in expected) == 1
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    same(line_dedup.remove(frame).select("row.doc_id", "kept"), expected)
+    expected = {k: kept for k, (kept, _, _) in enumerate(brute.without_lines(list(enumerate(texts))))}
+    assert sum(licence in t for t in expected.values()) == 1
+    assert kept_of(spark, texts) == expected
 
 
-def test_a_passage_held_twice_goes_once(spark):
-    one, two = (" ".join(f"{x}{k}" for k in range(12)) for x in "pq")
-    texts = [f"u\n{one}\n{two}\nv", f"w\n{one}\n{two}\nz\n{one}\n{two}\nq"]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r["doc_id"]: r["kept"] for r in line_dedup.remove(frame).select("row.doc_id", "kept").collect()}
-    assert found == {0: texts[0], 1: f"w\nz\n{one}\n{two}\nq"}
+def test_passages_that_come_again_or_in_another_order(spark):
+    one, two, three = (" ".join(f"{x}{k}" for k in range(12)) for x in "pqr")
+    texts = [
+        f"u\n{one}\n{two}\nv", f"w\n{one}\n{two}\nz\n{one}\n{two}\nq", f"{two}\nnew\n{one}\nend", f"a1\n{three}\nb1",
+        f"{three}\nx\na1\n{three}\nb1", f"{three}\ny\n{three}\nyy\n{three}",
+    ]
+    found = kept_of(spark, texts)
+    assert found == {k: kept for k, (kept, _, _) in enumerate(brute.without_lines(list(enumerate(texts))))}
+    assert found[1] == f"w\nz\n{one}\n{two}\nq" and found[2] == "new\nend"
+    assert found[4] == f"{three}\nx\na1\nb1" or found[4] == f"x\na1\n{three}\nb1" or found[4].count(three) == 1
+
+
+def test_a_line_of_a_thousand_texts(spark):
+    line = " ".join(f"w{k}" for k in range(15))
+    texts = [f"{k} begins\n{line}\n{k} ends" for k in range(1000)]
+    assert kept_of(spark, texts) == {0: texts[0]} | {k: f"{k} begins\n{k} ends" for k in range(1, 1000)}
+
+
+def test_long_texts_of_lines(spark):
+    lines = [f"line {k} of a very long text with more than ten words in all" for k in range(6000)]
+    texts = ["\n".join(lines), "\n".join(reversed(lines)), "\n".join(lines[1000:] + ["new"] + lines[:1000]), "same words again and again here now\n" * 4000]
+    assert kept_of(spark, texts) == {0: texts[0], 1: "", 2: "new", 3: texts[3]}
 
 
 def test_alignment_without_unique_lines():
@@ -287,9 +317,11 @@ def test_patience_alignment():
 
 
 def test_near_duplicates(docs, rows, empty):
-    expected = [(brute.rank(r[0]) if r[0] is not None else 2**63 - 1, min(c, 2**63 - 1)) for r, c in zip(rows, brute.near_classes([r[:2] for r in rows]), strict=True)]
+    classes = brute.near_classes([r[:2] for r in rows])
+    expected = [(r[0], None if c == brute.LAST else c) for r, c in zip(rows, classes, strict=True)]
     same(near_dup.classes(docs).select("id", "class_id"), expected)
-    assert near_dup.keep_one(docs).count() == len({c for _, c in expected if c < 2**63 - 1}) + 1
+    assert (None, None) in expected
+    assert near_dup.keep_one(docs).count() == len({c for _, c in expected if c is not None}) + 1
     assert near_dup.keep_one(docs).columns == docs.columns
     assert result(near_dup.classes(empty)) == [] and result(near_dup.keep_one(empty)) == []
 
