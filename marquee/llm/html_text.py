@@ -3,7 +3,15 @@
 A page is read tag by tag into a tree of containers and blocks. Each block passes points for its length and its commas
 to its container and, halved, to the container above; a container's points are discounted by its link density. The best
 container is kept together with those of its siblings that score like content, and their blocks in page order are the
-text. Parts that are not the article (by element, role, class or id) hold no points and no text.
+text. Elements that are never the article hold no points and no text. A part whose class, id or role speaks against it, and
+a form, is only marked: it hands no points to the containers around it, and its own count PENALTY times. It stays out of
+the text unless what is outside scores too little to be an article (ENOUGH) and the best container lies in it, so a
+page-wide form or a layout that is named after its sidebar loses nothing but its fields.
+
+Markup is read in one pass with states for tag, attribute name and value. What can't be a tag is text: a `<` without a
+letter behind it, or without any `>` up to the end of the page. A quote inside an unquoted value belongs to it, a quote that
+is never closed is part of the attribute. End tags of elements that are not open are ignored; an element that is never
+closed ends with the one around it. Time grows with the length of the page, whatever its nesting.
 
 Null and empty pages give an empty text, and so do pages without a block. Repeated rows get the same text. Pages of any
 length are read whole. Columns of the input stay; `text` and `n_chars` replace columns of the same name.
@@ -13,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,13 +32,16 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset(
-    "nav header footer aside form button select option fieldset dialog menu svg math canvas object audio video head".split()
+    "nav header footer aside button select option fieldset label legend datalist output dialog menu svg math canvas object "
+    "audio video head".split()
 ) | RAW
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
     .split()
 )
+# Elements whose attributes are those of the whole page or text.
+WHOLE = frozenset("html body article main".split())
 CONTAINERS = frozenset("article blockquote body center details div html main section table tbody td th tr".split())
 INSIDE_ARTICLE = frozenset("article main section".split())
 SELF_CLOSED_BY = {"p": BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
@@ -43,10 +55,16 @@ UNWANTED = re.compile(
     r"nav|navbar|navigation|menus?|sidebars?|side|aside|widgets?|related|recommend\w*|share|sharing|social|"
     r"footer|header|masthead|pager|pagination|toolbar|search|complementary|contentinfo|dialog|hidden|skip)(?![a-z])",
 )
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+# A class name that begins like this says what a layout has or lacks, not what the part is.
+LAYOUT = re.compile(r"(?:has|no|with|without|not|non|layout|supports|js)-")
+OWN_HEADER = re.compile(r"(?:post|entry|article|story|content|section|news|blog)-header(?![a-z])")
+ARTICLE_HEADER = frozenset({"header", "masthead"})
+
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+BETWEEN = re.compile(r"[\s/]*+")
+ATTRIBUTE = re.compile(
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?)?"""
 )
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 SPACES = re.compile(r"\s+")
 
 BREAK = "\n"
@@ -55,19 +73,21 @@ COMMA = re.compile("[,،、，]")
 LENGTH_STEP, MOST_LENGTH_POINTS = 100, 3
 SIBLING_SHARE = 0.2
 LEAST_SIBLING_TEXT, MOST_LINKS = 80, 0.25
+PENALTY, ENOUGH = 0.25, 10.0
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SENTENCE_END = re.compile(r"[.!?:;…。！？؟।][\"'”’»)\]]*\s*$")
 
 
 class Node:
     """A container: its parts in page order are blocks (text, characters in links) and containers; headings has the
-    places of the blocks that are headings."""
+    places of the blocks that are headings. A marked one speaks against itself, a covered one is inside such a part."""
 
-    __slots__ = ("name", "parent", "parts", "headings", "points", "chars", "linked")
+    __slots__ = ("name", "parent", "parts", "headings", "points", "chars", "linked", "marked", "covered", "held")
 
-    def __init__(self, name: str, parent: Node | None):
+    def __init__(self, name: str, parent: Node | None, marked: bool = False):
         self.name, self.parent, self.parts, self.headings = name, parent, [], set()
         self.points, self.chars, self.linked = 0.0, 0, 0
+        self.marked, self.covered, self.held = marked, marked or parent is not None and parent.covered, not marked
 
     def score(self) -> float:
         return self.points * (1 - self.linked / self.chars) if self.chars else 0.0
@@ -79,31 +99,56 @@ class Node:
             if part is None:
                 waiting.pop()
             elif isinstance(part, Node):
-                waiting.append(iter(part.parts))
+                if part.held:
+                    waiting.append(iter(part.parts))
             else:
                 yield part[0]
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    if name in DROPPED and not (name == "header" and in_article):
-        return True
-    if not attributes or name in ("body", "html", "article", "main"):
-        return False
-    for key, value in ATTRIBUTE.findall(attributes):
-        key = key.lower()
-        if key == "hidden" or key == "aria-hidden" and "true" in value:
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key in ("class", "id", "role") and UNWANTED.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", value).replace("_", "-").lower()):
-            return True
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or "true" in attributes.get("aria-hidden", "")
+        or bool(re.search(r"display\s*:\s*none", attributes.get("style", "")))
+    )
+
+
+def _marked(attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether class, id or role say that the part is not the article."""
+    for key in ("class", "id", "role"):
+        for token in attributes.get(key, "").split():
+            token = re.sub(r"([a-z])([A-Z])", r"\1-\2", token).replace("_", "-").lower()
+            if LAYOUT.match(token):
+                continue
+            words = set(UNWANTED.findall(token))
+            if in_article or OWN_HEADER.search(token):
+                words -= ARTICLE_HEADER
+            if words:
+                return True
     return False
 
 
+def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
+    """The attributes from a place inside a tag, where the tag ends, and whether it closes itself."""
+    found: dict[str, str] = {}
+    while True:
+        between = BETWEEN.match(page, at)
+        at = between.end()
+        if at >= len(page):
+            return found, at, False
+        if page[at] == ">":
+            return found, at + 1, between[0].endswith("/")
+        part = ATTRIBUTE.match(page, at)
+        found.setdefault(part[1].lower(), part[2] or part[3] or part[4] or "")
+        at = part.end()
+
+
 def parse(page: str) -> Node:
     root = node = Node("html", None)
     opened: list[tuple[str, Node, bool]] = []  # element, container around it, whether it is dropped
-    dropped, links = 0, 0
+    open_blocks: list[int] = []  # where in `opened` the block elements are
+    times = Counter()  # how often each element is open
+    dropped = 0
     pieces: list[tuple[str, bool]] = []
 
     def flush(heading: bool = False) -> None:
@@ -118,34 +163,19 @@ def parse(page: str) -> Node:
             pieces = []
 
     def close(count: int) -> None:
-        nonlocal node, dropped, links
+        nonlocal node, dropped
         for _ in range(count):
             name, around, was_dropped = opened.pop()
-            if name in BLOCKS and not dropped:
-                flush(name in HEADINGS)
+            if name in BLOCKS:
+                open_blocks.pop()
+                if not dropped:
+                    flush(name in HEADINGS)
             dropped -= was_dropped
-            links -= name == "a"
+            times[name] -= 1
             node = around
 
-    at = 0
-    while True:
-        found = TOKEN.search(page, at)
-        if not dropped:
-            text = page[at : found.start() if found else len(page)]
-            if text:
-                pieces.append((text, links > 0))
-        if not found:
-            break
-        at = found.end()
-        ending, name, attributes = found[1], found[2], found[3]
-        if name is None:
-            continue
-        name = name.lower()
-        if ending:
-            depth = next((k for k, (n, _, _) in enumerate(reversed(opened)) if n == name), None)
-            if depth is not None:
-                close(depth + 1)
-            continue
+    def open_tag(name: str, attributes: dict[str, str], closed: bool) -> None:
+        nonlocal node, dropped
         while opened and name in SELF_CLOSED_BY.get(opened[-1][0], ()):
             close(1)
         if name == "br":
@@ -153,29 +183,67 @@ def parse(page: str) -> Node:
             if not dropped:
                 last = next((p for p, _ in reversed(pieces) if p is BREAK or not p.isspace()), None)
                 flush() if last is BREAK else pieces.append((BREAK, False))
-            continue
+            return
         if name in BLOCKS:
             # An open paragraph ends at the next block, whatever inline elements are still open in it.
-            depth = next((k for k, (n, _, _) in enumerate(reversed(opened)) if n in BLOCKS), None)
-            if depth and opened[-1 - depth][0] == "p":
-                close(depth + 1)
+            if open_blocks and opened[open_blocks[-1]][0] == "p":
+                close(len(opened) - open_blocks[-1])
             if not dropped:
                 flush()
-        if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        if name in VOID or attributes.endswith("/"):
-            continue
-        in_article = any(n in INSIDE_ARTICLE for n, _, _ in opened)
-        out = _unwanted(name, attributes, in_article)
+        if name in RAW or name in VOID or closed:
+            return
+        in_article = any(times[n] for n in INSIDE_ARTICLE)
+        out = name in DROPPED and not (name == "header" and in_article) or _hidden(attributes)
+        marked = name == "form" or name not in WHOLE and _marked(attributes, in_article)
+        if marked and name not in BLOCKS:
+            out = True
+        if name in BLOCKS:
+            open_blocks.append(len(opened))
         opened.append((name, node, out))
+        times[name] += 1
         if out:
             dropped += 1
-        elif not dropped and name in CONTAINERS:
-            node = Node(name, node)
+        elif not dropped and (marked or name in CONTAINERS):
+            node = Node(name, node, marked)
             node.parent.parts.append(node)
-        links += name == "a"
+
+    at, text_from, last = 0, 0, page.rfind(">")
+
+    def text_to(end: int) -> None:
+        if not dropped and end > text_from:
+            pieces.append((page[text_from:end], times["a"] > 0))
+
+    while True:
+        at = page.find("<", at)
+        if at < 0 or at > last:
+            break
+        following = page[at + 1 : at + 2]
+        if following in ("!", "?"):
+            text_to(at)
+            end = page.find("-->", at + 2) if page.startswith("<!--", at) else page.find(">", at)
+            if end < 0:
+                text_from = len(page)
+                break
+            at = text_from = end + (3 if page.startswith("<!--", at) else 1)
+            continue
+        ending = following == "/"
+        found = TAG_NAME.match(page, at + 1 + ending)
+        if not found:
+            at += 1
+            continue
+        text_to(at)
+        name = found[0].lower()
+        attributes, at, closed = _attributes(page, found.end())
+        text_from = at
+        if ending:
+            if times[name]:
+                close(next(k for k, (n, _, _) in enumerate(reversed(opened), 1) if n == name))
+            continue
+        open_tag(name, attributes, closed)
+        if name in RAW and not closed:
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+            at = text_from = end.end() if end else len(page)
+    text_to(len(page))
     if not dropped:
         flush()
     return root
@@ -191,8 +259,9 @@ def _score(root: Node) -> list[Node]:
     for node in reversed(nodes):
         for part in node.parts:
             if isinstance(part, Node):
-                node.chars += part.chars
-                node.linked += part.linked
+                if not part.marked:
+                    node.chars += part.chars
+                    node.linked += part.linked
                 continue
             text, linked = part
             node.chars += len(text)
@@ -200,7 +269,7 @@ def _score(root: Node) -> list[Node]:
             points = 1 + len(COMMA.findall(text)) + min(len(text) // LENGTH_STEP, MOST_LENGTH_POINTS)
             points *= 1 - linked / len(text)
             node.points += points
-            if node.parent:
+            if node.parent and not node.marked:
                 node.parent.points += points / 2
     return nodes
 
@@ -210,13 +279,13 @@ def _with_neighbours(around: Node, chosen: list[bool]) -> list[bool]:
 
     def plain(part: Node | tuple[str, int]) -> bool:
         if isinstance(part, Node):
-            return not part.linked and any(SENTENCE_END.search(b) for b in part.blocks())
+            return part.held and not part.linked and any(SENTENCE_END.search(b) for b in part.blocks())
         return not part[1] and bool(SENTENCE_END.search(part[0]))
 
     def heading(k: int) -> bool:
         part = around.parts[k]
         if isinstance(part, Node):
-            return not part.linked and bool(part.headings)
+            return part.held and not part.linked and bool(part.headings)
         return not part[1] and k in around.headings
 
     found = list(chosen)
@@ -230,11 +299,39 @@ def _with_neighbours(around: Node, chosen: list[bool]) -> list[bool]:
     return found
 
 
+def _best(nodes: list[Node]) -> tuple[Node, bool]:
+    """The best container, and whether it is an article among others or the whole of one."""
+
+    def first(among: list[Node]) -> Node:
+        return max(among, key=lambda n: (n.score(), n.chars))
+
+    def articles(among: list[Node]) -> list[Node]:
+        return [n for n in among if n.name in ("article", "main") and n.chars]
+
+    outside = [n for n in nodes if not n.covered]
+    named = articles(outside)
+    best = first(named or outside)
+    if best.score() < ENOUGH and (covered := [n for n in nodes if n.covered and n.chars]):
+        inside = first(covered)
+        around = {id(n) for n in _up(inside)}
+        known = articles([n for n in covered if id(n) in around or any(x is inside for x in _up(n))])
+        if (inside.score() >= ENOUGH or known) and PENALTY * inside.score() > best.score():
+            named, best = known, first(known or [inside])
+            for node in _up(best):
+                node.held = True
+    return best, bool(named)
+
+
+def _up(node: Node | None) -> Iterator[Node]:
+    while node:
+        yield node
+        node = node.parent
+
+
 def main_text(page: str | None) -> str:
     root = parse(page or "")
     nodes = _score(root)
-    articles = [n for n in nodes if n.name in ("article", "main") and n.chars]
-    best = max(articles or nodes, key=lambda n: (n.score(), n.chars))
+    best, articles = _best(nodes)
     while best.parent and best.parent.name in INSIDE_ARTICLE and best.parent.chars:
         best = best.parent
     kept = [best]
@@ -244,6 +341,8 @@ def main_text(page: str | None) -> str:
         for part in best.parent.parts:
             if part is best:
                 chosen.append(True)
+            elif isinstance(part, Node) and not part.held:
+                chosen.append(False)
             elif isinstance(part, Node):
                 alike = part.name == best.name if best.name == "article" else True
                 chosen.append(alike and part.score() >= least and part.linked <= MOST_LINKS * part.chars)
