@@ -14,7 +14,7 @@ from marquee import fixed
 from marquee.bindings import sql_views as S
 from marquee.bindings.views import LISTING_PRIORITY, OCCURRENCE_PRIORITY, Tables
 from marquee.functions import clock, money, text
-from marquee.functions.markup import tag
+from marquee.functions.markup import tag, words
 from marquee.operators import (
     analytics,
     collapse,
@@ -513,9 +513,9 @@ def extract_text_blocks(t: Tables) -> DataFrame:
 
 
 _BOLD = feeds_html.Layout(
-    listing=r"<(p)><b>",
+    listing=tag("b"),
     when=lambda block, group: {},
-    texts=lambda block, group: {"title": F.regexp_extract(block, r"(?s)<b>(.*)", 1)},
+    texts=lambda block, group: {"title": words(block)},
     date=lambda t: F.col("context_date"),
     fields=lambda t: {"title": t["title"], **{c: F.lit("") for c in ("venue", "time", "cost", "url", "description")}},
 )

@@ -1,10 +1,17 @@
-"""HTML as Catalyst string functions: tag patterns, field text, character references."""
+"""HTML as Catalyst functions: pages as arrays of tags, elements by depth, field text, character references.
+
+A page is split once into tokens, one for each tag: its name in lower case (`/name` for an end tag), the rest of the tag,
+and the text up to the next tag. Elements are found by a fold that counts tags of their own name up and down, so no
+pattern is made per row. Comments are dropped. Attribute values may stand in any quotes or none, names in any case. A
+`<` inside an attribute value is read as text unless a letter follows it.
+"""
 
 from __future__ import annotations
 
 import html.entities
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,75 +30,101 @@ _TABLE = "\n" + "".join(f"{name}\t{chars}\n" for name, chars in _NAMED.items() i
 _WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)]
 
 
-def tag(name: str = r"[a-zA-Z][\w-]*", cls: str | None = None, attr: str | None = None) -> str:
-    """Pattern of an opening tag, optionally with class tokens or a given attribute text.
+Match = Callable[[Column], Column]
 
-    Group 1 is the tag name, so a closing tag can refer back to it.
-    """
-    tests = [rf"\s(?i:{attr})"] if attr else []
-    tests += [rf'\s(?i:class)="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?"' for token in (cls or "").split()]
-    if len(tests) == 1:
-        # A single test needs no look-ahead: each tag is then scanned once.
-        return rf"<((?i:{name}))\b[^>]*?{tests[0]}[^>]*>"
-    return rf"<((?i:{name}))\b" + "".join(f"(?=[^>]*{t})" for t in tests) + "[^>]*>"
+_VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+_NAME = r"/?[A-Za-z][\w-]*+"
+_HEAD = rf"""\A{_NAME}(?:[\s/]*+[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+)*+[^>]*+>"""
 
 
-def blocks(body: Column, opening: str) -> Column:
-    """Pieces of a page that each start at an opening tag and run to the next one."""
-    pieces = F.split(F.concat(F.lit("<!---->"), text.text_or_empty(body)), f"(?={opening})")
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+def tokens(body: Column) -> Column:
+    """The tags of a page as an array of (name, head, text)."""
+    bare = F.regexp_replace(text.text_or_empty(body), r"(?s)<!--.*?-->", "")
+    pieces = F.split(bare, r"<(?=/?[A-Za-z])")
 
+    def token(piece: Column) -> Column:
+        def cut(head: Column) -> Column:
+            return F.struct(
+                F.lower(F.regexp_extract(piece, rf"\A{_NAME}", 0)).alias("name"),
+                head.alias("head"),
+                F.substr(piece, F.char_length(head) + 1).alias("text"),
+            )
 
-def inner(block: Column, opening: str) -> Column:
-    """Raw markup of the first matching element, up to the closing tag that is its own; '' if absent.
+        return text.once(F.regexp_extract(piece, _HEAD, 0), cut)
 
-    Most elements hold none of their own name and end at the next closing tag. Else the tags of that
-    name are counted up and down from the opening one.
-    """
-    near = F.regexp_extract(block, rf"(?s){opening}(.*?)</(?i:\1)\s*>", 2)
-    name = F.lower(F.regexp_extract(block, opening, 1))
-    rest = F.regexp_extract(block, rf"(?s){opening}(.*)", 2)
+    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), token)
 
-    def step(state: Column, piece: Column) -> Column:
-        opens = F.rlike(piece, F.concat(F.lit("(?is)\\A<"), name, F.lit("\\b")))
-        closes = F.rlike(piece, F.concat(F.lit("(?is)\\A</"), name, F.lit("\\b")))
-        depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
-        open_still = (state["depth"] > 0) & (depth > 0)
-        return F.struct(
-            F.when(state["depth"] > 0, depth).otherwise(0).alias("depth"),
-            F.when(open_still, F.concat(state["held"], piece)).otherwise(state["held"]).alias("held"),
-        )
 
-    pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), name, F.lit("\\b)")))
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("held"))
-    counted = F.aggregate(pieces, start, step, lambda s: F.when(s["depth"] == 0, s["held"]).otherwise(""))
-    holds_own = F.rlike(near, F.concat(F.lit("(?i)<"), name, F.lit("\\b")))
-    return F.when((near != "") & holds_own, counted).otherwise(near)
+def value_in(head: Column, name: str) -> Column:
+    """Raw value of an attribute in a tag; '' if absent. Other attributes' values are passed over whole."""
+    other = rf"""[\s/]*+(?!(?i:{name})\s*+=)[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"""
+    found = F.regexp_extract(head, rf"\A{_NAME}(?:{other})*+[\s/]*+(?i:{name})\s*+=\s*+{_VALUE}", 2)
+    return text.once(found, lambda v: F.when(F.rlike(v, F.lit("\\A[\"']")), F.substr(v, F.lit(2), F.char_length(v) - 2)).otherwise(v))
 
 
-_IN_TAG = r"""(?=(?:[^<>"]*"[^<>"]*")*[^<>"]*>)"""
+def tag(name: str | None = None, cls: str | None = None, attr: tuple[str, str] | None = None) -> Match:
+    """Whether a token is an opening tag of a name, with class tokens, or with an attribute that matches a pattern."""
 
+    def match(token: Column) -> Column:
+        found = token["name"] == name if name else ~token["name"].startswith("/")
+        if cls:
+            # The plain search spares most tags the pattern.
+            for each in cls.split():
+                found = found & F.contains(token["head"], F.lit(each))
+            classes = F.split(value_in(token["head"], "class"), r"\s+")
+            for each in cls.split():
+                found = found & F.array_contains(classes, each)
+        if attr:
+            found = found & F.rlike(value_in(token["head"], attr[0]), F.lit(rf"\A(?:{attr[1]})\z"))
+        return found
 
-def normalised(body: Column) -> Column:
-    """A page without comments, its attribute values in double quotes, as the tag patterns read them."""
-    bare = F.regexp_replace(text.text_or_empty(body), r"(?s)<!--.*?-->", "")
-    single = rf"""(\s[\w:.-]+)\s*=\s*'([^'"<>]*)'{_IN_TAG}"""
-    unquoted = rf"""(\s[\w:.-]+)\s*=\s*([^\s"'=<>`]+)(?=[\s>]){_IN_TAG}"""
-    spaced = rf"""(\s[\w:.-]+)(?:\s+=\s*|=\s+)"([^"<>]*)"{_IN_TAG}"""
-    for pattern in (single, unquoted, spaced):
-        bare = F.regexp_replace(bare, pattern, '$1="$2"')
-    return bare
+    return match
 
 
-def attribute(block: Column, opening: str, name: str) -> Column:
-    """Raw value of an attribute of the first matching tag; '' if absent."""
-    return F.regexp_extract(F.regexp_extract(block, f"({opening})", 1), rf'\s(?i:{name})="([^"]*)"', 1)
+def blocks(page: Column, opening: Match) -> Column:
+    """Parts of a token array that each start at an opening tag and run to the next one."""
+
+    def cut(found: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(found, k + 1), F.size(page))
+        return F.transform(found, lambda at, k: F.slice(page, at + 1, end(k) - at))
+
+    places = F.transform(page, lambda t, k: F.when(opening(t), k))
+    return text.once(F.filter(places, lambda k: k.isNotNull()), cut)
+
+
+def element(page: Column, opening: Match) -> Column:
+    """Tokens of the first matching element, without its end tag; empty if it is absent or never closed."""
+
+    def cut(at: Column) -> Column:
+        own = F.get(page, at - 1)["name"]
+        rest = F.slice(page, at + 1, F.size(page))
 
+        def closed(name: Column) -> Column:
+            start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
 
-def plain(markup: Column) -> Column:
-    """Text of a piece of markup: every text run trimmed, tags dropped, references decoded."""
-    blank = "[" + re.escape(text.WHITESPACE) + "]*"
-    return unescape(text.strip(F.regexp_replace(markup, f"{blank}<[^>]*>{blank}", "")))
+            def step(state: Column, token: Column) -> Column:
+                depth = F.when(token["name"] == name, 1).when(token["name"] == F.concat(F.lit("/"), name), -1).otherwise(0)
+                return F.when(state["depth"] == 0, state).otherwise(
+                    F.struct((state["depth"] + depth).alias("depth"), (state["n"] + 1).alias("n"))
+                )
+
+            return F.aggregate(rest, start, step, lambda s: F.when(s["depth"] == 0, s["n"]).otherwise(0))
+
+        return F.slice(page, F.greatest(at, F.lit(1)), F.when(at > 0, text.once(own, closed)).otherwise(0))
+
+    place = F.array_position(F.transform(page, opening), F.lit(True)).cast("int")
+    return text.once(place, cut)
+
+
+def words(part: Column) -> Column:
+    """Text of some tokens, every run trimmed; character references are left."""
+    return F.array_join(F.transform(part, lambda t: text.strip(t["text"])), "")
+
+
+def attribute(page: Column, opening: Match, name: str) -> Column:
+    """Raw value of an attribute of the first matching tag; '' if absent."""
+    found = F.get(F.filter(page, opening), F.lit(0))
+    return text.text_or_empty(text.once(found, lambda t: value_in(t["head"], name)))
 
 
 def _code_point(digits: Column, base: int) -> Column:

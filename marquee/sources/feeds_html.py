@@ -1,8 +1,8 @@
 """HTML listings, one specification per page layout.
 
-A layout names the opening tag of one listing and, where a date covers several listings, the opening
-tag of that group. Fields are regular expressions on the listing's markup, so the whole parse stays
-in JVM string functions. Tag, class and attribute names are fixed values of the pages.
+A page is split once into its tags. A layout names the opening tag of one listing and, where a date covers several
+listings, the opening tag of that group; fields are elements and attributes found among the listing's tags. Tag, class
+and attribute names are fixed values of the pages.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import clock, markup, text
-from marquee.functions.markup import attribute, inner, tag
+from marquee.functions.markup import Match, attribute, blocks, element, tag, words
 from marquee.operators.lookup import salted_lookup
 from marquee.sources.feeds_json import parsed
 
@@ -32,19 +32,19 @@ Texts = dict[str, Column]
 class Layout:
     """How a page becomes listings.
 
-    `when`, `texts` and `links` cut raw markup and raw attribute values out of a listing, given the
-    listing and its group; `date` and `fields` make the event from them once they are plain text. A
+    `when`, `texts` and `links` cut texts and raw attribute values out of a listing, given the tags of the
+    listing and of its group; `date` and `fields` make the event from them once they are plain text. A
     date needs `when` only, so the week filter runs before the other texts are cut. The group is the
     whole page where the layout has no groups.
     """
 
-    listing: str
+    listing: Match
     when: Callable[[Column, Column], Texts]
     texts: Callable[[Column, Column], Texts]
     date: Callable[[Texts], Column]
     fields: Callable[[Texts], Texts]
     links: Callable[[Column, Column], Texts] = lambda block, group: {}
-    group: str | None = None
+    group: Match | None = None
     # Groups that count: others are cut away before listings are looked for.
     group_counts: Callable[[Column], Column] | None = None
     # A page with groups but without listings is a quiet page, not a broken one.
@@ -54,18 +54,17 @@ class Layout:
 
 
 def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
-    payloads = payloads.withColumn("body", markup.normalised(F.col("body")))
-    body = F.col("body")
+    payloads = payloads.withColumn("_tags", markup.tokens(F.col("body")))
     if layout.group is None:
-        groups = F.array(body)
+        groups = F.array("_tags")
     else:
-        groups = markup.blocks(body, layout.group)
+        groups = blocks(F.col("_tags"), layout.group)
         if layout.group_counts is not None:
             groups = F.filter(groups, layout.group_counts)
     rows = payloads.withColumn("_groups", groups).withColumn("_n", F.size("_groups")).select(
         "source", "week_start", "page", "context_date", "_n", F.posexplode_outer("_groups").alias("_g", "group")
     )
-    rows = rows.withColumn("_listings", markup.blocks(F.col("group"), layout.listing))
+    rows = rows.withColumn("_listings", blocks(F.col("group"), layout.listing))
     # Counted before the explode, so that the array itself is not carried along with every listing.
     broken = (F.col("_n") if layout.quiet_without_listings else F.size("_listings")) == 0
     if layout.needs_context:
@@ -76,12 +75,12 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
         F.posexplode_outer("_listings").alias("_l", "item"),
     )
     # Texts are decoded together, so that the plan holds the decoding once per kind.
-    kinds = {"_when": (layout.when, markup.plain), "_texts": (layout.texts, markup.plain), "_links": (layout.links, markup.unescape)}
+    kinds = {"_when": layout.when, "_texts": layout.texts, "_links": layout.links}
     cut = rows.withColumn("pos", F.col("_g") * F.lit(GROUP_STEP) + F.col("_l"))
     named = {}
-    for kind, (select, decode) in kinds.items():
+    for kind, select in kinds.items():
         raw = select(F.col("item"), F.col("group"))
-        texts = F.transform(F.array(*raw.values(), F.lit("")), decode)
+        texts = F.transform(F.array(*raw.values(), F.lit("")), markup.unescape)
         # Filters do not move below a generator: the date's texts are cut once, not once per use.
         cut = cut.select("*", F.explode_outer(F.array(texts)).alias(kind)) if kind == "_when" else cut.withColumn(kind, texts)
         named |= {name: F.get(kind, F.lit(i)) for i, name in enumerate(raw)}
@@ -95,17 +94,21 @@ def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, C
     return month, day
 
 
+def _text(part: Column, *openings: Match) -> Column:
+    """Text of an element; of several openings each is looked for inside the one before."""
+    for opening in openings:
+        part = element(part, opening)
+    return words(part)
+
+
 # One dated link per event, several clock times.
 def _dated_texts(block: Column, group: Column) -> Texts:
-    times = F.regexp_extract_all(
-        block, F.lit(rf"(?s){tag('li', 'event__detail--time')}.*?<(?i:time)\b[^>]*>(.*?)</(?i:time)\s*>"), F.lit(2)
-    )
-    tickets = F.regexp_extract(block, rf"(?s){tag(cls='event__detail--tickets')}(.*?)</(?i:li)\s*>", 2)
+    times = F.transform(blocks(block, tag("li", "event__detail--time")), lambda b: _text(b, tag("time")))
     return {
-        "title": inner(block, tag(cls="event__title")),
+        "title": _text(block, tag(cls="event__title")),
         "times": F.array_join(times, SEPARATOR),
-        "cost": inner(tickets, tag(cls="event__detail-value")),
-        "description": inner(block, tag(cls="event__description")),
+        "cost": _text(block, tag(cls="event__detail--tickets"), tag(cls="event__detail-value")),
+        "description": _text(block, tag(cls="event__description")),
     }
 
 
@@ -134,12 +137,11 @@ DATED = Layout(
 
 
 def _blocks_texts(block: Column, group: Column) -> Texts:
-    heading = inner(block, tag(cls="wp-block-post-title"))
-    map_link = tag("a", attr=r'href="[^"]*(?:maps\.app\.goo\.gl|google\.com/maps)')
+    map_link = tag("a", attr=("href", r".*(?:maps\.app\.goo\.gl|google\.com/maps).*"))
     return {
-        "title": inner(heading, tag("a")),
-        "venue": inner(block, map_link),
-        "term": inner(inner(block, tag(cls="wp-block-post-terms")), tag("a")),
+        "title": _text(block, tag(cls="wp-block-post-title"), tag("a")),
+        "venue": _text(block, map_link),
+        "term": _text(block, tag(cls="wp-block-post-terms"), tag("a")),
     }
 
 
@@ -164,17 +166,17 @@ def _blocks_fields(t: Texts) -> Texts:
 
 BLOCKS = Layout(
     listing=tag("li", "wp-block-post event"),
-    when=lambda block, group: {"when": inner(block, tag("p", "wp-block-paragraph"))},
+    when=lambda block, group: {"when": _text(block, tag("p", "wp-block-paragraph"))},
     texts=_blocks_texts,
     links=lambda block, group: {
-        "href": attribute(inner(block, tag(cls="wp-block-post-title")), tag("a"), "href")
+        "href": attribute(element(block, tag(cls="wp-block-post-title")), tag("a"), "href")
     },
     date=_blocks_date,
     fields=_blocks_fields,
 )
 
 # A date element without a year stands before the listing it dates.
-_EVENT_DATE = tag(attr='id="eventDate"')
+_EVENT_DATE = tag(attr=("id", "eventDate"))
 
 
 _VENUE_LINK = tag(cls="venueLink")
@@ -182,11 +184,11 @@ _VENUE_LINK = tag(cls="venueLink")
 
 def _tagline_texts(block: Column, group: Column) -> Texts:
     return {
-        "title": inner(block, tag(cls="rhp-event__title--list")),
-        "tagline": inner(block, tag(cls="eventTagLine")),
-        "venue_text": inner(block, _VENUE_LINK),
-        "time": inner(block, tag(cls="rhp-event__time-text--list")),
-        "cost": inner(block, tag(cls="rhp-event__cost-text--list")),
+        "title": _text(block, tag(cls="rhp-event__title--list")),
+        "tagline": _text(block, tag(cls="eventTagLine")),
+        "venue_text": _text(block, _VENUE_LINK),
+        "time": _text(block, tag(cls="rhp-event__time-text--list")),
+        "cost": _text(block, tag(cls="rhp-event__cost-text--list")),
     }
 
 
@@ -212,10 +214,10 @@ def _tagline_fields(t: Texts) -> Texts:
 TAGLINE = Layout(
     group=_EVENT_DATE,
     listing=tag("div", "rhp-event__info--list"),
-    when=lambda block, group: {"when": inner(group, _EVENT_DATE)},
+    when=lambda block, group: {"when": _text(group, _EVENT_DATE)},
     texts=_tagline_texts,
     links=lambda block, group: {
-        "href": attribute(block, tag(attr='id="eventTitle"'), "href"),
+        "href": attribute(block, tag(attr=("id", "eventTitle")), "href"),
         "venue": attribute(block, _VENUE_LINK, "title"),
     },
     date=_tagline_date,
@@ -226,11 +228,10 @@ TAGLINE = Layout(
 
 
 def _long_texts(block: Column, group: Column) -> Texts:
-    heading = inner(block, tag(cls="em-item-title"))
     return {
-        "title": inner(heading, tag("a")),
-        "venue": inner(inner(block, tag(cls="em-event-location")), tag("a")),
-        "actions": inner(block, tag(cls="em-item-actions")),
+        "title": _text(block, tag(cls="em-item-title"), tag("a")),
+        "venue": _text(block, tag(cls="em-event-location"), tag("a")),
+        "actions": _text(block, tag(cls="em-item-actions")),
     }
 
 
@@ -243,9 +244,9 @@ def _long_date(t: Texts) -> Column:
 
 LONG_DATE = Layout(
     listing=tag("div", "em-event em-item"),
-    when=lambda block, group: {"when": inner(block, tag(cls="em-event-date"))},
+    when=lambda block, group: {"when": _text(block, tag(cls="em-event-date"))},
     texts=_long_texts,
-    links=lambda block, group: {"href": attribute(inner(block, tag(cls="em-item-title")), tag("a"), "href")},
+    links=lambda block, group: {"href": attribute(element(block, tag(cls="em-item-title")), tag("a"), "href")},
     date=_long_date,
     fields=lambda t: {
         "title": t["title"],
@@ -261,7 +262,7 @@ LONG_DATE = Layout(
 
 
 def _two_when(block: Column, group: Column) -> Texts:
-    found = F.regexp_extract_all(block, F.lit(rf"(?s){tag('p', 'showdatevenue')}(.*?)</(?i:p)\s*>"), F.lit(2))
+    found = F.transform(blocks(block, tag("p", "showdatevenue")), lambda b: _text(b, tag("p")))
     return {"pair": F.array_join(found, SEPARATOR)}
 
 
@@ -275,7 +276,7 @@ def _two_date(t: Texts) -> Column:
 TWO_FIELDS = Layout(
     listing=tag("div", "showblock"),
     when=_two_when,
-    texts=lambda block, group: {"title": inner(block, tag("h3")), "cost": inner(block, tag(cls="showprice"))},
+    texts=lambda block, group: {"title": _text(block, tag("h3")), "cost": _text(block, tag(cls="showprice"))},
     links=lambda block, group: {"href": attribute(block, tag("a", "btn"), "href")},
     date=_two_date,
     fields=lambda t: {
@@ -293,14 +294,14 @@ _DAY = tag(cls="day")
 
 
 def _in_month_day(cell: Column) -> Column:
-    other = F.rlike(cell, F.lit(r"\A" + tag("td", "notmonth")))
-    return ~other & F.rlike(inner(cell, _DAY), F.lit(r"\A\s*\d+\s*\z"))
+    return ~tag("td", "notmonth")(F.get(cell, F.lit(0))) & F.rlike(_text(cell, _DAY), F.lit(r"\A\d+\z"))
 
 
 def _grid_texts(block: Column, group: Column) -> Texts:
+    ends = F.array_position(F.transform(block, lambda t: t["name"] == "/li"), F.lit(True)).cast("int")
     return {
-        "title": inner(block, tag("a")),
-        "whole": F.get(F.split(block, r"(?i)</li\s*>"), F.lit(0)),
+        "title": _text(block, tag("a")),
+        "whole": words(F.slice(block, 1, F.when(ends > 0, ends - 1).otherwise(F.size(block)))),
     }
 
 
@@ -322,14 +323,14 @@ def _grid_fields(t: Texts) -> Texts:
 
 
 MONTH_GRID = Layout(
-    group=r"(?i)<td\b[^>]*>",
+    group=tag("td"),
     group_counts=_in_month_day,
     listing=tag("li", "anEvent"),
-    when=lambda block, group: {"day": inner(group, _DAY)},
+    when=lambda block, group: {"day": _text(group, _DAY)},
     texts=_grid_texts,
     links=lambda block, group: {
         "href": attribute(block, tag("a"), "href"),
-        "link": F.regexp_extract(block, tag("a"), 1),
+        "link": F.when(F.exists(block, tag("a")), "a").otherwise(""),
     },
     date=_grid_date,
     fields=_grid_fields,
@@ -347,21 +348,21 @@ LAYOUTS = {
 }
 
 
-def links(pages: DataFrame, opening: str) -> DataFrame:
+def links(pages: DataFrame, opening: Match) -> DataFrame:
     """Every listing link of a page: position, href and text."""
-    found = F.posexplode(markup.blocks(markup.normalised(F.col("html")), opening)).alias("pos", "block")
-    link = tag("a")
-    return pages.select("page_id", found).select(
+    tagged = pages.select("page_id", markup.tokens(F.col("html")).alias("tags"))
+    found = tagged.select("page_id", F.posexplode(blocks(F.col("tags"), opening)).alias("pos", "block"))
+    return found.select(
         "page_id",
         "pos",
-        markup.unescape(attribute(F.col("block"), link, "href")).alias("href"),
-        markup.plain(inner(F.col("block"), link)).alias("label"),
+        markup.unescape(attribute(F.col("block"), tag("a"), "href")).alias("href"),
+        markup.unescape(_text(F.col("block"), tag("a"))).alias("label"),
     )
 
 
 # An index page of cards and one detail page per card with an embedded event description.
-_CARD = tag(attr='data-hook="events-card"')
-_CARD_TITLE = tag(attr='data-hook="title"')
+_CARD = tag(attr=("data-hook", "events-card"))
+_CARD_TITLE = tag(attr=("data-hook", "title"))
 _SCRIPT = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?application/ld\+json\b[^>]*>(.*?)</script\s*>"""
 _EVENT = (
     "`@type` STRING, name STRING, description STRING, startDate STRING, "
@@ -375,12 +376,13 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     `details` holds url and body; of several bodies of one url the greatest counts, so a page fetched
     again adds no listing. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
     """
-    cards = payloads.withColumn("_cards", markup.blocks(markup.normalised(F.col("body")), _CARD))
+    tagged = payloads.withColumn("_tags", markup.tokens(F.col("body")))
+    cards = tagged.withColumn("_cards", blocks(F.col("_tags"), _CARD))
     cards = cards.withColumn("broken", F.size("_cards") == 0).select(
         "source", "week_start", "page", "broken", F.posexplode_outer("_cards").alias("pos", "card")
     )
     cards = cards.withColumn("href", markup.unescape(attribute(F.col("card"), _CARD_TITLE, "href")))
-    cards = cards.withColumn("label", markup.plain(inner(F.col("card"), _CARD_TITLE)))
+    cards = cards.withColumn("label", markup.unescape(_text(F.col("card"), _CARD_TITLE)))
     found = F.transform(F.regexp_extract_all("body", F.lit(_SCRIPT), F.lit(1)), lambda s: F.from_json(s, _EVENT))
     event = F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0))
     fetched = details.groupBy(F.col("url").alias("href")).agg(F.max("body").alias("body"))
