@@ -36,10 +36,10 @@ SHARD_TOKENS = 1 << 19
 RANGE_TOKENS = 4 << 20
 SLICE_BYTES = 4 << 20
 # A task's memory of encoded pieces starts anew beyond this number.
-MEMORY = 1 << 18
+MEMORY = 1 << 19
 
-# Between these classes of neighbouring bytes no token of the pre-tokenizer reaches over: blank, ASCII letter, digit,
-# other ASCII punctuation. The last class, apostrophes and everything else, is never cut from its neighbours.
+# Between these classes of neighbouring bytes no token of the pre-tokenizer reaches over: blank, Latin letter, digit, other
+# ASCII punctuation. The last class, apostrophes and everything else, is never cut from its neighbours.
 BLANK, LETTER, DIGIT, MARK, STICKY = range(5)
 KIND = np.full(256, STICKY, np.uint8)
 KIND[[0x20, 0x09, 0x0A, 0x0D]] = BLANK
@@ -50,56 +50,125 @@ APART[BLANK] = APART[:, BLANK] = True
 for _a in (LETTER, DIGIT, MARK):
     for _c in (LETTER, DIGIT, MARK):
         APART[_a, _c] = _a != _c or _a == DIGIT
+# U+00C0 to U+027F are letters, two bytes each, but for the signs of multiplication and division. The capital I with a dot
+# has two code points in lower case, of which one is no letter.
+FIRST_LEAD, LAST_LEAD = 0xC3, 0xC9
+NO_LETTER = (0xC397, 0xC3B7, 0xC4B0)
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    found = KIND[data]
+    lead = np.flatnonzero((data >= FIRST_LEAD) & (data <= LAST_LEAD))
+    lead = lead[lead + 1 < len(data)]
+    pair = data[lead].astype(np.uint16) << 8 | data[lead + 1]
+    lead = lead[~np.isin(pair, NO_LETTER)]
+    found[lead] = found[lead + 1] = LETTER
+    return found
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but for those before a byte beyond ASCII, which may belong to an accent."""
+    capital = (data >= 0x41) & (data <= 0x5A)
+    capital[:-1] &= data[1:] < 0x80
+    return data + 32 * capital.astype(np.uint8)
+
+
+# How byte-level vocabularies write the bytes that are no printable character of Latin-1.
+BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))}
+
+
+class Memory:
+    """Rows of names, in two tables of slots; a name that finds both of its slots taken displaces the second's."""
+
+    BITS = 20
+
+    def __init__(self):
+        self.names = np.zeros((2, 1 << self.BITS), np.uint64)
+        self.rows = np.full((2, 1 << self.BITS), -1, np.int32)
+
+    def _slot(self, names: np.ndarray, table: int) -> np.ndarray:
+        return (names >> np.uint64(44 if table == 0 else 20)) & np.uint64((1 << self.BITS) - 1)
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """The row of each name, -1 if it is not known."""
+        slot = self._slot(names, 0)
+        found = np.where(self.names[0][slot] == names, self.rows[0][slot], -1)
+        missing = np.flatnonzero(found < 0)
+        slot = self._slot(names[missing], 1)
+        found[missing] = np.where(self.names[1][slot] == names[missing], self.rows[1][slot], -1)
+        return found
+
+    def put(self, names: np.ndarray, rows: np.ndarray) -> None:
+        slot = self._slot(names, 0)
+        free = self.rows[0][slot] < 0
+        self.names[0][slot[free]], self.rows[0][slot[free]] = names[free], rows[free]
+        left = self.names[0][slot] != names
+        slot = self._slot(names[left], 1)
+        self.names[1][slot], self.rows[1][slot] = names[left], rows[left]
 
 
 class Encoder:
-    """Token ids of texts, by pieces that can be encoded one by one; each distinct piece is encoded once."""
+    """Token ids of texts, by pieces that can be encoded one by one; a piece that comes again is remembered."""
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.memory = Memory()
         self.at, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, names: np.ndarray, pieces: list[str]) -> None:
-        coded = [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    def _learn(self, names: np.ndarray, pieces: list[bytes], letters: list[bool]) -> None:
+        """letters: which pieces are Latin letters only. Such a piece is one token of the pre-tokenizer, so the model
+        gets it as the vocabulary writes its bytes."""
+        tokenize = self.tokenize
+        coded: list = [
+            [t.id for t in tokenize(p.decode().lower() if p.isascii() else p.decode().lower().encode().decode("latin-1").translate(BYTES))]
+            if plain
+            else p.decode()
+            for p, plain in zip(pieces, letters, strict=True)
+        ]
+        others = [k for k, plain in enumerate(letters) if not plain]
+        for k, found in zip(others, self.tokenizer.encode_batch([coded[k] for k in others], add_special_tokens=False), strict=True):
+            coded[k] = found.ids
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        at = len(self.ids) + np.cumsum(sizes) - sizes
+        self.memory.put(names, np.arange(len(self.sizes), len(self.sizes) + len(names), dtype=np.int32))
+        self.at = np.r_[self.at, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
         self.ids = np.r_[self.ids, np.fromiter((i for x in coded for i in x), np.uint32, int(sizes.sum()))]
-        known = np.r_[self.known, names]
-        order = np.argsort(known)
-        self.known = known[order]
-        self.at, self.sizes = np.r_[self.at, at][order], np.r_[self.sizes, sizes][order]
 
     def encode(self, texts: flat.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END_ID, and where each text's begin."""
-        kind = KIND[texts.data]
+        data = lowered(texts.data)
+        kind = kinds(data)
         cut = np.ones(len(kind) + 1, bool)
         if len(kind):
-            cut[1:-1] = APART[kind[:-1], kind[1:]]
+            cut[1:-1] = APART.ravel()[kind[:-1] * np.uint8(5) + kind[1:]]
         cut[texts.at] = True
         borders = np.flatnonzero(cut)
         start, end = borders[:-1], borders[1:]
         held = kind[start] != BLANK
         start, end = start[held], end[held]
-        names = flat.Sums(flat.BYTE_VALUE[texts.data]).span(start, end)
-        distinct, first, which = np.unique(names, return_index=True, return_inverse=True)
-        if len(self.known) > MEMORY:
+        names = flat.Sums(flat.BYTE_VALUE[data]).span(start, end)
+        if len(self.sizes) > MEMORY:
             self._forget()
-        place = np.searchsorted(self.known, distinct)
-        new = np.flatnonzero(~np.isin(distinct, self.known, assume_unique=True))
+        row = self.memory.find(names)
+        new = np.flatnonzero(row < 0)
         if len(new):
-            whole = texts.data.tobytes()
-            spans = zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)
-            self._learn(distinct[new], [whole[a:b].decode() for a, b in spans])
-            place = np.searchsorted(self.known, distinct)
-        at, sizes = self.at[place][which], self.sizes[place][which]
+            distinct, first, which = np.unique(names[new], return_index=True, return_inverse=True)
+            row[new] = len(self.sizes) + which
+            first = new[first]
+            sticky = np.r_[0, np.cumsum(kind != LETTER)]
+            letters = sticky[end[first]] == sticky[start[first]]
+            whole = data.tobytes()
+            pieces = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+            self._learn(distinct, pieces, letters.tolist())
+        at, sizes = self.at[row], self.sizes[row]
         first_piece = np.searchsorted(start, texts.at)
         before = np.r_[0, np.cumsum(sizes)]
         begins = before[first_piece] + np.arange(len(texts) + 1)
@@ -133,6 +202,14 @@ def _unpacked(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarra
     return texts.data.view(kind), texts.at // np.dtype(kind).itemsize
 
 
+def _counts(ids: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, document, occurrences), ordered by id and document; the ids come document by document."""
+    order = np.argsort(ids, kind="stable")
+    ids, doc = ids[order], doc[order]
+    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (doc[1:] != doc[:-1])]) if len(ids) else order
+    return ids[first], doc[first], np.diff(np.r_[first, len(ids)])
+
+
 def _frequencies(tokens: DataFrame, n_terms: int, kind: str) -> tuple[np.ndarray, int, int]:
     """Documents of each id of the vocabulary, the number of documents and of tokens."""
 
@@ -141,8 +218,8 @@ def _frequencies(tokens: DataFrame, n_terms: int, kind: str) -> tuple[np.ndarray
         for batch in batches:
             for part in flat.parts(pa.Table.from_batches([batch]), "ids", SLICE_BYTES):
                 ids, at = _unpacked(part["ids"], kind)
-                doc = np.repeat(np.arange(len(part)), np.diff(at))
-                total += np.bincount(np.unique(doc * n_terms + ids) % n_terms, minlength=n_terms)
+                term, _, _ = _counts(ids, np.repeat(np.arange(len(part)), np.diff(at)))
+                total += np.bincount(term, minlength=n_terms)
         term = np.flatnonzero(total)
         yield pa.record_batch({"term": pa.array(term.astype(np.int64)), "n": pa.array(total[term])})
 
@@ -172,11 +249,9 @@ class Shard:
     """Documents (at most a window each) with an inverted index whose postings hold BM25 weights."""
 
     def __init__(self, ids: np.ndarray, at: np.ndarray, idf: np.ndarray, mean: float):
-        n_terms, sizes = len(idf), np.diff(at)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
+        sizes = np.diff(at)
         told = idf[ids] > 0
-        pair, n = np.unique(ids[told].astype(np.int64) * len(sizes) + doc[told], return_counts=True)
-        term, self.doc = pair // len(sizes), pair % len(sizes)
+        term, self.doc, n = _counts(ids[told], np.repeat(np.arange(len(sizes)), sizes)[told])
         self.weight = idf[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * sizes[self.doc] / mean))
         self.starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
         self.ends = np.r_[self.starts[1:], len(term)]
