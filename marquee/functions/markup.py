@@ -12,6 +12,7 @@ import html.entities
 import json
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,12 +46,18 @@ def tokens(body: Column) -> Column:
     def token(piece: Column) -> Column:
         def cut(head: Column) -> Column:
             return F.struct(
-                F.lower(F.regexp_extract(piece, rf"\A{_NAME}", 0)).alias("name"),
+                F.lower(F.regexp_extract(head, rf"\A{_NAME}", 0)).alias("name"),
                 head.alias("head"),
                 F.substr(piece, F.char_length(head) + 1).alias("text"),
             )
 
-        return text.once(F.regexp_extract(piece, _HEAD, 0), cut)
+        def head(near: Column) -> Column:
+            # Only a tag with quotes can go on behind its first closing bracket.
+            quoted = F.contains(near, F.lit('"')) | F.contains(near, F.lit("'"))
+            plain = F.when(near == piece, "").otherwise(F.concat(near, F.lit(">")))
+            return F.when(quoted, F.regexp_extract(piece, _HEAD, 0)).otherwise(plain)
+
+        return text.once(text.once(F.substring_index(piece, ">", 1), head), cut)
 
     return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), token)
 
@@ -66,17 +73,19 @@ def tag(name: str | None = None, cls: str | None = None, attr: tuple[str, str] |
     """Whether a token is an opening tag of a name, with class tokens, or with an attribute that matches a pattern."""
 
     def match(token: Column) -> Column:
-        found = token["name"] == name if name else ~token["name"].startswith("/")
-        if cls:
-            # The plain search spares most tags the pattern.
-            for each in cls.split():
-                found = found & F.contains(token["head"], F.lit(each))
-            classes = F.split(value_in(token["head"], "class"), r"\s+")
-            for each in cls.split():
-                found = found & F.array_contains(classes, each)
+        tests = []
+        if name:
+            tests.append(token["name"] == name)
+        for each in (cls or "").split():  # a plain search spares most tags the pattern
+            tests.append(F.contains(token["head"], F.lit(each)))
+        if not name:
+            tests.append(~token["name"].startswith("/"))
+        for each in (cls or "").split():
+            tests.append(F.array_contains(F.split(value_in(token["head"], "class"), r"\s+"), each))
         if attr:
-            found = found & F.rlike(value_in(token["head"], attr[0]), F.lit(rf"\A(?:{attr[1]})\z"))
-        return found
+            tests.append(F.contains(F.lower(token["head"]), F.lit(attr[0])))
+            tests.append(F.rlike(value_in(token["head"], attr[0]), F.lit(rf"\A(?:{attr[1]})\z")))
+        return reduce(Column.__and__, tests)
 
     return match
 
@@ -84,36 +93,55 @@ def tag(name: str | None = None, cls: str | None = None, attr: tuple[str, str] |
 def blocks(page: Column, opening: Match) -> Column:
     """Parts of a token array that each start at an opening tag and run to the next one."""
 
-    def cut(found: Column) -> Column:
-        end = lambda k: F.coalesce(F.get(found, k + 1), F.size(page))
-        return F.transform(found, lambda at, k: F.slice(page, at + 1, end(k) - at))
+    def parts(whole: Column) -> Column:
+        def cut(found: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(found, k + 1), F.size(whole))
+            return F.transform(found, lambda at, k: F.slice(whole, at + 1, end(k) - at))
 
-    places = F.transform(page, lambda t, k: F.when(opening(t), k))
-    return text.once(F.filter(places, lambda k: k.isNotNull()), cut)
+        return text.once(F.array_compact(F.transform(whole, lambda t, k: F.when(opening(t), k))), cut)
 
+    return text.once(page, parts)
 
-def element(page: Column, opening: Match) -> Column:
-    """Tokens of the first matching element, without its end tag; empty if it is absent or never closed."""
 
-    def cut(at: Column) -> Column:
-        own = F.get(page, at - 1)["name"]
-        rest = F.slice(page, at + 1, F.size(page))
+def _length(names: Column, own: Column, end: Column) -> Column:
+    """How many names come up to the end tag of an open element, that one included; 0 if there is none."""
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+
+    def step(state: Column, name: Column) -> Column:
+        depth = F.when(name == own, 1).when(name == end, -1).otherwise(0)
+        return F.when(state["depth"] == 0, state).otherwise(
+            F.struct((state["depth"] + depth).alias("depth"), (state["n"] + 1).alias("n"))
+        )
+
+    counted = F.aggregate(names, start, step, lambda s: F.when(s["depth"] == 0, s["n"]).otherwise(0))
+
+    def near(found: Column) -> Column:
+        # Most elements hold none of their own name and end at the next end tag.
+        first, again = found["first"], found["again"]
+        return F.when((first == 0) | (again == 0) | (again > first), first).otherwise(counted)
 
-        def closed(name: Column) -> Column:
-            start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+    both = F.struct(
+        F.array_position(names, end).cast("int").alias("first"), F.array_position(names, own).cast("int").alias("again")
+    )
+    return text.once(both, near)
+
+
+def element(page: Column, opening: Match) -> Column:
+    """Tokens of the first matching element, without its end tag; empty if it is absent or never closed."""
 
-            def step(state: Column, token: Column) -> Column:
-                depth = F.when(token["name"] == name, 1).when(token["name"] == F.concat(F.lit("/"), name), -1).otherwise(0)
-                return F.when(state["depth"] == 0, state).otherwise(
-                    F.struct((state["depth"] + depth).alias("depth"), (state["n"] + 1).alias("n"))
-                )
+    def found(part: Column) -> Column:
+        def cut(at: Column) -> Column:
+            def closed(rest: Column) -> Column:
+                own = F.get(part, at - 1)["name"]
+                return text.once(own, lambda name: text.once(F.concat(F.lit("/"), name), lambda end: _length(rest, name, end)))
 
-            return F.aggregate(rest, start, step, lambda s: F.when(s["depth"] == 0, s["n"]).otherwise(0))
+            rest = F.slice(part["name"], at + 1, F.size(part))
+            return F.when(at > 0, F.slice(part, at, text.once(rest, closed))).otherwise(F.slice(part, 1, 0))
 
-        return F.slice(page, F.greatest(at, F.lit(1)), F.when(at > 0, text.once(own, closed)).otherwise(0))
+        place = F.array_position(F.transform(part, opening), F.lit(True)).cast("int")
+        return text.once(place, cut)
 
-    place = F.array_position(F.transform(page, opening), F.lit(True)).cast("int")
-    return text.once(place, cut)
+    return text.once(page, found)
 
 
 def words(part: Column) -> Column:

@@ -81,8 +81,8 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
     for kind, select in kinds.items():
         raw = select(F.col("item"), F.col("group"))
         texts = F.transform(F.array(*raw.values(), F.lit("")), markup.unescape)
-        # Filters do not move below a generator: the date's texts are cut once, not once per use.
-        cut = cut.select("*", F.explode_outer(F.array(texts)).alias(kind)) if kind == "_when" else cut.withColumn(kind, texts)
+        # Filters that use a generator's column stay above it: texts are cut once, not once per use.
+        cut = cut.withColumn(kind, texts) if kind == "_links" else cut.select("*", F.explode_outer(F.array(texts)).alias(kind))
         named |= {name: F.get(kind, F.lit(i)) for i, name in enumerate(raw)}
     fields = layout.fields(named)
     return parsed(cut, layout.date(named), fields["title"].isNotNull(), fields)
