@@ -10,13 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee import fixed
+from marquee import fixed, schemas
 from marquee.bindings import sql_views as S
 from marquee.bindings.views import LISTING_PRIORITY, OCCURRENCE_PRIORITY, Tables
 from marquee.functions import clock, money, text
 from marquee.functions.markup import tag, words
 from marquee.operators import (
     analytics,
+    category_model,
     collapse,
     collection,
     lookup,
@@ -28,7 +29,7 @@ from marquee.operators import (
     report,
     usage,
 )
-from marquee.plans.candidates import build_candidates
+from marquee.plans.candidates import build_candidates, whole_candidates
 from marquee.session import through_table, work_path
 from marquee.plans import weekly
 from marquee.sources import extract, feeds_html, week_files
@@ -1072,6 +1073,59 @@ def check_star_resolves(t: Tables) -> DataFrame:
     return quality.star_resolves(_merged_mentions(t), _listing(t))
 
 
+@query(
+    "check_star_picks",
+    _issue_sql(
+        "star_resolves", "warn", "title", "'pick title is not in the day''s listing'",
+        """(SELECT p.week, p.day, p.title FROM merged_pick p WHERE NOT EXISTS (
+              SELECT 1 FROM merged_event e WHERE e.week = p.week AND e.day = p.day AND e.title = p.title))""",
+        "day",
+    ),
+    ["merged_pick", "merged_event"],
+)
+def check_star_picks(t: Tables) -> DataFrame:
+    return quality.star_resolves(_merged_picks(t), _listing(t))
+
+
+@query(
+    "suite_verdicts",
+    f"""
+    SELECT w.week, suite, coalesce(n_fail, 0) AS n_fail, coalesce(n_warn, 0) AS n_warn, coalesce(n_fail, 0) = 0 AS passed
+    FROM (SELECT DISTINCT CAST(week AS VARCHAR) AS week FROM occurrence) w
+    CROSS JOIN (VALUES ('collection'), ('merge'), ('selection')) s(suite)
+    LEFT JOIN (
+      SELECT week, suite, count(*) FILTER (severity = 'fail') AS n_fail, count(*) FILTER (severity = 'warn') AS n_warn FROM (
+        SELECT week, severity, 'collection' AS suite FROM ({_YIELD})
+        UNION ALL SELECT week, 'fail', 'collection' FROM (
+          SELECT CAST(week AS VARCHAR) AS week, count(*) FILTER (event_type = 'purchase') AS now FROM occurrence GROUP BY week, user_id) WHERE now = 0
+        UNION ALL SELECT CAST(week AS VARCHAR), severity, 'merge' FROM ({_VIOLATIONS})
+        UNION ALL SELECT week, severity, 'selection' FROM ({CHECK_SQL['check_venue_cap']})
+        UNION ALL SELECT week, severity, 'selection' FROM ({CHECK_SQL['check_time_format']})
+        UNION ALL SELECT week, severity, 'selection' FROM ({CHECK_SQL['check_implausible']})
+        UNION ALL SELECT CAST(p.week AS VARCHAR), 'warn', 'selection' FROM merged_pick p WHERE NOT EXISTS (
+          SELECT 1 FROM merged_event e WHERE e.week = p.week AND e.day = p.day AND e.title = p.title)) GROUP BY week, suite) f
+    USING (week, suite)""",
+    ["merged_pick", "merged_event", "resolved_pick", "resolved_mention", "latest", "occurrence", "manifest", "floors"],
+)
+def suite_verdicts(t: Tables) -> DataFrame:
+    """Pass or fail of the collection, merge and selection suites of every week."""
+    def counted(df: DataFrame) -> DataFrame:
+        return df.groupBy("week", F.col("user_id").cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n_events"))
+
+    listing, picks, _ = _tables(t)
+    rows = t.occurrence()
+    broken = merge_violations(t).select(
+        "check", "severity", F.col("week").cast("string").alias("week"), "day", F.col("id").alias("entity"), "message"
+    )
+    found = (
+        quality.full_selection_issues(picks, listing)
+        .unionByName(quality.yield_floor(t.manifest(), t.floors(), TOTAL_FLOOR))
+        .unionByName(quality.snapshot_regression(counted(rows.where(F.col("event_type") == "purchase")), counted(rows)))
+        .unionByName(broken)
+    )
+    return quality.verdicts(found, rows.select("week"))
+
+
 @query(
     "issue_report",
     f"""
@@ -1396,22 +1450,63 @@ def category_vote(t: Tables) -> DataFrame:
     return ranking.category_vote(t.table("documents"), t.category_lexicon(), "doc_id", "text")
 
 
+def _two_halves(t: Tables) -> DataFrame:
+    """Documents as annotated listings: languages stand for categories, and the digest of the id deals two halves."""
+    half = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1) < "8"
+    return t.table("documents").select("doc_id", "text", F.col("lang").alias("known"), half.alias("half"))
+
+
+_MODEL_SQL = f"""
+    WITH d AS (SELECT doc_id, lang AS known, md5(CAST(doc_id AS VARCHAR))[1] < '8' AS half, lower(coalesce(text, '')) AS text FROM documents),
+    w AS (SELECT doc_id, known, half, ('0x' || md5(term)[1:8])::BIGINT % {category_model.BUCKETS} AS b
+          FROM (SELECT doc_id, known, half, unnest(regexp_extract_all(text, '[\\pL\\pN]+')) AS term FROM d)),
+    n AS (SELECT half, known, b, count(*) AS n FROM w GROUP BY ALL),
+    a AS (SELECT half, b, sum(n) AS n FROM n GROUP BY ALL),
+    t AS (SELECT half, known, sum(n) AS n FROM n GROUP BY ALL),
+    z AS (SELECT half, sum(n) AS n FROM n GROUP BY half),
+    k AS (SELECT DISTINCT half, known FROM d),
+    wt AS (SELECT k.half, k.known, a.b,
+                  -ln((a.n - coalesce(n.n, 0) + 1.0) / (z.n - coalesce(t.n, 0) + {category_model.BUCKETS}.0)) AS weight
+           FROM k JOIN a ON a.half = k.half JOIN z ON z.half = k.half
+           LEFT JOIN n ON n.half = k.half AND n.known = k.known AND n.b = a.b
+           LEFT JOIN t ON t.half = k.half AND t.known = k.known),
+    un AS (SELECT k.half, k.known, -ln(1.0 / (z.n - coalesce(t.n, 0) + {category_model.BUCKETS}.0)) AS weight
+           FROM k JOIN z ON z.half = k.half LEFT JOIN t ON t.half = k.half AND t.known = k.known),
+    s AS (SELECT w.doc_id, w.known, un.known AS category, sum(coalesce(wt.weight, un.weight)) AS score
+          FROM w JOIN un ON un.half = NOT w.half
+          LEFT JOIN wt ON wt.half = un.half AND wt.known = un.known AND wt.b = w.b GROUP BY ALL),
+    e AS (SELECT doc_id, known, (SELECT min(known) FROM k WHERE k.half = NOT d.half) AS category, 0.0 AS score
+          FROM d WHERE NOT regexp_matches(text, '[\\pL\\pN]'))
+    SELECT doc_id, known, category, round(score, 4) AS score FROM (
+      SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, category) = 1) UNION ALL SELECT * FROM e"""
+
+
+@query("category_model", _MODEL_SQL)
+def category_model_scores(t: Tables) -> DataFrame:
+    """Each half of the listings judged by the model of the other."""
+    rows = _two_halves(t)
+    model = category_model.fit(rows, "text", "known", ["half"]).withColumn("half", ~F.col("half"))
+    found = category_model.predict(rows, model, "text", ["half"])
+    return found.select("doc_id", "known", "category", F.round("score", 4).alias("score"))
+
+
 # Analytics ---------------------------------------------------------------------------------------
 
 
 @query(
     "funnel",
-    """
+    S.with_views(["occurrence", "merged_event", "merged_pick"], "").rstrip()
+    + ",\n" + ",".join([_collapsed_sql("occurrence", OCCURRENCE_PRIORITY), _FOLDED])
+    + """
     SELECT week, r.n AS raw, c.n AS candidates, coalesce(l.n, 0) AS listed, coalesce(p.n, 0) AS picked
     FROM (SELECT week, count(*) AS n FROM occurrence GROUP BY week) r
-    JOIN (SELECT week, count(DISTINCT (title, venue, date)) AS n FROM occurrence GROUP BY week) c USING (week)
+    JOIN (SELECT week, count(*) AS n FROM folded GROUP BY week) c USING (week)
     LEFT JOIN (SELECT week, count(*) AS n FROM merged_event GROUP BY week) l USING (week)
     LEFT JOIN (SELECT week, count(*) AS n FROM merged_pick GROUP BY week) p USING (week)""",
-    ["occurrence", "merged_event", "merged_pick"],
 )
 def funnel(t: Tables) -> DataFrame:
     rows = t.occurrence()
-    return analytics.funnel(rows, rows.select("week", "title", "venue", "date").distinct(), _listing(t), _merged_picks(t))
+    return analytics.funnel(rows, whole_candidates(rows, OCCURRENCE_PRIORITY), _listing(t), _merged_picks(t))
 
 
 @query(
@@ -1533,6 +1628,52 @@ def scan_manifest(t: Tables) -> DataFrame:
     return week_files.read_manifest(t.spark, f"{path}/folder=*/*.json").select("week", "source", "status", "events", "reason", "note")
 
 
+@query(
+    "scan_source_files",
+    "SELECT week, stem, source, title, venue, date, time, cost, url, description FROM occurrence WHERE stem <> 's07'",
+    ["occurrence"],
+)
+def scan_source_files(t: Tables) -> DataFrame:
+    """Source files written by week and source, a failed one without events, and their events read back."""
+    event = F.struct(*schemas.EVENT_FIELDS)
+    failed = F.col("stem") == "s07"
+    files = t.occurrence().groupBy("week", "stem", "source").agg(F.collect_list(event).alias("events")).select(
+        "week", "stem", "source", F.when(failed, "failed").alias("status"), F.when(failed, "gone").alias("reason"),
+        F.lit("2024-01-01T00:00:00Z").alias("collected_at"), F.when(~failed, F.col("events")).alias("events"),
+    )
+    path = work_path(t.spark, "source-files")
+    week_files.write_source_files(files, path)
+    read = week_files.source_events(week_files.read_written_source_files(t.spark, path))
+    return read.select("week", "stem", "source", *schemas.EVENT_FIELDS)
+
+
+@query(
+    "scan_side_inputs",
+    """
+    SELECT 'floor' AS kind, source AS name, CAST(min_expected AS VARCHAR) AS value, CAST(2400 AS VARCHAR) AS more FROM floors
+    UNION ALL SELECT DISTINCT 'music', event_type, CASE WHEN event_type <> 'error' THEN 'https://music.example/' || event_type END,
+           CASE WHEN event_type <> 'error' THEN substring(event_type, 2, 3) END FROM occurrence""",
+    ["floors", "occurrence"],
+)
+def scan_side_inputs(t: Tables) -> DataFrame:
+    """The yield baseline and the music lookup written as documents and read back; a lookup that is not there yet is empty."""
+    path = work_path(t.spark, "side-inputs")
+    week_files.expected_yield_document(t.floors(), TOTAL_FLOOR).coalesce(1).write.json(f"{path}/expected")
+    hit = F.struct("spotify_url", "matched_text")
+    lookup = t.music_lookup().agg(F.map_from_entries(F.collect_list(F.struct("title", hit))).alias("hits"))  # one document
+    lookup.select(F.to_json("hits").alias("value")).coalesce(1).write.text(f"{path}/music")
+    floors = week_files.read_expected_yield(t.spark, f"{path}/expected")
+    music = week_files.read_music_lookup(t.spark, f"{path}/music").unionByName(
+        week_files.read_music_lookup(t.spark, f"{path}/no-such-lookup")
+    )
+    return floors.select(
+        F.lit("floor").alias("kind"), F.col("source").alias("name"), F.col("min_expected").cast("string").alias("value"),
+        F.col("total_floor").cast("string").alias("more"),
+    ).unionByName(music.select(
+        F.lit("music").alias("kind"), F.col("title").alias("name"), F.col("spotify_url").alias("value"), F.col("matched_text").alias("more")
+    ))
+
+
 @query("scan_picks_log", "SELECT * REPLACE (coalesce(category, '') AS category) FROM log_row", ["log_row"])
 def scan_picks_log(t: Tables) -> DataFrame:
     """The log written as CSV, quotes and commas included, and read back. CSV has no nulls: a missing category is empty."""

@@ -7,7 +7,7 @@ write while any exist.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee import fixed
@@ -55,11 +55,16 @@ def reference_problem() -> Column:
     )
 
 
-def pick_problem() -> Column:
+def missing_field() -> Column:
+    """What a pick lacks, NULL when it has all it needs."""
     missing = F.lit(None).cast("string")
     for field in ("rank", "why", "category"):
         missing = F.when(F.col(field).isNull(), f"missing required field {field}").otherwise(missing)
-    return F.coalesce(reference_problem(), missing)
+    return missing
+
+
+def pick_problem() -> Column:
+    return F.coalesce(reference_problem(), missing_field())
 
 
 def merge_picks(picks: DataFrame, candidates: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -164,26 +169,62 @@ def violations(
 ) -> DataFrame:
     """One issue row per judgement row that cannot be merged.
 
-    An annotation whose id matches no candidate is only a warning: nothing refers to it.
+    An annotation whose id matches no candidate is only a warning: nothing refers to it. Each table is read once: narrow
+    rows of all four meet under (week, id), by one exchange, or none where the tables are bucketed by it. A candidate
+    tells its day to the other rows of its id, an annotation its presence to those of its day. Rows without an id match
+    nothing and are spread.
     """
-    fail = F.lit("fail")
-    latest = latest_annotations(annotations).join(
-        candidates.select("week", "id", listed_day(candidates).alias("c_date")), ["week", "id"], "left"
+    none = {"kind": "string", "listed_date": "string", "missing": "string", "pos": "long", "category": "string", "rest": "string"}
+
+    def rows(df: DataFrame, kind: str, **told: Column) -> DataFrame:
+        told = {"kind": F.lit(kind), **told}
+        columns = (told.get(c, F.lit(None)).cast(t).alias(c) for c, t in none.items())
+        day = F.lit(None) if kind == "candidate" else F.col("day")
+        return df.select("week", day.cast("string").alias("day"), F.col("id").cast("string").alias("id"), *columns)
+
+    rest = F.to_json(F.struct("sold_out", "note"))
+    met = (
+        rows(candidates, "candidate", listed_date=listed_day(candidates))
+        .unionByName(rows(annotations, "annotation", pos=F.col("pos"), category=F.col("category"), rest=rest))
+        .unionByName(rows(picks, "pick", missing=missing_field()))
+        .unionByName(rows(mentions, "mention"))
+        .withColumn("_alone", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    )
+    key = ["week", "id", "_alone"]
+    is_candidate, is_annotation = F.col("kind") == "candidate", F.col("kind") == "annotation"
+    latest = Window.partitionBy(*key, "day", "kind").orderBy(
+        F.col("pos").desc_nulls_last(), F.col("category").desc_nulls_last(), F.col("rest").desc_nulls_last()
+    )
+    seen = (
+        met.withColumn("known", F.max(is_candidate).over(Window.partitionBy(*key)))
+        .withColumn("c_date", F.max(F.when(is_candidate, F.col("listed_date"))).over(Window.partitionBy(*key)))
+        .withColumn("noted", F.max(is_annotation).over(Window.partitionBy(*key, "day")))
+        .withColumn("nth", F.row_number().over(latest))
+        .where(~is_candidate & (~is_annotation | (F.col("nth") == 1)))
+    )
+    known = F.col("known") & F.col("id").isNotNull()
+    reference = (
+        F.when(~known, "id matches no candidate")
+        .when(~F.col("c_date").eqNullSafe(F.col("day")), "belongs to another day")
+        .when(~F.col("noted"), "not in the day's annotations")
     )
-    note_problem = (
+    dated = F.when(known, F.col("c_date"))
+    annotation = (
         F.when(F.col("category").isNull(), "missing required field category")
         .when(~category.is_canonical(F.col("category")), "category is not one of the nine")
-        .when(F.col("c_date").isNull(), "id matches no candidate")
-        .when(F.col("c_date") != F.col("day"), "belongs to another day")
-    )
-    unknown = F.col("c_date").isNull() & category.is_canonical(F.col("category"))
-    return (
-        _issues(resolve(picks, candidates, annotations), "pick", pick_problem(), fail)
-        .unionByName(
-            _issues(resolve(mentions, candidates, annotations), "mention", reference_problem(), fail)
-        )
-        .unionByName(_issues(latest, "annotation", note_problem, F.when(unknown, "warn").otherwise(fail)))
+        .when(dated.isNull(), "id matches no candidate")
+        .when(dated != F.col("day"), "belongs to another day")
     )
+    problem = F.when(is_annotation, annotation).otherwise(F.coalesce(reference, "missing"))
+    unknown = is_annotation & dated.isNull() & category.is_canonical(F.col("category"))
+    return seen.select(
+        F.lit("merge").alias("check"),
+        F.when(unknown, "warn").otherwise("fail").alias("severity"),
+        "week",
+        "day",
+        "id",
+        F.concat("kind", F.lit(": "), problem).alias("message"),
+    ).where(F.col("message").isNotNull())
 
 
 def day_violations(days: DataFrame) -> DataFrame:

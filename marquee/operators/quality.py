@@ -294,3 +294,39 @@ def selection_issues(picks: DataFrame, listing: DataFrame) -> DataFrame:
 
 def summary(found: DataFrame) -> DataFrame:
     return found.groupBy("check", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+# The suite that each check belongs to, in the order they run.
+SUITES = {
+    "collection": ("provenance", "yield_floor", "file_agreement", "non_destructive"),
+    "merge": ("merge",),
+    "selection": (
+        "venue_cap", "time_format", "cost_blank", "implausible_time", "same_series", "star_resolves", "near_titles",
+        "implausible_claim",
+    ),
+}
+
+
+def full_selection_issues(picks: DataFrame, listing: DataFrame) -> DataFrame:
+    """All checks of a selection: those of `selection_issues`, resolved stars, near titles and claims."""
+    dated = listing.withColumn("date", F.col("day"))
+    more = [star_resolves(picks, listing), near_titles(listing), implausible_claims(dated)]
+    return reduce(DataFrame.unionByName, more, selection_issues(picks, listing))
+
+
+def verdicts(found: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Whether each suite passed in each week: it fails by one finding of severity fail, warnings are counted.
+
+    `weeks` holds every week that was checked, so a week without findings passes.
+    """
+    pairs = [(check, suite) for suite, checks in SUITES.items() for check in checks]
+    suite = F.when(F.lit(False), F.lit(""))
+    for check, name in pairs:
+        suite = suite.when(F.col("check") == check, name)
+    counted = found.groupBy(F.col("week").cast("string").alias("week"), suite.alias("suite")).agg(
+        F.count_if(F.col("severity") == "fail").alias("n_fail"), F.count_if(F.col("severity") == "warn").alias("n_warn")
+    )
+    every = weeks.select(F.col("week").cast("string").alias("week")).distinct()
+    every = every.select("week", F.explode(F.array(*map(F.lit, SUITES))).alias("suite"))
+    judged = every.join(counted, ["week", "suite"], "left").na.fill(0, ["n_fail", "n_warn"])
+    return judged.withColumn("passed", F.col("n_fail") == 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import text
-from marquee.operators import collection, merge, picks_log, quality, ranking, report
+from marquee.operators import category_model, collection, merge, picks_log, quality, ranking, report
 from marquee.operators.collapse import listed_day
 from marquee.operators.numbering import number_rows, position_bucket
 from marquee.plans.candidates import shown, whole_candidates
@@ -81,17 +81,22 @@ def arrivals(listings: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def judge(
-    candidates: DataFrame, categories: DataFrame, interests: DataFrame, aggregators: list[str], unvoted: str = UNVOTED
-) -> Judgement:
+    candidates: DataFrame, categories: DataFrame, interests: DataFrame, aggregators: list[str], unvoted: str = UNVOTED,
+    model: DataFrame | None = None,
+) -> Judgement:
     """Category, score, picks and mentions of candidates with whole descriptions.
 
-    `categories` holds term and category, `interests` term, interest and tier. Every candidate gets an
-    annotation; `why` names the rule that placed a pick.
+    Categories come from a model that was fitted on annotated listings (`category_model.fit`); without one they are
+    voted for by `categories`, which holds term and category. `interests` holds term, interest and tier. Every candidate
+    gets an annotation; `why` names the rule that placed a pick.
     """
     rows = candidates.withColumn("_text", F.concat_ws(" ", "title", "description")).withColumn(
         "_key", F.concat_ws("/", F.col("week").cast("string"), "id")
     )
-    votes = ranking.category_vote(rows, categories, "_key", "_text").select("_key", "category")
+    if model is None:
+        votes = ranking.category_vote(rows, categories, "_key", "_text").select("_key", "category")
+    else:
+        votes = category_model.predict(rows.select("_key", "_text"), model, "_text").select("_key", "category")
     judged = through_table(
         rows.join(votes, ["_key"], "left")
         .withColumn("category", F.coalesce("category", F.lit(unvoted)))
@@ -122,14 +127,21 @@ def judge(
 def run(
     payloads: dict[str, DataFrame], registry: DataFrame, categories: DataFrame, interests: DataFrame, collected_at: str,
     aggregators: list[str] | None = None, details: DataFrame | None = None, notes: DataFrame | None = None,
-    priority: list[str] | None = None,
+    priority: list[str] | None = None, annotated: DataFrame | None = None,
 ) -> Run:
-    """From raw payloads to the merged selection of their weeks."""
+    """From raw payloads to the merged selection of their weeks.
+
+    `annotated` holds listings of earlier weeks (title, description, category), from which categories are learned.
+    """
     listings, status = collect(payloads, details)
     manifest = through_table(manifest_of(status, collected_at, notes), "manifest")
     events = collection.ok_events(manifest, through_table(arrivals(listings, registry), "arrivals"))
     whole = through_table(whole_candidates(events, priority), "candidates")
-    judgement = judge(whole, categories, interests, aggregators or [])
+    model = None
+    if annotated is not None:
+        known = annotated.withColumn("_text", F.concat_ws(" ", "title", "description"))
+        model = through_table(category_model.fit(known, "_text", "category"), "model")
+    judgement = judge(whole, categories, interests, aggregators or [], model=model)
     candidates = shown(whole)
     selection = merge_selection(candidates, judgement.annotations, judgement.picks, judgement.mentions, judgement.days)
     return Run(manifest, candidates, judgement, selection, report.week_heads(manifest, events, whole))

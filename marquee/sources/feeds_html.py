@@ -373,8 +373,9 @@ _EVENT = (
 def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """Cards of the index joined to their detail page; cards without a usable detail are left out.
 
-    `details` holds url and body; of several bodies of one url the greatest counts, so a page fetched
-    again adds no listing. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
+    `details` holds url, body and, where pages are fetched again, fetched_at: the last fetch that brought a body counts, so a
+    page fetched again adds no listing and a newer one replaces an older. Of equal times, or without times, the greatest
+    body counts. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
     """
     tagged = payloads.withColumn("_tags", markup.tokens(F.col("body")))
     cards = tagged.withColumn("_cards", blocks(F.col("_tags"), _CARD))
@@ -385,7 +386,9 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     cards = cards.withColumn("label", markup.unescape(_text(F.col("card"), _CARD_TITLE)))
     found = F.transform(F.regexp_extract_all("body", F.lit(_SCRIPT), F.lit(1)), lambda s: F.from_json(s, _EVENT))
     event = F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0))
-    fetched = details.groupBy(F.col("url").alias("href")).agg(F.max("body").alias("body"))
+    when = F.col("fetched_at") if "fetched_at" in details.columns else F.lit(None).cast("timestamp")
+    last = F.max(F.when(F.col("body").isNotNull(), F.struct(when.alias("at"), F.col("body").alias("body"))))
+    fetched = details.groupBy(F.col("url").alias("href")).agg(last.alias("last")).select("href", "last.body")
     described = fetched.select("href", event.alias("e"))
     raw = F.array("e.name", "e.location.name", "e.description")
     rows = salted_lookup(cards, described, ["href"], ["source", "week_start", "page", "pos"]).withColumn("_plain", F.transform(raw, markup.unescape))

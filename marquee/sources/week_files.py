@@ -87,6 +87,17 @@ def read_source_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_source_files(files: DataFrame, path: str) -> None:
+    """Source files (week, stem and the columns of a file) as JSON folders by week and stem; whole weeks are replaced."""
+    files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week", "stem").json(path)
+
+
+def read_written_source_files(spark: SparkSession, path: str) -> DataFrame:
+    """What `write_source_files` wrote, as `read_source_files` gives hand-kept folders."""
+    columns = ["week", "stem", "source", "status", "reason", "collected_at", "events"]
+    return spark.read.schema(f"week DATE, stem STRING, {schemas.SOURCE_FILE}").json(path).select(*columns)
+
+
 def source_counts(files: DataFrame) -> DataFrame:
     """Events per source file, as the checks compare them with the manifest."""
     return files.select(
@@ -118,6 +129,14 @@ def manifest_documents(manifest: DataFrame) -> DataFrame:
     )
 
 
+def expected_yield_document(floors: DataFrame, total_floor: int) -> DataFrame:
+    """The yield baseline as one document; it has as many entries as there are sources."""
+    entry = F.struct("source", F.struct(F.col("min_expected").cast("long").alias("min_expected"), F.lit(None).cast("string").alias("note")))
+    return floors.agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("sources")).select(
+        F.struct(F.lit(total_floor).cast("long").alias("total_floor")).alias("_meta"), "sources"
+    )
+
+
 # Selection -----------------------------------------------------------------------------------
 
 

@@ -300,6 +300,9 @@ def test_embedded_descriptions(spark):
         ("O'Neil & B", "Maple & Co, 1 St", "7:00 PM", "a", "x & y"),
         ("Card e", "2 St", "7:00 PM", "e", "x & y"),
     ]
+    again = [("a", page([json.dumps({**event, "name": n})]) if n else None, t) for n, t in (("zz older", 1), ("newest", 3), ("middle", 2), (None, 9))]
+    rows = extract.listings(feeds_html.json_ld(payloads, spark.createDataFrame(again, "url STRING, body STRING, fetched_at INT"))).collect()
+    assert picked(rows, "title", "url") == [("newest", "a")]
     empty = feeds_html.json_ld(payloads.selectExpr("* except(body)", "'<p>' AS body"), spark.createDataFrame(details, "url STRING, body STRING"))
     assert extract.status(empty).first().status == "failed"
 

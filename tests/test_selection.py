@@ -348,3 +348,102 @@ def test_salts_do_not_change_a_lookup_with_a_hot_key(spark):
         assert sorted(salted_lookup(left, right, ["key"], ["id"]).collect(), key=str) == one
     finally:
         spark.conf.unset(SALTS_SETTING)
+
+
+def test_violations_of_odd_rows(spark):
+    candidates = spark.createDataFrame(
+        [(WEEK, "a", DAY), (WEEK, "b", DAY), (WEEK, "c", "2026-07-21"), (WEEK, "n", None)], "week DATE, id STRING, date STRING"
+    )
+    notes = spark.createDataFrame(
+        [(WEEK, DAY, "a", 0, None, False, None), (WEEK, DAY, "a", 1, MUSIC, False, None), (WEEK, DAY, "c", 0, MUSIC, False, None),
+         (WEEK, DAY, "x", 0, MUSIC, False, None), (WEEK, DAY, None, 0, "odd", False, None), (WEEK, DAY, "n", 0, MUSIC, False, None)],
+        "week DATE, day STRING, id STRING, pos LONG, category STRING, sold_out BOOLEAN, note STRING",
+    )
+    picks = spark.createDataFrame(
+        [(WEEK, DAY, "a", 1, "w", MUSIC), (WEEK, DAY, "a", 1, None, MUSIC), (WEEK, DAY, "b", 1, "w", MUSIC), (WEEK, DAY, "x", 1, "w", MUSIC),
+         (WEEK, DAY, None, 1, "w", MUSIC), (WEEK, DAY, None, 1, "w", MUSIC), (WEEK, None, "n", 1, "w", MUSIC)],
+        "week DATE, day STRING, id STRING, rank INT, why STRING, category STRING",
+    )
+    mentions = spark.createDataFrame([(WEEK, DAY, "c"), (WEEK, "2026-07-21", "c")], "week DATE, day STRING, id STRING")
+    found = merge.violations(candidates, notes, picks, mentions)
+    assert sorted((str(r.id), r.severity, r.message) for r in found.collect()) == sorted([
+        ("a", "fail", "pick: missing required field why"),
+        ("b", "fail", "pick: not in the day's annotations"),
+        ("x", "fail", "pick: id matches no candidate"),
+        ("None", "fail", "pick: id matches no candidate"),
+        ("None", "fail", "pick: id matches no candidate"),
+        ("n", "fail", "pick: not in the day's annotations"),
+        ("c", "fail", "mention: belongs to another day"),
+        ("c", "fail", "mention: not in the day's annotations"),
+        ("c", "fail", "annotation: belongs to another day"),
+        ("x", "warn", "annotation: id matches no candidate"),
+        ("n", "warn", "annotation: id matches no candidate"),
+        ("None", "fail", "annotation: category is not one of the nine"),
+    ])
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_verdicts_hold_every_week_and_suite(spark):
+    rows = [("venue_cap", "warn", "w1"), ("merge", "fail", "w1"), ("merge", "fail", "w1"), ("yield_floor", "fail", "w2")]
+    found = spark.createDataFrame(rows, "check STRING, severity STRING, week STRING")
+    weeks = spark.createDataFrame([("w1",), ("w2",), ("w3",), ("w3",)], "week STRING")
+    got = {(r.week, r.suite): (r.n_fail, r.n_warn, r.passed) for r in quality.verdicts(found, weeks).collect()}
+    assert len(got) == 9 and got["w1", "merge"] == (2, 0, False) and got["w1", "selection"] == (0, 1, True)
+    assert got["w2", "collection"] == (1, 0, False) and all(got["w3", s] == (0, 0, True) for s in quality.SUITES)
+
+
+def test_large_lexicons_are_joined(spark):
+    docs = spark.createDataFrame([(1, "Punk film, film noir!"), (2, "nothing here"), (3, "Jazz & COFFEE"), (4, None), (5, "post punk post-punk")], "id INT, body STRING")
+    lexicon = ranking.interest_lexicon(spark)
+    for made in (ranking.interest_tags, ranking.interest_tiers):
+        rows = [sorted(map(tuple, made(docs, lexicon, "id", "body", fixed.PHRASE_WORDS, most).collect())) for most in (0, 10_000)]
+        assert rows[0] == rows[1] and len(rows[0]) == 3
+    terms = spark.createDataFrame([("film", FILM), ("punk", MUSIC), ("jazz", MUSIC), ("coffee", FILM), ("film", FILM)], "term STRING, category STRING")
+    rows = [sorted(map(tuple, ranking.category_vote(docs, terms, "id", "body", most).collect())) for most in (0, 10_000)]
+    assert rows[0] == rows[1]
+
+
+def test_category_model(spark):
+    import math
+    from hashlib import md5
+
+    from marquee.operators import category_model
+
+    rows = [("jazz band plays jazz", MUSIC), ("a film", FILM), ("film and film talk", FILM), (None, FILM), ("band", MUSIC), ("!", None), ("ignored", None)]
+    frame = spark.createDataFrame(rows, "body STRING, category STRING")
+    model = category_model.fit(frame, "body", "category")
+    names = model.first().names
+    assert names == sorted([MUSIC, FILM])
+
+    def bucket(word):
+        return int(md5(word.encode()).hexdigest()[:8], 16) % category_model.BUCKETS
+
+    def score(text, name):
+        others = [bucket(w) for t, c in rows if t and c and c != name for w in t.split()]
+        return sum(-math.log((others.count(bucket(w)) + 1) / (len(others) + category_model.BUCKETS)) for w in text.split())
+
+    given = ["jazz film band", "film talk", "unseen words", ""]
+    asked = spark.createDataFrame([(t,) for t in [*given, None]], "text STRING")
+    got = {r.text: (r.category, round(r.score, 9)) for r in category_model.predict(asked, model, "text").collect()}
+    for text in given:
+        best = max(names, key=lambda n: (score(text, n), -names.index(n)))
+        assert got[text] == (best, round(score(text, best), 9))
+    assert got[None] == (names[0], 0.0) and len(got) == 5
+    nothing = category_model.fit(frame.limit(0), "body", "category")
+    assert [(r.category, r.score) for r in category_model.predict(asked.limit(1), nothing, "text").collect()] == [(None, None)]
+
+
+def test_category_model_on_held_out_listings(spark):
+    from pathlib import Path
+
+    from marquee.bindings.queries import QUERIES
+    from marquee.bindings.views import Tables
+
+    folder = "/root/testdata/sf0.01"
+    if not Path(folder).exists():
+        pytest.skip("driver tables are not here")
+    rows = QUERIES["category_model"](Tables(spark, folder)).collect()
+    right = sum(r.known == r.category for r in rows) / len(rows)
+    print(f"held-out accuracy {right:.3f} of {len(rows)}")
+    assert right > 0.9
