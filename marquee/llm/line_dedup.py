@@ -213,7 +213,8 @@ def lost_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     )
     lines = F.filter(line, lambda x: x["size"] > 0)
     profiles = rows.cut(keyed.select("id", "a", "b", lines.alias("lines")))
-    least = profiles.groupBy("a", "b").agg(F.min("id").alias("id"))
+    # Written, so that Spark can split the joins of a text that very many rows hold.
+    least = rows.cut(profiles.groupBy("a", "b").agg(F.min("id").alias("id")))
     chosen = profiles.join(least.select(*KEY), KEY, "left_semi").dropDuplicates(KEY)
     chosen = rows.cut(
         chosen.select(

@@ -238,6 +238,53 @@ def test_decontamination_in_parts(spark, docs, monkeypatch):
     assert result(decontamination.search(docs, items).select("row.doc_id", "n_words", "matches")) == whole
 
 
+def plain_matches(words, items, window=10):
+    """Longest verbatim matches of one text, by all places of both sides."""
+    found = []
+    for name, other in items:
+        need = min(window, len(other))
+        for i in range(len(other)):
+            for p in range(len(words)):
+                if i and p and other[i - 1] == words[p - 1]:
+                    continue
+                n = 0
+                while i + n < len(other) and p + n < len(words) and other[i + n] == words[p + n]:
+                    n += 1
+                if need and n >= need:
+                    found.append((name, i, p, n))
+    return sorted(found)
+
+
+def test_longest_verbatim_matches_against_all_places(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["a", "b", "c"]
+    items = [(k, " ".join(rng.choices(words, k=rng.choice([3, 12, 30, 60])))) for k in range(12)] + [(90, "a " * 40), (91, "")]
+    texts = [(k, " ".join(rng.choices(words, k=rng.randint(0, 120)))) for k in range(40)] + [(50, "a " * 70), (51, items[3][1])]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    expected = {i: plain_matches(t.split(), [(str(k), x.split()) for k, x in items]) for i, t in texts}
+    for size in (1 << 20, 300):
+        monkeypatch.setattr(decontamination, "TEST_BYTES", size)
+        found = decontamination.search(frame, tests)
+        got = {r["row"]["doc_id"]: sorted(map(tuple, r["matches"])) for r in found.collect()}
+        assert got == expected
+        assert {r["row"]["doc_id"]: r["n_words"] for r in found.collect()} == {i: len(t.split()) for i, t in texts}
+
+
+def test_words_that_repeat_make_no_pairs_of_windows():
+    import time
+
+    import pyarrow as pa
+    from marquee.llm import flat
+
+    test = decontamination.TestSuffixes([("1", "same " * 2000)], 10)
+    words = decontamination.words_of(flat.Texts(pa.array(["same " * 20_000])))
+    begun = time.process_time()
+    found = decontamination._matches(words, test)
+    assert time.process_time() - begun < 2
+    assert len(found[0]) == 20_000 - 9 + 2000 - 9 - 1
+
+
 def test_line_dedup(docs, rows, empty):
     found = line_dedup.remove(docs)
     same(found.select("row.doc_id", "kept", "n_lines", "n_removed"), [(r[0], *x) for r, x in zip(rows, brute.without_lines([r[:2] for r in rows]), strict=True)])
