@@ -1036,6 +1036,38 @@ def near_title_dupes(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "near_title_edits",
+    """
+    WITH r AS (SELECT DISTINCT p_size AS week, p_brand AS venue, lower(trim(p_name)) AS title FROM part)
+    SELECT a.week, a.venue, a.title, b.title AS near_title, CAST(levenshtein(a.title, b.title) AS INT) AS edits
+    FROM r a JOIN r b ON a.week = b.week AND a.venue = b.venue AND a.title < b.title WHERE levenshtein(a.title, b.title) <= 2""",
+)
+def near_title_edits(t: Tables) -> DataFrame:
+    """Parts as listings of their brand, sizes as weeks."""
+    rows = t.table("part").select(F.col("p_size").alias("week"), F.col("p_brand").alias("venue"), F.col("p_name").alias("title"))
+    return quality.near_edits(rows, 2)
+
+
+@query(
+    "stamps_outside_runs",
+    _issue_sql(
+        "provenance", "fail", "source", "'collected_at ' || collected_at || ' is in no run of its week'",
+        """stamps WHERE NOT (stamped_at BETWEEN CAST(week + INTERVAL 1 MONTH AS TIMESTAMP) AND CAST(year(week) || '-05-15 10:30:00' AS TIMESTAMP)
+           OR stamped_at BETWEEN CAST(year(week) || '-05-15 10:00:00' AS TIMESTAMP) AND CAST(year(week) || '-06-30 15:00:00' AS TIMESTAMP)
+           OR stamped_at BETWEEN CAST(year(week) || '-09-01 00:00:00' AS TIMESTAMP) AND CAST(year(week) || '-11-30 12:00:00' AS TIMESTAMP))""",
+    ),
+    ["stamps"],
+)
+def stamps_outside_runs(t: Tables) -> DataFrame:
+    """Orders as source files, three runs a year of which two overlap."""
+    year = F.year("week").cast("string")
+    spans = [("-02-01T00:00:00", "-05-15T10:30:00Z"), ("-05-15T10:00:00", "-06-30T15:00:00Z"), ("-09-01T00:00:00", "-11-30T12:00:00Z")]
+    span = F.array(*(F.struct(F.concat(year, F.lit(a)).alias("run_started"), F.concat(year, F.lit(b)).alias("run_completed")) for a, b in spans))
+    runs = t.order_runs().select("week", F.inline(span))
+    return quality.outside_runs(t.order_stamps(), runs)
+
+
 @query(
     "check_claims",
     _issue_sql(

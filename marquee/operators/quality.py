@@ -74,6 +74,28 @@ def provenance(files: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
+def outside_runs(files: DataFrame, runs: DataFrame, bucket_seconds: int = 6 * 3600) -> DataFrame:
+    """Source files whose stamp lies in none of their week's runs, of which there may be several; one finding each.
+
+    A run stands in every time bucket that it touches, and a stamp looks only at the runs of its own bucket, where the
+    bounds decide. A stamp that cannot be read lies in no run.
+    """
+    def bucket(at: Column) -> Column:
+        return F.floor(F.unix_timestamp(at) / bucket_seconds).cast("long")
+
+    started, completed = clock.instant(F.col("run_started")), clock.instant(F.col("run_completed"))
+    windows = runs.select("week", started.alias("started"), completed.alias("completed")).where("started <= completed")
+    windows = windows.withColumn("bucket", F.explode(F.sequence(bucket(F.col("started")), bucket(F.col("completed")))))
+    stamped = files.withColumn("at", clock.instant(F.col("collected_at"))).withColumn("bucket", bucket(F.col("at")))
+    s, w = stamped.alias("s"), windows.alias("w")
+    inside = (
+        (F.col("s.week") == F.col("w.week")) & (F.col("s.bucket") == F.col("w.bucket"))
+        & (F.col("s.at") >= F.col("w.started")) & (F.col("s.at") <= F.col("w.completed"))
+    )
+    message = F.concat(F.lit("collected_at "), F.coalesce("collected_at", F.lit("(none)")), F.lit(" is in no run of its week"))
+    return issues(s.join(w, inside, "left_anti"), "provenance", "fail", F.col("source"), message)
+
+
 def yield_floor(manifest: DataFrame, floors: DataFrame, total_floor: int) -> DataFrame:
     """Ok sources below their floor, and weeks below the whole-run floor (failed sources count 0)."""
     count = F.coalesce("events", F.lit(0))
@@ -268,6 +290,42 @@ def near_titles(rows: DataFrame) -> DataFrame:
     )
 
 
+def _deletions(title: Column, edits: int) -> Column:
+    """A text and all that is left of it when up to `edits` characters are taken out."""
+    found = F.array(title)
+    for _ in range(edits):
+        shorter = F.transform(
+            found,
+            lambda x: F.transform(
+                F.sequence(F.lit(1), F.greatest(F.char_length(x), F.lit(1))),
+                lambda i: F.concat(F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)),
+            ),
+        )
+        found = F.array_distinct(F.concat(found, F.flatten(shorter)))
+    return found
+
+
+def near_edits(rows: DataFrame, edits: int = 1) -> DataFrame:
+    """Titles of a venue and week that up to `edits` typing slips tell apart: title, near_title (the greater) and edits.
+
+    Every title stands under the digests of all that is left when up to `edits` characters are taken out. Two titles
+    within so many insertions, deletions and substitutions have a remainder in common, so they meet by an equi-join and
+    the edit distance verifies them; titles that share no remainder are never compared. A title of n characters has about
+    n ** edits / edits! remainders: one edit suits long titles, two are for short ones. Case and white space around a
+    title make no difference; titles without a character are left out.
+    """
+    title = F.lower(text.strip(F.col("title")))
+    known = rows.select("week", "venue", title.alias("title")).where("title != ''").distinct()
+    keyed = known.select("week", "venue", "title", F.explode(_deletions(F.col("title"), edits)).alias("left"))
+    keyed = keyed.select("week", "venue", "title", F.xxhash64("week", "venue", "left").alias("key"))
+    other = keyed.select(F.col("week").alias("w"), F.col("venue").alias("v"), F.col("title").alias("near_title"), "key")
+    met = keyed.join(other, "key").where(
+        (F.col("title") < F.col("near_title")) & F.col("week").eqNullSafe(F.col("w")) & F.col("venue").eqNullSafe(F.col("v"))
+    )
+    pairs = met.select("week", "venue", "title", "near_title").distinct()
+    return pairs.withColumn("edits", F.levenshtein("title", "near_title")).where(F.col("edits") <= edits)
+
+
 def implausible_claims(rows: DataFrame) -> DataFrame:
     """A holiday named in the wrong month, or a cost that reads like a budget."""
     month = F.month(F.try_to_date(F.col("date").cast("string"), "yyyy-MM-dd"))
