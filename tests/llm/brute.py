@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from marquee.llm import mixing, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -175,7 +177,7 @@ def hits(text, items):
 
 def verdicts(rows):
     """Which (id, text) rows the quality rules keep, with the votes recomputed from plain counts."""
-    found, patterns = [], Counter()
+    found = []
     for _, t in rows:
         t = t or ""
         n, chars, symbols, dups, again = counts(t)
@@ -197,10 +199,32 @@ def verdicts(rows):
             vote(4 * n <= chars <= 7 * n, not 3 * n <= chars <= 10 * n),
             vote(10 * ended >= 8 * len(lines), 2 * ended < len(lines)),
         )
-        patterns[pattern] += 1
         found.append((pattern, n < 50 or 100 * again > 50 * n))
-    model = quality.estimate(list(patterns.items()))
-    return [not failed and model.posterior(p) >= 0.5 for p, failed in found]
+    good = good_probabilities([pattern for pattern, _ in found])
+    return [not failed and p >= 0.5 for (_, failed), p in zip(found, good, strict=True)]
+
+
+def good_probabilities(votes):
+    """Expectation-maximisation over single documents, in probabilities: two classes, rules independent given the class."""
+    votes = np.array(votes, float)
+    n, n_rules = votes.shape
+    prior = quality.PRIOR
+    right = np.array([[quality.RIGHT_ON_GOOD] * n_rules, [quality.RIGHT_ON_BAD] * n_rules])
+
+    def of_good():
+        on_good = np.where(votes > 0, right[0], np.where(votes < 0, 1 - right[0], 1)).prod(axis=1) * prior
+        on_bad = np.where(votes < 0, right[1], np.where(votes > 0, 1 - right[1], 1)).prod(axis=1) * (1 - prior)
+        return on_good / (on_good + on_bad)
+
+    for _ in range(quality.ROUNDS):
+        good = of_good()[:, None]
+        held = quality.HELD * n
+        right = np.array([
+            ((good * (votes > 0)).sum(axis=0) + held * quality.RIGHT_ON_GOOD) / ((good * (votes != 0)).sum(axis=0) + held),
+            (((1 - good) * (votes < 0)).sum(axis=0) + held * quality.RIGHT_ON_BAD) / (((1 - good) * (votes != 0)).sum(axis=0) + held),
+        ])
+        prior = min(max(good.mean(), 0.01), 0.99)
+    return of_good()
 
 
 def copies(rows):

@@ -155,6 +155,14 @@ def test_quality(docs, rows, empty):
     assert result(quality.judge(empty)) == []
 
 
+def test_estimate_agrees_with_single_documents():
+    rng = random.Random(6)
+    votes = [tuple(rng.choice((-1, 0, 1, 1)) for _ in range(8)) for _ in range(400)]
+    model = quality.estimate([(v, votes.count(v)) for v in set(votes)])
+    for vote, good in zip(votes, brute.good_probabilities(votes), strict=True):
+        assert model.posterior(vote) == pytest.approx(good, rel=1e-6, abs=1e-9)
+
+
 def test_estimate_tells_the_classes_apart():
     patterns = [((1, 1, 1, 1), 900), ((-1, -1, 1, 1), 30), ((1, -1, -1, 1), 30), ((0, 1, 1, 1), 40)]
     model = quality.estimate(patterns)
