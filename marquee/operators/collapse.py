@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed
 from marquee.functions import text
-from marquee.operators.numbering import number_rows, position_bucket
+from marquee.operators.numbering import number_by_range
 
 KEY = ["week", "title", "venue", "date"]
 SERIES = ["week", "title", "venue"]
@@ -106,12 +106,5 @@ def fold_series(collapsed: DataFrame) -> DataFrame:
 
 def assign_ids(folded: DataFrame) -> DataFrame:
     """Number candidates c0000, c0001, ... per week: series by first arrival, then rows by arrival."""
-    rows = folded.withColumn("_bucket", position_bucket(F.col("series_pos")))
-    numbered = number_rows(
-        rows,
-        group=["week"],
-        buckets=["series_stem", "_bucket"],
-        order=["series_pos", "stem", "pos"],
-        name="ord",
-    )
-    return numbered.withColumn("id", F.format_string("c%04d", F.col("ord"))).drop("_bucket")
+    numbered = number_by_range(folded, ["week"], ["series_stem", "series_pos", "stem", "pos"], "ord")
+    return numbered.withColumn("id", F.format_string("c%04d", F.col("ord")))

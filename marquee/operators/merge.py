@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from marquee import fixed
 from marquee.functions import category, clock, money, text
 from marquee.operators.collapse import listed_day
-from marquee.operators.numbering import number_rows, position_bucket
-from marquee.session import through_table
+from marquee.operators.numbering import number_by_range
 
 CANDIDATE = ["week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "source", "listed_date"]
 
@@ -140,17 +139,11 @@ def listing_rows(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
 def merge_events(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """The day listing: category order, timed before untimed, by clock, then candidate order.
 
-    `listing_pos` numbers each day from 0 without sorting a whole day in one task. The rows are
-    written before: the count pass would else repeat the join.
+    `listing_pos` numbers each day from 0 without sorting a whole day in one task.
     """
-    rows = through_table(listing_rows(candidates, annotations), "listing_rows").withColumn("_bucket", position_bucket(F.col("ord")))
-    return number_rows(
-        rows,
-        group=["week", "day"],
-        buckets=["category_ord", "untimed", "minute", "_bucket"],
-        order=["ord"],
-        name="listing_pos",
-    ).drop("_bucket")
+    return number_by_range(
+        listing_rows(candidates, annotations), ["week", "day"], ["category_ord", "untimed", "minute", "ord"], "listing_pos"
+    )
 
 
 def _issues(df: DataFrame, kind: str, problem: Column, severity: Column) -> DataFrame:

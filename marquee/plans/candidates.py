@@ -9,7 +9,6 @@ from marquee import fixed
 from marquee.functions import text
 from marquee.operators.collapse import assign_ids, collapse_duplicates, fold_series
 from marquee.operators.collection import ok_events
-from marquee.session import through_table
 
 CANDIDATE_COLUMNS = [
     "week", "id", "ord", "title", "venue", "date", "time", "cost", "url", "description", "source",
@@ -20,11 +19,9 @@ CANDIDATE_COLUMNS = [
 def whole_candidates(listings: DataFrame, priority: list[str] | None = None) -> DataFrame:
     """Listings of any number of weeks as numbered candidates, descriptions whole.
 
-    Collapse comes first, so a sold-out note can ride on a series' earliest row. The folded rows are
-    written once: numbering reads them twice, and the listings would else be collapsed twice.
+    Collapse comes first, so a sold-out note can ride on a series' earliest row. Numbering writes the folded rows once.
     """
-    folded = through_table(fold_series(collapse_duplicates(listings, priority)), "folded")
-    return assign_ids(folded).select(*CANDIDATE_COLUMNS)
+    return assign_ids(fold_series(collapse_duplicates(listings, priority))).select(*CANDIDATE_COLUMNS)
 
 
 def shown(candidates: DataFrame, limit: int = fixed.DESCRIPTION_CHARS) -> DataFrame:

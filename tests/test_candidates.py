@@ -6,7 +6,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from marquee import fixed
-from marquee.operators import numbering
 from marquee.operators.collapse import assign_ids, collapse_duplicates, fold_series
 from marquee.plans.candidates import build_candidates, shown
 
@@ -167,8 +166,7 @@ def brute(rows, priority):
     return [(f"c{i:04d}", r[4], r[5], r[6], r[3], body, dates) for i, (r, body, dates) in enumerate(out)]
 
 
-def test_whole_preparation_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(numbering, "BUCKET_ROWS", 7)
+def test_whole_preparation_against_brute_force(spark):
     rng = random.Random(5)
     priority = ["s3", "s1"]
     rows = []

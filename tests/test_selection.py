@@ -108,8 +108,7 @@ def test_the_last_annotation_wins(tables):
     assert merge.merge_events(c, a).first().category == FILM
 
 
-def test_listing_order(tables, monkeypatch):
-    monkeypatch.setattr(numbering, "BUCKET_ROWS", 2)
+def test_listing_order(tables):
     rows = [(1, FILM, "7:00 PM"), (2, MUSIC, ""), (3, MUSIC, "8:00 PM"), (4, MUSIC, "7:00 PM"), (5, MUSIC, "7:00 PM"), (6, MUSIC, "12:00 AM"), (7, MUSIC, "late")]
     c, a, _, _ = tables([candidate(i, time=t) for i, _, t in rows] + [candidate(8)], [note(i, k) for i, k, _ in rows])
     got = merge.merge_events(c, a).orderBy("listing_pos").collect()
@@ -127,6 +126,18 @@ def test_numbering_against_brute_force(spark):
         assert {(r.b, r.o): r.n for r in got if r.g == group} == {k: i for i, k in enumerate(ordered)}
 
 
+def test_numbering_by_ranges_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]) if i % 3 else "a", 0 if rng.random() < 0.4 else rng.choice([None, *range(5)]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "g STRING, b INT, o INT").repartition(9)
+    got = numbering.number_by_range(df, ["g"], ["b", "o"], "n").collect()
+    assert len(got) == 700
+    for group in ("a", "b", None):
+        ordered = sorted(((b is not None, b or 0, o) for g, b, o in rows if g == group))
+        assert {(r.b is not None, r.b or 0, r.o): r.n for r in got if r.g == group} == {k: i for i, k in enumerate(ordered)}
+    assert numbering.number_by_range(df.limit(0), ["g"], ["b", "o"], "n").collect() == []
+
+
 def merged(tables, n=14, pick_id=13, mention_id=12, sold_out=False):
     c, a, p, m = tables(
         [candidate(i, time=f"{1 + i % 11}:00 PM" if i else "") for i in range(n)],
