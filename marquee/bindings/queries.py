@@ -27,6 +27,7 @@ from marquee.operators import (
     quality,
     ranking,
     report,
+    sketches,
     usage,
 )
 from marquee.plans.candidates import build_candidates, whole_candidates
@@ -1222,7 +1223,7 @@ def pick_cards(t: Tables) -> DataFrame:
     ["carded"],
 )
 def display_cap(t: Tables) -> DataFrame:
-    return report.category_cards(*_tables(t))
+    return report.category_cards(_listing(t), _merged_picks(t), _merged_mentions(t))
 
 
 @query(
@@ -1231,7 +1232,7 @@ def display_cap(t: Tables) -> DataFrame:
     ["carded"],
 )
 def annotation_cap(t: Tables) -> DataFrame:
-    return ranking.annotation_cap(through_table(_flagged(t), "flagged")).select("week", "day", "category", "id", "is_pick", "is_mention")
+    return ranking.annotation_cap(_flagged(t)).select("week", "day", "category", "id", "is_pick", "is_mention")
 
 
 _END = "CASE category " + " ".join(f"WHEN '{n}' THEN {m}" for n, _, m in fixed.CATEGORIES) + " ELSE 120 END"
@@ -1591,6 +1592,42 @@ def price_histogram(t: Tables) -> DataFrame:
     return analytics.price_histogram(t.occurrence())
 
 
+@query(
+    "merged_sketches",
+    f"""
+    WITH r AS (SELECT *, {S.dollars('cost')} AS price FROM occurrence)
+    SELECT 'listings' AS metric, count(*) AS exact, true AS within FROM r
+    UNION ALL SELECT 'distinct listings', count(DISTINCT (title, venue)), true FROM r
+    UNION ALL SELECT 'price quantile ' || q, count(price), true FROM r, (VALUES ('0.1'), ('0.5'), ('0.9')) v(q) GROUP BY q""",
+    ["occurrence"],
+)
+def merged_sketches(t: Tables) -> DataFrame:
+    """All weeks from the stored sketches of each, held against the exact figures: whether an estimate keeps its bound."""
+    rows = t.occurrence().select("week", "title", "venue", "cost")
+    stored = through_table(sketches.week_sketches(rows), "sketches")
+    quantiles = (0.1, 0.5, 0.9)
+    read = sketches.readings(sketches.merged(stored), quantiles)
+    estimated = {c: read.select(c).scalar() for c in ("n", "n_distinct", "price_quantiles")}
+    known = rows.select(sketches.listing_key().alias("key"), sketches.price().alias("price"), estimated["price_quantiles"].alias("cuts"))
+    below = lambda i: F.count_if(F.col("price") < F.get("cuts", F.lit(i)))
+    up_to = lambda i: F.count_if(F.col("price") <= F.get("cuts", F.lit(i)))
+    exact = known.agg(
+        F.count(F.lit(1)).alias("listings"), F.countDistinct("key").alias("distinct"), F.count("price").alias("prices"),
+        F.array(*map(below, range(3))).alias("below"), F.array(*map(up_to, range(3))).alias("up_to"),
+    ).select("*", estimated["n"].alias("n"), estimated["n_distinct"].alias("n_distinct"))
+    error = sketches.RANK_ERROR
+    metrics = [
+        (F.lit("listings"), F.col("listings"), F.col("listings") == F.col("n")),
+        (F.lit("distinct listings"), F.col("distinct"), F.abs(F.col("n_distinct") - F.col("distinct")) <= sketches.DISTINCT_ERROR * F.col("distinct")),
+    ] + [
+        (F.lit(f"price quantile {q}"), F.col("prices"),
+         (F.get("below", F.lit(i)) <= (q + error) * F.col("prices")) & (F.get("up_to", F.lit(i)) >= (q - error) * F.col("prices")))
+        for i, q in enumerate(quantiles)
+    ]
+    listed = F.array(*(F.struct(m.alias("metric"), e.alias("exact"), w.alias("within")) for m, e, w in metrics))
+    return exact.select(F.inline(listed))
+
+
 @query(
     "time_histogram",
     f"""

@@ -458,3 +458,52 @@ def test_category_model_on_held_out_listings(spark):
     right = sum(r.known == r.category for r in rows) / len(rows)
     print(f"held-out accuracy {right:.3f} of {len(rows)}")
     assert right > 0.9
+
+
+def test_sketches_of_weeks_merge(spark):
+    from marquee.operators import sketches
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["w1", "w2", "w3"]), f"T{rng.randrange(900)}", rng.choice(["Hall", None]), f"${rng.randrange(1, 400)}") for _ in range(6000)]
+    rows += [("w4", "T1", "Hall", "Free"), ("w4", None, None, None)]
+    frame = spark.createDataFrame(rows, "week STRING, title STRING, venue STRING, cost STRING").repartition(5)
+    stored = sketches.week_sketches(frame)
+    weeks = {r.week: r for r in sketches.readings(stored).collect()}
+    assert len(weeks) == 4 and weeks["w4"].n_distinct == 2 and weeks["w4"].price_quantiles is None
+    (whole,) = sketches.readings(sketches.merged(stored)).collect()
+    distinct = len({(t, v) for _, t, v, _ in rows})
+    assert whole.n == len(rows) and abs(whole.n_distinct - distinct) <= sketches.DISTINCT_ERROR * distinct
+    prices = sorted(int(c[1:]) for *_, c in rows if c and c != "Free")
+    for q, got in zip((0.1, 0.5, 0.9), whole.price_quantiles, strict=True):
+        low, high = sum(p < got for p in prices) / len(prices), sum(p <= got for p in prices) / len(prices)
+        assert low - sketches.RANK_ERROR <= q <= high + sketches.RANK_ERROR
+    assert sketches.readings(sketches.merged(stored.limit(0), "week")).collect() == []
+
+
+def test_near_titles_within_two_edits(spark):
+    names = ["jazz night", "jazz nights", "jaz nigth", "Jazz Night ", "open mic", "open mike", "x", "y", "xy", "", None, "jazz nite"]
+    rows = [(1, v, n) for n in names for v in ("a", None)] + [(2, "a", "jazz nigt")]
+    frame = spark.createDataFrame(rows, "week INT, venue STRING, title STRING")
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    known = {(w, v, n.strip().lower()) for w, v, n in rows if n and n.strip()}
+    for edits in (1, 2):
+        got = sorted(map(tuple, quality.near_edits(frame, edits).collect()), key=repr)
+        assert got == sorted(
+            [(w, v, a, b, distance(a, b)) for w, v, a in known for x, y, b in known if (w, v) == (x, y) and a < b and distance(a, b) <= edits], key=repr
+        )
+
+
+def test_stamps_in_one_of_several_runs(spark):
+    runs = [("w", "2026-07-20T10:00:00Z", "2026-07-20T11:00:00Z"), ("w", "2026-07-22T00:00:00Z", "2026-07-24T00:00:00Z"), ("v", "2026-07-20T00:00:00Z", "2026-07-27T00:00:00Z")]
+    stamps = ["2026-07-20T10:00:00Z", "2026-07-20T11:00:01Z", "2026-07-23T12:00:00Z", "2026-07-24T00:00:00Z", "2026-07-24T00:00:01Z", "soon", None]
+    files = spark.createDataFrame([("w", f"s{k}", s) for k, s in enumerate(stamps)], "week STRING, source STRING, collected_at STRING")
+    found = quality.outside_runs(files, spark.createDataFrame(runs, "week STRING, run_started STRING, run_completed STRING"))
+    assert {r.entity for r in found.collect()} == {"s1", "s4", "s5", "s6"}
