@@ -898,7 +898,7 @@ _AGREEMENT = _issue_sql(
     "file_agreement", "fail", "source", "problem",
     """(SELECT coalesce(d.week, f.week) AS week, coalesce(d.source, f.source) AS source,
          CASE WHEN d.source IS NULL THEN 'source file has no manifest entry'
-              WHEN f.source IS NULL THEN 'listed in manifest but no source file found'
+              WHEN f.source IS NULL THEN 'manifest entry without a source file'
               WHEN d.status = 'ok' AND d.events <> f.n
                 THEN 'manifest claims ' || d.events || ' events but the file holds ' || f.n END AS problem
        FROM (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS week, o_orderkey AS source,
@@ -1757,8 +1757,8 @@ def append_log_table(t: Tables) -> DataFrame:
     path = work_path(t.spark, "log-table")
     rows = through_table(_log_rows(t).distinct(), "log")
     for _ in range(2):
-        log = week_files.read_picks_log(t.spark, path)
-        week_files.append_picks_log(through_table(picks_log.new_rows(rows, log), "new"), path)
+        keys = week_files.read_log_keys(t.spark, path)
+        week_files.append_picks_log(through_table(picks_log.new_rows_by_digest(rows, keys), "new"), path)
     return week_files.read_picks_log(t.spark, path)
 
 
@@ -1912,3 +1912,15 @@ def payload_stream(t: Tables) -> DataFrame:
     stream = t.spark.readStream.schema(payloads.schema).parquet(f"{path}/payloads")
     jobs.payload_stream(stream, "calendar_json", f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return sink.read(t.spark, f"{path}/table").select(*LISTED_COLUMNS)
+
+
+@query("collapse_stream", ORACLES["collapse_duplicates"])
+def collapse_stream(t: Tables) -> DataFrame:
+    """Listings that arrive file by file, some of them twice."""
+    path = work_path(t.spark, "collapse-stream")
+    listings = t.listing()
+    listings.repartition(6).write.parquet(f"{path}/listings")
+    listings.where(F.col("pos") % 5 == 0).repartition(2).write.mode("append").parquet(f"{path}/listings")
+    stream = t.spark.readStream.schema(listings.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/listings")
+    jobs.collapse_stream(stream, f"{path}/table", f"{path}/checkpoint", LISTING_PRIORITY).awaitTermination()
+    return jobs.collapsed(sink.read(t.spark, f"{path}/table"))

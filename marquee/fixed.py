@@ -230,3 +230,7 @@ HOLIDAY_MONTHS = [
     ("thanksgiving", 11),
     ("christmas", 12),
 ]
+
+# A film of a rendered showtime page: title, rating and running time on lines of their own.
+FILM_HEAD = r"([^\n]+)\n\nRated:\n"
+FILM_BLOCK = rf"\A{FILM_HEAD}([^\n]*)\nRuntime:\n([^\n]+)\n\n"

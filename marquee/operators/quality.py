@@ -132,7 +132,7 @@ def manifest_agreement(manifest: DataFrame, files: DataFrame) -> DataFrame:
     both = declared.join(found, ["week", "source"], "full")
     problem = (
         F.when(F.col("_listed").isNull(), "source file has no manifest entry")
-        .when(F.col("_found").isNull(), "listed in manifest but no source file found")
+        .when(F.col("_found").isNull(), "manifest entry without a source file")
         .when(
             (F.col("status") == "ok") & (F.coalesce("events", F.lit(0)) != F.coalesce("n_events", F.lit(0))),
             F.format_string(

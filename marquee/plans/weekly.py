@@ -206,7 +206,7 @@ def log_selection(selection: Selection, lookup: DataFrame, log: DataFrame, city:
 def append_log(spark: SparkSession, selection: Selection, lookup: DataFrame, log_path: str, city: str = fixed.CITY) -> tuple[int, int]:
     """Append the selection's new rows to the log table; how many were written and how many it already held."""
     rows = through_table(picks_log.log_rows(selection.picks, selection.mentions, lookup, city), "log_rows")
-    new = through_table(picks_log.new_rows(rows, week_files.read_picks_log(spark, log_path)), "log_new")
+    new = through_table(picks_log.new_rows_by_digest(rows, week_files.read_log_keys(spark, log_path)), "log_new")
     written = new.count()
     week_files.append_picks_log(new, log_path)
     return written, rows.count() - written

@@ -9,13 +9,9 @@ from marquee import fixed
 from marquee.functions import clock
 from marquee.sources.feeds_json import items, parsed
 
-_HEAD = r"([^\n]+)\n\nRated:\n"
-_FILM = rf"\A{_HEAD}([^\n]*)\nRuntime:\n([^\n]+)\n\n"
-
-
 def films(body: Column) -> Column:
     """Text blocks that each start at a film's title line."""
-    pieces = F.split(F.concat(F.lit("\n"), body), rf"\n(?={_HEAD})")
+    pieces = F.split(F.concat(F.lit("\n"), body), rf"\n(?={fixed.FILM_HEAD})")
     return F.transform(
         F.slice(pieces, 2, F.size(pieces)), lambda p: F.substring_index(p, fixed.NEARBY_LINE, 1)
     )
@@ -36,22 +32,22 @@ def showtime_text(payloads: DataFrame) -> DataFrame:
     rows = items(payloads, films(F.coalesce("body", F.lit(""))), "context_date", "venue", "fallback_url")
     rows = rows.withColumn("broken", F.lit(False))
     film = F.col("item")
-    rest = F.regexp_replace(film, _FILM, "")
+    rest = F.regexp_replace(film, fixed.FILM_BLOCK, "")
     times = F.array_distinct(F.transform(F.regexp_extract_all(rest, F.lit(fixed.SHOW_TIME), F.lit(0)), show_time))
-    rating = F.btrim(F.regexp_extract(film, _FILM, 2))
+    rating = F.btrim(F.regexp_extract(film, fixed.FILM_BLOCK, 2))
     return parsed(
         rows,
         F.col("context_date"),
-        F.rlike(film, F.lit(_FILM)) & (F.size(times) > 0),
+        F.rlike(film, F.lit(fixed.FILM_BLOCK)) & (F.size(times) > 0),
         {
-            "title": F.regexp_extract(film, _FILM, 1),
+            "title": F.regexp_extract(film, fixed.FILM_BLOCK, 1),
             "venue": F.col("venue"),
             "time": F.array_join(times, ", "),
             "cost": F.lit(""),
             "url": F.col("fallback_url"),
             "description": F.concat(
                 F.lit("Rated "), F.when(rating != "", rating).otherwise("Not Rated"),
-                F.lit(". Runtime: "), F.btrim(F.regexp_extract(film, _FILM, 3)), F.lit("."),
+                F.lit(". Runtime: "), F.btrim(F.regexp_extract(film, fixed.FILM_BLOCK, 3)), F.lit("."),
             ),
         },
     )

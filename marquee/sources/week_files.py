@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee import fixed, schemas
 from marquee.functions import text
+from marquee.operators import picks_log
 from marquee.operators.collapse import listed_day
 from marquee.operators.collection import day_split, out_of_window
 from marquee.session import work_path
@@ -202,7 +203,37 @@ def read_picks_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_picks_log(rows: DataFrame, path: str) -> None:
+    """Rows into the log, and the digests of their keys into its side table, both by week."""
     rows.select(*fixed.PICKS_LOG_COLUMNS).write.mode("append").partitionBy("week_of").parquet(path)
+    keys = picks_log.with_digests(rows).select("week_of", "key_a", "key_b")
+    keys.write.mode("append").partitionBy("week_of").parquet(_keys_path(path))
+
+
+def _keys_path(path: str) -> str:
+    return f"{path.rstrip('/')}-keys"
+
+
+def read_log_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Key digests of a log: week_of, key_a, key_b.
+
+    They come from the side table. A week whose side table has not as many rows as the log, as after a run that broke off
+    between the two, is read from the log; the row counts come without reading a column.
+    """
+    log = read_picks_log(spark, path)
+    columns = ["week_of", "key_a", "key_b"]
+    try:
+        keys = spark.read.schema("key_a LONG, key_b LONG, week_of STRING").parquet(_keys_path(path)).select(*columns)
+    except AnalysisException as exc:
+        if not _absent(exc):
+            raise
+        return picks_log.with_digests(log).select(*columns)
+    counted = [df.groupBy("week_of").agg(F.count(F.lit(1)).alias(n)) for df, n in ((log, "in_log"), (keys, "in_keys"))]
+    wrong = counted[0].join(counted[1], "week_of", "full").where(~F.col("in_log").eqNullSafe(F.col("in_keys")))
+    weeks = [r["week_of"] for r in wrong.select("week_of").collect()]  # at most a row for each week of the log
+    if not weeks:
+        return keys
+    again = picks_log.with_digests(log.where(F.col("week_of").isin(weeks))).select(*columns)
+    return keys.where(~F.col("week_of").isin(weeks)).unionByName(again)
 
 
 def import_picks_log(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marquee.operators import usage
+from marquee.operators import collapse, usage
 from marquee.operators.picks_log import new_rows
 from marquee.sources import extract
 from marquee.streaming import sink
@@ -60,3 +60,26 @@ def payload_stream(payloads: DataFrame, layout: str, path: str, checkpoint: str,
         return extract.listings(extract.parse(batch, layout))
 
     return sink.run(payloads, path, checkpoint, listed, every)
+
+
+def collapse_stream(
+    listings: DataFrame, path: str, checkpoint: str, priority: list[str] | None = None, late: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Listings collapsed as they arrive, one row per (week, title, venue, date).
+
+    What the copies of a key have told so far is the state of a streaming aggregation, so a batch reads its own rows and
+    not the ones before, and a copy that comes late or again changes the key's row as it would have in one run. A batch
+    writes the rows it changed; `collapsed` settles them. Without `late` the state keeps all weeks; with it (such as
+    "21 days") a week's state goes when a week that much later has been seen, and its later copies are left out.
+    """
+    if late:
+        listings = listings.withColumn("week", F.col("week").cast("timestamp")).withWatermark("week", late)
+    kept = collapse.collapse_duplicates(listings, priority)
+    return sink.run(kept, path, checkpoint, lambda batch, _: batch.withColumn("week", F.col("week").cast("date")), every, "update")
+
+
+def collapsed(table: DataFrame) -> DataFrame:
+    """The last row of each key from the streamed table."""
+    rest = [c for c in table.columns if c not in ("batch", *collapse.KEY)]
+    last = table.groupBy(*collapse.KEY).agg(F.max_by(F.struct(*rest), "batch").alias("row"))
+    return last.select(*collapse.KEY, "row.*")

@@ -31,11 +31,13 @@ def run(
     checkpoint: str,
     batch_rows: Callable[[DataFrame, int], DataFrame],
     every: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
-    """One folder per micro-batch: everything available and then stop, or one batch per interval."""
+    """One folder per micro-batch: everything available and then stop, or one batch per interval. With mode `update`
+    a batch holds the rows that its input changed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch_rows(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     pace = {"processingTime": every} if every else {"availableNow": True}
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**pace).start()
+    return stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**pace).start()

@@ -70,8 +70,8 @@ def test_manifest_agreement(spark):
     rows = manifest(spark, [("same", "ok", 2), ("more", "ok", 2), ("gone", "ok", 1), ("failed", "failed", None), ("failed_gone", "failed", None)])
     files = spark.createDataFrame([(WEEK, s, n) for s, n in [("same", 2), ("more", 3), ("failed", 0), ("orphan", 4)]], "week DATE, source STRING, n_events BIGINT")
     assert messages(quality.manifest_agreement(rows, files)) == [
-        ("file_agreement", "failed_gone", "listed in manifest but no source file found"),
-        ("file_agreement", "gone", "listed in manifest but no source file found"),
+        ("file_agreement", "failed_gone", "manifest entry without a source file"),
+        ("file_agreement", "gone", "manifest entry without a source file"),
         ("file_agreement", "more", "manifest claims 2 events but the file holds 3"),
         ("file_agreement", "orphan", "source file has no manifest entry"),
     ]
@@ -408,3 +408,68 @@ def test_payload_stream_parses_each_file_once(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert through_table(spark.range(5), "t").count() == 5
+
+
+def test_collapse_stream_equals_one_run(spark, tmp_path):
+    from marquee.operators import collapse
+
+    schema = "week DATE, stem STRING, pos BIGINT, source STRING, title STRING, venue STRING, date STRING, time STRING, cost STRING, url STRING, description STRING"
+    rng = random.Random(12)
+    weeks = [date(2026, 7, 6 + 7 * k) for k in range(3)]
+
+    def row(k):
+        week = weeks[k % 3]
+        return (week, f"s{rng.randrange(3)}", k, rng.choice("abc"), f"T{rng.randrange(6)}", rng.choice(["Hall", None]), str(week), rng.choice(["", "7:00 PM"]),
+                rng.choice(["", "$5"]), "u", rng.choice(["x", "now sold out", None]))
+
+    files = [[row(k) for k in range(at, at + 40)] for at in (0, 40, 80)]
+    files.append(files[0] + [row(k) for k in range(120, 140)])  # an early file again, with rows for weeks long seen
+    source, table, checkpoint = (str(tmp_path / x) for x in ("in", "table", "cp"))
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        jobs.collapse_stream(spark.readStream.schema(schema).parquet(source), table, checkpoint, ["b", "a"]).awaitTermination()
+    every = spark.createDataFrame([r for rows in files for r in rows], schema)
+    expected = collapse.collapse_duplicates(every, ["b", "a"])
+    got = jobs.collapsed(sink.read(spark, table)).select(*expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert sink.read(spark, table).select("batch").distinct().count() == 4
+
+
+def test_collapse_stream_lets_old_weeks_go(spark, tmp_path):
+    schema = "week DATE, stem STRING, pos BIGINT, source STRING, title STRING, venue STRING, date STRING, time STRING, cost STRING, url STRING, description STRING"
+    source, table, checkpoint = (str(tmp_path / x) for x in ("in", "table", "cp"))
+
+    def arrive(*rows):
+        made = [(w, "s", p, "a", t, "Hall", str(w), "", "", "", d) for w, p, t, d in rows]
+        spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(source)
+        jobs.collapse_stream(spark.readStream.schema(schema).parquet(source), table, checkpoint, [], "14 days").awaitTermination()
+
+    first, last = date(2026, 7, 6), date(2026, 8, 31)
+    arrive((first, 1, "T", "x"))
+    arrive((first, 0, "T", "y"), (last, 2, "T", "x"))
+    arrive((last, 3, "U", "x"))
+    arrive((first, 0, "late", "x"), (last, 1, "T", "z"))
+    got = {(r.week, r.title): r.pos for r in jobs.collapsed(sink.read(spark, table)).collect()}
+    assert got == {(first, "T"): 0, (last, "T"): 1, (last, "U"): 3}
+
+
+def test_log_keys_stand_in_for_the_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def rows(*keys):
+        made = [("c", w, "d", "1", t, "v", "k", "s", "1", "$", "", "", "") for w, t in keys]
+        return spark.createDataFrame(made, schemas.PICKS_LOG)
+
+    def fresh(*keys):
+        new = picks_log.new_rows_by_digest(rows(*keys), week_files.read_log_keys(spark, path))
+        plain = picks_log.new_rows(rows(*keys), week_files.read_picks_log(spark, path)).select(*new.columns)
+        assert sorted(map(tuple, new.collect())) == sorted(map(tuple, plain.collect()))
+        return sorted((r.week_of, r.title) for r in new.collect())
+
+    asked = [("2026-07-06", "a"), ("2026-07-13", "b"), ("2026-07-13", "c")]
+    assert fresh(*asked) == asked
+    week_files.append_picks_log(rows(*asked[:2]), path)
+    assert fresh(*asked) == asked[2:]
+    # A run that broke off before the side table was written.
+    rows(*asked[2:]).write.mode("append").partitionBy("week_of").parquet(path)
+    assert fresh(*asked, ("2026-07-20", "d")) == [("2026-07-20", "d")]
