@@ -66,7 +66,8 @@ def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
     )
     rows = rows.withColumn("_listings", blocks(F.col("group"), layout.listing))
     # Counted before the explode, so that the array itself is not carried along with every listing.
-    broken = (F.col("_n") if layout.quiet_without_listings else F.size("_listings")) == 0
+    # A page without groups has no listings either.
+    broken = (F.col("_n") if layout.quiet_without_listings else F.coalesce(F.size("_listings"), F.lit(0))) == 0
     if layout.needs_context:
         broken = broken | F.col("context_date").isNull()
     rows = rows.withColumn("broken", broken)
