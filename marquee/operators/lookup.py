@@ -28,7 +28,8 @@ def salted_lookup(
     salt, so it must be the smaller one; adaptive execution broadcasts it when it proves small.
     """
     salts = salts or int(left.sparkSession.conf.get(SALTS_SETTING, str(SALTS)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # A join with the salts, since the planner takes an exploded table to be as small as before and broadcasts all copies.
+    copies = right.crossJoin(right.sparkSession.range(salts).select(F.col("id").cast("int").alias("_salt")))
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 

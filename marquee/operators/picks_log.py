@@ -66,10 +66,12 @@ def new_rows_by_digest(rows: DataFrame, keys: DataFrame) -> DataFrame:
 def update_attendance(log: DataFrame, titles: DataFrame, week_of: str, city: str = fixed.CITY) -> DataFrame:
     """Log rows with `attended` set for one city and week: 'true' when the title is in the calendar.
 
-    Only rows of that city and week take part in the join; a title many of them share is salted.
+    Only rows of that city and week take part in the join, and of the calendar only titles that they hold; a title
+    many of them share is salted.
     """
     due = F.coalesce((F.col("city") == city) & (F.col("week_of") == week_of), F.lit(False))
-    held = titles.select("title").distinct().withColumn("_held", F.lit(True))
+    wanted = log.where(due).select("title").distinct()
+    held = titles.select("title").join(wanted, "title", "left_semi").distinct().withColumn("_held", F.lit(True))
     matched = salted_lookup(log.where(due), held, ["title"], ["date", "rank", "venue"])
     seen = matched.withColumn("attended", F.when(F.col("_held"), "true").otherwise("false")).drop("_held")
     return log.where(~due).unionByName(seen.select(*log.columns))

@@ -270,6 +270,28 @@ def test_salted_lookup_keeps_every_row_of_a_hot_key(spark):
     assert got.where("v = 1").count() == 1_000 and got.where("v = 2").count() == 1
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_copies_of_a_lookup_are_broadcast_only_when_all_of_them_are_small(spark, tmp_path):
+    spark.range(100_000).select("id", (F.col("id") % 7).alias("v")).write.parquet(str(tmp_path / "right"))
+    right = spark.read.parquet(str(tmp_path / "right"))
+    spark.range(1_000_000).withColumn("n", F.col("id")).write.parquet(str(tmp_path / "left"))
+    got = lookup.salted_lookup(spark.read.parquet(str(tmp_path / "left")), right, ["id"], ["n"])
+    assert "BroadcastHashJoin" not in plan_of(got)
+    assert got.where("v IS NOT NULL").count() == 100_000
+
+
+def test_attendance_copies_only_titles_of_its_week(spark, tmp_path):
+    schema = "city STRING, week_of STRING, date STRING, title STRING, venue STRING, rank STRING, attended STRING"
+    log = spark.createDataFrame([("Philadelphia", DAY, DAY, t, "v", "1", "") for t in ("5", "x")], schema)
+    titles = spark.range(50_000).select(F.col("id").cast("string").alias("title"))
+    got = picks_log.update_attendance(log, titles, DAY)
+    assert "LeftSemi" in plan_of(got)
+    assert sorted((r.title, r.attended) for r in got.collect()) == [("5", "true"), ("x", "false")]
+
+
 # Matching ------------------------------------------------------------------------------------
 
 
