@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from marquee import fixed
 from marquee.functions import clock
 from marquee.operators.collapse import listed_day
-from marquee.operators.lookup import salted_lookup
 
 
 def registry(spark: SparkSession) -> DataFrame:
@@ -91,10 +90,11 @@ def failure_list(manifest: DataFrame) -> DataFrame:
 def ok_events(manifest: DataFrame, events: DataFrame) -> DataFrame:
     """Events of sources the manifest calls ok; the file's own name for the source wins over its stem.
 
-    One source may hold most of a week, so its rows are spread over several tasks.
+    One source may hold most of a week: adaptive execution splits its rows over several tasks. The manifest is not
+    salted, as it may have a row for every few events.
     """
     good = manifest.where(F.col("status") == "ok").select("week", F.col("source").alias("stem"))
-    return salted_lookup(events, good, ["week", "stem"], ["pos"], "inner").withColumn(
+    return events.join(good, ["week", "stem"]).withColumn(
         "source", F.coalesce(F.col("source"), F.col("stem"))
     )
 

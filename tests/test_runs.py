@@ -283,6 +283,15 @@ def test_copies_of_a_lookup_are_broadcast_only_when_all_of_them_are_small(spark,
     assert got.where("v IS NOT NULL").count() == 100_000
 
 
+def test_the_manifest_is_not_repeated_for_its_events(spark):
+    manifest = spark.createDataFrame([(WEEK, "hot", "ok"), (WEEK, "bad", "failed")], "week DATE, source STRING, status STRING")
+    stem = F.when(F.col("id") < 900, "hot").otherwise("bad")
+    events = spark.range(1_000).select(F.lit(WEEK).alias("week"), stem.alias("stem"), F.lit(None).cast("string").alias("source"), F.col("id").alias("pos"))
+    got = collection.ok_events(manifest, events)
+    assert "_salt" not in plan_of(got)
+    assert got.count() == 900 and {r.source for r in got.select("source").distinct().collect()} == {"hot"}
+
+
 def test_attendance_copies_only_titles_of_its_week(spark, tmp_path):
     schema = "city STRING, week_of STRING, date STRING, title STRING, venue STRING, rank STRING, attended STRING"
     log = spark.createDataFrame([("Philadelphia", DAY, DAY, t, "v", "1", "") for t in ("5", "x")], schema)
