@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from marquee import fixed
 from marquee.functions import clock, markup, text
 from marquee.functions.markup import Match, attribute, blocks, element, tag, words
-from marquee.operators.lookup import salted_lookup
 from marquee.sources.feeds_json import parsed
 
 # Positions of a group's listings: no array holds as many, so no two listings share a position.
@@ -392,7 +391,8 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     fetched = details.groupBy(F.col("url").alias("href")).agg(last.alias("last")).select("href", "last.body")
     described = fetched.select("href", event.alias("e"))
     raw = F.array("e.name", "e.location.name", "e.description")
-    rows = salted_lookup(cards, described, ["href"], ["source", "week_start", "page", "pos"]).withColumn("_plain", F.transform(raw, markup.unescape))
+    # Not salted: there is about one detail page for each card. Adaptive execution splits a page that many cards name.
+    rows = cards.join(described, ["href"], "left").withColumn("_plain", F.transform(raw, markup.unescape))
     start = clock.local_part(F.col("e.startDate"))
     name, place, description = (F.get("_plain", F.lit(i)) for i in range(3))
     return parsed(
