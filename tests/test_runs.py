@@ -13,7 +13,7 @@ from marquee.operators import analytics, collection, lookup, matching, picks_log
 from marquee.plans.candidates import candidates_of_run
 from marquee.plans import weekly
 from marquee.session import through_table, work_path
-from marquee.sources import week_files
+from marquee.sources import feeds_html, week_files
 from marquee.streaming import jobs, sink
 
 WEEK = date(2026, 7, 20)
@@ -292,6 +292,17 @@ def test_the_manifest_is_not_repeated_for_its_events(spark):
     assert got.count() == 900 and {r.source for r in got.select("source").distinct().collect()} == {"hot"}
 
 
+def test_detail_pages_are_not_repeated_for_their_cards(spark):
+    card = '<li data-hook="events-card"><a data-hook="title" href="u">T</a></li>'
+    block = json.dumps({"@type": "Event", "name": "N", "startDate": f"{DAY}T20:00:00-04:00"})
+    payloads = spark.createDataFrame([("feed", WEEK, 0, card * 3)], "source STRING, week_start DATE, page LONG, body STRING")
+    payloads = payloads.selectExpr("*", "CAST(NULL AS DATE) AS context_date", "'' AS venue", "'' AS fallback_url")
+    details = spark.createDataFrame([("u", f'<script type="application/ld+json">{block}</script>')], "url STRING, body STRING")
+    got = feeds_html.json_ld(payloads, details)
+    assert "_salt" not in plan_of(got)
+    assert [r.title for r in got.collect()] == ["N", "N", "N"]
+
+
 def test_attendance_copies_only_titles_of_its_week(spark, tmp_path):
     schema = "city STRING, week_of STRING, date STRING, title STRING, venue STRING, rank STRING, attended STRING"
     log = spark.createDataFrame([("Philadelphia", DAY, DAY, t, "v", "1", "") for t in ("5", "x")], schema)
