@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from marquee import fixed, schemas
 from marquee.bindings import sql_views as S
 from marquee.bindings.views import LISTING_PRIORITY, OCCURRENCE_PRIORITY, Tables
-from marquee.functions import clock, money, text
-from marquee.functions.markup import tag, words
+from marquee.functions import clock, money, pages, text
+from marquee.functions.markup import tag
 from marquee.operators import (
     analytics,
     category_model,
@@ -515,9 +515,9 @@ def extract_text_blocks(t: Tables) -> DataFrame:
 
 
 _BOLD = feeds_html.Layout(
-    listing=tag("b"),
-    when=lambda block, group: {},
-    texts=lambda block, group: {"title": words(block)},
+    listing=pages.tag("b"),
+    of_listing=lambda block: {"title": pages.words(block)},
+    dated=(),
     date=lambda t: F.col("context_date"),
     fields=lambda t: {"title": t["title"], **{c: F.lit("") for c in ("venue", "time", "cost", "url", "description")}},
 )

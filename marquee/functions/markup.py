@@ -34,8 +34,8 @@ _WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128,
 Match = Callable[[Column], Column]
 
 _VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
-_NAME = r"/?[A-Za-z][\w-]*+"
-_HEAD = rf"""\A{_NAME}(?:[\s/]*+[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+)*+[^>]*+>"""
+NAME = r"/?[A-Za-z][\w-]*+"
+HEAD = rf"""\A{NAME}(?:[\s/]*+[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+)*+[^>]*+>"""
 
 
 def tokens(body: Column) -> Column:
@@ -46,7 +46,7 @@ def tokens(body: Column) -> Column:
     def token(piece: Column) -> Column:
         def cut(head: Column) -> Column:
             return F.struct(
-                F.lower(F.regexp_extract(head, rf"\A{_NAME}", 0)).alias("name"),
+                F.lower(F.regexp_extract(head, rf"\A{NAME}", 0)).alias("name"),
                 head.alias("head"),
                 F.substr(piece, F.char_length(head) + 1).alias("text"),
             )
@@ -55,17 +55,22 @@ def tokens(body: Column) -> Column:
             # Only a tag with quotes can go on behind its first closing bracket.
             quoted = F.contains(near, F.lit('"')) | F.contains(near, F.lit("'"))
             plain = F.when(near == piece, "").otherwise(F.concat(near, F.lit(">")))
-            return F.when(quoted, F.regexp_extract(piece, _HEAD, 0)).otherwise(plain)
+            return F.when(quoted, F.regexp_extract(piece, HEAD, 0)).otherwise(plain)
 
         return text.once(text.once(F.substring_index(piece, ">", 1), head), cut)
 
     return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), token)
 
 
-def value_in(head: Column, name: str) -> Column:
-    """Raw value of an attribute in a tag; '' if absent. Other attributes' values are passed over whole."""
+def attribute_pattern(name: str) -> str:
+    """A tag up to the value of an attribute, group 2. Other attributes' values are passed over whole."""
     other = rf"""[\s/]*+(?!(?i:{name})\s*+=)[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"""
-    found = F.regexp_extract(head, rf"\A{_NAME}(?:{other})*+[\s/]*+(?i:{name})\s*+=\s*+{_VALUE}", 2)
+    return rf"\A{NAME}(?:{other})*+[\s/]*+(?i:{name})\s*+=\s*+{_VALUE}"
+
+
+def value_in(head: Column, name: str) -> Column:
+    """Raw value of an attribute in a tag; '' if absent."""
+    found = F.regexp_extract(head, attribute_pattern(name), 2)
     return text.once(found, lambda v: F.when(F.rlike(v, F.lit("\\A[\"']")), F.substr(v, F.lit(2), F.char_length(v) - 2)).otherwise(v))
 
 

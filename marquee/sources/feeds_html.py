@@ -7,15 +7,18 @@ and attribute names are fixed values of the pages.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee import fixed
-from marquee.functions import clock, markup, text
-from marquee.functions.markup import Match, attribute, blocks, element, tag, words
+from marquee.functions import clock, markup, pages, text
+from marquee.functions.pages import Match, attribute, blocks, element, tag, words
 from marquee.sources.feeds_json import parsed
 
 # Positions of a group's listings: no array holds as many, so no two listings share a position.
@@ -24,6 +27,7 @@ GROUP_STEP = 2**31
 # Stands between texts that are decoded together; a private-use character no page text needs.
 SEPARATOR = "\ue000"
 
+Tags = list[pages.Token]
 Texts = dict[str, Column]
 
 
@@ -31,61 +35,95 @@ Texts = dict[str, Column]
 class Layout:
     """How a page becomes listings.
 
-    `when`, `texts` and `links` cut texts and raw attribute values out of a listing, given the tags of the
-    listing and of its group; `date` and `fields` make the event from them once they are plain text. A
-    date needs `when` only, so the week filter runs before the other texts are cut. The group is the
-    whole page where the layout has no groups.
+    `of_group` and `of_listing` cut texts and raw attribute values out of the tags of a group and of a listing, inside an
+    Arrow task; `date` and `fields` make the event from them once they are plain text. A date needs the texts in `dated`
+    only, so the week filter runs before the others are decoded. The group is the whole page where the layout has no groups.
     """
 
     listing: Match
-    when: Callable[[Column, Column], Texts]
-    texts: Callable[[Column, Column], Texts]
+    of_listing: Callable[[Tags], dict[str, str]]
+    dated: tuple[str, ...]
     date: Callable[[Texts], Column]
     fields: Callable[[Texts], Texts]
-    links: Callable[[Column, Column], Texts] = lambda block, group: {}
+    of_group: Callable[[Tags], dict[str, str]] = lambda group: {}
     group: Match | None = None
     # Groups that count: others are cut away before listings are looked for.
-    group_counts: Callable[[Column], Column] | None = None
+    group_counts: Callable[[Tags], bool] | None = None
     # A page with groups but without listings is a quiet page, not a broken one.
     quiet_without_listings: bool = False
     # A page whose days mean nothing without its `context_date`: lacking that, the request was broken.
     needs_context: bool = False
 
 
+def _cut(page: Tags, layout: Layout) -> Iterator[tuple]:
+    """Listings of a page as (pos, broken, texts). A group without listings, or a page without groups, keeps one row."""
+    groups = [page] if layout.group is None else pages.blocks(page, layout.group)
+    if layout.group_counts is not None:
+        groups = [g for g in groups if layout.group_counts(g)]
+    if not groups:
+        yield None, True, {}
+    for g, group in enumerate(groups):
+        shared = layout.of_group(group)
+        listings = pages.blocks(group, layout.listing)
+        if not listings:
+            yield None, not layout.quiet_without_listings, shared
+        for l, listing in enumerate(listings):  # noqa: E741
+            yield g * GROUP_STEP + l, False, shared | layout.of_listing(listing)
+
+
+# Listings that leave an Arrow task together.
+BATCH = 10_000
+KEYS = ["source", "week_start", "page", "context_date"]
+
+
+def _opened(payloads: DataFrame, layout: Layout) -> DataFrame:
+    """Raw texts of every listing, a page's keys with each."""
+    names = [*layout.of_group([]), *layout.of_listing([])]
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = T.StructType([
+        *(payloads.schema[c] for c in KEYS), T.StructField("pos", T.LongType()), T.StructField("broken", T.BooleanType()), *texts
+    ])
+
+    def batch_of(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        at = pa.array([r[0] for r in rows], pa.int32())
+        cut = [pa.array([r[3].get(n) for r in rows], pa.string()) for n in names]
+        return pa.RecordBatch.from_arrays(
+            [*(batch[c].take(at) for c in KEYS), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.bool_()), *cut],
+            names=[*KEYS, "pos", "broken", *names],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for at, body in enumerate(batch["body"]):
+                for found in _cut(pages.tokens(body.as_py()), layout):
+                    rows.append((at, *found))
+                    if len(rows) == BATCH:
+                        yield batch_of(batch, rows)
+                        rows = []
+            if rows:
+                yield batch_of(batch, rows)
+
+    return payloads.select(*KEYS, "body").mapInArrow(run, schema)
+
+
 def parse(payloads: DataFrame, layout: Layout) -> DataFrame:
-    payloads = payloads.withColumn("_tags", markup.tokens(F.col("body")))
-    if layout.group is None:
-        groups = F.array("_tags")
-    else:
-        groups = blocks(F.col("_tags"), layout.group)
-        if layout.group_counts is not None:
-            groups = F.filter(groups, layout.group_counts)
-    rows = payloads.withColumn("_groups", groups).withColumn("_n", F.size("_groups")).select(
-        "source", "week_start", "page", "context_date", "_n", F.posexplode_outer("_groups").alias("_g", "group")
-    )
-    rows = rows.withColumn("_listings", blocks(F.col("group"), layout.listing))
-    # Counted before the explode, so that the array itself is not carried along with every listing.
-    # A page without groups has no listings either.
-    broken = (F.col("_n") if layout.quiet_without_listings else F.coalesce(F.size("_listings"), F.lit(0))) == 0
+    rows = _opened(payloads, layout)
     if layout.needs_context:
-        broken = broken | F.col("context_date").isNull()
-    rows = rows.withColumn("broken", broken)
-    rows = rows.select(
-        "source", "week_start", "page", "context_date", "group", "broken", "_g",
-        F.posexplode_outer("_listings").alias("_l", "item"),
-    )
+        rows = rows.withColumn("broken", F.col("broken") | F.col("context_date").isNull())
+    others = [n for n in [*layout.of_group([]), *layout.of_listing([])] if n not in layout.dated]
+
+    # Filters that use a generator's column stay above it: texts are decoded and dates read once, not once per use.
     # Texts are decoded together, so that the plan holds the decoding once per kind.
-    kinds = {"_when": layout.when, "_texts": layout.texts, "_links": layout.links}
-    cut = rows.withColumn("pos", F.col("_g") * F.lit(GROUP_STEP) + F.col("_l"))
-    named = {}
-    for kind, select in kinds.items():
-        raw = select(F.col("item"), F.col("group"))
-        texts = F.transform(F.array(*raw.values(), F.lit("")), markup.unescape)
-        # Filters that use a generator's column stay above it: texts are cut once, not once per use.
-        cut = cut.withColumn(kind, texts) if kind == "_links" else cut.select("*", F.explode_outer(F.array(texts)).alias(kind))
-        named |= {name: F.get(kind, F.lit(i)) for i, name in enumerate(raw)}
-    fields = layout.fields(named)
-    return parsed(cut, layout.date(named), fields["title"].isNotNull(), fields)
+    def decoded(df: DataFrame, kind: str, names: Sequence[str]) -> tuple[DataFrame, Texts]:
+        texts = F.transform(F.array(*names, F.lit("")), markup.unescape)
+        return df.select("*", F.explode(F.array(texts)).alias(kind)), {n: F.get(kind, F.lit(i)) for i, n in enumerate(names)}
+
+    rows, named = decoded(rows, "_when", layout.dated)
+    rows = rows.select("*", F.explode(F.array(layout.date(named))).alias("_date"))
+    rows, rest = decoded(rows, "_texts", others)
+    fields = layout.fields(named | rest)
+    return parsed(rows, F.col("_date"), fields["title"].isNotNull(), fields)
 
 
 def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, Column]:
@@ -94,7 +132,7 @@ def _month_day(found: Column, pattern: str, month_group: int) -> tuple[Column, C
     return month, day
 
 
-def _text(part: Column, *openings: Match) -> Column:
+def _text(part: Tags, *openings: Match) -> str:
     """Text of an element; of several openings each is looked for inside the one before."""
     for opening in openings:
         part = element(part, opening)
@@ -102,13 +140,19 @@ def _text(part: Column, *openings: Match) -> Column:
 
 
 # One dated link per event, several clock times.
-def _dated_texts(block: Column, group: Column) -> Texts:
-    times = F.transform(blocks(block, tag("li", "event__detail--time")), lambda b: _text(b, tag("time")))
+_DATED_TIME, _TIME, _DATED_TITLE = tag("li", "event__detail--time"), tag("time"), tag(cls="event__title")
+_TICKETS, _DETAIL, _DESCRIPTION = tag(cls="event__detail--tickets"), tag(cls="event__detail-value"), tag(cls="event__description")
+_DATED, _DATED_DAY = tag("a", "event"), tag(cls="event__date")
+
+
+def _dated_texts(block: Tags) -> dict[str, str]:
     return {
-        "title": _text(block, tag(cls="event__title")),
-        "times": F.array_join(times, SEPARATOR),
-        "cost": _text(block, tag(cls="event__detail--tickets"), tag(cls="event__detail-value")),
-        "description": _text(block, tag(cls="event__description")),
+        "day": attribute(block, _DATED_DAY, "datetime"),
+        "title": _text(block, _DATED_TITLE),
+        "times": SEPARATOR.join([_text(b, _TIME) for b in blocks(block, _DATED_TIME)]),
+        "cost": _text(block, _TICKETS, _DETAIL),
+        "description": _text(block, _DESCRIPTION),
+        "href": attribute(block, _DATED, "href"),
     }
 
 
@@ -125,23 +169,27 @@ def _dated_fields(t: Texts) -> Texts:
 
 
 DATED = Layout(
-    listing=tag("a", "event"),
-    texts=_dated_texts,
-    when=lambda block, group: {"day": attribute(block, tag(cls="event__date"), "datetime")},
-    links=lambda block, group: {"href": attribute(block, tag("a", "event"), "href")},
+    listing=_DATED,
+    of_listing=_dated_texts,
+    dated=("day",),
     date=lambda t: F.try_to_date(t["day"], "yyyy-MM-dd"),
     fields=_dated_fields,
 )
 
 # Month name, day, year and a loosely spaced 12-hour time in one paragraph.
+_LINK, _PARAGRAPH = tag("a"), tag("p", "wp-block-paragraph")
+_POST_TITLE, _POST_TERMS = tag(cls="wp-block-post-title"), tag(cls="wp-block-post-terms")
+# A link without line breaks of any kind.
+_MAP_LINK = tag("a", attr=("href", r"[^\n\r\x85\u2028\u2029]*(?:maps\.app\.goo\.gl|google\.com/maps)[^\n\r\x85\u2028\u2029]*"))
 
 
-def _blocks_texts(block: Column, group: Column) -> Texts:
-    map_link = tag("a", attr=("href", r".*(?:maps\.app\.goo\.gl|google\.com/maps).*"))
+def _blocks_texts(block: Tags) -> dict[str, str]:
     return {
-        "title": _text(block, tag(cls="wp-block-post-title"), tag("a")),
-        "venue": _text(block, map_link),
-        "term": _text(block, tag(cls="wp-block-post-terms"), tag("a")),
+        "when": _text(block, _PARAGRAPH),
+        "title": _text(block, _POST_TITLE, _LINK),
+        "venue": _text(block, _MAP_LINK),
+        "term": _text(block, _POST_TERMS, _LINK),
+        "href": attribute(element(block, _POST_TITLE), _LINK, "href"),
     }
 
 
@@ -166,29 +214,27 @@ def _blocks_fields(t: Texts) -> Texts:
 
 BLOCKS = Layout(
     listing=tag("li", "wp-block-post event"),
-    when=lambda block, group: {"when": _text(block, tag("p", "wp-block-paragraph"))},
-    texts=_blocks_texts,
-    links=lambda block, group: {
-        "href": attribute(element(block, tag(cls="wp-block-post-title")), tag("a"), "href")
-    },
+    of_listing=_blocks_texts,
+    dated=("when",),
     date=_blocks_date,
     fields=_blocks_fields,
 )
 
 # A date element without a year stands before the listing it dates.
-_EVENT_DATE = tag(attr=("id", "eventDate"))
+_EVENT_DATE, _EVENT_TITLE = tag(attr=("id", "eventDate")), tag(attr=("id", "eventTitle"))
+_VENUE_LINK, _TAGLINE = tag(cls="venueLink"), tag(cls="eventTagLine")
+_LIST_TITLE, _LIST_TIME, _LIST_COST = (tag(cls=f"rhp-event__{c}--list") for c in ("title", "time-text", "cost-text"))
 
 
-_VENUE_LINK = tag(cls="venueLink")
-
-
-def _tagline_texts(block: Column, group: Column) -> Texts:
+def _tagline_texts(block: Tags) -> dict[str, str]:
     return {
-        "title": _text(block, tag(cls="rhp-event__title--list")),
-        "tagline": _text(block, tag(cls="eventTagLine")),
+        "title": _text(block, _LIST_TITLE),
+        "tagline": _text(block, _TAGLINE),
         "venue_text": _text(block, _VENUE_LINK),
-        "time": _text(block, tag(cls="rhp-event__time-text--list")),
-        "cost": _text(block, tag(cls="rhp-event__cost-text--list")),
+        "time": _text(block, _LIST_TIME),
+        "cost": _text(block, _LIST_COST),
+        "href": attribute(block, _EVENT_TITLE, "href"),
+        "venue": attribute(block, _VENUE_LINK, "title"),
     }
 
 
@@ -214,24 +260,25 @@ def _tagline_fields(t: Texts) -> Texts:
 TAGLINE = Layout(
     group=_EVENT_DATE,
     listing=tag("div", "rhp-event__info--list"),
-    when=lambda block, group: {"when": _text(group, _EVENT_DATE)},
-    texts=_tagline_texts,
-    links=lambda block, group: {
-        "href": attribute(block, tag(attr=("id", "eventTitle")), "href"),
-        "venue": attribute(block, _VENUE_LINK, "title"),
-    },
+    of_group=lambda group: {"when": _text(group, _EVENT_DATE)},
+    of_listing=_tagline_texts,
+    dated=("when",),
     date=_tagline_date,
     fields=_tagline_fields,
 )
 
 # Long dates whose year may be missing.
+_ITEM_TITLE, _ITEM_ACTIONS = tag(cls="em-item-title"), tag(cls="em-item-actions")
+_ITEM_DATE, _ITEM_PLACE = tag(cls="em-event-date"), tag(cls="em-event-location")
 
 
-def _long_texts(block: Column, group: Column) -> Texts:
+def _long_texts(block: Tags) -> dict[str, str]:
     return {
-        "title": _text(block, tag(cls="em-item-title"), tag("a")),
-        "venue": _text(block, tag(cls="em-event-location"), tag("a")),
-        "actions": _text(block, tag(cls="em-item-actions")),
+        "when": _text(block, _ITEM_DATE),
+        "title": _text(block, _ITEM_TITLE, _LINK),
+        "venue": _text(block, _ITEM_PLACE, _LINK),
+        "actions": _text(block, _ITEM_ACTIONS),
+        "href": attribute(element(block, _ITEM_TITLE), _LINK, "href"),
     }
 
 
@@ -244,9 +291,8 @@ def _long_date(t: Texts) -> Column:
 
 LONG_DATE = Layout(
     listing=tag("div", "em-event em-item"),
-    when=lambda block, group: {"when": _text(block, tag(cls="em-event-date"))},
-    texts=_long_texts,
-    links=lambda block, group: {"href": attribute(element(block, tag(cls="em-item-title")), tag("a"), "href")},
+    of_listing=_long_texts,
+    dated=("when",),
     date=_long_date,
     fields=lambda t: {
         "title": t["title"],
@@ -259,11 +305,17 @@ LONG_DATE = Layout(
 )
 
 # Two unnamed fields in a row: date with time, then venue.
+_FIELD, _ANY_PARAGRAPH, _SHOW_TITLE = tag("p", "showdatevenue"), tag("p"), tag("h3")
+_SHOW_PRICE, _BUTTON = tag(cls="showprice"), tag("a", "btn")
 
 
-def _two_when(block: Column, group: Column) -> Texts:
-    found = F.transform(blocks(block, tag("p", "showdatevenue")), lambda b: _text(b, tag("p")))
-    return {"pair": F.array_join(found, SEPARATOR)}
+def _two_texts(block: Tags) -> dict[str, str]:
+    return {
+        "pair": SEPARATOR.join([_text(b, _ANY_PARAGRAPH) for b in blocks(block, _FIELD)]),
+        "title": _text(block, _SHOW_TITLE),
+        "cost": _text(block, _SHOW_PRICE),
+        "href": attribute(block, _BUTTON, "href"),
+    }
 
 
 def _two_date(t: Texts) -> Column:
@@ -275,9 +327,8 @@ def _two_date(t: Texts) -> Column:
 
 TWO_FIELDS = Layout(
     listing=tag("div", "showblock"),
-    when=_two_when,
-    texts=lambda block, group: {"title": _text(block, tag("h3")), "cost": _text(block, tag(cls="showprice"))},
-    links=lambda block, group: {"href": attribute(block, tag("a", "btn"), "href")},
+    of_listing=_two_texts,
+    dated=("pair",),
     date=_two_date,
     fields=lambda t: {
         "title": t["title"],
@@ -290,18 +341,20 @@ TWO_FIELDS = Layout(
 )
 
 # Month grid: a day number per cell, the month from the request; cells of other months are left out.
-_DAY = tag(cls="day")
+_DAY, _OTHER_MONTH = tag(cls="day"), tag("td", "notmonth")
 
 
-def _in_month_day(cell: Column) -> Column:
-    return ~tag("td", "notmonth")(F.get(cell, F.lit(0))) & F.rlike(_text(cell, _DAY), F.lit(r"\A\d+\z"))
+def _in_month_day(cell: Tags) -> bool:
+    return not _OTHER_MONTH(cell[0]) and re.fullmatch("[0-9]+", _text(cell, _DAY)) is not None
 
 
-def _grid_texts(block: Column, group: Column) -> Texts:
-    ends = F.array_position(F.transform(block, lambda t: t["name"] == "/li"), F.lit(True)).cast("int")
+def _grid_texts(block: Tags) -> dict[str, str]:
+    ends = next((at for at, (name, _, _) in enumerate(block) if name == "/li"), len(block))
     return {
-        "title": _text(block, tag("a")),
-        "whole": words(F.slice(block, 1, F.when(ends > 0, ends - 1).otherwise(F.size(block)))),
+        "title": _text(block, _LINK),
+        "whole": words(block[:ends]),
+        "href": attribute(block, _LINK, "href"),
+        "link": "a" if any(map(_LINK, block)) else "",
     }
 
 
@@ -326,12 +379,9 @@ MONTH_GRID = Layout(
     group=tag("td"),
     group_counts=_in_month_day,
     listing=tag("li", "anEvent"),
-    when=lambda block, group: {"day": _text(group, _DAY)},
-    texts=_grid_texts,
-    links=lambda block, group: {
-        "href": attribute(block, tag("a"), "href"),
-        "link": F.when(F.exists(block, tag("a")), "a").otherwise(""),
-    },
+    of_group=lambda group: {"day": _text(group, _DAY)},
+    of_listing=_grid_texts,
+    dated=("day",),
     date=_grid_date,
     fields=_grid_fields,
     quiet_without_listings=True,
@@ -348,21 +398,22 @@ LAYOUTS = {
 }
 
 
-def links(pages: DataFrame, opening: Match) -> DataFrame:
+def links(of: DataFrame, opening: markup.Match) -> DataFrame:
     """Every listing link of a page: position, href and text."""
-    tagged = pages.select("page_id", markup.tokens(F.col("html")).alias("tags"))
-    found = tagged.select("page_id", F.posexplode(blocks(F.col("tags"), opening)).alias("pos", "block"))
+    tagged = of.select("page_id", markup.tokens(F.col("html")).alias("tags"))
+    found = tagged.select("page_id", F.posexplode(markup.blocks(F.col("tags"), opening)).alias("pos", "block"))
+    link = markup.tag("a")
     return found.select(
         "page_id",
         "pos",
-        markup.unescape(attribute(F.col("block"), tag("a"), "href")).alias("href"),
-        markup.unescape(_text(F.col("block"), tag("a"))).alias("label"),
+        markup.unescape(markup.attribute(F.col("block"), link, "href")).alias("href"),
+        markup.unescape(markup.words(markup.element(F.col("block"), link))).alias("label"),
     )
 
 
 # An index page of cards and one detail page per card with an embedded event description.
-_CARD = tag(attr=("data-hook", "events-card"))
-_CARD_TITLE = tag(attr=("data-hook", "title"))
+_CARD = markup.tag(attr=("data-hook", "events-card"))
+_CARD_TITLE = markup.tag(attr=("data-hook", "title"))
 _SCRIPT = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?application/ld\+json\b[^>]*>(.*?)</script\s*>"""
 _EVENT = (
     "`@type` STRING, name STRING, description STRING, startDate STRING, "
@@ -378,12 +429,12 @@ def json_ld(payloads: DataFrame, details: DataFrame) -> DataFrame:
     body counts. The first embedded block that describes an event counts. Its texts are escaped twice, hence the extra decoding.
     """
     tagged = payloads.withColumn("_tags", markup.tokens(F.col("body")))
-    cards = tagged.withColumn("_cards", blocks(F.col("_tags"), _CARD))
+    cards = tagged.withColumn("_cards", markup.blocks(F.col("_tags"), _CARD))
     cards = cards.withColumn("broken", F.size("_cards") == 0).select(
         "source", "week_start", "page", "broken", F.posexplode_outer("_cards").alias("pos", "card")
     )
-    cards = cards.withColumn("href", markup.unescape(attribute(F.col("card"), _CARD_TITLE, "href")))
-    cards = cards.withColumn("label", markup.unescape(_text(F.col("card"), _CARD_TITLE)))
+    cards = cards.withColumn("href", markup.unescape(markup.attribute(F.col("card"), _CARD_TITLE, "href")))
+    cards = cards.withColumn("label", markup.unescape(markup.words(markup.element(F.col("card"), _CARD_TITLE))))
     found = F.transform(F.regexp_extract_all("body", F.lit(_SCRIPT), F.lit(1)), lambda s: F.from_json(s, _EVENT))
     event = F.get(F.filter(found, lambda e: e["@type"] == "Event"), F.lit(0))
     when = F.col("fetched_at") if "fetched_at" in details.columns else F.lit(None).cast("timestamp")

@@ -1,5 +1,6 @@
 """Raw feeds: real layouts, windows, clock changes, broken against quiet."""
 
+import dataclasses
 import json
 from datetime import date, datetime, timezone
 
@@ -349,3 +350,48 @@ def test_elements_of_a_page_that_is_not_balanced(run):
 def test_a_grid_without_its_month_is_broken(run):
     rows, status = run("html_month_grid", '<td><span class="day">20</span><ul><li class="anEvent">7:00 PM<a href="/e">x</a></li></ul></td>')
     assert rows == [] and status.status == "failed"
+
+
+def test_tags_cut_in_tasks_are_those_of_the_columns(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from marquee.functions import markup, pages
+
+    bits = [
+        "<a", "<A ", "</a>", "</A >", "<div", "<div>", "</div>", "<b/", ">", ">", " class='x y'", ' class="y"', " class=x", " CLASS = y", ' id="x"', " ID=x",
+        " href='p>q'", ' href="a<b"', " href=", '"', "'", " = ", "/", "<!-- ", "-->", "< 3", "<", "t ", "  w\n", "İKK", "<ſ", "&amp;", " z\x85", "<a-é x>",
+        " data-class='x'", "\x1c", "<a class='y' class=x>", "<p\x0bclass=x>",
+    ]
+    draw = random.Random(7)
+    bodies = ["".join(draw.choices(bits, k=draw.randint(0, 25))) for _ in range(1_500)] + [None, ""]
+    openings = [("a", None, None), (None, "x", None), ("div", "x y", None), (None, None, ("id", "x")), ("a", None, ("href", "p.*"))]
+    page = markup.tokens(F.col("body"))
+    wanted = [F.transform(page, lambda t: F.array(t["name"], t["head"], t["text"])).alias("t")]
+    for i, opening in enumerate(openings):
+        match = markup.tag(*opening)
+        wanted += [markup.words(markup.element(F.col("page"), match)).alias(f"e{i}"), markup.attribute(F.col("page"), match, "class").alias(f"a{i}")]
+        wanted.append(F.size(markup.blocks(F.col("page"), match)).alias(f"b{i}"))
+    rows = spark.createDataFrame([(b,) for b in bodies], "body STRING").select("body", F.explode(F.array(page)).alias("page"))
+    seen = 0
+    for row in rows.select("body", *wanted).collect():
+        tags = pages.tokens(row.body)
+        assert [list(t) for t in tags] == row.t, row.body
+        for i, opening in enumerate(openings):
+            match = pages.tag(*opening)
+            found = pages.words(pages.element(tags, match)), pages.attribute(tags, match, "class"), len(pages.blocks(tags, match))
+            assert found == (row[f"e{i}"], row[f"a{i}"], row[f"b{i}"]), (row.body, opening)
+            seen += found[0] != ""
+    assert seen > 50
+
+
+def test_a_group_that_is_never_closed_costs_its_length_once():
+    from marquee.functions import pages
+    from marquee.sources import feeds_html
+
+    calls = []
+    group = lambda g: calls.append(1) or {"when": ""}
+    layout = dataclasses.replace(feeds_html.TAGLINE, of_group=group)
+    page = pages.tokens('<p id="eventDate">' + "<div class=rhp-event__info--list>" * 500)
+    assert len(list(feeds_html._cut(page, layout))) == 500 and len(calls) == 1
