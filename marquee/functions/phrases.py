@@ -1,57 +1,13 @@
-"""Phrases of a lexicon as one pattern: a trie of their characters, matched inside the row.
-
-A pattern walks the trie from every word start, so a text is read once per label, however many phrases the label has, and
-no row is made per word. Words are runs of letters and digits; between the words of a phrase anything else may stand.
-"""
+"""Whether a lexicon is small enough to be sent to where the words are."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
-IN_WORD = r"[\p{L}\p{N}]"
-# Phrases that a plan carries; a larger lexicon is joined instead.
+# Terms that are broadcast; a larger lexicon is joined by term instead.
 MOST_TERMS = 20_000
-_WORDS = re.compile(r"[^\W_]+(?: [^\W_]+)*")
-
-
-def trie_pattern(phrases: Iterable[str]) -> str:
-    """A pattern that matches any of the phrases as whole words of a lower-cased text."""
-    root: dict = {}
-    for phrase in phrases:
-        node = root
-        for char in phrase:
-            node = node.setdefault(char, {})
-        node[""] = {}
-
-    def branch(node: dict) -> str:
-        parts = [(f"[^{IN_WORD[1:-1]}]++" if char == " " else char) + branch(node[char]) for char in sorted(node) if char]
-        if not parts:
-            return ""
-        return f"(?:{'|'.join(parts)})" + ("?" if "" in node else "") if len(parts) > 1 or "" in node else parts[0]
-
-    return rf"(?<!{IN_WORD}){branch(root)}(?!{IN_WORD})"
 
 
 def fits(lexicon: DataFrame, most: int = MOST_TERMS) -> bool:
     """Whether a lexicon has at most so many rows; it is read no further."""
     return lexicon.limit(most + 1).count() <= most
-
-
-def patterns(lexicon: DataFrame, labels: list[str], longest: int = 1, most: int = MOST_TERMS) -> list[tuple[Row, str]] | None:
-    """Each distinct label of a lexicon (term, labels) with the pattern of its terms, or None beyond `most` rows.
-
-    Terms that no run of up to `longest` words can equal are left out.
-    """
-    rows = lexicon.select(*labels, "term").distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        return None
-    found: dict[tuple, set[str]] = {}
-    for row in rows:
-        term = row["term"]
-        if term and term == term.lower() and _WORDS.fullmatch(term) and term.count(" ") < longest:
-            found.setdefault(tuple(row[c] for c in labels), set()).add(term)
-    made = Row(*labels)
-    return [(made(*key), trie_pattern(terms)) for key, terms in sorted(found.items(), key=repr)]

@@ -41,13 +41,9 @@ def terms_of(body: Column, longest: int = 1) -> Column:
     return text.once(tokens(body), phrases)
 
 
-def _kept(value: Column, name: str) -> Column:
-    """A column behind a generator, which filters and later columns do not evaluate anew."""
-    return F.explode(F.array(value)).alias(name)
-
-
-def _lowered(body: str) -> Column:
-    return F.lower(text.text_or_empty(F.col(body)))
+def _found(words: DataFrame, terms: DataFrame, few: bool, key: str) -> DataFrame:
+    """The words that a lexicon has: few terms are broadcast, so words meet them where they are, many are salted."""
+    return words.join(F.broadcast(terms), "term") if few else salted_lookup(words, terms, ["term"], [key], "inner")
 
 
 def interest_tags(
@@ -55,20 +51,12 @@ def interest_tags(
 ) -> DataFrame:
     """Interests whose words occur in a text, and how many of them; texts without any are left out.
 
-    A lexicon of at most `most` rows goes into the plan as one pattern for each interest, so rows are neither
-    exploded nor shuffled. A larger one is joined to the distinct phrases of the texts, common ones salted.
+    The distinct phrases of the texts meet a lexicon of at most `most` rows where they are, so only hits are shuffled. A
+    larger one is joined by term, common terms salted.
     """
-    known = phrases.patterns(lexicon, ["interest"], longest, most)
-    if known is not None:
-        def hits(low: Column) -> Column:
-            return F.array(*(F.when(F.rlike(low, F.lit(p)), F.lit(label.interest)) for label, p in known), F.lit(None).cast("string"))
-
-        found = F.sort_array(F.array_compact(text.once(_lowered(body), hits)))
-        tagged = docs.select(key, _kept(found, "interests")).where(F.size("interests") > 0)
-        return tagged.withColumn("overlap", F.size("interests"))
     words = docs.select(key, F.explode(terms_of(F.col(body), longest)).alias("term"))
-    hits = salted_lookup(words, lexicon.groupBy("term").agg(F.collect_set("interest").alias("interests")),
-                         ["term"], [key], "inner")
+    terms = lexicon.groupBy("term").agg(F.collect_set("interest").alias("interests"))
+    hits = _found(words, terms, phrases.fits(lexicon, most), key)
     return (
         hits.select(key, F.explode("interests").alias("interest"))
         .groupBy(key)
@@ -85,10 +73,7 @@ def category_vote(docs: DataFrame, lexicon: DataFrame, key: str, body: str, most
     """
     words = docs.select(key, F.explode(tokens(F.col(body))).alias("term"))
     terms = lexicon.groupBy("term").agg(F.collect_set("category").alias("categories"))
-    if phrases.fits(lexicon, most):
-        hits = words.join(F.broadcast(terms), "term")
-    else:
-        hits = salted_lookup(words, terms, ["term"], [key], "inner")
+    hits = _found(words, terms, phrases.fits(lexicon, most), key)
     votes = hits.select(key, F.explode("categories").alias("category")).groupBy(key, "category").agg(F.count(F.lit(1)).alias("votes"))
     best = F.max(F.struct("votes", (-category.display_order(F.col("category"))).alias("_o"), "category"))
     return votes.groupBy(key).agg(best.alias("b")).select(key, "b.category", "b.votes")
@@ -101,23 +86,13 @@ def is_elevated(venue: Column) -> Column:
 def interest_tiers(
     docs: DataFrame, lexicon: DataFrame, key: str, body: str, longest: int = 1, most: int = phrases.MOST_TERMS
 ) -> DataFrame:
-    """Best interest tier of a text and how many interests it touches; texts that touch none are left out."""
-    known = phrases.patterns(lexicon, ["interest", "tier"], longest, most)
-    if known is not None:
-        kind = "struct<tier:int,interest:string>"
-
-        def touched(low: Column) -> Column:
-            named = ((F.struct(F.lit(label.tier).alias("tier"), F.lit(label.interest).alias("interest")), p) for label, p in known)
-            return F.array(*(F.when(F.rlike(low, F.lit(p)), value) for value, p in named), F.lit(None).cast(kind))
-
-        hits = _kept(F.array_compact(text.once(_lowered(body), touched)), "hits")
-        found = docs.select(key, hits).where(F.size("hits") > 0)
-        return found.select(
-            key, F.array_min("hits.tier").alias("tier"), F.size(F.array_distinct("hits.interest")).alias("overlap")
-        )
+    """Best interest tier of a text and how many interests it touches; texts that touch none are left out.
+
+    Phrases meet the lexicon as in `interest_tags`.
+    """
     words = docs.select(key, F.explode(terms_of(F.col(body), longest)).alias("term"))
     terms = lexicon.groupBy("term").agg(F.min("tier").alias("tier"), F.collect_set("interest").alias("interests"))
-    hits = salted_lookup(words, terms, ["term"], [key], "inner")
+    hits = _found(words, terms, phrases.fits(lexicon, most), key)
     return hits.groupBy(key).agg(
         F.min("tier").alias("tier"), F.size(F.array_distinct(F.flatten(F.collect_set("interests")))).alias("overlap")
     )

@@ -415,6 +415,16 @@ def test_large_lexicons_are_joined(spark):
     assert rows[0] == rows[1]
 
 
+def test_terms_of_a_lexicon_are_joined_not_searched(spark):
+    docs = spark.createDataFrame([(1, "W7 w8, w7x"), (2, "none"), (3, "w11 é"), (4, None), (5, "w4999-w1")], "id INT, body STRING")
+    lexicon = spark.createDataFrame([(f"w{i}", f"i{i % 14}", i % 3) for i in range(5000)], "term STRING, interest STRING, tier INT")
+    tags, tiers = (made(docs, lexicon, "id", "body", fixed.PHRASE_WORDS) for made in (ranking.interest_tags, ranking.interest_tiers))
+    assert {r.id: (r.interests, r.overlap) for r in tags.collect()} == {1: (["i7", "i8"], 2), 3: (["i11"], 1), 5: (["i1"], 1)}
+    assert {r.id: (r.tier, r.overlap) for r in tiers.collect()} == {1: (1, 2), 3: (2, 1), 5: (1, 1)}
+    for found in (tags, tiers):  # a pattern of many terms costs a text far more than its words
+        assert "RLIKE" not in found._jdf.queryExecution().optimizedPlan().toString().upper()
+
+
 def test_category_model(spark):
     import math
     from hashlib import md5
