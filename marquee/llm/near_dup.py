@@ -198,12 +198,11 @@ def _classes(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     wanted = nodes.join(held.select("node").distinct(), "node").select(*KEY, "node")
     texts = rows.cut(keyed.join(wanted, KEY).select("node", "text").dropDuplicates(["node"]))
     asked = held.where("node != first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
-    links = rows.cut(_verified(asked, texts))
-    held = _bounded(held.select("bucket", "node").distinct(), texts, components.label(links))
+    labels = rows.cut(components.label(_verified(asked, texts)))
+    held = _bounded(held.select("bucket", "node").distinct(), texts, labels)
     for pairs in (_central, _open):
-        found = rows.cut(_verified(pairs(_named(held, components.label(links))), texts))
-        links = rows.cut(links.union(found))
-    return _labelled(members.select(*KEY), nodes, components.label(links))
+        labels = components.extend(labels, rows.cut(_verified(pairs(_named(held, labels)), texts)))
+    return _labelled(members.select(*KEY), nodes, labels)
 
 
 def _named(held: DataFrame, labels: DataFrame) -> DataFrame:

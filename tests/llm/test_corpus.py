@@ -413,6 +413,24 @@ def test_components(spark):
     assert components.label(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_grow_by_further_links(spark):
+    """Labels with links added later are those of all links at once; nothing moves without a link between components."""
+    kind = "u long, v long"
+    first, later = [(1, 2), (2, 3), (10, 11), (20, 21), (21, 22)], [(22, 11), (30, 31), (3, 3), (40, 10), (2, 1)]
+    labels = components.label(spark.createDataFrame(first, kind))
+    assert components.extend(labels, spark.createDataFrame([(1, 3), (3, 2)], kind)) is labels
+    grown = sorted(map(tuple, components.extend(labels, spark.createDataFrame(later, kind)).collect()))
+    assert grown == sorted(map(tuple, components.label(spark.createDataFrame(first + later, kind)).collect()))
+    assert dict(grown) == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, 20: 10, 21: 10, 22: 10, 40: 10, 30: 30, 31: 30}
+
+
+def test_components_that_are_stars_take_no_step(spark, monkeypatch):
+    monkeypatch.setattr(components, "_small", None)
+    links = [(1, n) for n in range(2, 60)] + [(101, 100), (102, 100)]
+    found = components.label(spark.createDataFrame(links, "u long, v long"))
+    assert {r["node"]: r["least"] for r in found.collect()} == {n: 1 for n in range(1, 60)} | {n: 100 for n in (100, 101, 102)}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=/>Home</a></ul></nav>
 <div id="side_bar" class='sidebar'>Side, with, many, commas, in, it</div><div class="cookieNotice"><p>We use cookies, yes.</p></div>
 <article><header><h1>Head &amp; more</h1></header><p>First, with <b>bold</b> and
